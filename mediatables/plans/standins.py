@@ -407,3 +407,190 @@ SELECT doc_id, lang, n_chars FROM documents
 def default_columns_q(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return q.scalar_query(docs, None, None, ["doc_id", "ingest_time", "lang", "n_chars", "image_blob"])
+
+
+# ---------------------------------------------------------------------------
+# Vector search
+# ---------------------------------------------------------------------------
+
+def _query_vector(dim: int = 64) -> list[float]:
+    """Deterministic unit query vector (a cosine ramp)."""
+    import math
+    raw = [math.cos(0.7 * i) + 0.25 for i in range(dim)]
+    norm = math.sqrt(sum(x * x for x in raw))
+    return [x / norm for x in raw]
+
+
+QVEC = _query_vector()
+_QVEC_SQL = "([" + ", ".join(repr(x) for x in QVEC) + "]::DOUBLE[])"
+
+
+def _dist_sql(emb: str, qv: str) -> str:
+    return f"list_sum(list_transform(range(1, len({emb}) + 1), lambda i: ({emb}[i]::DOUBLE - {qv}[i]) ** 2))"
+
+
+def _knn_sql(where: str = "", qv: str = _QVEC_SQL, extra_from: str = "", lo_hi=None, k: int = 10) -> str:
+    rng = f" WHERE d >= {lo_hi[0]} AND d < {lo_hi[1]}" if lo_hi else ""
+    return (f"SELECT vec_id, label, round(d, {R}) AS dist FROM ("
+            f"SELECT vec_id, label, {_dist_sql('embedding', qv)} AS d FROM embeddings{extra_from} "
+            f"WHERE embedding IS NOT NULL{(' AND ' + where) if where else ''}){rng} "
+            f"ORDER BY d, vec_id LIMIT {k}")
+
+
+def _knn_out(df: DataFrame) -> DataFrame:
+    from ..operators.knn import DIST_COL
+    return df.select("vec_id", "label", F.round(F.col(DIST_COL), R).alias("dist"))
+
+
+@register("knn_exact", _knn_sql())
+def knn_exact(spark, sf_dir):
+    from ..operators.knn import knn
+    emb = table(spark, sf_dir, "embeddings")
+    return _knn_out(knn(emb, "embedding", QVEC, 10, tie_breakers=["vec_id"]))
+
+
+@register("knn_prefilter", _knn_sql("label IN (1, 3, 5)"))
+def knn_prefilter(spark, sf_dir):
+    from ..operators.knn import knn
+    emb = table(spark, sf_dir, "embeddings")
+    return _knn_out(knn(emb, "embedding", QVEC, 10, where="label IN (1, 3, 5)", tie_breakers=["vec_id"]))
+
+
+@register("knn_range", _knn_sql(lo_hi=(1.0, 1.5)))
+def knn_range(spark, sf_dir):
+    from ..operators.knn import knn
+    emb = table(spark, sf_dir, "embeddings")
+    return _knn_out(knn(emb, "embedding", QVEC, 10, distance_range=(1.0, 1.5), tie_breakers=["vec_id"]))
+
+
+@register("knn_by_row", _knn_sql(qv="q.qv", extra_from=", (SELECT embedding::DOUBLE[] AS qv FROM embeddings "
+                                                      "WHERE vec_id = 3 LIMIT 1) q"))
+def knn_by_row(spark, sf_dir):
+    from ..operators.knn import knn_by_row as by_row
+    emb = table(spark, sf_dir, "embeddings")
+    return _knn_out(by_row(emb, "vec_id", 3, "embedding", 10, tie_breakers=["vec_id"]))
+
+
+@register("knn_desc_join", f"""
+WITH t AS ({_knn_sql("label IN (1, 3, 5)")})
+SELECT t.vec_id, t.label, t.dist, l.quality, l.toxic FROM t LEFT JOIN labels l ON t.vec_id = l.doc_id
+""")
+def knn_desc_join(spark, sf_dir):
+    """Flagship: prefiltered exact kNN, description join on the top-k only."""
+    from ..operators.knn import DIST_COL, join_after_topk, knn
+    emb = table(spark, sf_dir, "embeddings")
+    desc = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "vec_id")
+    top = knn(emb, "embedding", QVEC, 10, where="label IN (1, 3, 5)",
+              tie_breakers=["vec_id"]).select("vec_id", "label", DIST_COL)
+    joined = join_after_topk(top, desc.select("vec_id", "quality", "toxic"), "vec_id",
+                             tie_breakers=["vec_id"])
+    return joined.select("vec_id", "label", F.round(F.col(DIST_COL), R).alias("dist"), "quality", "toxic")
+
+
+_UNNEST_EMB = ("SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, "
+               "generate_subscripts(embedding, 1) AS i FROM embeddings WHERE embedding IS NOT NULL")
+
+
+def _label_means(emb: DataFrame):
+    """Per-label mean vectors (label-count x dim numbers reach the driver)."""
+    rows = (emb.where(F.col("embedding").isNotNull())
+            .select("label", F.posexplode("embedding").alias("d", "x"))
+            .groupBy("label", "d").agg(F.avg("x").alias("m"))
+            .orderBy("label", "d").collect())
+    labels: list[int] = []
+    mat: list[list[float]] = []
+    for r in rows:
+        if not labels or labels[-1] != r["label"]:
+            labels.append(r["label"])
+            mat.append([])
+        mat[-1].append(float(r["m"]))
+    return labels, mat
+
+
+@register("ivf_assign", f"""
+WITH u AS ({_UNNEST_EMB}),
+c AS (SELECT label AS cid, i, avg(x) AS m FROM u GROUP BY label, i),
+d AS (SELECT u.vec_id, c.cid, sum((u.x - c.m) ** 2) AS dist FROM u JOIN c ON u.i = c.i GROUP BY u.vec_id, c.cid),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cid) AS rn FROM d)
+SELECT vec_id, cid AS centroid_id, round(dist, {R}) AS dist FROM r WHERE rn = 1
+""")
+def ivf_assign(spark, sf_dir):
+    from ..functions.vectors import squared_l2
+    from ..operators.ivf import assign_udf
+    emb = table(spark, sf_dir, "embeddings").where(F.col("embedding").isNotNull())
+    labels, mat = _label_means(emb)
+    ids = F.array(*[F.lit(int(x)) for x in labels])
+    centers = F.array(*[F.array(*[F.lit(v) for v in row]) for row in mat])
+    j = assign_udf(mat)(F.col("embedding"))
+    out = emb.select("vec_id", "embedding", (j + 1).alias("_j"))
+    return out.select("vec_id", F.element_at(ids, F.col("_j")).alias("centroid_id"),
+                      F.round(squared_l2(F.col("embedding"), F.element_at(centers, F.col("_j"))), R).alias("dist"))
+
+
+def _index(spark, sf_dir, name, **kw):
+    from ..operators.ivf import build_index
+    from ..session import scratch_path
+    emb = table(spark, sf_dir, "embeddings")
+    return build_index(spark, emb, "embedding", scratch_path(spark, name), **kw)
+
+
+@register("ivf_search_all_probes", _knn_sql())
+def ivf_search_all_probes(spark, sf_dir):
+    from ..operators.ivf import ivf_search
+    idx = _index(spark, sf_dir, "ivf-flat", index_type="IVF_FLAT", num_partitions=4, sample_rate=64)
+    return _knn_out(ivf_search(spark, idx, QVEC, 10, nprobes=idx.num_partitions, tie_breakers=["vec_id"]))
+
+
+@register("ivf_search")
+def ivf_search_q(spark, sf_dir):
+    from ..operators.ivf import ivf_search
+    idx = _index(spark, sf_dir, "ivf-flat", index_type="IVF_FLAT", num_partitions=8, sample_rate=64)
+    return _knn_out(ivf_search(spark, idx, QVEC, 10, nprobes=3, tie_breakers=["vec_id"]))
+
+
+@register("pq_search")
+def pq_search(spark, sf_dir):
+    from ..operators.ivf import ivf_search
+    idx = _index(spark, sf_dir, "ivf-pq", index_type="IVF_PQ", num_partitions=1, num_sub_vectors=8,
+                 sample_rate=256)
+    return _knn_out(ivf_search(spark, idx, QVEC, 10, nprobes=1, refine_factor=5, tie_breakers=["vec_id"]))
+
+
+@register("sq_search")
+def sq_search(spark, sf_dir):
+    from ..operators.ivf import ivf_search
+    idx = _index(spark, sf_dir, "ivf-sq", index_type="IVF_SQ", num_partitions=4, sample_rate=64)
+    return _knn_out(ivf_search(spark, idx, QVEC, 10, nprobes=2, refine_factor=5, tie_breakers=["vec_id"]))
+
+
+@register("sq_codes", """
+WITH u AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+           WHERE embedding IS NOT NULL),
+b AS (SELECT i, min(x)::DOUBLE AS lo, max(x)::DOUBLE AS hi FROM u GROUP BY i),
+c AS (SELECT u.vec_id, u.i,
+             CASE WHEN hi > lo THEN least(255, greatest(0, floor((x::DOUBLE - lo) / (hi - lo) * 256))) ELSE 0 END AS code
+      FROM u JOIN b ON u.i = b.i)
+SELECT vec_id, string_agg(CAST(CAST(code AS BIGINT) AS VARCHAR), ',' ORDER BY i) AS codes FROM c GROUP BY vec_id
+""")
+def sq_codes_q(spark, sf_dir):
+    from ..operators.ivf import _sq_bounds, sq_codes
+    emb = table(spark, sf_dir, "embeddings").where(F.col("embedding").isNotNull())
+    lo, hi = _sq_bounds(emb, "embedding")
+    return emb.select("vec_id", F.array_join(sq_codes(F.col("embedding"), lo, hi), ",").alias("codes"))
+
+
+@register("l2_normalize", f"""
+WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * 3) AS v FROM embeddings
+           WHERE embedding IS NOT NULL),
+n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS nrm FROM s)
+SELECT vec_id, generate_subscripts(v, 1) - 1 AS dim,
+       round(unnest(list_transform(v, lambda x: CASE WHEN nrm > 0 THEN x / nrm ELSE x END)), {R}) AS value
+FROM n
+""")
+def l2_normalize_q(spark, sf_dir):
+    from ..functions.vectors import checked_size, l2_normalize
+    emb = table(spark, sf_dir, "embeddings").where(F.col("embedding").isNotNull())
+    tripled = F.transform(F.col("embedding"), lambda x: x.cast("double") * 3)
+    norm = emb.select("vec_id", l2_normalize(checked_size(tripled, 64)).alias("v"))
+    return norm.select("vec_id", F.posexplode("v").alias("dim", "value")).select(
+        "vec_id", F.col("dim").cast("long").alias("dim"), rnd("value"))
