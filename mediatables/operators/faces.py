@@ -15,17 +15,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def largest_face(faces: DataFrame, keys: Sequence[str], face_idx: str, area: str,
+def largest_face(faces: DataFrame, keys: Sequence[str], face_order: str | Sequence[str], area: str,
                  payload: Sequence[str], images: DataFrame | None = None) -> DataFrame:
     """Per image: ``face_count`` and the payload columns of the largest face.
 
-    ``payload`` columns are returned prefixed by nothing (same names).
-    ``images`` (optional) lists every image so that faceless ones appear with
-    count 0 and NULL payload.
+    ``face_order`` is the detector order (columns, unique per image); among
+    equal areas the face that comes first wins. ``images`` (optional) lists
+    every image so that faceless ones appear with count 0 and NULL payload.
     """
     keys = list(keys)
-    order = F.struct(F.col(area).alias("a"), (-F.col(face_idx)).alias("neg_idx"))
-    best = F.max_by(F.struct(*[F.col(c) for c in payload]), order)
+    order_cols = [face_order] if isinstance(face_order, str) else list(face_order)
+    rank = F.struct((-F.col(area)).alias("neg_area"), *[F.col(c) for c in order_cols])
+    best = F.min_by(F.struct(*[F.col(c) for c in payload]), rank)
     agg = faces.groupBy(*keys).agg(F.count(F.lit(1)).alias("face_count"), best.alias("_best"))
     out = agg.select(*keys, "face_count", *[F.col("_best")[c].alias(c) for c in payload])
     if images is not None:

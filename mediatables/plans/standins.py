@@ -594,3 +594,170 @@ def l2_normalize_q(spark, sf_dir):
     norm = emb.select("vec_id", l2_normalize(checked_size(tripled, 64)).alias("v"))
     return norm.select("vec_id", F.posexplode("v").alias("dim", "value")).select(
         "vec_id", F.col("dim").cast("long").alias("dim"), rnd("value"))
+
+
+# ---------------------------------------------------------------------------
+# Audio signal features: events.value minus the user's mean, per user in
+# (ts, event_id) order, stand in for one recording's samples.
+# ---------------------------------------------------------------------------
+
+def _samples(spark, sf_dir) -> DataFrame:
+    ev = table(spark, sf_dir, "events").where(F.col("value").isNotNull())
+    means = ev.groupBy("user_id").agg(F.avg("value").alias("_mean"))
+    return ev.join(means, "user_id").select(
+        "user_id", "ts", "event_id", (F.col("value") - F.col("_mean")).alias("x"))
+
+
+def _features(spark, sf_dir) -> DataFrame:
+    from ..operators.signal import signal_features
+    return signal_features(_samples(spark, sf_dir), "user_id", ["ts", "event_id"], "x", 64)
+
+
+_SIGNAL_SQL = """
+WITH s AS (SELECT user_id, ts, event_id, value - avg(value) OVER (PARTITION BY user_id) AS x
+           FROM events WHERE value IS NOT NULL),
+p AS (SELECT user_id, ts, event_id, x,
+             max(abs(x)) OVER (PARTITION BY user_id) AS peak,
+             ntile(64) OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS bucket
+      FROM s),
+q AS (SELECT *, CAST(signbit(x) AS INTEGER) AS sb,
+             lag(CAST(signbit(x) AS INTEGER)) OVER (PARTITION BY user_id, bucket ORDER BY ts, event_id) AS prev_sb
+      FROM p),
+agg AS (SELECT user_id, bucket,
+               sqrt(avg(power(CASE WHEN peak > 0 THEN x / peak ELSE x END, 2))) AS rms,
+               CASE WHEN count(*) > 1 THEN sum(abs(sb - prev_sb)) / (count(*) - 1) ELSE 0.0 END AS zcr
+        FROM q GROUP BY user_id, bucket),
+allb AS (SELECT u.user_id, CAST(b.bucket AS BIGINT) AS bucket
+         FROM (SELECT DISTINCT user_id FROM events WHERE value IS NOT NULL) u, range(64) b(bucket)),
+f AS (SELECT allb.user_id, allb.bucket, coalesce(agg.rms, 0.0) AS rms, coalesce(agg.zcr, 0.0) AS zcr
+      FROM allb LEFT JOIN agg ON allb.user_id = agg.user_id AND allb.bucket = agg.bucket)
+"""
+
+
+@register("bucket_rms", _SIGNAL_SQL + f"SELECT user_id, bucket, round(rms, {R}) AS rms FROM f")
+def bucket_rms(spark, sf_dir):
+    return _features(spark, sf_dir).select("user_id", "bucket", rnd("rms"))
+
+
+@register("bucket_zcr", _SIGNAL_SQL + f"SELECT user_id, bucket, round(zcr, {R}) AS zcr FROM f")
+def bucket_zcr(spark, sf_dir):
+    return _features(spark, sf_dir).select("user_id", "bucket", rnd("zcr"))
+
+
+@register("signal_embed", _SIGNAL_SQL + f"""
+, v AS (SELECT user_id, bucket AS dim, rms AS val FROM f
+        UNION ALL SELECT user_id, bucket + 64 AS dim, zcr AS val FROM f),
+n AS (SELECT user_id, sqrt(sum(val * val)) AS nrm FROM v GROUP BY user_id)
+SELECT v.user_id, v.dim, round(CASE WHEN n.nrm > 0 THEN v.val / n.nrm ELSE v.val END, {R}) AS value
+FROM v JOIN n ON v.user_id = n.user_id
+""")
+def signal_embed(spark, sf_dir):
+    from ..operators.signal import embedding_long, signal_embedding
+    emb = signal_embedding(_features(spark, sf_dir), "user_id", 64)
+    return embedding_long(emb, "user_id").select(
+        "user_id", F.col("dim").cast("long").alias("dim"), rnd("value"))
+
+
+@register("duration", f"""
+SELECT l_orderkey, l_linenumber, round(d, {R}) AS duration_s FROM (
+  SELECT l_orderkey, l_linenumber,
+         coalesce(l_extendedprice / nullif(CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_linenumber - 1 END, 0), 0.0) AS d
+  FROM lineitem) WHERE d BETWEEN 0 AND 1800
+""")
+def duration_q(spark, sf_dir):
+    from ..operators.signal import duration_seconds
+    li = table(spark, sf_dir, "lineitem")
+    rate = F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(F.col("l_linenumber") - 1)
+    d = li.select("l_orderkey", "l_linenumber",
+                  duration_seconds(F.col("l_extendedprice"), rate).alias("duration_s"))
+    return d.where(F.col("duration_s").between(0.0, 1800.0)).select(
+        "l_orderkey", "l_linenumber", rnd("duration_s"))
+
+
+# ---------------------------------------------------------------------------
+# Image measures
+# ---------------------------------------------------------------------------
+
+def _refl(e: str, n: int) -> str:
+    return f"(CASE WHEN {e} < 0 THEN -({e}) WHEN {e} > {n - 1} THEN {2 * (n - 1)} - ({e}) ELSE {e} END)"
+
+
+@register("laplacian_var", f"""
+WITH u AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL),
+p AS (SELECT vec_id, v, unnest(range(64)) AS p FROM u),
+l AS (SELECT vec_id, v, p // 8 AS r, p % 8 AS c FROM p),
+lap AS (SELECT vec_id,
+          v[{_refl('r - 1', 8)} * 8 + c + 1] + v[{_refl('r + 1', 8)} * 8 + c + 1]
+          + v[r * 8 + {_refl('c - 1', 8)} + 1] + v[r * 8 + {_refl('c + 1', 8)} + 1]
+          - 4 * v[r * 8 + c + 1] AS lp
+        FROM l)
+SELECT vec_id, round(var_pop(lp), {R}) AS lap_var FROM lap GROUP BY vec_id
+""")
+def laplacian_var(spark, sf_dir):
+    from ..functions.imaging import grid_laplacian_variance
+    emb = table(spark, sf_dir, "embeddings").where(F.col("embedding").isNotNull())
+    return emb.select("vec_id", F.round(grid_laplacian_variance(F.col("embedding"), 8, 8), R).alias("lap_var"))
+
+
+FACE_IMG_W, FACE_IMG_H = 40, 12
+FACE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]  # detector order, unique per order
+
+
+@register("largest_face", f"""
+WITH f AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 1.0 - l_discount AS score,
+                  l_tax * 100 - 2 AS x1, l_discount * 100 - 1 AS y1,
+                  l_tax * 100 - 2 + l_quantity AS x2, l_discount * 100 - 1 + l_linenumber * 2 AS y2
+           FROM lineitem),
+g AS (SELECT *, (x2 - x1) * (y2 - y1) AS area,
+             row_number() OVER (PARTITION BY l_orderkey ORDER BY (x2 - x1) * (y2 - y1) DESC, l_linenumber, l_partkey, l_suppkey) AS rn,
+             count(*) OVER (PARTITION BY l_orderkey) AS n
+      FROM f),
+b AS (SELECT *, greatest(0, CAST(trunc(x1) AS BIGINT)) AS cx1, greatest(0, CAST(trunc(y1) AS BIGINT)) AS cy1,
+             least({FACE_IMG_W}, CAST(trunc(x2) AS BIGINT)) AS cx2, least({FACE_IMG_H}, CAST(trunc(y2) AS BIGINT)) AS cy2
+      FROM g WHERE rn = 1)
+SELECT l_orderkey, n AS face_count, round(score, {R}) AS face_score,
+       round(greatest(0.0, area) / ({FACE_IMG_W} * {FACE_IMG_H}), {R}) AS face_area_ratio,
+       CASE WHEN cx2 > cx1 AND cy2 > cy1 THEN cx1 END AS crop_x1,
+       CASE WHEN cx2 > cx1 AND cy2 > cy1 THEN cy1 END AS crop_y1,
+       CASE WHEN cx2 > cx1 AND cy2 > cy1 THEN cx2 END AS crop_x2,
+       CASE WHEN cx2 > cx1 AND cy2 > cy1 THEN cy2 END AS crop_y2,
+       CASE WHEN cx2 > cx1 AND cy2 > cy1 THEN CAST((cx2 - cx1) * (cy2 - cy1) AS DOUBLE) END AS face_blur_score
+FROM b
+""")
+def largest_face_q(spark, sf_dir):
+    from ..functions.imaging import clamp_box, face_area_ratio
+    from ..operators.faces import largest_face
+    li = table(spark, sf_dir, "lineitem")
+    x1 = F.col("l_tax") * 100 - 2
+    y1 = F.col("l_discount") * 100 - 1
+    faces = li.select("l_orderkey", *FACE_ORDER, (F.lit(1.0) - F.col("l_discount")).alias("score"),
+                      x1.alias("x1"), y1.alias("y1"), (x1 + F.col("l_quantity")).alias("x2"),
+                      (y1 + F.col("l_linenumber") * 2).alias("y2"))
+    faces = faces.withColumn("area", (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")))
+    best = largest_face(faces, ["l_orderkey"], FACE_ORDER, "area", ["score", "x1", "y1", "x2", "y2"])
+    w, h = F.lit(FACE_IMG_W), F.lit(FACE_IMG_H)
+    box = clamp_box(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), w, h)
+    out = best.select("l_orderkey", "face_count", F.round("score", R).alias("face_score"),
+                      F.round(face_area_ratio(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), w, h), R)
+                      .alias("face_area_ratio"), box.alias("box"))
+    return out.select("l_orderkey", "face_count", "face_score", "face_area_ratio",
+                      F.col("box.x1").alias("crop_x1"), F.col("box.y1").alias("crop_y1"),
+                      F.col("box.x2").alias("crop_x2"), F.col("box.y2").alias("crop_y2"),
+                      ((F.col("box.x2") - F.col("box.x1")) * (F.col("box.y2") - F.col("box.y1")))
+                      .cast("double").alias("face_blur_score"))
+
+
+@register("resize_dims", f"""
+SELECT p_partkey, h, w,
+       CASE WHEN greatest(h, w) <= 1024 THEN h ELSE greatest(1, CAST(round_even(h * (1024.0 / greatest(h, w)), 0) AS BIGINT)) END AS new_h,
+       CASE WHEN greatest(h, w) <= 1024 THEN w ELSE greatest(1, CAST(round_even(w * (1024.0 / greatest(h, w)), 0) AS BIGINT)) END AS new_w,
+       round(CASE WHEN greatest(h, w) <= 1024 THEN 1.0 ELSE 1024.0 / greatest(h, w) END, {R}) AS scale
+FROM (SELECT p_partkey, CAST(p_size * 40 AS BIGINT) AS h, CAST(floor(p_retailprice) AS BIGINT) AS w FROM part)
+""")
+def resize_dims(spark, sf_dir):
+    from ..functions.imaging import resized_dims
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", (F.col("p_size") * 40).cast("long").alias("h"),
+        F.floor("p_retailprice").cast("long").alias("w"))
+    nh, nw, scale = resized_dims(F.col("h"), F.col("w"), 1024)
+    return part.select("p_partkey", "h", "w", nh.alias("new_h"), nw.alias("new_w"), F.round(scale, R).alias("scale"))
