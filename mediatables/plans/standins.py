@@ -761,3 +761,422 @@ def resize_dims(spark, sf_dir):
         F.floor("p_retailprice").cast("long").alias("w"))
     nh, nw, scale = resized_dims(F.col("h"), F.col("w"), 1024)
     return part.select("p_partkey", "h", "w", nh.alias("new_h"), nw.alias("new_w"), F.round(scale, R).alias("scale"))
+
+
+# ---------------------------------------------------------------------------
+# Table maintenance (events.ts stands in for ingest_time)
+# ---------------------------------------------------------------------------
+
+ZONE_ROWS = 1000
+PRUNE_LO, PRUNE_HI = "2024-01-05 00:00:00", "2024-01-07 12:00:00"
+
+
+def _zone(col: str = "event_id"):
+    return F.floor(F.col(col) / ZONE_ROWS).cast("long")
+
+
+@register("zonemap", f"""
+SELECT CAST(floor(event_id / {ZONE_ROWS}) AS BIGINT) AS zone, min(ts) AS min_time, max(ts) AS max_time,
+       count(*) AS rows
+FROM events GROUP BY 1
+""")
+def zonemap_q(spark, sf_dir):
+    from ..operators.maintenance import zone_map
+    return zone_map(table(spark, sf_dir, "events"), "ts", _zone())
+
+
+@register("zonemap_prune", f"""
+SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '{PRUNE_LO}' AND ts <= TIMESTAMP '{PRUNE_HI}'
+""")
+def zonemap_prune(spark, sf_dir):
+    from ..operators.maintenance import scan_time_range, zone_map
+    ev = table(spark, sf_dir, "events")
+    zones = zone_map(ev, "ts", _zone())
+    return scan_time_range(ev, PRUNE_LO, PRUNE_HI, "ts", zones, _zone()).select("event_id", "ts")
+
+
+def _delete_sql(before=None, after=None) -> str:
+    clauses = []
+    if before:
+        clauses.append(f"ts < TIMESTAMP '{before}'")
+    if after:
+        clauses.append(f"ts > TIMESTAMP '{after}'")
+    return f"SELECT event_id, ts FROM events WHERE NOT coalesce({' AND '.join(clauses)}, false)"
+
+
+@register("delete_before", _delete_sql(before="2024-01-10 00:00:00"))
+def delete_before(spark, sf_dir):
+    from ..operators.maintenance import keep_after_delete
+    ev = table(spark, sf_dir, "events")
+    return keep_after_delete(ev, before="2024-01-10", time_col="ts").select("event_id", "ts")
+
+
+@register("delete_after", _delete_sql(after="2024-01-20 00:00:00"))
+def delete_after(spark, sf_dir):
+    from ..operators.maintenance import keep_after_delete
+    ev = table(spark, sf_dir, "events")
+    return keep_after_delete(ev, after="2024-01-20T00:00:00", time_col="ts").select("event_id", "ts")
+
+
+def _events_asset(spark, sf_dir, name: str) -> str:
+    """events written as an asset table (ts as ingest_time), partitioned by date."""
+    from ..session import scratch_path
+    from ..sources.sinks import append_asset
+    path = scratch_path(spark, name)
+    ev = table(spark, sf_dir, "events").withColumnRenamed("ts", "ingest_time")
+    append_asset(ev, path)
+    return path
+
+
+@register("delete_window", _delete_sql(before="2024-01-20 00:00:00", after="2024-01-10 12:00:00"))
+def delete_window(spark, sf_dir):
+    """Real table delete: whole days dropped, two boundary days rewritten."""
+    from ..operators.maintenance import delete_by_date
+    path = _events_asset(spark, sf_dir, "delete-window")
+    delete_by_date(spark, path, before="2024-01-20", after="2024-01-10T12:00:00")
+    return spark.read.parquet(path).select("event_id", F.col("ingest_time").alias("ts"))
+
+
+@register("append_union", """
+SELECT event_id, event_type, CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN value END AS value FROM events
+""")
+def append_union(spark, sf_dir):
+    """Two appends to one table; the second batch lacks ``value``."""
+    from ..session import scratch_path
+    from ..sources.sinks import append_asset, cast_to_schema
+    path = scratch_path(spark, "append-union")
+    ev = table(spark, sf_dir, "events").withColumnRenamed("ts", "ingest_time")
+    cut = F.col("ingest_time") < F.lit("2024-01-16 00:00:00").cast("timestamp")
+    first = ev.where(cut)
+    append_asset(first, path)
+    schema = spark.read.parquet(path).drop("ingest_date").schema
+    second = ev.where(~cut).drop("value")
+    append_asset(cast_to_schema(second, schema), path)
+    return spark.read.parquet(path).select("event_id", "event_type", "value")
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks
+# ---------------------------------------------------------------------------
+
+# Fixed registry rows: catalog metadata, one row per fileset.
+FILESET_REGISTRY = [
+    ("cat", "web", "blog", "s3a://media-bucket/blog/"),
+    ("cat", "web", "main", "s3://media-bucket/main"),
+]
+
+
+def _virtual_parts():
+    host = F.regexp_extract(F.col("url"), r"^[a-z]+://([^/?#]+)", 1)
+    path = F.regexp_extract(F.col("url"), r"^[a-z]+://[^/?#]+(/[^?#]*)?", 1)
+    fileset = (F.when(host.startswith("blog."), F.lit("blog"))
+               .when(host.startswith("m."), F.lit("mobile")).otherwise(F.lit("main")))
+    return fileset, path
+
+
+@register("resolve_uri", """
+WITH p AS (
+  SELECT page_id,
+         CASE WHEN starts_with(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1), 'blog.') THEN 'blog'
+              WHEN starts_with(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1), 'm.') THEN 'mobile'
+              ELSE 'main' END AS fileset,
+         regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]+(/[^?#]*)?', 1), '^/+', '') AS sub
+  FROM pages)
+SELECT page_id,
+       CASE WHEN sub = '' THEN 'gvfs://fileset/cat/web/' || fileset
+            ELSE 'gvfs://fileset/cat/web/' || fileset || '/' || sub END AS path,
+       CASE WHEN fileset = 'blog' THEN CASE WHEN sub = '' THEN 's3://media-bucket/blog' ELSE 's3://media-bucket/blog/' || sub END
+            WHEN fileset = 'main' THEN CASE WHEN sub = '' THEN 's3://media-bucket/main' ELSE 's3://media-bucket/main/' || sub END
+       END AS location
+FROM p
+""")
+def resolve_uri(spark, sf_dir):
+    from ..sources.fileset import resolve_fileset_uri, to_virtual_path
+    pages = table(spark, sf_dir, "pages")
+    fileset, path = _virtual_parts()
+    virt = pages.select("page_id", to_virtual_path(F.lit("cat"), F.lit("web"), fileset, path).alias("path"))
+    registry = spark.createDataFrame(FILESET_REGISTRY, "catalog string, schema string, fileset string, location string")
+    return resolve_fileset_uri(virt, registry, "path", "location").select("page_id", "path", "location")
+
+
+@register("file_listing")
+def file_listing(spark, sf_dir):
+    from ..sources.readers import list_files
+    return list_files(spark, sf_dir, "*.parquet")
+
+
+@register("build_manifest")
+def build_manifest_q(spark, sf_dir):
+    from ..sources.fileset import build_manifest
+    return build_manifest(spark, sf_dir, media="table", suffixes=["parquet"])
+
+
+@register("glob_scan", "SELECT * FROM nation")
+def glob_scan(spark, sf_dir):
+    from ..sources.readers import read_parquet_glob
+    return read_parquet_glob(spark, f"{sf_dir.rstrip('/')}/natio*.parquet")
+
+
+@register("csv_manifest", "SELECT CAST(page_id AS VARCHAR) AS doc_id, url AS s3_url FROM pages")
+def csv_manifest(spark, sf_dir):
+    """pages as a CSV manifest with an extra column, read back via S1."""
+    from ..session import scratch_path
+    from ..sources.readers import read_manifest
+    path = scratch_path(spark, "manifest") + ".csv"
+    (table(spark, sf_dir, "pages")
+     .select(F.col("page_id").cast("string").alias("doc_id"), F.col("url").alias("s3_url"), "html")
+     .write.option("header", True).option("escape", '"').csv(path))
+    return read_manifest(spark, path)
+
+
+DESCRIPTIONS = [(1, "清晰正面人像"), (5, "两人合影"), (10**9, "不存在的图")]
+
+
+@register("literal_rows", """
+SELECT l.doc_id, l.quality, d.description
+FROM labels l LEFT JOIN (VALUES (1, '清晰正面人像'), (5, '两人合影'), (1000000000, '不存在的图')) d(doc_id, description)
+  ON l.doc_id = d.doc_id
+""")
+def literal_rows(spark, sf_dir):
+    from ..sources.readers import from_rows
+    desc = from_rows(spark, DESCRIPTIONS, "doc_id bigint, description string")
+    labels = table(spark, sf_dir, "labels")
+    out, cols = q.join_descriptions(labels, F.broadcast(desc), ["doc_id", "quality"])
+    return out.select(*cols)
+
+
+@register("json_round_trip", """
+SELECT d.doc_id, d.text, d.lang, l.quality, CAST(NULL AS DOUBLE) AS face_blur_score, d.n_chars
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+""")
+def json_round_trip(spark, sf_dir):
+    """JSON sink keeps null fields; the typed reader restores an all-null column."""
+    from ..session import scratch_path
+    from ..sources.readers import read_analysis_output
+    from ..sources.sinks import write_json
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                           T.StructField("lang", T.StringType()), T.StructField("quality", T.IntegerType()),
+                           T.StructField("face_blur_score", T.DoubleType()),
+                           T.StructField("n_chars", T.LongType())])
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    out = docs.join(labels, "doc_id", "left").select(
+        "doc_id", "text", "lang", "quality", F.lit(None).cast("double").alias("face_blur_score"), "n_chars")
+    path = scratch_path(spark, "analysis") + ".jsonl"
+    write_json(out, path)
+    return read_analysis_output(spark, path, schema)
+
+
+@register("staging_round_trip", f"""
+SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS dim, round(unnest(embedding)::DOUBLE, {R}) AS value
+FROM embeddings WHERE embedding IS NOT NULL
+""")
+def staging_round_trip(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.readers import read_analysis_output
+    from ..sources.sinks import write_staging
+    path = scratch_path(spark, "staging") + ".parquet"
+    write_staging(table(spark, sf_dir, "embeddings"), path)
+    back = read_analysis_output(spark, path).where(F.col("embedding").isNotNull())
+    return back.select("vec_id", "label", F.posexplode("embedding").alias("dim", "value")).select(
+        "vec_id", "label", F.col("dim").cast("long").alias("dim"), F.round(F.col("value").cast("double"), R).alias("value"))
+
+
+@register("content_join")
+def content_join(spark, sf_dir):
+    """Manifest of the table files plus one missing object, joined to bytes."""
+    from ..sources.fetch import join_content
+    from ..sources.readers import list_files
+    listing = list_files(spark, sf_dir, "*.parquet", recursive=False).select(
+        tagging.file_name(F.col("path")).alias("doc_id"), F.col("path").alias("s3_url"))
+    missing = spark.createDataFrame([("missing.parquet", f"{sf_dir.rstrip('/')}/missing.parquet")],
+                                    "doc_id string, s3_url string")
+    joined = join_content(spark, listing.unionByName(missing), [sf_dir])
+    return joined.select("doc_id", "s3_url", F.length("content").alias("n_bytes"))
+
+
+@register("struct_flatten", """
+SELECT doc_id, lang, n_chars, CASE WHEN lang = 'en' THEN n_chars END AS en_chars,
+       CAST(n_chars AS DOUBLE) / 1000 AS kchars, text IS NULL AS text_missing
+FROM documents
+""")
+def struct_flatten(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    nested = docs.select(F.struct("doc_id", "lang", "n_chars", "text").alias("s"))
+    flat = nested.select("s.*")
+    return flat.select("doc_id", "lang", "n_chars",
+                       F.when(F.col("lang") == "en", F.col("n_chars")).alias("en_chars"),
+                       (F.col("n_chars").cast("double") / 1000).alias("kchars"),
+                       F.col("text").isNull().alias("text_missing"))
+
+
+INGEST_NOW = "2024-06-01 12:00:00"
+
+
+@register("ingest_stamp", f"""
+SELECT doc_id, TIMESTAMP '{INGEST_NOW}' AS ingest_time, DATE '{INGEST_NOW[:10]}' AS ingest_date FROM documents
+""")
+def ingest_stamp(spark, sf_dir):
+    from ..plans.jobs import ingest_time_literal
+    docs = table(spark, sf_dir, "documents")
+    t = ingest_time_literal(INGEST_NOW)
+    return docs.select("doc_id", t.alias("ingest_time"), F.to_date(t).alias("ingest_date"))
+
+
+@register("blob_audit", _IMAGE_SQL + """
+SELECT count(*) AS rows, count(*) FILTER (WHERE status = 'ok' AND quality = 0) AS ok_without_blob FROM v
+""")
+def blob_audit(spark, sf_dir):
+    from ..sources.sinks import validate_blob_column
+    img = image_standin(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    img = img.withColumn("image_blob", F.when(F.col("quality") == 1, F.col("content")).cast("binary"))
+    return validate_blob_column(img, "image_blob")
+
+
+# ---------------------------------------------------------------------------
+# Python model seams (stub models, Arrow batches)
+# ---------------------------------------------------------------------------
+
+class TextStats:
+    """U1/U3/U4 stub: per-row lengths of (text, lang) as a struct."""
+
+    def __call__(self, text, lang):
+        import pandas as pd
+        chars = text.map(lambda t: None if t is None else len(t))
+        lines = text.map(lambda t: None if t is None else t.count("\n") + 1)
+        lang_len = lang.map(lambda t: None if t is None else len(t))
+        return pd.DataFrame({"chars": chars, "lines": lines, "lang_len": lang_len})
+
+
+@register("udf_batch", """
+SELECT doc_id, length(text) AS chars, length(text) - length(replace(text, chr(10), '')) + 1 AS lines,
+       length(lang) AS lang_len
+FROM documents
+""")
+def udf_batch(spark, sf_dir):
+    from ..operators.models import batch_udf
+    rtype = T.StructType([T.StructField("chars", T.LongType()), T.StructField("lines", T.LongType()),
+                          T.StructField("lang_len", T.LongType())])
+    stats = batch_udf(TextStats, rtype)
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", stats(F.col("text"), F.col("lang")).alias("s")).select("doc_id", "s.*")
+
+
+STUB_CHARS = ["a", "e", "i", "o", "u", " ", "\n"]
+
+
+class StubEmbedder:
+    """Deterministic text 'embedding': length and a few character counts, L2-normalised."""
+
+    dim = 1 + len(STUB_CHARS)
+
+    def embed_text(self, text):
+        import math
+        if text is None or text == "":
+            return None
+        raw = [float(len(text))] + [float(text.count(c)) for c in STUB_CHARS]
+        norm = math.sqrt(sum(x * x for x in raw))
+        return [x / norm for x in raw] if norm > 0 else raw
+
+    def embed_batch(self, texts):
+        return [self.embed_text(t) for t in texts]
+
+
+def _stub_sql(text: str) -> str:
+    parts = [f"CAST(length({text}) AS DOUBLE)"] + [
+        f"CAST(length({text}) - length(replace({text}, {'chr(10)' if c == chr(10) else sql_str(c)}, '')) AS DOUBLE)"
+        for c in STUB_CHARS]
+    return "[" + ", ".join(parts) + "]"
+
+
+_GUARDED_SQL = _IMAGE_SQL + f"""
+, g AS (SELECT v.doc_id, {_stub_sql('d.text')} AS raw
+        FROM v JOIN documents d ON v.doc_id = d.doc_id WHERE v.status = 'ok'),
+e AS (SELECT doc_id, raw, sqrt(list_sum(list_transform(raw, lambda x: x * x))) AS nrm FROM g)
+"""
+
+
+def _guarded(spark, sf_dir) -> DataFrame:
+    from ..operators.models import guarded_embedding
+    img = image_standin(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    emb = guarded_embedding(StubEmbedder, F.col("content"), F.col("status") == "ok", StubEmbedder.dim)
+    return img.select("doc_id", emb.alias("embedding"))
+
+
+@register("embed_guarded", _GUARDED_SQL + f"""
+SELECT doc_id, generate_subscripts(raw, 1) - 1 AS dim,
+       round(unnest(list_transform(raw, lambda x: CAST(CAST(x / nrm AS FLOAT) AS DOUBLE))), {R}) AS value
+FROM e
+""")
+def embed_guarded(spark, sf_dir):
+    g = _guarded(spark, sf_dir).where(F.col("embedding").isNotNull())
+    return g.select("doc_id", F.posexplode("embedding").alias("dim", "value")).select(
+        "doc_id", F.col("dim").cast("long").alias("dim"), F.round(F.col("value").cast("double"), R).alias("value"))
+
+
+QUERY_TEXT = "the quick brown fox jumps over the lazy dog\nagain and again"
+_QTEXT_VEC = StubEmbedder().embed_text(QUERY_TEXT)
+_QTEXT_SQL = "([" + ", ".join(repr(x) for x in _QTEXT_VEC) + "]::DOUBLE[])"
+
+
+@register("text_query_stub", _GUARDED_SQL + f"""
+, n AS (SELECT doc_id, list_transform(raw, lambda x: CAST(CAST(x / nrm AS FLOAT) AS DOUBLE)) AS v FROM e),
+d AS (SELECT doc_id, {_dist_sql('v', _QTEXT_SQL)} AS dist FROM n)
+SELECT doc_id, round(dist, {R}) AS dist FROM d ORDER BY dist, doc_id LIMIT 10
+""")
+def text_query_stub(spark, sf_dir):
+    from ..operators.knn import DIST_COL, knn_by_embedder
+    g = _guarded(spark, sf_dir)
+    top = knn_by_embedder(g, "embedding", StubEmbedder().embed_text, QUERY_TEXT, 10, tie_breakers=["doc_id"])
+    return top.select("doc_id", F.round(F.col(DIST_COL), R).alias("dist"))
+
+
+class StubChatClient:
+    """U5 stub: a JSON answer derived from the prompt length; some malformed."""
+
+    def complete(self, prompt: str) -> str:
+        import json
+
+        from ..schemas import PRIMARY_REASONS, TEXT_EMOTIONS
+        n = len(prompt)
+        if n % 5 == 0:
+            return '{"downgrade_related": tru'
+        return json.dumps({
+            "downgrade_related": n % 2 == 0,
+            "primary_reason": PRIMARY_REASONS[n % 7],
+            "summary": f"len {n}",
+            "confidence": (n % 100) / 100,
+            "text_emotion": TEXT_EMOTIONS[n % 6],
+            "bad_tone": n % 3 == 0,
+            "emotion_score": (n % 10) / 10,
+        })
+
+
+def _llm_sql() -> str:
+    from ..schemas import PRIMARY_REASONS, TEXT_EMOTIONS
+    reasons = "[" + ", ".join(sql_str(x) for x in PRIMARY_REASONS) + "]"
+    emotions = "[" + ", ".join(sql_str(x) for x in TEXT_EMOTIONS) + "]"
+    return f"""
+WITH p AS (SELECT conv_id, turn, length({_prompt_sql('text', _ROLE_EMOTION_SQL)}) AS n FROM conversations)
+SELECT conv_id, turn,
+       CASE WHEN n % 5 = 0 THEN false ELSE n % 2 = 0 END AS downgrade_related,
+       CASE WHEN n % 5 = 0 THEN '其他' ELSE {reasons}[n % 7 + 1] END AS primary_reason,
+       '' AS secondary_reason,
+       CASE WHEN n % 5 = 0 THEN '' ELSE 'len ' || CAST(n AS VARCHAR) END AS summary,
+       CASE WHEN n % 5 = 0 THEN 0.0 ELSE round((n % 100) / 100.0, {R}) END AS confidence,
+       CASE WHEN n % 5 = 0 THEN '未知' ELSE {emotions}[n % 6 + 1] END AS text_emotion,
+       CASE WHEN n % 5 = 0 THEN false ELSE n % 3 = 0 END AS bad_tone,
+       CASE WHEN n % 5 = 0 THEN 0.0 ELSE round((n % 10) / 10.0, {R}) END AS emotion_score
+FROM p
+"""
+
+
+@register("llm_tag_stub", _llm_sql())
+def llm_tag_stub(spark, sf_dir):
+    from ..operators.models import call_model
+    conv = table(spark, sf_dir, "conversations")
+    prompts = conv.select("conv_id", "turn", tagging.build_prompt(F.col("text"), _role_emotion()).alias("prompt"))
+    answered = call_model(prompts, "prompt", StubChatClient)
+    parsed = answered.select("conv_id", "turn", tagging.parse_analysis_json(F.col("analysis_json")).alias("a"))
+    out = parsed.select("conv_id", "turn", *tagging.analysis_fields_with_defaults(F.col("a")))
+    return out.withColumns({c: F.round(c, R) for c in ("confidence", "emotion_score")})
