@@ -48,10 +48,16 @@ def distance(v: Column, q: Sequence[float] | Column, metric: str = "l2") -> Colu
 
 
 def l2_normalize(v: Column) -> Column:
-    """Unit-length copy in double; a zero vector is returned unchanged."""
-    norm = l2_norm(v)
-    return F.when(norm > 0, F.transform(v, lambda x: x.cast("double") / norm)).otherwise(
-        F.transform(v, lambda x: x.cast("double")))
+    """Unit-length copy in double; a zero vector is returned unchanged.
+
+    The squared norm is bound once by ``aggregate``'s finish function; writing
+    ``transform(v, x -> x / norm(v))`` would recompute the norm per element.
+    """
+    def finish(sq: Column) -> Column:
+        return F.when(sq > 0, F.transform(v, lambda x: x.cast("double") / F.sqrt(sq))).otherwise(
+            F.transform(v, lambda x: x.cast("double")))
+
+    return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"), finish)
 
 
 def checked_size(v: Column, dim: int, name: str = "embedding") -> Column:

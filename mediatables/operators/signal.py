@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.vectors import l2_normalize
+
 
 def duration_seconds(frames: Column, rate: Column) -> Column:
     """frames / rate; NULL input or a zero/NULL rate gives 0.0."""
@@ -49,13 +51,14 @@ def mix_to_mono(samples: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     return samples.groupBy(*keys, *order_cols).agg(F.avg(value).alias(value))
 
 
-def signal_features(samples: DataFrame, key: str, order_cols: Sequence[str],
-                    value: str = "value", buckets: int = 64) -> DataFrame:
-    """A6 + A7 + A9: per key and bucket ``(key, bucket, rms, zcr)``, all buckets.
+def bucket_stats(samples: DataFrame, key: str, order_cols: Sequence[str],
+                 value: str = "value", buckets: int = 64) -> DataFrame:
+    """A6 + A7 + A9 per key: ``(key, rms array[B], zcr array[B])``.
 
-    Positions come from one window sorted by ``order_cols`` (which must be
-    unique per key); count, peak and previous sample share that window, so the
-    whole step is a single shuffle on ``key``.
+    Positions come from one window sorted by ``order_cols`` (unique per key);
+    count, peak and previous sample share it, so the sample table is shuffled
+    once, on ``key``. Everything after the per-bucket aggregation works on
+    ``keys x B`` rows only - the sample table is never scanned twice.
     """
     w = Window.partitionBy(key).orderBy(*order_cols)
     whole = Window.partitionBy(key)
@@ -76,25 +79,28 @@ def signal_features(samples: DataFrame, key: str, order_cols: Sequence[str],
                   .agg(F.sqrt(F.avg(F.col("xn") * F.col("xn"))).alias("rms"),
                        F.count(F.lit(1)).alias("size"),
                        F.sum("flip").alias("flips")))
-    all_buckets = (s.select(key).distinct()
-                   .select(key, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"))
-                   .withColumn("bucket", F.col("bucket").cast("long")))
     zcr = F.when(F.col("size") > 1, F.col("flips") / (F.col("size") - 1)).otherwise(F.lit(0.0))
-    return (all_buckets.join(per_bucket, [key, "bucket"], "left")
-            .select(key, "bucket",
-                    F.coalesce(F.col("rms"), F.lit(0.0)).alias("rms"),
-                    F.coalesce(zcr, F.lit(0.0)).alias("zcr")))
-
-
-def signal_embedding(features: DataFrame, key: str, buckets: int = 64,
-                     out_col: str = "embedding") -> DataFrame:
-    """``RMS ++ ZCR`` per key, L2-normalised (zero vector left as is)."""
-    items = F.array_sort(F.collect_list(F.struct("bucket", "rms", "zcr")))
-    per_key = features.groupBy(key).agg(items.alias("_b"))
-    raw = F.concat(F.transform("_b", lambda e: e["rms"]), F.transform("_b", lambda e: e["zcr"]))
-    norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda a, v: a + v * v))
-    vec = F.when(norm > 0, F.transform(raw, lambda v: v / norm)).otherwise(raw)
-    return per_key.select(key, vec.alias(out_col))
+    per_key = (per_bucket.select(key, "bucket", F.struct(F.col("rms"), zcr.alias("zcr")).alias("v"))
+               .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "v"))).alias("m")))
+    slots = F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))
+    return per_key.select(
+        key,
+        F.transform(slots, lambda i: F.coalesce(F.col("m")[i]["rms"], F.lit(0.0))).alias("rms"),
+        F.transform(slots, lambda i: F.coalesce(F.col("m")[i]["zcr"], F.lit(0.0))).alias("zcr"))
+
+
+def signal_features(samples: DataFrame, key: str, order_cols: Sequence[str],
+                    value: str = "value", buckets: int = 64) -> DataFrame:
+    """Long form ``(key, bucket, rms, zcr)`` with every bucket (empty -> 0)."""
+    stats = bucket_stats(samples, key, order_cols, value, buckets)
+    return stats.select(key, F.posexplode(F.arrays_zip("rms", "zcr")).alias("bucket", "v")).select(
+        key, F.col("bucket").cast("long").alias("bucket"), F.col("v.rms").alias("rms"),
+        F.col("v.zcr").alias("zcr"))
+
+
+def signal_embedding(stats: DataFrame, key: str, out_col: str = "embedding") -> DataFrame:
+    """``RMS ++ ZCR`` per key from :func:`bucket_stats`, L2-normalised."""
+    return stats.select(key, l2_normalize(F.concat("rms", "zcr")).alias(out_col))
 
 
 def embedding_long(emb: DataFrame, key: str, col: str = "embedding") -> DataFrame:

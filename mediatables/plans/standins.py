@@ -652,8 +652,9 @@ SELECT v.user_id, v.dim, round(CASE WHEN n.nrm > 0 THEN v.val / n.nrm ELSE v.val
 FROM v JOIN n ON v.user_id = n.user_id
 """)
 def signal_embed(spark, sf_dir):
-    from ..operators.signal import embedding_long, signal_embedding
-    emb = signal_embedding(_features(spark, sf_dir), "user_id", 64)
+    from ..operators.signal import bucket_stats, embedding_long, signal_embedding
+    stats = bucket_stats(_samples(spark, sf_dir), "user_id", ["ts", "event_id"], "x", 64)
+    emb = signal_embedding(stats, "user_id")
     return embedding_long(emb, "user_id").select(
         "user_id", F.col("dim").cast("long").alias("dim"), rnd("value"))
 
