@@ -1,11 +1,41 @@
-"""Batch jobs: analyze, ingest, index, manage, manifest."""
+"""Batch jobs: analyze, ingest, index, manage, manifest.
+
+Stage boundaries are files: the analysis output is written once, which also
+stops model calls from being recomputed by later stages or task retries.
+Models are injected as picklable factories (see ``operators.models``).
+
+Content fetch: pass ``roots`` when media live under known prefixes (listed
+once and left-joined, no per-row requests) or ``fetcher`` for arbitrary URLs.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Sequence
+from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import rules, tagging
+from ..functions.redact import redact_pii
+from ..operators import ivf, maintenance
+from ..operators.media import ImageQuality, WavInfo, WavSignalEmbedder
+from ..operators.models import batch_udf, call_model, guarded_embedding
+from ..operators.signal import duration_seconds
+from ..schemas import (
+    ASR_STRUCT,
+    AUDIO_ANALYSIS_SCHEMA,
+    AUDIO_OUTPUT_COLUMNS,
+    IMAGE_ANALYSIS_SCHEMA,
+    IMAGE_OUTPUT_COLUMNS,
+    IMAGE_QUALITY_STRUCT,
+    AudioConfig,
+    ImageConfig,
+    with_embedding,
+)
+from ..sources import fetch, fileset, readers, sinks
 
 
 def ingest_time_literal(now: str | dt.datetime | None = None) -> Column:
@@ -17,3 +47,192 @@ def ingest_time_literal(now: str | dt.datetime | None = None) -> Column:
             now = now.astimezone(dt.timezone.utc).replace(tzinfo=None)
         now = now.isoformat(sep=" ")
     return F.lit(now).cast("timestamp")
+
+
+def with_content(spark: SparkSession, df: DataFrame, out_col: str,
+                 roots: Sequence[str] | None = None,
+                 fetcher: Callable[[str], bytes | None] | None = None) -> DataFrame:
+    """Add the bytes behind ``s3_url`` (NULL when missing)."""
+    if roots:
+        return fetch.join_content(spark, df, list(roots), content_col=out_col)
+    return fetch.fetch_content(df, fetcher or fetch.read_local_file, content_col=out_col)
+
+
+# ---------------------------------------------------------------------------
+# Audio (C1, C2)
+# ---------------------------------------------------------------------------
+
+def build_audio_analysis(spark: SparkSession, manifest: str, asr_factory: Callable[[], Any],
+                         llm_factory: Callable[[], Any] | None = None, embed: bool = False,
+                         roots: Sequence[str] | None = None, fetcher=None,
+                         cfg: AudioConfig = AudioConfig(),
+                         info_factory: Callable[[], Any] = WavInfo,
+                         embedder_factory: Callable[[], Any] = WavSignalEmbedder) -> DataFrame:
+    """Lazy audio analysis frame (C1 without the sink).
+
+    download -> drop missing -> duration gate -> ASR -> redact -> prompt ->
+    LLM JSON (or NULL) -> typed fields with defaults [-> embedding].
+    Only the redacted transcript is kept.
+    """
+    df = readers.read_manifest(spark, manifest)
+    df = with_content(spark, df, "audio_bytes", roots, fetcher)
+    df = df.where(F.col("audio_bytes").isNotNull())
+    info = batch_udf(info_factory, T.StructType([T.StructField("frames", T.LongType()),
+                                                 T.StructField("rate", T.LongType())]))
+    df = df.withColumn("_info", info(F.col("audio_bytes")))
+    df = df.withColumn("duration_s", duration_seconds(F.col("_info.frames"), F.col("_info.rate")))
+    df = df.where(F.col("duration_s").between(cfg.min_duration_s, cfg.max_duration_s))
+    asr = batch_udf(asr_factory, ASR_STRUCT)
+    df = df.withColumn("_asr", asr(F.col("audio_bytes"), tagging.file_suffix(F.col("doc_id"))))
+    df = df.withColumn("transcript", redact_pii(F.col("_asr.transcript"))) \
+           .withColumn("acoustic_emotion", F.col("_asr.acoustic_emotion"))
+    df = df.withColumn("prompt", tagging.build_prompt(F.col("transcript"), F.col("acoustic_emotion")))
+    if llm_factory is not None:
+        df = call_model(df, "prompt", llm_factory, out_col="analysis_json")
+    else:
+        df = df.withColumn("analysis_json", F.lit(None).cast("string"))
+    parsed = tagging.parse_analysis_json(F.col("analysis_json"))
+    df = df.withColumn("_a", parsed).select("*", *tagging.analysis_fields_with_defaults(F.col("_a")))
+    cols = list(AUDIO_OUTPUT_COLUMNS)
+    if embed:
+        emb = batch_udf(embedder_factory, T.ArrayType(T.FloatType()))
+        df = df.withColumn("audio_embedding", emb(F.col("audio_bytes")))
+        cols.append("audio_embedding")
+    return df.select(*cols)
+
+
+def analyze_audio(spark: SparkSession, manifest: str, out_path: str, embed: bool = False,
+                  **kwargs) -> None:
+    """Analysis -> JSON lines (no embedding) or a Parquet staging table."""
+    df = build_audio_analysis(spark, manifest, embed=embed, **kwargs)
+    if embed:
+        sinks.write_staging(df, out_path)
+    else:
+        sinks.write_json(df, out_path)
+
+
+def ingest_audio(spark: SparkSession, analysis_path: str, table: str, now=None,
+                 roots: Sequence[str] | None = None, fetcher=None) -> int:
+    """Fetch the audio again, drop rows without bytes, stamp, append."""
+    df = readers.read_analysis_output(spark, analysis_path, AUDIO_ANALYSIS_SCHEMA)
+    df = with_content(spark, df, "audio_blob", roots, fetcher)
+    df = df.where(F.col("audio_blob").isNotNull())
+    df = df.withColumn("ingest_time", ingest_time_literal(now))
+    sinks.append_asset(df, table)
+    sinks.validate_blob_column(spark.read.parquet(table), "audio_blob", None).collect()
+    return spark.read.parquet(table).count()
+
+
+# ---------------------------------------------------------------------------
+# Images (C4, C5)
+# ---------------------------------------------------------------------------
+
+def decoded_images(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
+    """Spark's ``image`` source over ``roots`` (BGR; undecodable -> height -1)."""
+    imgs = None
+    for root in roots:
+        part = (spark.read.format("image").option("dropInvalid", False)
+                .option("recursiveFileLookup", True).load(root))
+        imgs = part if imgs is None else imgs.unionByName(part)
+    return imgs.select(fetch.normalize_path(F.col("image.origin")).alias("_norm"),
+                       F.col("image.height").alias("_h"), F.col("image.width").alias("_w"),
+                       F.col("image.nChannels").alias("_c"), F.col("image.data").alias("_data"))
+
+
+def build_image_analysis(spark: SparkSession, manifest: str, roots: Sequence[str],
+                         embed: bool = False,
+                         quality_factory: Callable[[], Any] = ImageQuality,
+                         embedder_factory: Callable[[], Any] | None = None,
+                         cfg: ImageConfig = ImageConfig()) -> DataFrame:
+    """Lazy image analysis frame (C4 without the sink): one row per manifest row."""
+    df = readers.read_manifest(spark, manifest)
+    df = fetch.join_content(spark, df, list(roots), content_col="image_bytes")
+    df = (df.withColumn("_norm", fetch.normalize_path(F.col("s3_url")))
+          .join(decoded_images(spark, roots), "_norm", "left").drop("_norm"))
+    ok_pixels = F.col("image_bytes").isNotNull() & (F.col("_h") > 0)
+    quality = batch_udf(quality_factory, IMAGE_QUALITY_STRUCT)
+    measures = quality(F.when(ok_pixels, F.col("_h")), F.col("_w"), F.col("_c"), F.when(ok_pixels, F.col("_data")))
+    df = df.withColumn("_q", measures).select("*", *[F.col(f"_q.{f}").alias(f) for f in IMAGE_QUALITY_STRUCT.names])
+    df = df.withColumn("status", rules.image_status(F.col("image_bytes"), F.col("blur_score")))
+    df = rules.add_rule_columns(df, cfg)
+    cols = list(IMAGE_OUTPUT_COLUMNS)
+    if embed:
+        if embedder_factory is None:
+            raise ValueError("embed=True needs an embedder_factory")
+        df = df.withColumn("image_embedding", guarded_embedding(
+            embedder_factory, F.col("image_bytes"), F.col("status") == "ok", cfg.embed_dim,
+            method="embed_image_batch"))
+        cols.append("image_embedding")
+    return df.select(*cols)
+
+
+def analyze_images(spark: SparkSession, manifest: str, out_path: str, roots: Sequence[str],
+                   embed: bool = False, **kwargs) -> None:
+    """C4: P15 check, analysis, then JSON lines or a Parquet staging table."""
+    sinks.validate_output_mode(out_path, embed)
+    df = build_image_analysis(spark, manifest, roots, embed=embed, **kwargs)
+    if embed:
+        sinks.write_staging(df, out_path)
+    else:
+        sinks.write_json(df, out_path)
+
+
+def ingest_images(spark: SparkSession, analysis_path: str, table: str, now=None,
+                  roots: Sequence[str] | None = None, fetcher=None) -> int:
+    """Typed read (P13), embedding consistency (P14), blob fetch, status
+    downgrade (P11), stamp (P12), append (S12), blob audit (P16), count (A3)."""
+    low = analysis_path.rstrip("/").lower()
+    schema = None if low.endswith(".parquet") else IMAGE_ANALYSIS_SCHEMA
+    df = readers.read_analysis_output(spark, analysis_path, schema)
+    df = sinks.cast_to_schema(df, with_embedding(IMAGE_ANALYSIS_SCHEMA, "image_embedding")
+                              if "image_embedding" in df.columns else IMAGE_ANALYSIS_SCHEMA)
+    sinks.validate_embedding_consistency(spark, table, df, "image_embedding")
+    df = with_content(spark, df, "image_blob", roots, fetcher)
+    df = df.withColumn("status", rules.downgrade_missing_blob(F.col("status"), F.col("image_blob")))
+    df = df.withColumn("ingest_time", ingest_time_literal(now))
+    sinks.append_asset(df, table)
+    audit = sinks.validate_blob_column(spark.read.parquet(table), "image_blob").first()
+    if audit["ok_without_blob"]:
+        raise ValueError(f"{audit['ok_without_blob']} ok rows without image_blob in {table}")
+    return int(audit["rows"])
+
+
+# ---------------------------------------------------------------------------
+# Index, manage, manifest
+# ---------------------------------------------------------------------------
+
+def index_path(table: str, column: str) -> str:
+    return f"{table.rstrip('/')}/_index/{column}"
+
+
+def build_indexes(spark: SparkSession, table: str, embedding: bool = True, time: bool = True,
+                  embedding_column: str = "audio_embedding", num_partitions: int = 16,
+                  num_sub_vectors: int = 16, sample_rate: int = 256,
+                  index_type: str = "IVF_PQ") -> dict:
+    """Vector index (V6-V8) and/or a zone map on ingest_time.
+
+    Index data lives under ``<table>/_index`` (ignored by table readers).
+    """
+    df = spark.read.parquet(table)
+    out: dict = {}
+    if embedding:
+        out["vector"] = ivf.build_index(spark, df, embedding_column, index_path(table, embedding_column),
+                                        index_type=index_type, num_partitions=num_partitions,
+                                        num_sub_vectors=num_sub_vectors, sample_rate=sample_rate)
+    if time:
+        path = index_path(table, "ingest_time")
+        maintenance.zone_map(df).write.mode("overwrite").parquet(path)
+        out["zonemap"] = path
+    return out
+
+
+def manage(spark: SparkSession, table: str, before=None, after=None) -> maintenance.DeleteReport:
+    """Delete by date (strict bounds, ANDed) and clean up."""
+    return maintenance.delete_by_date(spark, table, before, after)
+
+
+def init_manifest(spark: SparkSession, directory: str, out_path: str, media: str = "image") -> int:
+    """List media files into a Parquet manifest (doc_id, s3_url)."""
+    manifest = fileset.build_manifest(spark, directory, media)
+    manifest.write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path).count()
