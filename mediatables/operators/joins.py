@@ -1,0 +1,20 @@
+"""Join helpers with explicit size checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a side may have to be broadcast by a checked join (metadata tables,
+# registries, top-k results). Anything larger is left to the planner / AQE.
+BROADCAST_MAX_ROWS = 100_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+
+    The check reads at most ``max_rows + 1`` rows (a limit job), so it stays
+    cheap even when the side turns out to be large.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

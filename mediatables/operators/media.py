@@ -88,17 +88,30 @@ def rms_zcr_embedding(mono: np.ndarray, buckets: int = 64) -> list[float] | None
 
 
 class WavSignalEmbedder:
-    """Batch model: WAV bytes -> 128-d float vector (NULL for empty/no bytes)."""
+    """Batch model: WAV bytes -> 128-d float vector (NULL for empty/no bytes).
+
+    Undecodable bytes fail the batch by default, as the reference audio
+    embedder does; ``strict=False`` turns them into NULL instead.
+    """
 
     dim = 128
 
+    def __init__(self, strict: bool = True):
+        self.strict = strict
+
     def __call__(self, blobs: pd.Series) -> pd.Series:
         out = []
         for b in blobs:
             if b is None or len(b) == 0:
                 out.append(None)
                 continue
-            samples, _ = wav_samples(bytes(b))
+            try:
+                samples, _ = wav_samples(bytes(b))
+            except Exception:  # noqa: BLE001
+                if self.strict:
+                    raise
+                out.append(None)
+                continue
             out.append(rms_zcr_embedding(samples.mean(axis=1), self.dim // 2))
         return pd.Series(out, dtype=object)
 

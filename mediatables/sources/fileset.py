@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import AUDIO_SUFFIXES, IMAGE_SUFFIXES
 from ..functions.tagging import file_name
+from ..operators.joins import checked_broadcast
 
 # ---------------------------------------------------------------------------
 # Virtual path layout of the file catalog.
@@ -22,6 +23,8 @@ def build_manifest(spark: SparkSession, directory: str, media: str = "image",
 
     ``doc_id`` is the file name, ``s3_url`` its location. Suffixes match
     case-insensitively. An empty result raises, like the reference's exit 1.
+    The listing is Spark's file scan, which skips zero-byte files (they
+    cannot hold media).
     """
     if suffixes is None:
         if media == "audio":
@@ -63,7 +66,8 @@ def resolve_fileset_uri(df: DataFrame, registry: DataFrame, path_col: str = "pat
     """Virtual path -> physical location via a registry table.
 
     ``registry`` has (catalog, schema, fileset, location). It is metadata -
-    one row per fileset - so it is broadcast; unknown filesets give NULL.
+    one row per fileset - and is broadcast after a size check (a sort-merge
+    join otherwise); unknown filesets give NULL.
     ``s3a://`` locations are reported as ``s3://``.
     """
     parsed = df.withColumn("_vp", split_virtual_path(F.col(path_col)))
@@ -73,7 +77,7 @@ def resolve_fileset_uri(df: DataFrame, registry: DataFrame, path_col: str = "pat
         F.regexp_replace(F.regexp_replace(F.col("location"), r"^s3a://", "s3://"), r"/+$", "")
         .alias("_loc"))
     joined = parsed.join(
-        F.broadcast(reg),
+        checked_broadcast(reg),
         (F.col("_vp.catalog") == F.col("_cat")) & (F.col("_vp.schema") == F.col("_sch"))
         & (F.col("_vp.fileset") == F.col("_fs")),
         "left")
