@@ -29,12 +29,16 @@ def normalize_path(col: Column) -> Column:
 
 
 def join_content(spark: SparkSession, manifest: DataFrame, roots: list[str],
-                 content_col: str = "content", url_col: str = "s3_url") -> DataFrame:
+                 content_col: str = "content", url_col: str = "s3_url",
+                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Left join manifest rows to file bytes listed under ``roots``.
 
-    The listing side is keyed by path and carries the bytes; the shuffle is on
-    the normalised path, so a manifest of any size joins without broadcasting
-    content. Missing objects keep their row with a NULL content.
+    When the manifest has at most ``max_broadcast_rows`` rows (checked), it is
+    broadcast into the file scan: matched bytes never leave the task that read
+    them, and only paths are shuffled to find the missing objects (a
+    ``left_anti`` join whose file side prunes the content column). Larger
+    manifests fall back to a shuffled left join. Missing objects keep their
+    row with a NULL content either way.
     """
     files = None
     for root in roots:
@@ -44,7 +48,13 @@ def join_content(spark: SparkSession, manifest: DataFrame, roots: list[str],
     files = files.select(normalize_path(F.col("path")).alias("_norm"),
                          F.col("content").alias(content_col))
     left = manifest.withColumn("_norm", normalize_path(F.col(url_col)))
-    return left.join(files, "_norm", "left").drop("_norm")
+    out_cols = [*manifest.columns, content_col]
+    if left.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+        matched = files.join(F.broadcast(left), "_norm", "inner")
+        missing = (left.join(files.select("_norm"), "_norm", "left_anti")
+                   .withColumn(content_col, F.lit(None).cast("binary")))
+        return matched.select(*out_cols).unionByName(missing.select(*out_cols))
+    return left.join(files, "_norm", "left").select(*out_cols)
 
 
 def fetch_content(df: DataFrame, fetcher: Callable[[str], bytes | None],
