@@ -244,8 +244,9 @@ def emotion_mode(spark, sf_dir):
     raw = ev.select("user_id", "ts", "event_id",
                     F.concat(F.lit("<|"), tag, F.lit("|>"), F.col("event_type")).alias("raw"))
     tags = emotion.explode_tags(raw, "raw", ["user_id", "ts", "event_id"])
-    return emotion.dominant_tag(tags, ["user_id"], ["ts", "event_id", "tag_pos"],
-                                out_col="dominant", all_keys=ev.select("user_id"))
+    # Every event carries one tag, so every user already has a row; no
+    # second scan of events is needed to list keys without tags.
+    return emotion.dominant_tag(tags, ["user_id"], ["ts", "event_id", "tag_pos"], out_col="dominant")
 
 
 @register("suffix_of_name", """

@@ -75,3 +75,28 @@ def test_l2_normalize_checked(spark):
     with pytest.raises(Exception, match="dimension mismatch"):
         bad = spark.createDataFrame([([1.0, 2.0, 3.0],)], "v array<double>")
         bad.select(vectors.l2_normalize_checked(F.col("v"), 2).alias("n")).collect()
+
+
+def test_ranged_positions_match_window_on_skewed_keys(spark):
+    from mediatables.operators.positions import dense_positions
+    from mediatables.operators.signal import bucket_stats
+    rng = np.random.default_rng(11)
+    rows = [(0, i, float(v)) for i, v in enumerate(rng.standard_normal(3000))]            # hot key
+    rows += [(k, i, float(rng.standard_normal())) for k in range(1, 40) for i in range(k * 3)]
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    pos = dense_positions(df, "k", ["t"], partitions=8)
+    assert pos.where("i != t").count() == 0
+    assert {r.k: r.n for r in pos.select("k", "n").distinct().collect()}[0] == 3000
+    a = {r.k: (r.rms, r.zcr) for r in bucket_stats(df, "k", ["t"], "v", 64, "window").collect()}
+    b = {r.k: (r.rms, r.zcr) for r in bucket_stats(df, "k", ["t"], "v", 64, "ranged").collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert np.allclose(a[k][0], b[k][0], atol=1e-12) and np.allclose(a[k][1], b[k][1], atol=1e-12), k
+
+
+def test_auto_method_detects_hot_key(spark):
+    from mediatables.operators.signal import choose_method
+    skewed = spark.createDataFrame([(0, i) for i in range(1000)] + [(k, 0) for k in range(1, 50)], "k int, t int")
+    even = spark.createDataFrame([(k, i) for k in range(100) for i in range(5)], "k int, t int")
+    assert choose_method(skewed, "k") == "ranged"
+    assert choose_method(even, "k") == "window"
