@@ -264,27 +264,34 @@ def suffix_of_name(spark, sf_dir):
 # Image status and verdicts
 # ---------------------------------------------------------------------------
 
-def image_standin(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def image_standin(docs: DataFrame, labels: DataFrame, keep_content: bool = False) -> DataFrame:
     """documents + labels as image analysis rows (raw measures + status).
 
     No label row -> download failed; toxic -> undecodable; otherwise the text
     provides the measures. ``quality = 0`` means the blob is gone at ingest.
+    The measures are computed on the documents side before the join, so only
+    small columns cross it; the text itself travels only with
+    ``keep_content``.
     """
-    j = docs.join(labels, "doc_id", "left")
-    content = F.when(F.col("quality").isNotNull(), F.col("text"))
-    decodable = F.col("quality").isNotNull() & (F.col("toxic") == 0)
     faces = (F.size(F.split(F.col("text"), "\n")) - 1).cast("long")
+    measured = docs.select(
+        "doc_id", F.col("n_chars"), faces.alias("_faces"),
+        F.length(F.substring_index(F.col("text"), "\n", 1)).cast("double").alias("_first_line"),
+        *([F.col("text")] if keep_content else []))
+    j = measured.join(labels, "doc_id", "left")
+    fetched = F.col("quality").isNotNull()
+    decodable = fetched & (F.col("toxic") == 0)
+    nf = F.col("_faces")
     measures = {
-        "face_count": F.when(decodable, faces),
+        "face_count": F.when(decodable, nf),
         "face_score": F.when(decodable, F.least(F.lit(1.0), F.col("n_chars") / 4000.0)),
-        "face_area_ratio": F.when(decodable, F.when(faces > 0, F.lit(1.0) / (faces * faces))
-                                  .otherwise(F.lit(0.0))),
+        "face_area_ratio": F.when(decodable, F.when(nf > 0, F.lit(1.0) / (nf * nf)).otherwise(F.lit(0.0))),
         "blur_score": F.when(decodable, F.col("n_chars") / 10.0),
-        "face_blur_score": F.when(decodable & (faces > 0),
-                                  F.length(F.substring_index(F.col("text"), "\n", 1)).cast("double")),
+        "face_blur_score": F.when(decodable & (nf > 0), F.col("_first_line")),
     }
-    out = j.select("doc_id", content.alias("content"), F.col("quality"), *[v.alias(k) for k, v in measures.items()])
-    out = out.withColumn("status", rules.image_status(F.col("content"), F.col("blur_score")))
+    content = [F.when(fetched, F.col("text")).alias("content")] if keep_content else []
+    out = j.select("doc_id", F.col("quality"), *content, *[v.alias(k) for k, v in measures.items()])
+    out = out.withColumn("status", rules.image_status(F.when(fetched, F.lit(True)), F.col("blur_score")))
     return rules.add_rule_columns(out)
 
 
@@ -322,8 +329,8 @@ FROM v
 """)
 def status_rules(spark, sf_dir):
     img = image_standin(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    blob = F.when(F.col("quality") == 1, F.col("content"))
-    img = img.withColumn("status", rules.downgrade_missing_blob(F.col("status"), blob))
+    blob_present = F.when(F.col("quality") == 1, F.lit(True))
+    img = img.withColumn("status", rules.downgrade_missing_blob(F.col("status"), blob_present))
     return img.select("doc_id", "status", "face_count", rnd("face_score"), rnd("face_area_ratio"),
                       rnd("blur_score"), rnd("face_blur_score"), "has_face", "is_blurry",
                       "is_face_blurry")
@@ -1022,7 +1029,8 @@ def ingest_stamp(spark, sf_dir):
     from ..plans.jobs import ingest_time_literal
     docs = table(spark, sf_dir, "documents")
     t = ingest_time_literal(INGEST_NOW)
-    return docs.select("doc_id", t.alias("ingest_time"), F.to_date(t).alias("ingest_date"))
+    # Reported as a wall-clock UTC timestamp, the type the shared tables use.
+    return docs.select("doc_id", t.cast("timestamp_ntz").alias("ingest_time"), F.to_date(t).alias("ingest_date"))
 
 
 @register("blob_audit", _IMAGE_SQL + """
@@ -1030,7 +1038,7 @@ SELECT count(*) AS rows, count(*) FILTER (WHERE status = 'ok' AND quality = 0) A
 """)
 def blob_audit(spark, sf_dir):
     from ..sources.sinks import validate_blob_column
-    img = image_standin(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    img = image_standin(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep_content=True)
     img = img.withColumn("image_blob", F.when(F.col("quality") == 1, F.col("content")).cast("binary"))
     return validate_blob_column(img, "image_blob")
 
@@ -1100,7 +1108,7 @@ e AS (SELECT doc_id, raw, sqrt(list_sum(list_transform(raw, lambda x: x * x))) A
 
 def _guarded(spark, sf_dir) -> DataFrame:
     from ..operators.models import guarded_embedding
-    img = image_standin(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    img = image_standin(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep_content=True)
     emb = guarded_embedding(StubEmbedder, F.col("content"), F.col("status") == "ok", StubEmbedder.dim)
     return img.select("doc_id", emb.alias("embedding"))
 
