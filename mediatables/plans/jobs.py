@@ -22,6 +22,7 @@ from ..functions import rules, tagging
 from ..functions.redact import redact_pii
 from ..operators import ivf, maintenance
 from ..operators.media import ImageQuality, WavInfo, WavSignalEmbedder
+from ..operators.joins import checked_broadcast
 from ..operators.models import batch_udf, call_model, guarded_embedding
 from ..operators.signal import duration_seconds
 from ..schemas import (
@@ -38,15 +39,27 @@ from ..schemas import (
 from ..sources import fetch, fileset, readers, sinks
 
 
-def ingest_time_literal(now: str | dt.datetime | None = None) -> Column:
-    """One UTC instant per run, stamped on every row as a timestamp."""
+def run_instant(now: str | dt.datetime | None = None) -> str:
+    """The run's UTC instant as text (fixed once, reused by every step)."""
     if now is None:
         now = dt.datetime.now(dt.timezone.utc)
     if isinstance(now, dt.datetime):
         if now.tzinfo is not None:
             now = now.astimezone(dt.timezone.utc).replace(tzinfo=None)
         now = now.isoformat(sep=" ")
-    return F.lit(now).cast("timestamp")
+    return now
+
+
+def ingest_time_literal(now: str | dt.datetime | None = None) -> Column:
+    """One UTC instant per run, stamped on every row as a timestamp."""
+    return F.lit(run_instant(now)).cast("timestamp")
+
+
+def this_run(table_df: DataFrame, now: str) -> DataFrame:
+    """Rows appended by the run stamped ``now``: the date partition and the
+    file statistics on ``ingest_time`` prune everything else."""
+    t = F.lit(now).cast("timestamp")
+    return table_df.where((F.col("ingest_date") == F.to_date(t)) & (F.col("ingest_time") == t))
 
 
 def with_content(spark: SparkSession, df: DataFrame, out_col: str,
@@ -114,13 +127,14 @@ def analyze_audio(spark: SparkSession, manifest: str, out_path: str, embed: bool
 def ingest_audio(spark: SparkSession, analysis_path: str, table: str, now=None,
                  roots: Sequence[str] | None = None, fetcher=None) -> int:
     """Fetch the audio again, drop rows without bytes, stamp, append."""
+    now = run_instant(now)
     df = readers.read_analysis_output(spark, analysis_path, AUDIO_ANALYSIS_SCHEMA)
     df = with_content(spark, df, "audio_blob", roots, fetcher)
     df = df.where(F.col("audio_blob").isNotNull())
     df = df.withColumn("ingest_time", ingest_time_literal(now))
     sinks.append_asset(df, table)
-    sinks.validate_blob_column(spark.read.parquet(table), "audio_blob", None).collect()
-    return spark.read.parquet(table).count()
+    sinks.validate_blob_column(spark.read.parquet(table), "audio_blob", None)   # schema check
+    return spark.read.parquet(table).count()                                    # footer counts
 
 
 # ---------------------------------------------------------------------------
@@ -139,29 +153,57 @@ def decoded_images(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
                        F.col("image.nChannels").alias("_c"), F.col("image.data").alias("_data"))
 
 
-def build_image_analysis(spark: SparkSession, manifest: str, roots: Sequence[str],
+def _listing(spark: SparkSession, roots: Sequence[str], with_content: bool = False) -> DataFrame:
+    files = None
+    for root in roots:
+        part = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        part = part.select("path", *(["content"] if with_content else []))
+        files = part if files is None else files.unionByName(part)
+    return files.withColumn("_norm", fetch.normalize_path(F.col("path"))).drop("path")
+
+
+def build_image_analysis(spark: SparkSession, manifest: str | DataFrame, roots: Sequence[str],
                          embed: bool = False,
                          quality_factory: Callable[[], Any] = ImageQuality,
                          embedder_factory: Callable[[], Any] | None = None,
                          cfg: ImageConfig = ImageConfig()) -> DataFrame:
-    """Lazy image analysis frame (C4 without the sink): one row per manifest row."""
-    df = readers.read_manifest(spark, manifest)
-    df = fetch.join_content(spark, df, list(roots), content_col="image_bytes")
-    df = (df.withColumn("_norm", fetch.normalize_path(F.col("s3_url")))
-          .join(decoded_images(spark, roots), "_norm", "left").drop("_norm"))
-    ok_pixels = F.col("image_bytes").isNotNull() & (F.col("_h") > 0)
+    """Lazy image analysis frame (C4 without the sink): one row per manifest row.
+
+    Heavy data never crosses a shuffle when the manifest is bounded: its keys
+    are broadcast (after a size check) into the ``image`` scan, so pixels are
+    decoded and measured inside the task that read them and only the small
+    measure rows are joined back; existence comes from a listing that does
+    not read contents; bytes are read only to embed ``ok`` images, again
+    inside their scan task.
+    """
+    m = readers.read_manifest(spark, manifest) if isinstance(manifest, str) else manifest
+    m = m.select("doc_id", "s3_url").withColumn("_norm", fetch.normalize_path(F.col("s3_url")))
+    keys = checked_broadcast(m.select("_norm").where(F.col("_norm").isNotNull()).distinct())
+    present = (_listing(spark, roots).join(keys, "_norm", "left_semi").distinct()
+               .withColumn("_fetched", F.lit(True)))
+    pixels = decoded_images(spark, roots).join(keys, "_norm", "left_semi")
     quality = batch_udf(quality_factory, IMAGE_QUALITY_STRUCT)
-    measures = quality(F.when(ok_pixels, F.col("_h")), F.col("_w"), F.col("_c"), F.when(ok_pixels, F.col("_data")))
-    df = df.withColumn("_q", measures).select("*", *[F.col(f"_q.{f}").alias(f) for f in IMAGE_QUALITY_STRUCT.names])
-    df = df.withColumn("status", rules.image_status(F.col("image_bytes"), F.col("blur_score")))
+    decodable = F.col("_h") > 0
+    measures = (pixels.select("_norm", quality(F.when(decodable, F.col("_h")), F.col("_w"), F.col("_c"),
+                                               F.when(decodable, F.col("_data"))).alias("_q"))
+                .select("_norm", *[F.col(f"_q.{f}").alias(f) for f in IMAGE_QUALITY_STRUCT.names])
+                .dropDuplicates(["_norm"]))
+    df = m.join(present, "_norm", "left").join(measures, "_norm", "left")
+    blur = F.when(F.col("_fetched"), F.col("blur_score"))
+    df = df.withColumn("status", rules.image_status(F.col("_fetched"), blur))
+    df = df.select("_norm", "doc_id", "s3_url", "status",
+                   *[F.when(F.col("status") == "ok", F.col(f)).alias(f) for f in IMAGE_QUALITY_STRUCT.names])
     df = rules.add_rule_columns(df, cfg)
     cols = list(IMAGE_OUTPUT_COLUMNS)
     if embed:
         if embedder_factory is None:
             raise ValueError("embed=True needs an embedder_factory")
-        df = df.withColumn("image_embedding", guarded_embedding(
-            embedder_factory, F.col("image_bytes"), F.col("status") == "ok", cfg.embed_dim,
-            method="embed_image_batch"))
+        ok_keys = checked_broadcast(df.where(F.col("status") == "ok").select("_norm").distinct())
+        blobs = _listing(spark, roots, with_content=True).join(ok_keys, "_norm", "left_semi")
+        vectors = blobs.select("_norm", guarded_embedding(
+            embedder_factory, F.col("content"), F.lit(True), cfg.embed_dim,
+            method="embed_image_batch").alias("image_embedding")).dropDuplicates(["_norm"])
+        df = df.join(vectors, "_norm", "left")
         cols.append("image_embedding")
     return df.select(*cols)
 
@@ -181,6 +223,7 @@ def ingest_images(spark: SparkSession, analysis_path: str, table: str, now=None,
                   roots: Sequence[str] | None = None, fetcher=None) -> int:
     """Typed read (P13), embedding consistency (P14), blob fetch, status
     downgrade (P11), stamp (P12), append (S12), blob audit (P16), count (A3)."""
+    now = run_instant(now)
     low = analysis_path.rstrip("/").lower()
     schema = None if low.endswith(".parquet") else IMAGE_ANALYSIS_SCHEMA
     df = readers.read_analysis_output(spark, analysis_path, schema)
@@ -191,10 +234,10 @@ def ingest_images(spark: SparkSession, analysis_path: str, table: str, now=None,
     df = df.withColumn("status", rules.downgrade_missing_blob(F.col("status"), F.col("image_blob")))
     df = df.withColumn("ingest_time", ingest_time_literal(now))
     sinks.append_asset(df, table)
-    audit = sinks.validate_blob_column(spark.read.parquet(table), "image_blob").first()
+    audit = sinks.validate_blob_column(this_run(spark.read.parquet(table), now), "image_blob").first()
     if audit["ok_without_blob"]:
         raise ValueError(f"{audit['ok_without_blob']} ok rows without image_blob in {table}")
-    return int(audit["rows"])
+    return spark.read.parquet(table).count()
 
 
 # ---------------------------------------------------------------------------

@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..operators.media import ImageQuality
-from ..operators.models import batch_udf
-from ..plans.jobs import decoded_images, ingest_time_literal
-from ..schemas import IMAGE_OUTPUT_COLUMNS, IMAGE_QUALITY_STRUCT, MANIFEST_SCHEMA, ImageConfig
+from ..plans.jobs import build_image_analysis, ingest_time_literal
+from ..schemas import MANIFEST_SCHEMA, ImageConfig
 from ..session import scratch_path
 from ..sources import fetch, sinks
 
@@ -29,17 +28,9 @@ from ..sources import fetch, sinks
 def analyze_image_batch(spark: SparkSession, manifest: DataFrame, roots: Sequence[str],
                         quality_factory: Callable[[], Any] = ImageQuality,
                         cfg: ImageConfig = ImageConfig()) -> DataFrame:
-    """Analysis of one manifest batch (same operators as the batch job)."""
-    df = fetch.join_content(spark, manifest.select("doc_id", "s3_url"), list(roots), content_col="image_blob")
-    df = (df.withColumn("_norm", fetch.normalize_path(F.col("s3_url")))
-          .join(decoded_images(spark, roots), "_norm", "left").drop("_norm"))
-    ok_pixels = F.col("image_blob").isNotNull() & (F.col("_h") > 0)
-    quality = batch_udf(quality_factory, IMAGE_QUALITY_STRUCT)
-    df = df.withColumn("_q", quality(F.when(ok_pixels, F.col("_h")), F.col("_w"), F.col("_c"),
-                                     F.when(ok_pixels, F.col("_data"))))
-    df = df.select("*", *[F.col(f"_q.{f}").alias(f) for f in IMAGE_QUALITY_STRUCT.names])
-    df = df.withColumn("status", rules.image_status(F.col("image_blob"), F.col("blur_score")))
-    return rules.add_rule_columns(df, cfg).select(*IMAGE_OUTPUT_COLUMNS, "image_blob")
+    """Analysis of one manifest batch (the batch job's plan) plus the blob."""
+    rows = build_image_analysis(spark, manifest, roots, quality_factory=quality_factory, cfg=cfg)
+    return fetch.join_content(spark, rows, list(roots), content_col="image_blob")
 
 
 def start_image_ingest(spark: SparkSession, manifest_dir: str, table: str, roots: Sequence[str],
@@ -56,6 +47,7 @@ def start_image_ingest(spark: SparkSession, manifest_dir: str, table: str, roots
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = analyze_image_batch(spark, batch, roots, quality_factory)
+        rows = rows.withColumn("status", rules.downgrade_missing_blob(F.col("status"), F.col("image_blob")))
         rows = rows.withColumn("ingest_time", ingest_time_literal())
         sinks.append_asset(rows, table)
 
