@@ -43,7 +43,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def configure(spark: SparkSession) -> None:
     """Settings that must hold on any session the library runs in."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    checkpoint_dir(spark)
+    try:
+        checkpoint_dir(spark)
+    except Exception:  # noqa: BLE001 - sessions without a JVM context (e.g. Connect)
+        pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -104,3 +104,42 @@ def test_pq_small_table_rule(spark, tmp):
     path, _ = _table(spark, tmp, n=100)
     with pytest.raises(ValueError):
         jobs.build_indexes(spark, path, time=False, num_partitions=16, index_type="IVF_PQ")
+
+
+def test_compaction_keeps_rows_and_reduces_files(spark, tmp):
+    import glob
+    from mediatables.sources.sinks import append_asset
+    path = f"{tmp}/c"
+    for i in range(3):
+        rows = [(i * 10 + j, dt.datetime(2024, 1, 1, j)) for j in range(10)]
+        append_asset(spark.createDataFrame(rows, "id int, ingest_time timestamp").repartition(3), path)
+    before = len(glob.glob(f"{path}/ingest_date=2024-01-01/*.parquet"))
+    assert maintenance.compact(spark, path) == ["2024-01-01"]
+    after = glob.glob(f"{path}/ingest_date=2024-01-01/*.parquet")
+    assert before > 1 and len(after) == 1
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(30))
+
+
+def test_metrics_order_normalised_vectors_alike(spark):
+    rng = np.random.default_rng(5)
+    v = rng.standard_normal((50, 8))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v[i].astype(float).tolist()) for i in range(50)], "i int, e array<double>")
+    q = v[7].tolist()
+    orders = [[r.i for r in knn.knn(df, "e", q, 10, metric=m, tie_breakers=["i"]).collect()]
+              for m in ("l2", "cosine", "dot")]
+    assert orders[0] == orders[1] == orders[2] and orders[0][0] == 7
+    arrow = [r.i for r in knn.knn(df, "e", q, 10, method="arrow", tie_breakers=["i"]).collect()]
+    assert arrow == orders[0]
+
+
+def test_sq_codes_decode_close(spark):
+    rng = np.random.default_rng(9)
+    v = rng.uniform(-1, 1, (20, 6))
+    df = spark.createDataFrame([(i, v[i].tolist()) for i in range(20)], "i int, e array<double>")
+    lo, hi = v.min(axis=0).tolist(), v.max(axis=0).tolist()
+    codes = df.select("i", ivf.sq_codes(F.col("e"), lo, hi).alias("c"))
+    dec = codes.select("i", ivf.sq_decode(F.col("c"), lo, hi).alias("d")).orderBy("i").collect()
+    err = np.abs(np.array([r.d for r in dec]) - v).max()
+    assert err <= max(h - l for l, h in zip(lo, hi)) / 256 + 1e-9
+    assert all(0 <= c <= 255 for r in codes.collect() for c in r.c)

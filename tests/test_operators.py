@@ -100,3 +100,14 @@ def test_auto_method_detects_hot_key(spark):
     even = spark.createDataFrame([(k, i) for k in range(100) for i in range(5)], "k int, t int")
     assert choose_method(skewed, "k") == "ranged"
     assert choose_method(even, "k") == "window"
+
+
+def test_mix_to_mono_then_features(spark):
+    from mediatables.operators.signal import bucket_stats, mix_to_mono
+    rows = [("r", i, ch, float(v)) for i in range(100) for ch, v in ((0, np.sin(i)), (1, np.cos(i)))]
+    stereo = spark.createDataFrame(rows, "k string, i int, ch int, value double")
+    mono = mix_to_mono(stereo, ["k"], ["i"])
+    got = {r.i: r.value for r in mono.collect()}
+    assert np.isclose(got[3], (np.sin(3) + np.cos(3)) / 2)
+    stats = bucket_stats(mono, "k", ["i"], "value", 64).first()
+    assert len(stats.rms) == 64 and len(stats.zcr) == 64
