@@ -45,10 +45,38 @@ def configure(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
         checkpoint_dir(spark)
+        ship_package(spark)
     except Exception:  # noqa: BLE001 - sessions without a JVM context (e.g. Connect)
         pass
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``mediatables`` importable by Python workers.
+
+    UDFs defined in this package are pickled by reference. In local mode the
+    package directory is put on the workers' PYTHONPATH; on a cluster a zip
+    of the package is distributed once per context with ``addPyFile``
+    (an installed wheel or ``--py-files`` makes this a no-op).
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if sc.master.startswith("local"):
+        parts = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in parts:
+            sc.environment["PYTHONPATH"] = os.pathsep.join([root, *parts])
+    else:
+        import shutil
+        base = tempfile.mkdtemp(prefix="mediatables-pkg-")
+        archive = shutil.make_archive(os.path.join(base, "mediatables"), "zip", root, "mediatables")
+        sc.addPyFile(archive)
+    _SHIPPED.add(id(sc))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; created locally only when unset."""
     sc = spark.sparkContext
