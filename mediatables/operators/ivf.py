@@ -57,6 +57,9 @@ class IvfIndex:
     codebooks: list = field(default_factory=list)       # PQ: m x c x (dim/m)
     sq_lo: list = field(default_factory=list)
     sq_hi: list = field(default_factory=list)
+    # Newest ingest_time covered by the index; rows stamped later are searched
+    # by brute force and merged (see ``ivf_search(unindexed=...)``).
+    indexed_upto: str | None = None
 
     @property
     def data_path(self) -> str:
@@ -223,7 +226,8 @@ def sq_decode(codes: Column, lo: Sequence[float], hi: Sequence[float]) -> Column
 def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
                 index_type: str = "IVF_PQ", num_partitions: int = 16, num_sub_vectors: int = 16,
                 sample_rate: int = 256, metric: str = "l2", seed: int = 7,
-                files_per_partition: int = 4, centroids: np.ndarray | None = None) -> IvfIndex:
+                files_per_partition: int = 4, centroids: np.ndarray | None = None,
+                time_col: str = "ingest_time") -> IvfIndex:
     """V6-V8: build and write an index; replaces any index at ``path``."""
     if column not in df.columns:
         raise ValueError(f"{column} column not found; compute embeddings first.")
@@ -245,6 +249,9 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
         centers = np.asarray(centroids, dtype=np.float64)
     index = IvfIndex(path=path, column=column, index_type=index_type, dim=dim,
                      num_partitions=len(centers), metric=metric, centroids=centers.tolist())
+    if time_col in df.columns:
+        upto = df.agg(F.max(time_col).cast("string")).first()[0]
+        index.indexed_upto = upto
     data = df.withColumn("centroid_id", assign_udf(centers)(F.col(column)))
     if index_type == "IVF_PQ":
         books = train_pq(df, column, dim, num_sub_vectors, num_partitions * sample_rate, seed, n_rows=n)
@@ -265,6 +272,12 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
     return index
 
 
+def index_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    meta = jvm.org.apache.hadoop.fs.Path(f"{path}/meta")
+    return bool(meta.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(meta))
+
+
 def load_index(spark: SparkSession, path: str) -> IvfIndex:
     text = spark.read.text(f"{path}/meta").first()[0]
     return IvfIndex(**json.loads(text))

@@ -223,6 +223,13 @@ def cleanup(spark: SparkSession, table: str) -> list[str]:
     return removed
 
 
+def drop_indexes(spark: SparkSession, table: str) -> bool:
+    """Remove ``<table>/_index`` (vector indexes and zone maps)."""
+    fs, _, jvm = _fs(spark, table)
+    path = jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/_index")
+    return bool(fs.exists(path) and fs.delete(path, True))
+
+
 def compact(spark: SparkSession, table: str, partitions: list[str] | None = None,
             files_per_partition: int = 1) -> list[str]:
     """T4: rewrite partitions into ``files_per_partition`` files, time-sorted."""

@@ -245,7 +245,8 @@ def ingest_images(spark: SparkSession, analysis_path: str, table: str, now=None,
 # ---------------------------------------------------------------------------
 
 def index_path(table: str, column: str) -> str:
-    return f"{table.rstrip('/')}/_index/{column}"
+    from .query import index_location
+    return index_location(table, column)
 
 
 def build_indexes(spark: SparkSession, table: str, embedding: bool = True, time: bool = True,
@@ -270,8 +271,14 @@ def build_indexes(spark: SparkSession, table: str, embedding: bool = True, time:
 
 
 def manage(spark: SparkSession, table: str, before=None, after=None) -> maintenance.DeleteReport:
-    """Delete by date (strict bounds, ANDed) and clean up."""
-    return maintenance.delete_by_date(spark, table, before, after)
+    """Delete by date (strict bounds, ANDed) and clean up.
+
+    Indexes built before the delete would still list removed rows, so they
+    are dropped; vector queries fall back to exact search until C7 rebuilds.
+    """
+    report = maintenance.delete_by_date(spark, table, before, after)
+    maintenance.drop_indexes(spark, table)
+    return report
 
 
 def init_manifest(spark: SparkSession, directory: str, out_path: str, media: str = "image") -> int:

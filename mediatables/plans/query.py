@@ -13,6 +13,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import ivf
 from ..operators import knn as knn_ops
 from ..schemas import AUDIO_DEFAULT_COLUMNS, IMAGE_DEFAULT_COLUMNS
 from ..sources.readers import read_desc_table
@@ -92,16 +93,31 @@ def vector_query(table: DataFrame, column: str, q: Sequence[float], top_k: int =
                  distance_range: tuple[float, float] | None = None,
                  defaults: Sequence[str] = AUDIO_DEFAULT_COLUMNS,
                  desc: DataFrame | None = None, key: str = "doc_id",
-                 metric: str = "l2", keep_distance: bool = False) -> DataFrame:
+                 metric: str = "l2", keep_distance: bool = False,
+                 index_path: str | None = None, nprobes: int = 20,
+                 refine_factor: int = 10) -> DataFrame:
     """V1-V3 + P3 + J1: nearest rows, shown with the default columns.
 
-    The description join runs on the <= top_k result, which is then re-sorted
-    by distance (joins do not keep order).
+    With an IVF index at ``index_path`` the search probes ``nprobes``
+    partitions (all of them when the index has fewer) and re-ranks exactly;
+    rows ingested after the index was built are searched by brute force and
+    merged. Without one it is an exact scan. The description join runs on the
+    <= top_k result, which is then re-sorted by distance.
     """
     cols = default_columns(table, defaults)
     tie = [key] if key in table.columns else []
-    top = knn_ops.knn(table, column, q, top_k, where=where, distance_range=distance_range,
-                      metric=metric, tie_breakers=tie)
+    spark = table.sparkSession
+    if index_path and metric == "l2" and ivf.index_exists(spark, index_path):
+        index = ivf.load_index(spark, index_path)
+        tail = None
+        if index.indexed_upto is not None and "ingest_time" in table.columns:
+            tail = table.where(F.col("ingest_time") > F.lit(index.indexed_upto).cast("timestamp"))
+        top = ivf.ivf_search(spark, index, q, top_k, nprobes=min(nprobes, index.num_partitions),
+                             where=where, distance_range=distance_range,
+                             refine_factor=refine_factor, tie_breakers=tie, unindexed=tail)
+    else:
+        top = knn_ops.knn(table, column, q, top_k, where=where, distance_range=distance_range,
+                          metric=metric, tie_breakers=tie)
     top = top.select(*cols, knn_ops.DIST_COL)
     out_cols = list(cols)
     if desc is not None:
@@ -115,6 +131,11 @@ def vector_query(table: DataFrame, column: str, q: Sequence[float], top_k: int =
     return top.select(*out_cols)
 
 
+def index_location(table_path: str, column: str) -> str:
+    """Where C7 keeps the index of ``column`` (ignored by table readers)."""
+    return f"{table_path.rstrip('/')}/_index/{column}"
+
+
 def query_audio(spark: SparkSession, table_path: str, where: str | None = None,
                 sql: str | None = None, top_k: int = 10, query_doc_id: str | None = None,
                 distance_range: tuple[float, float] | None = None) -> DataFrame:
@@ -125,9 +146,9 @@ def query_audio(spark: SparkSession, table_path: str, where: str | None = None,
     if query_doc_id:
         q = knn_ops.vector_of(table, "doc_id", query_doc_id, "audio_embedding")
         return vector_query(table, "audio_embedding", q, top_k, where, distance_range,
-                            AUDIO_DEFAULT_COLUMNS)
-    if distance_range is not None:
-        raise ValueError("distance_range requires a vector query")
+                            AUDIO_DEFAULT_COLUMNS, index_path=index_location(table_path, "audio_embedding"))
+    # A distance range only applies to vector queries (ignored here, as in the
+    # reference audio query; the image query rejects it instead).
     return scalar_query(table, where, top_k, AUDIO_DEFAULT_COLUMNS)
 
 
@@ -170,7 +191,8 @@ def query_images(spark: SparkSession, table_path: str, where: str | None = None,
         q = knn_ops.vector_of(table, "doc_id", image_from, "image_embedding")
     if q is not None:
         return vector_query(table, "image_embedding", list(q), top_k, where, distance_range,
-                            IMAGE_DEFAULT_COLUMNS, desc)
+                            IMAGE_DEFAULT_COLUMNS, desc,
+                            index_path=index_location(table_path, "image_embedding"))
     return scalar_query(table, where, top_k, IMAGE_DEFAULT_COLUMNS, desc)
 
 

@@ -143,3 +143,23 @@ def test_sq_codes_decode_close(spark):
     err = np.abs(np.array([r.d for r in dec]) - v).max()
     assert err <= max(h - l for l, h in zip(lo, hi)) / 256 + 1e-9
     assert all(0 <= c <= 255 for r in codes.collect() for c in r.c)
+
+
+def test_query_uses_index_merges_fresh_rows_and_delete_invalidates(spark, tmp):
+    from mediatables.plans import query
+    from mediatables.sources.sinks import append_asset
+    path, vecs = _table(spark, tmp)
+    jobs.build_indexes(spark, path, time=False, num_partitions=4, sample_rate=64, index_type="IVF_FLAT")
+    exact = [r.doc_id for r in knn.knn(spark.read.parquet(path), "audio_embedding", vecs[9].tolist(), 5,
+                                       tie_breakers=["doc_id"]).collect()]
+    via_index = [r.doc_id for r in query.query_audio(spark, path, query_doc_id="doc_0009", top_k=5).collect()]
+    assert via_index == exact                     # 4 partitions <= nprobes: exact
+    fresh = spark.createDataFrame([("doc_new", dt.datetime(2025, 1, 1), vecs[9].tolist())],
+                                  "doc_id string, ingest_time timestamp, audio_embedding array<float>")
+    append_asset(fresh, path)
+    got = [r.doc_id for r in query.query_audio(spark, path, query_doc_id="doc_0009", top_k=2).collect()]
+    assert set(got) == {"doc_0009", "doc_new"}
+    jobs.manage(spark, path, before="2024-03-01")
+    assert not ivf.index_exists(spark, jobs.index_path(path, "audio_embedding"))
+    after = [r.doc_id for r in query.query_audio(spark, path, query_doc_id="doc_new", top_k=3).collect()]
+    assert "doc_0009" not in after                # doc_0009 was in January, now deleted
