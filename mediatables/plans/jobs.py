@@ -36,6 +36,7 @@ from ..schemas import (
     ImageConfig,
     with_embedding,
 )
+from ..session import MEDIA_BATCH_CONF, session_conf
 from ..sources import fetch, fileset, readers, sinks
 
 
@@ -118,10 +119,11 @@ def analyze_audio(spark: SparkSession, manifest: str, out_path: str, embed: bool
                   **kwargs) -> None:
     """Analysis -> JSON lines (no embedding) or a Parquet staging table."""
     df = build_audio_analysis(spark, manifest, embed=embed, **kwargs)
-    if embed:
-        sinks.write_staging(df, out_path)
-    else:
-        sinks.write_json(df, out_path)
+    with session_conf(spark, MEDIA_BATCH_CONF):
+        if embed:
+            sinks.write_staging(df, out_path)
+        else:
+            sinks.write_json(df, out_path)
 
 
 def ingest_audio(spark: SparkSession, analysis_path: str, table: str, now=None,
@@ -213,10 +215,11 @@ def analyze_images(spark: SparkSession, manifest: str, out_path: str, roots: Seq
     """C4: P15 check, analysis, then JSON lines or a Parquet staging table."""
     sinks.validate_output_mode(out_path, embed)
     df = build_image_analysis(spark, manifest, roots, embed=embed, **kwargs)
-    if embed:
-        sinks.write_staging(df, out_path)
-    else:
-        sinks.write_json(df, out_path)
+    with session_conf(spark, MEDIA_BATCH_CONF):
+        if embed:
+            sinks.write_staging(df, out_path)
+        else:
+            sinks.write_json(df, out_path)
 
 
 def ingest_images(spark: SparkSession, analysis_path: str, table: str, now=None,

@@ -9,6 +9,7 @@ has none, which is the situation in tests and in local runs.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -95,3 +96,43 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/mediatables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextlib.contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Temporarily set SQL confs for the actions run inside the block."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, str(v))
+    try:
+        yield spark
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+# Media rows are large (bytes, decoded pixels): small Arrow batches keep a
+# Python worker's memory at a few hundred MB whatever the file sizes are.
+MEDIA_BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "64"}
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a job reading ``input_bytes``.
+
+    Scan splits and shuffle partitions are sized so one task handles about
+    ``target_partition_bytes``; AQE then coalesces small post-shuffle
+    partitions and splits skewed ones.
+    """
+    parts = max(200, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

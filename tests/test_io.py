@@ -95,3 +95,13 @@ def test_globs_and_listing(spark, tmp):
     listing = readers.list_files(spark, os.path.join(tmp, "data"))
     assert listing.columns == ["path", "length", "modificationTime"]
     assert "content" not in listing._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1][:200]
+
+
+def test_session_conf_restores_and_scale_conf(spark):
+    from mediatables.session import scale_conf, session_conf
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"}):
+        assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "7"
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    conf = scale_conf(100 * 2**40)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
