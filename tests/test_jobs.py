@@ -214,3 +214,19 @@ def test_numpy_embedding_matches_table_operator(spark):
         df = spark.createDataFrame([(0, i, float(v)) for i, v in enumerate(x)], "k int, i int, v double")
         got = signal_embedding(bucket_stats(df, "k", ["i"], "v", 64), "k").first().embedding
         assert np.allclose(got, ref, atol=1e-6), n
+
+
+def test_each_model_udf_runs_once_in_the_plan(spark, tmp):
+    d = os.path.join(tmp, "a")
+    os.makedirs(d)
+    with open(os.path.join(d, "x.wav"), "wb") as fp:
+        fp.write(wav_bytes(np.zeros(1600)))
+    manifest = os.path.join(tmp, "m.jsonl")
+    write_jsonl(manifest, [{"doc_id": "x.wav", "s3_url": f"{d}/x.wav"}])
+    df = jobs.build_audio_analysis(spark, manifest, StubAsr, llm_factory=StubLlm, embed=True, roots=[d])
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # WAV info (filtered by the duration gate), ASR (two struct fields read), embedding:
+    # one ArrowEvalPython each; the chat model is one MapInPandas.
+    assert plan.count("ArrowEvalPython") == 3, plan
+    assert plan.count("MapInPandas") == 1, plan
