@@ -243,6 +243,10 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
         raise ValueError(f"{column} has no non-null vectors")
     dim = int(first[0]["d"])
     n = df.where(F.col(column).isNotNull()).count()
+    if index_type == "IVF_PQ" and n < num_partitions * PQ_CODEBOOK_SIZE:
+        raise ValueError(f"IVF_PQ needs at least num_partitions * {PQ_CODEBOOK_SIZE} = "
+                         f"{num_partitions * PQ_CODEBOOK_SIZE} rows, got {n}; use fewer partitions "
+                         "(e.g. num_partitions=1) or IVF_FLAT")
     if centroids is None:
         centers = train_centroids(df, column, num_partitions, sample_rate, seed, n_rows=n)
     else:

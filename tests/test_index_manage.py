@@ -101,8 +101,8 @@ def test_pq_index_and_fresh_rows(spark, tmp):
 
 
 def test_pq_small_table_rule(spark, tmp):
-    path, _ = _table(spark, tmp, n=100)
-    with pytest.raises(ValueError):
+    path, _ = _table(spark, tmp, n=300)
+    with pytest.raises(ValueError, match="4096"):
         jobs.build_indexes(spark, path, time=False, num_partitions=16, index_type="IVF_PQ")
 
 
