@@ -61,12 +61,28 @@ def scan_time_range(df: DataFrame, lo, hi, time_col: str = TIME_COL,
         z = F.input_file_name() if zone is None else zone
         df = df.withColumn("_zone", z).join(keep.withColumnRenamed("zone", "_zone"), "_zone",
                                             "left_semi").drop("_zone")
+    return df.where(time_window(lo, hi, time_col, PARTITION_COL if PARTITION_COL in df.columns else None))
+
+
+def time_window(lo, hi, time_col: str = TIME_COL, date_col: str | None = PARTITION_COL) -> Column:
+    """``lo <= time <= hi`` plus the implied bounds on the date partition.
+
+    Spark prunes directories only on the partition column, so the date bounds
+    are stated explicitly; the time bounds go to the Parquet reader, whose
+    min/max statistics skip files and row groups inside the kept days.
+    """
     cond = F.lit(True)
     if lo is not None:
-        cond = cond & (F.col(time_col) >= F.lit(lo).cast("timestamp"))
+        t = F.lit(lo).cast("timestamp")
+        cond = cond & (F.col(time_col) >= t)
+        if date_col:
+            cond = cond & (F.col(date_col) >= F.to_date(t))
     if hi is not None:
-        cond = cond & (F.col(time_col) <= F.lit(hi).cast("timestamp"))
-    return df.where(cond)
+        t = F.lit(hi).cast("timestamp")
+        cond = cond & (F.col(time_col) <= t)
+        if date_col:
+            cond = cond & (F.col(date_col) <= F.to_date(t))
+    return cond
 
 
 # ---------------------------------------------------------------------------

@@ -60,8 +60,10 @@ def test_zone_map_and_prune(spark, tmp):
     df = spark.read.parquet(path)
     got = maintenance.scan_time_range(df, "2024-05-01", "2024-07-01", zones=zones)
     assert got.count() == 100
-    plan = df.where(F.col("ingest_date") == F.lit("2024-06-01").cast("date"))._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan or "ingest_date" in plan
+    direct = maintenance.scan_time_range(df, "2024-05-01", "2024-07-01")
+    plan = direct._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan and "PushedFilters: [IsNotNull(ingest_time)" in plan
+    assert direct.count() == 100
 
 
 def test_index_requires_column(spark, tmp):
