@@ -3,7 +3,6 @@ import os
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from mediatables.operators.media import ImageQuality, rms_zcr_embedding
 from mediatables.plans import jobs, query
