@@ -101,17 +101,22 @@ def build_audio_analysis(spark: SparkSession, manifest: str, asr_factory: Callab
     df = df.withColumn("transcript", redact_pii(F.col("_asr.transcript"))) \
            .withColumn("acoustic_emotion", F.col("_asr.acoustic_emotion"))
     df = df.withColumn("prompt", tagging.build_prompt(F.col("transcript"), F.col("acoustic_emotion")))
+    cols = list(AUDIO_OUTPUT_COLUMNS)
+    if embed:
+        emb = batch_udf(embedder_factory, T.ArrayType(T.FloatType()))
+        df = df.withColumn("audio_embedding", emb(F.col("audio_bytes")))
+        cols.append("audio_embedding")
+    # Only slim rows cross into the chat-model worker: the bytes are dropped
+    # before it (mapInPandas ships every column of its input).
+    keep = ["doc_id", "s3_url", "duration_s", "transcript", "acoustic_emotion", "prompt",
+            *(["audio_embedding"] if embed else [])]
+    df = df.select(*keep)
     if llm_factory is not None:
         df = call_model(df, "prompt", llm_factory, out_col="analysis_json")
     else:
         df = df.withColumn("analysis_json", F.lit(None).cast("string"))
     parsed = tagging.parse_analysis_json(F.col("analysis_json"))
     df = df.withColumn("_a", parsed).select("*", *tagging.analysis_fields_with_defaults(F.col("_a")))
-    cols = list(AUDIO_OUTPUT_COLUMNS)
-    if embed:
-        emb = batch_udf(embedder_factory, T.ArrayType(T.FloatType()))
-        df = df.withColumn("audio_embedding", emb(F.col("audio_bytes")))
-        cols.append("audio_embedding")
     return df.select(*cols)
 
 
