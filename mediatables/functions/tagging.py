@@ -19,6 +19,7 @@ from ..schemas import (
     ANALYSIS_DEFAULTS,
     ANALYSIS_STRUCT,
     DEFAULT_EMOTION,
+    EMOTION_NOISE,
     EMOTION_TAGS,
     PRIMARY_REASONS,
     TEXT_EMOTIONS,
@@ -91,7 +92,7 @@ def emotion_tags(raw_text: Column) -> Column:
 def file_name(path: Column) -> Column:
     """Last non-empty path component, as a POSIX path would report it."""
     parts = F.filter(F.split(path, "/"), lambda p: (p != "") & (p != "."))
-    return F.element_at(parts, -1)
+    return F.try_element_at(parts, F.lit(-1))   # NULL (not an ANSI error) for "" or "/"
 
 
 def file_suffix(path: Column, default: str = ".wav") -> Column:
@@ -101,3 +102,34 @@ def file_suffix(path: Column, default: str = ".wav") -> Column:
     """
     suffix = F.regexp_extract(file_name(path), r"^.+(\.[^.]+)$", 1)
     return F.coalesce(F.nullif(suffix, F.lit("")), F.lit(default))
+
+
+# ---------------------------------------------------------------------------
+# Per-file forms of A4/A5: when a speech model returns one file's segments as
+# an array, the transcript and the dominant emotion are narrow per-row
+# expressions (no shuffle); the table forms live in operators.emotion.
+# ---------------------------------------------------------------------------
+
+SEGMENTS_TYPE = T.ArrayType(T.StructType([T.StructField("text", T.StringType()),
+                                          T.StructField("raw", T.StringType())]))
+
+
+def concat_segments(segments: Column, field: str = "text") -> Column:
+    """A5 per row: segment texts joined in order with no separator ('' if none)."""
+    return F.coalesce(F.array_join(F.transform(segments, lambda s: s[field]), ""), F.lit(""))
+
+
+def dominant_in_array(tags: Column, noise=tuple(EMOTION_NOISE), default: str = DEFAULT_EMOTION) -> Column:
+    """A4 per row: most frequent non-noise tag; ties -> first seen; none -> default."""
+    meaningful = F.filter(tags, lambda t: ~t.isin(list(noise)))
+    uniq = F.array_distinct(meaningful)            # keeps first-occurrence order
+    counted = F.transform(uniq, lambda u: F.struct(
+        F.size(F.filter(meaningful, lambda t: t == u)).alias("n"), u.alias("tag")))
+    start = F.struct(F.lit(0).alias("n"), F.lit(None).cast("string").alias("tag"))
+    best = F.aggregate(counted, start, lambda acc, x: F.when(x["n"] > acc["n"], x).otherwise(acc))
+    return F.coalesce(best["tag"], F.lit(default))
+
+
+def segment_emotion(segments: Column, field: str = "raw") -> Column:
+    """Dominant acoustic emotion over the tags of all segments of a file."""
+    return dominant_in_array(F.flatten(F.transform(segments, lambda s: emotion_tags(s[field]))))

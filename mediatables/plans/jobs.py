@@ -81,12 +81,18 @@ def build_audio_analysis(spark: SparkSession, manifest: str, asr_factory: Callab
                          roots: Sequence[str] | None = None, fetcher=None,
                          cfg: AudioConfig = AudioConfig(),
                          info_factory: Callable[[], Any] = WavInfo,
-                         embedder_factory: Callable[[], Any] = WavSignalEmbedder) -> DataFrame:
+                         embedder_factory: Callable[[], Any] = WavSignalEmbedder,
+                         asr_output: str = "row") -> DataFrame:
     """Lazy audio analysis frame (C1 without the sink).
 
     download -> drop missing -> duration gate -> ASR -> redact -> prompt ->
     LLM JSON (or NULL) -> typed fields with defaults [-> embedding].
     Only the redacted transcript is kept.
+
+    ``asr_output="row"``: the speech model returns (transcript,
+    acoustic_emotion) per file. ``"segments"``: it returns the file's
+    segments (text, raw-with-tags); transcript and dominant emotion are then
+    computed per row by Spark (A5/A4 array forms).
     """
     df = readers.read_manifest(spark, manifest)
     df = with_content(spark, df, "audio_bytes", roots, fetcher)
@@ -96,8 +102,14 @@ def build_audio_analysis(spark: SparkSession, manifest: str, asr_factory: Callab
     df = df.withColumn("_info", info(F.col("audio_bytes")))
     df = df.withColumn("duration_s", duration_seconds(F.col("_info.frames"), F.col("_info.rate")))
     df = df.where(F.col("duration_s").between(cfg.min_duration_s, cfg.max_duration_s))
-    asr = batch_udf(asr_factory, ASR_STRUCT)
-    df = df.withColumn("_asr", asr(F.col("audio_bytes"), tagging.file_suffix(F.col("doc_id"))))
+    if asr_output == "segments":
+        asr = batch_udf(asr_factory, tagging.SEGMENTS_TYPE)
+        df = df.withColumn("_seg", asr(F.col("audio_bytes"), tagging.file_suffix(F.col("doc_id"))))
+        df = df.withColumn("_asr", F.struct(tagging.concat_segments(F.col("_seg")).alias("transcript"),
+                                            tagging.segment_emotion(F.col("_seg")).alias("acoustic_emotion")))
+    else:
+        asr = batch_udf(asr_factory, ASR_STRUCT)
+        df = df.withColumn("_asr", asr(F.col("audio_bytes"), tagging.file_suffix(F.col("doc_id"))))
     df = df.withColumn("transcript", redact_pii(F.col("_asr.transcript"))) \
            .withColumn("acoustic_emotion", F.col("_asr.acoustic_emotion"))
     df = df.withColumn("prompt", tagging.build_prompt(F.col("transcript"), F.col("acoustic_emotion")))

@@ -229,3 +229,21 @@ def test_each_model_udf_runs_once_in_the_plan(spark, tmp):
     # one ArrowEvalPython each; the chat model is one MapInPandas.
     assert plan.count("ArrowEvalPython") == 3, plan
     assert plan.count("MapInPandas") == 1, plan
+
+
+class SegmentAsr:
+    def __call__(self, blobs, suffixes):
+        return pd.Series([[{"text": "你好", "raw": "<|HAPPY|>你好"},
+                           {"text": "，号码13912345678", "raw": "<|ANGRY|>，号码<|ANGRY|>13912345678"}]
+                          for _ in blobs])
+
+
+def test_audio_segments_mode(spark, tmp):
+    d = os.path.join(tmp, "a")
+    os.makedirs(d)
+    with open(os.path.join(d, "x.wav"), "wb") as fp:
+        fp.write(wav_bytes(np.zeros(1600)))
+    manifest = os.path.join(tmp, "m.jsonl")
+    write_jsonl(manifest, [{"doc_id": "x.wav", "s3_url": f"{d}/x.wav"}])
+    r = jobs.build_audio_analysis(spark, manifest, SegmentAsr, roots=[d], asr_output="segments").first()
+    assert r.transcript == "你好，号码[PHONE_REDACTED]" and r.acoustic_emotion == "ANGRY"

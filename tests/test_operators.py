@@ -111,3 +111,21 @@ def test_mix_to_mono_then_features(spark):
     assert np.isclose(got[3], (np.sin(3) + np.cos(3)) / 2)
     stats = bucket_stats(mono, "k", ["i"], "value", 64).first()
     assert len(stats.rms) == 64 and len(stats.zcr) == 64
+
+
+def test_array_forms_match_table_forms(spark):
+    from mediatables.functions.tagging import concat_segments, dominant_in_array, segment_emotion
+    rng = np.random.default_rng(21)
+    vocab = ["HAPPY", "SAD", "ANGRY", "NEUTRAL", "EMO_UNKNOWN"]
+    seqs = [[str(t) for t in rng.choice(vocab, size=int(rng.integers(0, 9)))] for _ in range(60)]
+    rows = [(k, i, t) for k, seq in enumerate(seqs) for i, t in enumerate(seq)]
+    tags = spark.createDataFrame(rows, "k int, pos int, tag string")
+    keys = spark.createDataFrame([(k,) for k in range(len(seqs))], "k int")
+    table = {r.k: r.dominant for r in emotion.dominant_tag(tags, ["k"], ["pos"], all_keys=keys).collect()}
+    arr = spark.createDataFrame([(k, s) for k, s in enumerate(seqs)], "k int, tags array<string>")
+    per_row = {r.k: r.d for r in arr.select("k", dominant_in_array(F.col("tags")).alias("d")).collect()}
+    assert per_row == table
+    segs = spark.createDataFrame([([("你好", "<|HAPPY|>你好"), ("，再见", "<|SAD|>，再见<|SAD|>")],), ([],)],
+                                 "s array<struct<text:string,raw:string>>")
+    out = segs.select(concat_segments(F.col("s")).alias("t"), segment_emotion(F.col("s")).alias("e")).collect()
+    assert (out[0].t, out[0].e) == ("你好，再见", "SAD") and (out[1].t, out[1].e) == ("", "NEUTRAL")

@@ -41,10 +41,10 @@ def test_json_defaults_per_field(spark):
 
 
 def test_file_suffix(spark):
-    rows = [("a/b/c.WAV",), ("x.tar.gz",), ("noext",), (".hidden",), ("dir/",), ("a.",), (None,)]
+    rows = [("a/b/c.WAV",), ("x.tar.gz",), ("noext",), (".hidden",), ("dir/",), ("a.",), (None,), ("/",), ("",)]
     df = spark.createDataFrame(rows, "p string")
     out = [r.s for r in df.select(tagging.file_suffix(F.col("p")).alias("s")).collect()]
-    assert out == [".WAV", ".gz", ".wav", ".wav", ".wav", ".wav", ".wav"]
+    assert out == [".WAV", ".gz", ".wav", ".wav", ".wav", ".wav", ".wav", ".wav", ".wav"]
 
 
 def test_emotion_tags_extracted_in_order(spark):
