@@ -238,6 +238,9 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
         raise ValueError(f"unsupported index_type {index_type}; use one of {INDEX_TYPES}")
     if metric != "l2":
         raise ValueError("IVF indexes are built for the l2 metric")
+    # The metadata is what makes an index visible: drop it before rewriting the
+    # data and write it last, so an interrupted build is never half-used.
+    _drop_meta(spark, path)
     first = df.where(F.col(column).isNotNull()).select(F.size(column).alias("d")).limit(1).collect()
     if not first:
         raise ValueError(f"{column} has no non-null vectors")
@@ -276,6 +279,14 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
     return index
 
 
+def _drop_meta(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    meta = jvm.org.apache.hadoop.fs.Path(f"{path}/meta")
+    fs = meta.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(meta):
+        fs.delete(meta, True)
+
+
 def index_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     meta = jvm.org.apache.hadoop.fs.Path(f"{path}/meta")
