@@ -273,12 +273,32 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
          .repartition(max(1, len(centers) * files_per_partition), "centroid_id", "_salt")
          .drop("_salt")
          .write.mode("overwrite").partitionBy("centroid_id").parquet(index.data_path))
-    meta = asdict(index)
-    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
-        .write.mode("overwrite").text(f"{path}/meta")
+    _write_model(spark, index)
     return index
 
 
+_MODEL_FIELDS = ("centroids", "codebooks", "sq_lo", "sq_hi")
+
+
+def _write_model(spark: SparkSession, index: IvfIndex) -> None:
+    """Model arrays as one small Parquet table, parameters as JSON ``meta``
+    (written last: its presence marks a complete index)."""
+    parts = {
+        "centroids": index.centroids,                        # one row per centroid
+        "codebooks": index.codebooks,                        # one row per sub-space
+        "sq_lo": [index.sq_lo] if index.sq_lo else [],       # a single row
+        "sq_hi": [index.sq_hi] if index.sq_hi else [],
+    }
+    rows = [(name, i, [float(x) for x in np.ravel(vec)])
+            for name, vecs in parts.items() for i, vec in enumerate(vecs)]
+    spark.createDataFrame(rows, "field string, i int, v array<double>") \
+        .write.mode("overwrite").parquet(f"{index.path}/model")
+    params = {k: v for k, v in asdict(index).items() if k not in _MODEL_FIELDS}
+    params["codebook_shape"] = list(np.asarray(index.codebooks).shape) if index.codebooks else []
+    spark.createDataFrame([(json.dumps(params),)], "meta string").coalesce(1) \
+        .write.mode("overwrite").text(f"{index.path}/meta")
+
+
 def _drop_meta(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     meta = jvm.org.apache.hadoop.fs.Path(f"{path}/meta")
@@ -294,8 +314,18 @@ def index_exists(spark: SparkSession, path: str) -> bool:
 
 
 def load_index(spark: SparkSession, path: str) -> IvfIndex:
-    text = spark.read.text(f"{path}/meta").first()[0]
-    return IvfIndex(**json.loads(text))
+    params = json.loads(spark.read.text(f"{path}/meta").first()[0])
+    shape = params.pop("codebook_shape", [])
+    model: dict[str, list] = {name: [] for name in _MODEL_FIELDS}
+    for r in spark.read.parquet(f"{path}/model").orderBy("field", "i").collect():
+        model[r["field"]].append(list(r["v"]))
+    index = IvfIndex(**params)
+    index.centroids = model["centroids"]
+    if model["codebooks"]:
+        index.codebooks = np.asarray(model["codebooks"]).reshape(shape).tolist()
+    index.sq_lo = model["sq_lo"][0] if model["sq_lo"] else []
+    index.sq_hi = model["sq_hi"][0] if model["sq_hi"] else []
+    return index
 
 
 # ---------------------------------------------------------------------------
