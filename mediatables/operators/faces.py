@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 
 
 def largest_face(faces: DataFrame, keys: Sequence[str], face_order: str | Sequence[str], area: str,
-                 payload: Sequence[str], images: DataFrame | None = None) -> DataFrame:
+                 payload: Sequence[str], images: DataFrame | None = None,
+                 no_face: dict | None = None) -> DataFrame:
     """Per image: ``face_count`` and the payload columns of the largest face.
 
     ``face_order`` is the detector order (columns, unique per image); among
     equal areas the face that comes first wins. ``images`` (optional) lists
-    every image so that faceless ones appear with count 0 and NULL payload.
+    every image so that faceless ones appear with count 0; their payload is
+    NULL except for the columns given in ``no_face`` (e.g. score 0.0,
+    ratio 0.0 while the face blur stays NULL).
     """
     keys = list(keys)
     order_cols = [face_order] if isinstance(face_order, str) else list(face_order)
@@ -30,6 +33,9 @@ def largest_face(faces: DataFrame, keys: Sequence[str], face_order: str | Sequen
     agg = faces.groupBy(*keys).agg(F.count(F.lit(1)).alias("face_count"), best.alias("_best"))
     out = agg.select(*keys, "face_count", *[F.col("_best")[c].alias(c) for c in payload])
     if images is not None:
+        faceless = F.col("face_count").isNull()
+        fills = {c: F.when(faceless, F.lit(v)).otherwise(F.col(c)) for c, v in (no_face or {}).items()}
         out = (images.select(*keys).join(out, keys, "left")
+               .withColumns(fills)
                .withColumn("face_count", F.coalesce(F.col("face_count"), F.lit(0).cast("long"))))
     return out

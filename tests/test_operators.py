@@ -30,6 +30,11 @@ def test_largest_face_tie_keeps_detector_order(spark):
     df = spark.createDataFrame(rows, "k string, idx int, area double, score double")
     out = {r.k: (r.face_count, r.score) for r in faces.largest_face(df, ["k"], "idx", "area", ["score"]).collect()}
     assert out == {"img": (3, 0.8), "img2": (1, 0.5)}
+    images = spark.createDataFrame([("img",), ("img2",), ("empty",)], "k string")
+    full = faces.largest_face(df.withColumn("blur", F.lit(1.0)), ["k"], "idx", "area", ["score", "blur"],
+                              images=images, no_face={"score": 0.0})
+    got = {r.k: (r.face_count, r.score, r.blur) for r in full.collect()}
+    assert got["empty"] == (0, 0.0, None) and got["img"] == (3, 0.8, 1.0)
 
 
 def test_grid_laplacian_matches_numpy(spark):
