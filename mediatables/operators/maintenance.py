@@ -121,9 +121,19 @@ def delete_condition(before=None, after=None, time_col: str = TIME_COL) -> Colum
     return cond
 
 
+def keep_condition(before=None, after=None, time_col: str = TIME_COL) -> Column:
+    """Rows that survive a delete: ``time IS NULL OR NOT cond``.
+
+    Same truth table as ``NOT coalesce(cond, false)`` (the bounds are
+    literals, so ``cond`` is NULL only for a NULL time), but in a form Catalyst
+    simplifies to range comparisons that reach the Parquet reader.
+    """
+    return F.col(time_col).isNull() | ~delete_condition(before, after, time_col)
+
+
 def keep_after_delete(df: DataFrame, before=None, after=None, time_col: str = TIME_COL) -> DataFrame:
     """Rows that survive ``delete_by_date`` (NULL times always survive)."""
-    return df.where(~F.coalesce(delete_condition(before, after, time_col), F.lit(False)))
+    return df.where(keep_condition(before, after, time_col))
 
 
 def _day_class(day: dt.date, b: dt.datetime | None, a: dt.datetime | None) -> str:
@@ -192,8 +202,7 @@ def _rewrite_partition(spark: SparkSession, table: str, value: str, keep: Column
 def delete_by_date(spark: SparkSession, table: str, before=None, after=None) -> DeleteReport:
     """T2 on a table: drop covered days, rewrite boundary days, keep the rest."""
     b, a = _ts(before), _ts(after)
-    cond = delete_condition(b, a)            # validates the bounds
-    keep = ~F.coalesce(cond, F.lit(False))
+    keep = keep_condition(b, a)              # validates the bounds
     report = DeleteReport()
     fs, _, jvm = _fs(spark, table)
     for value, path in sorted(list_partitions(spark, table).items()):
