@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators (joins, aggregations, windows, indexes, model seams)."""

@@ -1,0 +1 @@
+"""Readers, sinks and content access (manifests, analysis outputs, asset tables, files)."""

@@ -1,0 +1 @@
+"""Structured Streaming entry points (the batch ingest, run incrementally)."""
