@@ -77,8 +77,26 @@ def _stack(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors[mask]]), mask
 
 
+EXACT_LOOP_MAX_CENTERS = 64
+ROW_CHUNK = 2048
+
+
 def nearest_rows(mat: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Index of the nearest center per row (squared L2; first on ties)."""
+    """Index of the nearest center per row (squared L2; first on ties).
+
+    Up to ``EXACT_LOOP_MAX_CENTERS`` centers the distances are summed
+    directly (bit-stable, used by small indexes and tests); beyond that one
+    BLAS product per row chunk, ``|x|^2 - 2 x.c + |c|^2``, keeps assignment
+    of large codebooks linear in the batch with bounded memory.
+    """
+    if len(centers) > EXACT_LOOP_MAX_CENTERS:
+        c2 = (centers * centers).sum(axis=1)
+        out = np.empty(len(mat), dtype=np.int64)
+        for lo in range(0, len(mat), ROW_CHUNK):
+            block = mat[lo:lo + ROW_CHUNK]
+            d = c2[None, :] - 2.0 * (block @ centers.T)
+            out[lo:lo + ROW_CHUNK] = d.argmin(axis=1)
+        return out
     best = np.full(len(mat), np.inf)
     arg = np.zeros(len(mat), dtype=np.int64)
     for j, c in enumerate(centers):

@@ -165,3 +165,12 @@ def test_query_uses_index_merges_fresh_rows_and_delete_invalidates(spark, tmp):
     assert not ivf.index_exists(spark, jobs.index_path(path, "audio_embedding"))
     after = [r.doc_id for r in query.query_audio(spark, path, query_doc_id="doc_new", top_k=3).collect()]
     assert "doc_0009" not in after                # doc_0009 was in January, now deleted
+
+
+def test_nearest_rows_large_codebook_matches_loop():
+    rng = np.random.default_rng(3)
+    mat = rng.standard_normal((5000, 8))
+    centers = rng.standard_normal((256, 8))
+    fast = ivf.nearest_rows(mat, centers)
+    exact = ((mat[:, None, :] - centers[None, :, :]) ** 2).sum(-1).argmin(axis=1)
+    assert (fast == exact).mean() > 0.999
