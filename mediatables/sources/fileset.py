@@ -104,3 +104,47 @@ def object_store_conf(endpoint: str | None = None, access_key: str | None = None
     if region:
         conf["spark.hadoop.fs.s3a.endpoint.region"] = region
     return conf
+
+
+def resolve_path(registry: DataFrame, path: str) -> str:
+    """One virtual path -> physical location (driver side; one registry row is read).
+
+    Raises for an unknown fileset; non-virtual paths are returned unchanged.
+    """
+    import re
+    m = re.match(VIRTUAL_PATH_PATTERN, path)
+    if not m:
+        return path
+    catalog, schema, fs_name, sub = m.group(2), m.group(3), m.group(4), (m.group(5) or "").lstrip("/")
+    row = (registry.where((F.col("catalog") == catalog) & (F.col("schema") == schema)
+                          & (F.col("fileset") == fs_name))
+           .select("location").limit(1).collect())
+    if not row:
+        raise ValueError(f"unknown fileset {catalog}.{schema}.{fs_name}")
+    base = re.sub(r"/+$", "", re.sub(r"^s3a://", "s3://", row[0]["location"]))
+    return f"{base}/{sub}" if sub else base
+
+
+def _physical(path: str) -> str:
+    """``s3://`` locations are read through Hadoop's ``s3a`` connector."""
+    return "s3a://" + path[len("s3://"):] if path.startswith("s3://") else path
+
+
+def read_fileset(spark: SparkSession, registry: DataFrame, path: str, fmt: str = "parquet",
+                 **options) -> DataFrame:
+    """S5/S6 through a virtual path: resolve, then read (globs allowed)."""
+    reader = spark.read.options(**options)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    return reader.format(fmt).load(_physical(resolve_path(registry, path)))
+
+
+def write_fileset(df: DataFrame, registry: DataFrame, path: str, fmt: str = "parquet",
+                  mode: str = "overwrite") -> str:
+    """S14 through a virtual path; returns the physical location written."""
+    target = _physical(resolve_path(registry, path))
+    writer = df.write.mode(mode)
+    if fmt == "csv":
+        writer = writer.option("header", True)
+    writer.format(fmt).save(target)
+    return target

@@ -105,3 +105,19 @@ def test_session_conf_restores_and_scale_conf(spark):
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
     conf = scale_conf(100 * 2**40)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+
+
+def test_catalog_samples_through_virtual_paths(spark, tmp):
+    """(id, name, score) written and read as parquet / CSV / JSON via virtual paths."""
+    reg = spark.createDataFrame([("cat", "sch", "samples", "file://" + tmp + "/samples/")],
+                                "catalog string, schema string, fileset string, location string")
+    rows = [(1, "alice", 90.5), (2, "bob", 85.0), (3, "carol", 77.25), (4, "dave", 60.0), (5, "eve", 99.9)]
+    df = spark.createDataFrame(rows, "id bigint, name string, score double")
+    for fmt in ("parquet", "csv", "json"):
+        fileset.write_fileset(df, reg, f"gvfs://fileset/cat/sch/samples/{fmt}/data", fmt)
+        back = fileset.read_fileset(spark, reg, f"gvfs://fileset/cat/sch/samples/{fmt}/*", fmt,
+                                    **({"inferSchema": True} if fmt == "csv" else {}))
+        assert sorted((int(r.id), r.name, float(r.score)) for r in back.collect()) == rows
+    with pytest.raises(ValueError):
+        fileset.resolve_path(reg, "gvfs://fileset/cat/sch/nope/x")
+    assert fileset.resolve_path(reg, "/plain/path") == "/plain/path"
