@@ -152,8 +152,8 @@ def ingest_audio(spark: SparkSession, analysis_path: str, table: str, now=None,
     df = df.where(F.col("audio_blob").isNotNull())
     df = df.withColumn("ingest_time", ingest_time_literal(now))
     sinks.append_asset(df, table)
-    sinks.validate_blob_column(spark.read.parquet(table), "audio_blob", None)   # schema check
-    return spark.read.parquet(table).count()                                    # footer counts
+    sinks.validate_blob_column(readers.read_asset(spark, table), "audio_blob", None)   # schema check
+    return readers.read_asset(spark, table).count()                                    # footer counts
 
 
 # ---------------------------------------------------------------------------
@@ -254,10 +254,10 @@ def ingest_images(spark: SparkSession, analysis_path: str, table: str, now=None,
     df = df.withColumn("status", rules.downgrade_missing_blob(F.col("status"), F.col("image_blob")))
     df = df.withColumn("ingest_time", ingest_time_literal(now))
     sinks.append_asset(df, table)
-    audit = sinks.validate_blob_column(this_run(spark.read.parquet(table), now), "image_blob").first()
+    audit = sinks.validate_blob_column(this_run(readers.read_asset(spark, table), now), "image_blob").first()
     if audit["ok_without_blob"]:
         raise ValueError(f"{audit['ok_without_blob']} ok rows without image_blob in {table}")
-    return spark.read.parquet(table).count()
+    return readers.read_asset(spark, table).count()
 
 
 # ---------------------------------------------------------------------------
@@ -277,7 +277,7 @@ def build_indexes(spark: SparkSession, table: str, embedding: bool = True, time:
 
     Index data lives under ``<table>/_index`` (ignored by table readers).
     """
-    df = spark.read.parquet(table)
+    df = readers.read_asset(spark, table)
     out: dict = {}
     if embedding:
         out["vector"] = ivf.build_index(spark, df, embedding_column, index_path(table, embedding_column),

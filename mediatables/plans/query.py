@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import ivf
 from ..operators import knn as knn_ops
 from ..schemas import AUDIO_DEFAULT_COLUMNS, IMAGE_DEFAULT_COLUMNS
-from ..sources.readers import read_desc_table
+from ..sources.readers import read_asset, read_desc_table
 
 
 def default_columns(df: DataFrame, defaults: Sequence[str]) -> list[str]:
@@ -140,7 +140,7 @@ def query_audio(spark: SparkSession, table_path: str, where: str | None = None,
                 sql: str | None = None, top_k: int = 10, query_doc_id: str | None = None,
                 distance_range: tuple[float, float] | None = None) -> DataFrame:
     """Precedence sql > vector (by row) > scalar. SQL sees the table as ``calls``."""
-    table = spark.read.parquet(table_path)
+    table = read_asset(spark, table_path)
     if sql:
         return sql_query(spark, sql, {"calls": table}, top_k)
     if query_doc_id:
@@ -171,7 +171,7 @@ def query_images(spark: SparkSession, table_path: str, where: str | None = None,
         raise ValueError("sql cannot be combined with where or a vector query")
     if distance_range is not None and not modes:
         raise ValueError("distance_range requires a vector query")
-    table = spark.read.parquet(table_path)
+    table = read_asset(spark, table_path)
     desc = read_desc_table(spark, desc_table) if desc_table else None
     if sql:
         views = {"images": table}

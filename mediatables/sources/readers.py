@@ -25,6 +25,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_asset(spark: SparkSession, table: str) -> DataFrame:
+    """An asset table with its declared schema (see ``sinks.record_schema``)."""
+    from .sinks import table_schema
+    schema = table_schema(spark, table)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(table)
+
+
 def read_manifest(spark: SparkSession, uri: str) -> DataFrame:
     """Parquet / JSON lines / CSV manifest -> (doc_id, s3_url).
 

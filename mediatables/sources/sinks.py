@@ -7,6 +7,8 @@ separate maintenance job (see ``operators.maintenance``).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,7 +82,8 @@ def validate_embedding_consistency(spark: SparkSession, table: str, incoming: Da
     """An append must agree with the table about the embedding column."""
     if table_write_mode(spark, table) != "append":
         return
-    table_has = column in spark.read.parquet(table).columns
+    declared = table_schema(spark, table)
+    table_has = column in (declared.names if declared is not None else spark.read.parquet(table).columns)
     batch_has = column in incoming.columns
     if table_has == batch_has:
         return
@@ -99,8 +102,37 @@ def append_asset(df: DataFrame, table: str) -> None:
     act as a zone map for time-range filters; repartitioning by date would
     instead funnel a whole run into one task.
     """
-    (df.withColumn("ingest_date", F.to_date("ingest_time"))
-       .write.mode("append").partitionBy("ingest_date").parquet(table))
+    out = df.withColumn("ingest_date", F.to_date("ingest_time"))
+    record_schema(out.sparkSession, table, out.schema)
+    out.write.mode("append").partitionBy("ingest_date").parquet(table)
+
+
+SCHEMA_DIR = "_schema"
+
+
+def table_schema(spark: SparkSession, table: str) -> T.StructType | None:
+    """The declared schema of an asset table (None for tables without one)."""
+    if not path_exists(spark, f"{table.rstrip('/')}/{SCHEMA_DIR}"):
+        return None
+    text = spark.read.text(f"{table.rstrip('/')}/{SCHEMA_DIR}").first()[0]
+    return T.StructType.fromJson(json.loads(text))
+
+
+def record_schema(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Keep ``<table>/_schema`` = union of every appended batch's columns.
+
+    Readers pass it explicitly, so an emptied table still reads (as empty)
+    and files written before a column existed read it as NULL.
+    """
+    old = table_schema(spark, table)
+    merged = list(old.fields) if old else []
+    names = {f.name for f in merged}
+    merged += [f for f in schema.fields if f.name not in names]
+    new = T.StructType(merged)
+    if old is not None and old == new:
+        return
+    spark.createDataFrame([(new.json(),)], "s string").coalesce(1) \
+        .write.mode("overwrite").text(f"{table.rstrip('/')}/{SCHEMA_DIR}")
 
 
 def validate_blob_column(df: DataFrame, blob_column: str, status_col: str | None = "status") -> DataFrame:
