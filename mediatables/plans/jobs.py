@@ -22,7 +22,7 @@ from ..functions import rules, tagging
 from ..functions.redact import redact_pii
 from ..operators import ivf, maintenance
 from ..operators.media import ImageQuality, WavInfo, WavSignalEmbedder
-from ..operators.joins import checked_broadcast
+from ..operators.joins import BROADCAST_MAX_ROWS
 from ..operators.models import batch_udf, call_model, guarded_embedding
 from ..operators.signal import duration_seconds
 from ..schemas import (
@@ -185,22 +185,31 @@ def build_image_analysis(spark: SparkSession, manifest: str | DataFrame, roots:
                          embed: bool = False,
                          quality_factory: Callable[[], Any] = ImageQuality,
                          embedder_factory: Callable[[], Any] | None = None,
-                         cfg: ImageConfig = ImageConfig()) -> DataFrame:
+                         cfg: ImageConfig = ImageConfig(),
+                         max_broadcast_keys: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Lazy image analysis frame (C4 without the sink): one row per manifest row.
 
-    Heavy data never crosses a shuffle when the manifest is bounded: its keys
-    are broadcast (after a size check) into the ``image`` scan, so pixels are
-    decoded and measured inside the task that read them and only the small
-    measure rows are joined back; existence comes from a listing that does
-    not read contents; bytes are read only to embed ``ok`` images, again
-    inside their scan task.
+    Pixels and bytes never cross a shuffle, whatever the manifest size: they
+    are decoded, measured and embedded inside the task that read them, and
+    only the small result rows (path, measures, vector) are joined to the
+    manifest. A manifest of at most ``max_broadcast_keys`` rows (checked) is
+    also broadcast into the scans, so files outside it are not processed;
+    a larger one is handled by measuring every file under ``roots``.
+    Existence comes from a listing that does not read contents. Embeddings
+    are kept only for ``ok`` rows (the embedder itself returns NULL for
+    bytes it cannot decode).
     """
     m = readers.read_manifest(spark, manifest) if isinstance(manifest, str) else manifest
     m = m.select("doc_id", "s3_url").withColumn("_norm", fetch.normalize_path(F.col("s3_url")))
-    keys = checked_broadcast(m.select("_norm").where(F.col("_norm").isNotNull()).distinct())
-    present = (_listing(spark, roots).join(keys, "_norm", "left_semi").distinct()
+    keys = m.select("_norm").where(F.col("_norm").isNotNull()).distinct()
+    bounded = keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys
+
+    def restrict(scan: DataFrame) -> DataFrame:
+        return scan.join(F.broadcast(keys), "_norm", "left_semi") if bounded else scan
+
+    present = (restrict(_listing(spark, roots)).select("_norm").distinct()
                .withColumn("_fetched", F.lit(True)))
-    pixels = decoded_images(spark, roots).join(keys, "_norm", "left_semi")
+    pixels = restrict(decoded_images(spark, roots))
     quality = batch_udf(quality_factory, IMAGE_QUALITY_STRUCT)
     decodable = F.col("_h") > 0
     measures = (pixels.select("_norm", quality(F.when(decodable, F.col("_h")), F.col("_w"), F.col("_c"),
@@ -217,12 +226,12 @@ def build_image_analysis(spark: SparkSession, manifest: str | DataFrame, roots:
     if embed:
         if embedder_factory is None:
             raise ValueError("embed=True needs an embedder_factory")
-        ok_keys = checked_broadcast(df.where(F.col("status") == "ok").select("_norm").distinct())
-        blobs = _listing(spark, roots, with_content=True).join(ok_keys, "_norm", "left_semi")
+        blobs = restrict(_listing(spark, roots, with_content=True))
         vectors = blobs.select("_norm", guarded_embedding(
             embedder_factory, F.col("content"), F.lit(True), cfg.embed_dim,
-            method="embed_image_batch").alias("image_embedding")).dropDuplicates(["_norm"])
-        df = df.join(vectors, "_norm", "left")
+            method="embed_image_batch").alias("_vec")).dropDuplicates(["_norm"])
+        df = (df.join(vectors, "_norm", "left")
+              .withColumn("image_embedding", F.when(F.col("status") == "ok", F.col("_vec"))))
         cols.append("image_embedding")
     return df.select(*cols)
 
