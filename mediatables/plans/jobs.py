@@ -34,6 +34,7 @@ from ..schemas import (
     IMAGE_QUALITY_STRUCT,
     AudioConfig,
     ImageConfig,
+    IndexConfig,
     with_embedding,
 )
 from ..session import MEDIA_BATCH_CONF, session_conf
@@ -279,9 +280,11 @@ def index_path(table: str, column: str) -> str:
 
 
 def build_indexes(spark: SparkSession, table: str, embedding: bool = True, time: bool = True,
-                  embedding_column: str = "audio_embedding", num_partitions: int = 16,
-                  num_sub_vectors: int = 16, sample_rate: int = 256,
-                  index_type: str = "IVF_PQ") -> dict:
+                  embedding_column: str = "audio_embedding",
+                  num_partitions: int = IndexConfig.num_partitions,
+                  num_sub_vectors: int = IndexConfig.num_sub_vectors,
+                  sample_rate: int = IndexConfig.sample_rate,
+                  index_type: str = IndexConfig.index_type) -> dict:
     """Vector index (V6-V8) and/or a zone map on ingest_time.
 
     Index data lives under ``<table>/_index`` (ignored by table readers).

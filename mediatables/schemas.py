@@ -162,13 +162,3 @@ IMAGE_ANALYSIS_SCHEMA = T.StructType([
 
 def with_embedding(schema: T.StructType, column: str) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(column, EMBEDDING_TYPE)])
-
-
-def asset_schema(analysis: T.StructType, blob_column: str) -> T.StructType:
-    """Analysis columns + blob + ingest_time (UTC) + ingest_date partition."""
-    return T.StructType([
-        *analysis.fields,
-        T.StructField(blob_column, T.BinaryType()),
-        T.StructField("ingest_time", T.TimestampType()),
-        T.StructField("ingest_date", T.DateType()),
-    ])

@@ -21,10 +21,6 @@ def _suffix_of(uri: str) -> str:
     return uri.rstrip("/").lower()
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def read_asset(spark: SparkSession, table: str) -> DataFrame:
     """An asset table with its declared schema (see ``sinks.record_schema``)."""
     from .sinks import table_schema
