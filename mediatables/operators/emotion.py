@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.tagging import emotion_tags
 from ..schemas import DEFAULT_EMOTION, EMOTION_NOISE
@@ -72,7 +73,10 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], order_col: str, text_col:
         items = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t"))))
         return F.array_join(F.transform(items, lambda x: x["t"]), sep)
 
-    if chunk and sep == "":  # a chunk of only NULL texts would add a stray separator
+    integral = isinstance(df.schema[order_col].dataType, T.IntegralType)
+    # Chunks need integer positions; a chunk of only NULL texts would add a
+    # stray separator, so chunking is also limited to sep == "".
+    if chunk and sep == "" and integral:
         pieces = (df.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk)))
                   .groupBy(*keys, "_chunk")
                   .agg(joined(order_col, text_col).alias("_piece")))

@@ -134,3 +134,10 @@ def test_array_forms_match_table_forms(spark):
                                  "s array<struct<text:string,raw:string>>")
     out = segs.select(concat_segments(F.col("s")).alias("t"), segment_emotion(F.col("s")).alias("e")).collect()
     assert (out[0].t, out[0].e) == ("你好，再见", "SAD") and (out[1].t, out[1].e) == ("", "NEUTRAL")
+
+
+def test_ordered_concat_timestamp_order(spark):
+    import datetime as dt
+    rows = [(1, dt.datetime(2024, 1, 1, 0, 0, i), f"s{i}") for i in (3, 1, 2)]
+    df = spark.createDataFrame(rows, "k int, t timestamp, text string")
+    assert emotion.ordered_concat(df, ["k"], "t", "text").first().text == "s1s2s3"
