@@ -33,6 +33,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Checkpoints (skew-safe ranks) are removed once nothing references them.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("MEDIATABLES_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
