@@ -80,12 +80,14 @@ def guarded_embedding(factory: Callable[[], Any], content: Column, ok: Column,
 
 
 def call_model(df: DataFrame, prompt_col: str, client_factory: Callable[[], Any],
-               out_col: str = "analysis_json", method: str = "complete") -> DataFrame:
+               out_col: str = "analysis_json", method: str = "complete",
+               profile: Any = None) -> DataFrame:
     """One model response per row via ``mapInPandas``; errors -> NULL.
 
     The client is built once per worker; responses are strings (e.g. JSON)
     parsed afterwards with ``from_json`` so a bad response never fails the
-    batch.
+    batch. ``profile`` (a ``pyspark.resource.ResourceProfile``) gives the
+    model stage its own task resources on a cluster (stage-level scheduling).
     """
     schema = T.StructType([*df.schema.fields, T.StructField(out_col, T.StringType())])
 
@@ -103,4 +105,4 @@ def call_model(df: DataFrame, prompt_col: str, client_factory: Callable[[], Any]
             pdf[out_col] = answers
             yield pdf
 
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(run, schema, profile=profile) if profile is not None else df.mapInPandas(run, schema)
