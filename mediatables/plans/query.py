@@ -138,15 +138,20 @@ def index_location(table_path: str, column: str) -> str:
 
 def query_audio(spark: SparkSession, table_path: str, where: str | None = None,
                 sql: str | None = None, top_k: int = 10, query_doc_id: str | None = None,
-                distance_range: tuple[float, float] | None = None) -> DataFrame:
-    """Precedence sql > vector (by row) > scalar. SQL sees the table as ``calls``."""
+                distance_range: tuple[float, float] | None = None,
+                nprobes: int = 20, refine_factor: int = 10) -> DataFrame:
+    """Precedence sql > vector (by row) > scalar. SQL sees the table as ``calls``.
+
+    ``nprobes`` / ``refine_factor`` tune the index search when an index exists.
+    """
     table = read_asset(spark, table_path)
     if sql:
         return sql_query(spark, sql, {"calls": table}, top_k)
     if query_doc_id:
         q = knn_ops.vector_of(table, "doc_id", query_doc_id, "audio_embedding")
         return vector_query(table, "audio_embedding", q, top_k, where, distance_range,
-                            AUDIO_DEFAULT_COLUMNS, index_path=index_location(table_path, "audio_embedding"))
+                            AUDIO_DEFAULT_COLUMNS, index_path=index_location(table_path, "audio_embedding"),
+                            nprobes=nprobes, refine_factor=refine_factor)
     # A distance range only applies to vector queries (ignored here, as in the
     # reference audio query; the image query rejects it instead).
     return scalar_query(table, where, top_k, AUDIO_DEFAULT_COLUMNS)
@@ -157,7 +162,7 @@ def query_images(spark: SparkSession, table_path: str, where: str | None = None,
                  image_bytes: bytes | None = None, image_from: str | None = None,
                  distance_range: tuple[float, float] | None = None,
                  desc_table: str | None = None,
-                 embedder: Any = None) -> DataFrame:
+                 embedder: Any = None, nprobes: int = 20, refine_factor: int = 10) -> DataFrame:
     """Precedence sql > text > image bytes > image-from > scalar.
 
     At most one vector mode; ``sql`` excludes ``where`` and vector modes; a
@@ -192,7 +197,8 @@ def query_images(spark: SparkSession, table_path: str, where: str | None = None,
     if q is not None:
         return vector_query(table, "image_embedding", list(q), top_k, where, distance_range,
                             IMAGE_DEFAULT_COLUMNS, desc,
-                            index_path=index_location(table_path, "image_embedding"))
+                            index_path=index_location(table_path, "image_embedding"),
+                            nprobes=nprobes, refine_factor=refine_factor)
     return scalar_query(table, where, top_k, IMAGE_DEFAULT_COLUMNS, desc)
 
 
