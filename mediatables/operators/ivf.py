@@ -153,22 +153,35 @@ def _check_model_size(n_floats: int) -> None:
 # Training
 # ---------------------------------------------------------------------------
 
-def _kmeans_centers(sample: DataFrame, column: str, k: int, seed: int, max_iter: int = 20) -> np.ndarray:
+def _kmeans(sample: DataFrame, column: str, k: int, seed: int,
+            max_iter: int = 20) -> tuple[np.ndarray, np.ndarray]:
+    """Centers and per-center sample sizes from MLlib KMeans."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     feats = sample.select(array_to_vector(F.col(column)).alias("features"))
     if k == 1:  # MLlib needs k >= 2; one centroid is the mean
         from pyspark.ml.stat import Summarizer
-        mean = feats.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"]
-        return np.asarray(mean, dtype=np.float64)[None, :]
+        row = feats.select(Summarizer.mean(F.col("features")).alias("m"),
+                           F.count(F.lit(1)).alias("n")).first()
+        return np.asarray(row["m"], dtype=np.float64)[None, :], np.array([row["n"]])
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(feats)
-    return np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
+    centers = np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
+    return centers, np.asarray(model.summary.clusterSizes, dtype=np.float64)
+
+
+def _kmeans_centers(sample: DataFrame, column: str, k: int, seed: int, max_iter: int = 20) -> np.ndarray:
+    return _kmeans(sample, column, k, seed, max_iter)[0]
 
 
 def train_centroids(df: DataFrame, column: str, num_partitions: int, sample_rate: int,
-                    seed: int = 7, n_rows: int | None = None) -> np.ndarray:
-    """V6 training: MLlib KMeans on a bounded random sample."""
+                    seed: int = 7, n_rows: int | None = None,
+                    with_sizes: bool = False):
+    """V6 training: MLlib KMeans on a bounded random sample.
+
+    With ``with_sizes`` also returns each centroid's estimated row count in
+    the whole table (sample cluster size / sample fraction).
+    """
     vecs = df.where(F.col(column).isNotNull()).select(column)
     n = vecs.count() if n_rows is None else n_rows
     if n < num_partitions:
@@ -176,7 +189,21 @@ def train_centroids(df: DataFrame, column: str, num_partitions: int, sample_rate
                          "use fewer partitions (e.g. num_partitions=1, index_type=IVF_FLAT)")
     fraction = min(1.0, num_partitions * sample_rate / max(n, 1))
     sample = vecs.sample(fraction=fraction, seed=seed) if fraction < 1.0 else vecs
-    return _kmeans_centers(sample, column, num_partitions, seed)
+    centers, sizes = _kmeans(sample, column, num_partitions, seed)
+    return (centers, sizes / fraction) if with_sizes else centers
+
+
+def writers_per_centroid(est_rows: np.ndarray | None, k: int, dim: int, default: int,
+                         target_file_bytes: int = 256 << 20) -> list[int]:
+    """Writers (output files) per centroid so each file holds ~target bytes.
+
+    A centroid holding a third of the table gets a third of the writers; a
+    fixed count would funnel it through a handful of tasks.
+    """
+    if est_rows is None:
+        return [default] * k
+    rows_per_file = max(1, target_file_bytes // (4 * dim + 64))
+    return [max(1, int(np.ceil(r / rows_per_file))) for r in est_rows]
 
 
 def train_pq(df: DataFrame, column: str, dim: int, num_sub_vectors: int, sample_rows: int,
@@ -268,8 +295,10 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
         raise ValueError(f"IVF_PQ needs at least num_partitions * {PQ_CODEBOOK_SIZE} = "
                          f"{num_partitions * PQ_CODEBOOK_SIZE} rows, got {n}; use fewer partitions "
                          "(e.g. num_partitions=1) or IVF_FLAT")
+    est_rows = None
     if centroids is None:
-        centers = train_centroids(df, column, num_partitions, sample_rate, seed, n_rows=n)
+        centers, est_rows = train_centroids(df, column, num_partitions, sample_rate, seed, n_rows=n,
+                                            with_sizes=True)
     else:
         centers = np.asarray(centroids, dtype=np.float64)
     index = IvfIndex(path=path, column=column, index_type=index_type, dim=dim,
@@ -286,9 +315,11 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
     elif index_type == "IVF_SQ":
         index.sq_lo, index.sq_hi = _sq_bounds(df, column)
         data = data.withColumn("sq_codes", sq_codes(F.col(column), index.sq_lo, index.sq_hi))
-    salt = F.pmod(F.xxhash64(F.col(column)), F.lit(files_per_partition))
+    writers = writers_per_centroid(est_rows, len(centers), dim, files_per_partition)
+    per_centroid = F.array(*[F.lit(w) for w in writers])
+    salt = F.pmod(F.xxhash64(F.col(column)), F.element_at(per_centroid, F.col("centroid_id") + 1))
     (data.withColumn("_salt", salt)
-         .repartition(max(1, len(centers) * files_per_partition), "centroid_id", "_salt")
+         .repartition(max(1, sum(writers)), "centroid_id", "_salt")
          .drop("_salt")
          .write.mode("overwrite").partitionBy("centroid_id").parquet(index.data_path))
     _write_model(spark, index)

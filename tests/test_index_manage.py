@@ -174,3 +174,9 @@ def test_nearest_rows_large_codebook_matches_loop():
     fast = ivf.nearest_rows(mat, centers)
     exact = ((mat[:, None, :] - centers[None, :, :]) ** 2).sum(-1).argmin(axis=1)
     assert (fast == exact).mean() > 0.999
+
+
+def test_writers_follow_centroid_sizes():
+    w = ivf.writers_per_centroid(np.array([3e9, 1e6, 0.0]), 3, 512, 4)
+    assert w[0] > 1000 * w[1] and w[2] == 1
+    assert ivf.writers_per_centroid(None, 3, 512, 4) == [4, 4, 4]
