@@ -6,8 +6,9 @@ Build:
   2. assign every row to its nearest centroid in an Arrow-batched pandas UDF
      (one numpy pass per batch, centroids shipped with the function - their
      size is ``num_partitions x dim``, fixed by the index parameters);
-  3. write the rows partitioned by ``centroid_id`` (hash-spread over a few
-     files per centroid so no single task writes a whole cluster).
+  3. write the rows partitioned by ``centroid_id``, hash-spread over a number
+     of writers proportional to each centroid's estimated size (from the
+     training sample), so no task writes a whole large cluster.
   IVF_PQ adds per-sub-space codebooks (MLlib KMeans per sub-space on the same
   sample) and a ``pq_codes`` column; IVF_SQ adds per-dimension min/max (a
   distributed aggregate) and 8-bit ``sq_codes``.
