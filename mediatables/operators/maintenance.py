@@ -255,13 +255,25 @@ def drop_indexes(spark: SparkSession, table: str) -> bool:
     return bool(fs.exists(path) and fs.delete(path, True))
 
 
+def partition_bytes(spark: SparkSession, path: str) -> int:
+    """On-disk size of a directory (file-system metadata only)."""
+    fs, p, _ = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
 def compact(spark: SparkSession, table: str, partitions: list[str] | None = None,
-            files_per_partition: int = 1) -> list[str]:
-    """T4: rewrite partitions into ``files_per_partition`` files, time-sorted."""
+            files_per_partition: int | None = None,
+            target_file_bytes: int = 256 << 20) -> list[str]:
+    """T4: rewrite partitions into fewer, time-sorted files.
+
+    By default each partition gets ``ceil(bytes / target_file_bytes)`` files,
+    so a large day is still rewritten by many tasks.
+    """
     done = []
-    for value in sorted(list_partitions(spark, table)):
+    for value, path in sorted(list_partitions(spark, table).items()):
         if partitions is not None and value not in partitions:
             continue
-        _rewrite_partition(spark, table, value, None, files=files_per_partition)
+        files = files_per_partition or max(1, -(-partition_bytes(spark, path) // target_file_bytes))
+        _rewrite_partition(spark, table, value, None, files=files)
         done.append(value)
     return done
