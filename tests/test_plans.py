@@ -69,7 +69,10 @@ def test_append_does_not_shuffle(spark, tmp):
     from mediatables.sources.sinks import append_asset
     df = spark.read.parquet(f"{SF01}/events.parquet").withColumnRenamed("ts", "ingest_time")
     spark.sparkContext.setJobGroup("append-check", "append")
-    append_asset(df, os.path.join(tmp, "t"))
+    try:
+        append_asset(df, os.path.join(tmp, "t"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     status = spark.sparkContext.statusTracker()
     jobs_ = status.getJobIdsForGroup("append-check")
     stages = [s for j in jobs_ for s in (status.getJobInfo(j).stageIds if status.getJobInfo(j) else [])]
