@@ -121,3 +121,21 @@ def test_catalog_samples_through_virtual_paths(spark, tmp):
     with pytest.raises(ValueError):
         fileset.resolve_path(reg, "gvfs://fileset/cat/sch/nope/x")
     assert fileset.resolve_path(reg, "/plain/path") == "/plain/path"
+
+
+def test_per_row_fetch_and_desc_formats(spark, tmp):
+    from mediatables.sources import fetch
+    good = os.path.join(tmp, "a.bin")
+    with open(good, "wb") as fp:
+        fp.write(b"abc")
+    m = spark.createDataFrame([("a", good), ("b", os.path.join(tmp, "gone.bin")), ("c", None)],
+                              "doc_id string, s3_url string")
+    got = {r.doc_id: r.content for r in fetch.fetch_content(m, fetch.read_local_file).collect()}
+    assert got == {"a": bytearray(b"abc"), "b": None, "c": None}
+    js = os.path.join(tmp, "desc.jsonl")
+    write_jsonl(js, [{"doc_id": "a", "description": "x", "extra": 1}])
+    csv = os.path.join(tmp, "desc.csv")
+    with open(csv, "w") as fp:
+        fp.write('doc_id,description\na,"multi\nline"\n')
+    assert [tuple(r) for r in readers.read_desc_table(spark, js).collect()] == [("a", "x")]
+    assert [tuple(r) for r in readers.read_desc_table(spark, csv).collect()] == [("a", "multi\nline")]
