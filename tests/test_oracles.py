@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from tests.conftest import SF01
-from tools.oracle_check import TABLES, duck_rows, spark_rows
+from tools.oracle_check import TABLES, duck_rows, spark_rows, type_mismatches
 
 import __spark_entry__ as contract
 
@@ -27,9 +27,11 @@ def test_every_query_is_registered_with_a_callable():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    cols, rows = spark_rows(QUERIES[name](spark, SF01))
+    df = QUERIES[name](spark, SF01)
+    cols, rows = spark_rows(df)
     ocols, orows = duck_rows(con, ORACLES[name])
     assert cols == ocols
+    assert type_mismatches(df, con, ORACLES[name]) == {}
     assert len(rows) == len(orows)
     assert rows == orows
 
