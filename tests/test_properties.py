@@ -51,3 +51,19 @@ def test_dominant_in_array_matches_counter(spark, seqs):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(seqs)], "i int, t array<string>")
     got = [r.d for r in df.orderBy("i").select(dominant_in_array(F.col("t")).alias("d")).collect()]
     assert got == [reference_mode(s) for s in seqs]
+
+
+def reference_redact(text):
+    import re
+    from mediatables.schemas import ID_CARD_PATTERN, ID_REPLACEMENT, PHONE_PATTERN, PHONE_REPLACEMENT
+    text = re.sub(ID_CARD_PATTERN, ID_REPLACEMENT, text, flags=re.ASCII)
+    return re.sub(PHONE_PATTERN, PHONE_REPLACEMENT, text, flags=re.ASCII)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789Xx 号１３", min_size=0, max_size=40), min_size=20, max_size=80))
+def test_redaction_matches_python_ascii_regex(spark, texts):
+    from mediatables.functions.redact import redact_pii
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.r for r in df.orderBy("i").select(redact_pii(F.col("t")).alias("r")).collect()]
+    assert got == [reference_redact(t) for t in texts]
