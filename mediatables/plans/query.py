@@ -118,6 +118,7 @@ def vector_query(table: DataFrame, column: str, q: Sequence[float], top_k: int =
     else:
         top = knn_ops.knn(table, column, q, top_k, where=where, distance_range=distance_range,
                           metric=metric, tie_breakers=tie)
+    cols = [c for c in cols if c in top.columns]   # an older index may predate a column
     top = top.select(*cols, knn_ops.DIST_COL)
     out_cols = list(cols)
     if desc is not None:
