@@ -54,6 +54,9 @@ def dense_positions(df: DataFrame, key: str, order_cols: Sequence[str],
         "_pid", key, "_first",
         F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_offset"),
         F.sum("_c").over(Window.partitionBy(key)).alias(count_col))
+    # Small (partitions + keys rows): materialised once, so callers that use
+    # the positions twice (e.g. a previous-row join) do not re-aggregate.
+    per_part = per_part.checkpoint(eager=True)
     out = tagged.join(checked_broadcast(per_part), ["_pid", key])
     return out.withColumn(pos_col, F.col("_offset") + F.col("_local") - F.col("_first")) \
               .drop("_pid", "_local", "_first", "_offset")
