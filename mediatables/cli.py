@@ -45,7 +45,7 @@ def build_parser() -> argparse.ArgumentParser:
     m.add_argument("--out", required=True)
     m.add_argument("--media", choices=["audio", "image"], default="image")
 
-    aa = sub.add_parser("analyze-audio", help="C1")
+    aa = sub.add_parser("analyze-audio", help="C1: manifest -> duration gate -> ASR -> redaction -> tags [-> embedding]")
     aa.add_argument("--manifest", required=True)
     aa.add_argument("--out", required=True)
     aa.add_argument("--embed", action="store_true")
@@ -53,7 +53,7 @@ def build_parser() -> argparse.ArgumentParser:
     aa.add_argument("--asr-factory", required=True)
     aa.add_argument("--llm-factory")
 
-    ia = sub.add_parser("ingest-audio", help="C2")
+    ia = sub.add_parser("ingest-audio", help="C2: analysis + audio bytes -> append to the asset table")
     ia.add_argument("--analysis", required=True)
     ia.add_argument("--table", required=True)
     ia.add_argument("--root", action="append", default=[])
@@ -67,7 +67,7 @@ def build_parser() -> argparse.ArgumentParser:
     qa.add_argument("--distance-min", type=float)
     qa.add_argument("--distance-max", type=float)
 
-    ai = sub.add_parser("analyze-images", help="C4")
+    ai = sub.add_parser("analyze-images", help="C4: manifest -> status, measures, verdicts [-> embedding]")
     ai.add_argument("--manifest", required=True)
     ai.add_argument("--out", required=True)
     ai.add_argument("--root", action="append", required=True)
@@ -75,7 +75,7 @@ def build_parser() -> argparse.ArgumentParser:
     ai.add_argument("--quality-factory")
     ai.add_argument("--embedder-factory")
 
-    ii = sub.add_parser("ingest-images", help="C5")
+    ii = sub.add_parser("ingest-images", help="C5: analysis + image bytes -> append to the asset table")
     ii.add_argument("--analysis", required=True)
     ii.add_argument("--table", required=True)
     ii.add_argument("--root", action="append", default=[])
@@ -93,7 +93,7 @@ def build_parser() -> argparse.ArgumentParser:
     qi.add_argument("--distance-min", type=float)
     qi.add_argument("--distance-max", type=float)
 
-    ix = sub.add_parser("index", help="C7")
+    ix = sub.add_parser("index", help="C7: IVF vector index and/or ingest_time zone map")
     ix.add_argument("--table", required=True)
     ix.add_argument("--no-embedding", dest="embedding", action="store_false")
     ix.add_argument("--no-time", dest="time", action="store_false")
