@@ -67,3 +67,21 @@ def test_redaction_matches_python_ascii_regex(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r.r for r in df.orderBy("i").select(redact_pii(F.col("t")).alias("r")).collect()]
     assert got == [reference_redact(t) for t in texts]
+
+
+def reference_resize(h, w, long_edge=1024):
+    edge = max(h, w)
+    if edge <= long_edge:
+        return h, w
+    scale = long_edge / edge
+    return max(1, round(h * scale)), max(1, round(w * scale))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 5000), st.integers(1, 5000)), min_size=20, max_size=80))
+def test_resize_dims_match_python_round(spark, dims):
+    from mediatables.functions.imaging import resized_dims
+    df = spark.createDataFrame([(i, h, w) for i, (h, w) in enumerate(dims)], "i int, h bigint, w bigint")
+    nh, nw, _ = resized_dims(F.col("h"), F.col("w"), 1024)
+    got = [(r.a, r.b) for r in df.orderBy("i").select(nh.alias("a"), nw.alias("b")).collect()]
+    assert got == [reference_resize(h, w) for h, w in dims]
