@@ -85,3 +85,21 @@ def test_resize_dims_match_python_round(spark, dims):
     nh, nw, _ = resized_dims(F.col("h"), F.col("w"), 1024)
     got = [(r.a, r.b) for r in df.orderBy("i").select(nh.alias("a"), nw.alias("b")).collect()]
     assert got == [reference_resize(h, w) for h, w in dims]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.integers(min_value=0, max_value=10_000), st.integers(min_value=1, max_value=40))
+def test_vector_expressions_match_numpy(spark, seed, dim):
+    from mediatables.functions.vectors import dot, l2_normalize, squared_l2
+    rng = np.random.default_rng(seed)
+    vecs = rng.standard_normal((25, dim))
+    vecs[0] = 0.0                                     # zero vector stays as is
+    q = rng.standard_normal(dim).tolist()
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "i int, v array<double>")
+    rows = df.orderBy("i").select(squared_l2(F.col("v"), q).alias("d"), dot(F.col("v"), q).alias("p"),
+                                  l2_normalize(F.col("v")).alias("n")).collect()
+    qv = np.asarray(q)
+    for v, r in zip(vecs, rows):
+        assert np.isclose(r.d, ((v - qv) ** 2).sum()) and np.isclose(r.p, v @ qv)
+        norm = np.linalg.norm(v)
+        assert np.allclose(r.n, v / norm if norm > 0 else v)
