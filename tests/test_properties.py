@@ -103,3 +103,14 @@ def test_vector_expressions_match_numpy(spark, seed, dim):
         assert np.isclose(r.d, ((v - qv) ** 2).sum()) and np.isclose(r.p, v @ qv)
         norm = np.linalg.norm(v)
         assert np.allclose(r.n, v / norm if norm > 0 else v)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.text(max_size=30)),
+                          st.one_of(st.none(), st.sampled_from(["", "ANGRY", "NEUTRAL", "SAD"]))),
+                min_size=10, max_size=40))
+def test_prompt_expression_matches_python_twin(spark, pairs):
+    from mediatables.functions.tagging import build_prompt, build_prompt_text
+    df = spark.createDataFrame([(i, t, e) for i, (t, e) in enumerate(pairs)], "i int, t string, e string")
+    got = [r.p for r in df.orderBy("i").select(build_prompt(F.col("t"), F.col("e")).alias("p")).collect()]
+    assert got == [build_prompt_text(t, e) for t, e in pairs]
