@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, quality
+from ..session import scratch_path
+from . import exact_dedup, packing, quality, token_files, url_filter
+
+TOKENIZER = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +26,42 @@ def _register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     return fn
 
 
+@_register
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(_table(spark, sf_dir, "pages"))
+
+
+ORACLES["op4_url_filter"] = """
+WITH u AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/'
+  END AS rule FROM u)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+    WHEN rule IN ('example.com/de/', 'net/') THEN 'block'
+    WHEN regexp_matches(host || path,
+         '(?s)casino|free-bets|cheap-pills|adult-x|/wp-login[^/]*$|/cgi-bin/') THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM r
+"""
+
+
+@_register
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
 @_register
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
@@ -39,3 +80,10 @@ FROM t JOIN g ON t.norm = g.norm
 @_register
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
+    return token_files.read_documents(spark.read.schema(token_files.BLOCKS).parquet(path))

@@ -1,23 +1,39 @@
 """Token ids from the tokenizers library, for whole batches of texts.
 
 The byte-level pre-tokenizer never joins characters across a space that is
-followed by a non-space, so a text is cut there and the ids of a piece are
-looked up in a bounded cache; only new pieces reach the tokenizer.
+followed by a non-space, so a text is cut there and the ids of each word are
+looked up in a bounded cache; only new words reach the tokenizer. A text
+with any other space goes to the tokenizer whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
+from itertools import chain
 
 import numpy as np
 
-CACHE_PIECES = 600_000
-ID_TYPE = "<u2"
+CACHE_WORDS = 500_000
+# Characters on which two definitions of white space may differ.
+_DISPUTED = frozenset("\x85᠎​﻿")
+_LETTERS_AND_MARK = re.compile(r"[.,;:!?]")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies spell the 256 bytes:
+    printable Latin-1 as itself, the others from code point 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 class Encoder:
-    """Ids of texts under one vocabulary, special strings read as plain text."""
+    """Ids of texts under one byte-level vocabulary.
+
+    The strings of special tokens are read as plain text.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -25,31 +41,65 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._width = np.dtype(ID_TYPE if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self._cache: dict[str, bytes] = {}
-
-    # A space that does not begin a piece: doubled, at the end, or before
-    # other white space. What white space is, the tokenizer's own pattern says.
-    _ODD = re.compile(r" (?=\s|\Z)|[\x1c-\x1f]")
-
-    def _pieces(self, text: str) -> list[str]:
-        if self._ODD.search(text):
-            return [p for p in re.split(r"(?= [^\s\x1c-\x1f\x85​-‏᠎﻿])", text) if p]
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + p for p in rest]
+        self._model = self._tokenizer.model
+        self.size = self._tokenizer.get_vocab_size()
+        self._code = "H" if self.size <= 1 << 16 else "I"
+        self.dtype = np.dtype(self._code)
+        self._letters = _byte_letters()
+        self._known = _Words()
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return array(self._code, ids).tobytes()
+
+    def _one(self, piece: str) -> bytes:
+        """Ids of a piece that the pre-tokenizer leaves whole."""
+        spelled = piece.encode().decode("latin-1").translate(self._letters)
+        return self._pack([t.id for t in self._model.tokenize(spelled)])
+
+    def _learn(self, words: list[str], into: dict[str, bytes | None]) -> None:
+        """Ids of each word with a space before it; None: not cut here."""
+        rest = []
+        for w in words:
+            if not w or w[0].isspace() or w[0] in _DISPUTED:
+                into[w] = None
+            elif w.isalpha():
+                into[w] = self._one(" " + w)
+            elif w[:-1].isalpha() and _LETTERS_AND_MARK.match(w[-1]):
+                stem = self._known.get(w[:-1]) or self._one(" " + w[:-1])
+                into[w] = stem + self._one(w[-1])
+            else:
+                rest.append(w)
+        for w, got in zip(rest, self._tokenizer.encode_batch_fast(
+                [" " + w for w in rest], add_special_tokens=False)):
+            into[w] = self._pack(got.ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids per text; an empty text has none."""
-        if len(self._cache) > CACHE_PIECES:
-            self._cache.clear()
-        cache = self._cache
-        cut = [self._pieces(t) for t in texts]
-        new = list({p for pieces in cut for p in pieces if p not in cache})
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for piece, got in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                cache[piece] = np.array(got.ids, self._width).tobytes()
-        return [np.frombuffer(b"".join(map(cache.__getitem__, pieces)), self._width) for pieces in cut]
+        known = self._known
+        cut = [t.split(" ") for t in texts]
+        new = set(chain.from_iterable(cut)).difference(known)
+        extra = known if len(known) < CACHE_WORDS else {}
+        known.extra = extra
+        self._learn(list(new), extra)
+        heads = self._tokenizer.encode_batch_fast([w[0] for w in cut], add_special_tokens=False)
+        out, get = [], known.__getitem__
+        for text, words, head in zip(texts, cut, heads):
+            parts = list(map(get, words[1:]))
+            if None in parts:
+                ids = self._pack(self._tokenizer.encode(text, add_special_tokens=False).ids)
+            else:
+                ids = self._pack(head.ids) + b"".join(parts)
+            out.append(np.frombuffer(ids, self.dtype))
+        return out
+
+
+class _Words(dict):
+    """Known words; once full, those of one batch are looked up beside it."""
+
+    extra: dict[str, bytes | None] = {}
+
+    def __missing__(self, word: str):
+        return self.extra[word]
 
 
 _ENCODERS: dict[str, Encoder] = {}
