@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import exact_dedup, packing, quality, token_files, url_filter
+from . import exact_dedup, mixing, packing, quality, token_files, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -87,3 +87,71 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
     return token_files.read_documents(spark.read.schema(token_files.BLOCKS).parquet(path))
+
+
+@_register
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_mixing"] = """
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+         CASE WHEN source IN ('src0', 'src1', 'src2', 'src3') THEN 'web'
+              WHEN source IN ('src4', 'src5', 'src6', 'src7', 'src8', 'src9') THEN 'reference'
+              ELSE 'forum' END AS domain,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS tokens
+  FROM documents),
+leaves AS (SELECT domain, lang, source, sum(tokens)::HUGEINT AS tokens, 2 * sum(tokens)::HUGEINT AS cap
+           FROM d GROUP BY ALL),
+root AS (SELECT least(sum(tokens) * 80 // 100, sum(cap))::HUGEINT AS budget FROM leaves),
+d0 AS (
+  SELECT domain, sum(cap)::HUGEINT AS cap, any_value(budget) AS budget,
+         CASE domain WHEN 'web' THEN 50 WHEN 'reference' THEN 30 ELSE 20 END::HUGEINT AS weight
+  FROM leaves, root GROUP BY domain),
+d1 AS (
+  SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / weight, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS used,
+         sum(weight) OVER (ORDER BY cap / weight, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS left_weight
+  FROM d0),
+d2 AS (SELECT *, cap * left_weight <= weight * (budget - used) AS is_full FROM d1),
+d3 AS (
+  SELECT domain, CASE WHEN is_full THEN cap ELSE
+    (budget - (sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ())::HUGEINT) * weight
+      // nullif((sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ())::HUGEINT, 0) END AS budget
+  FROM d2),
+l0 AS (
+  SELECT domain, lang, sum(cap)::HUGEINT AS cap, any_value(d3.budget) AS budget,
+         CASE lang WHEN 'en' THEN 60 WHEN 'de' THEN 15 WHEN 'fr' THEN 15 WHEN 'es' THEN 10 ELSE 1 END::HUGEINT AS weight
+  FROM leaves JOIN d3 USING (domain) GROUP BY domain, lang),
+l1 AS (
+  SELECT *, coalesce(sum(cap) OVER (PARTITION BY domain ORDER BY cap / weight, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS used,
+         sum(weight) OVER (PARTITION BY domain ORDER BY cap / weight, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS left_weight
+  FROM l0),
+l2 AS (SELECT *, cap * left_weight <= weight * (budget - used) AS is_full FROM l1),
+l3 AS (
+  SELECT domain, lang, CASE WHEN is_full THEN cap ELSE
+    (budget - (sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER (PARTITION BY domain))::HUGEINT) * weight
+      // nullif((sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER (PARTITION BY domain))::HUGEINT, 0) END AS budget
+  FROM l2),
+s0 AS (SELECT domain, lang, source, tokens, cap, l3.budget, 1::HUGEINT AS weight FROM leaves JOIN l3 USING (domain, lang)),
+s1 AS (
+  SELECT *, coalesce(sum(cap) OVER (PARTITION BY domain, lang ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS used,
+         sum(weight) OVER (PARTITION BY domain, lang ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS left_weight
+  FROM s0),
+s2 AS (SELECT *, cap * left_weight <= weight * (budget - used) AS is_full FROM s1),
+s3 AS (
+  SELECT domain, lang, source, tokens AS leaf_tokens, CASE WHEN is_full THEN cap ELSE
+    (budget - (sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER (PARTITION BY domain, lang))::HUGEINT) * weight
+      // nullif((sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER (PARTITION BY domain, lang))::HUGEINT, 0) END AS leaf_budget
+  FROM s2),
+p AS (
+  SELECT d.*, leaf_tokens::BIGINT AS leaf_tokens, leaf_budget::BIGINT AS leaf_budget,
+         coalesce(leaf_budget // nullif(leaf_tokens, 0), 0)::BIGINT AS epochs,
+         coalesce(leaf_budget % nullif(leaf_tokens, 0), 0)::BIGINT AS rest
+  FROM d JOIN s3 USING (domain, lang, source)),
+h AS (SELECT *, md5('7:' || epochs || ':' || coalesce(doc_id::VARCHAR, '(none)')) AS h FROM p),
+c AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY h) AS upto FROM h)
+SELECT doc_id, domain, lang, source, tokens, leaf_tokens, leaf_budget,
+       epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS copies
+FROM c
+"""
