@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import exact_dedup, mixing, packing, quality, token_files, url_filter
+from . import exact_dedup, mixing, near_join, packing, quality, token_files, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -155,3 +155,8 @@ SELECT doc_id, domain, lang, source, tokens, leaf_tokens, leaf_budget,
        epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS copies
 FROM c
 """
+
+
+@_register
+def op2_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.near_classes(_table(spark, sf_dir, "documents"))
