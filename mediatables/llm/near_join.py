@@ -40,7 +40,7 @@ THRESHOLD = Fraction(4, 5)
 RECALL = 0.999
 BRANCH = 4
 MAX_DEPTH = 3
-SMALL = 256
+SMALL = 16
 CELL = 1024
 COLUMNS = 4096
 _TOKEN = np.dtype("<u4")

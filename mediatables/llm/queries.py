@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import exact_dedup, mixing, near_join, packing, quality, token_files, url_filter
+from . import exact_dedup, mixing, near_join, packing, quality, token_files, toxicity, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -160,3 +160,11 @@ FROM c
 @_register
 def op2_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.near_classes(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").withColumn("junk", 1 - F.col("quality"))
+    categories = ["junk", "toxic"]
+    return toxicity.score(docs, toxicity.train(docs, labels, categories), categories)
