@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import exact_dedup, mixing, near_join, packing, quality, token_files, toxicity, url_filter
+from . import exact_dedup, mixing, near_join, packing, pii, quality, token_files, toxicity, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -168,3 +168,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").withColumn("junk", 1 - F.col("quality"))
     categories = ["junk", "toxic"]
     return toxicity.score(docs, toxicity.train(docs, labels, categories), categories)
+
+
+@_register
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(_table(spark, sf_dir, "documents"))
