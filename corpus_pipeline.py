@@ -1,30 +1,59 @@
 """A training-corpus pipeline over the documents table.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
-written as Parquet and read again as the next stage's documents.
+written as Parquet and read again as the next stage's documents. All stages
+but the last return the columns of documents; packing returns the pieces of
+the training sequences.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mediatables.llm import exact_dedup, quality
+from mediatables.llm import exact_dedup, mixing, near_join, packing, quality
 from mediatables.llm.common import written
+from mediatables.llm.queries import TOKENIZER
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
     return quality.keep_good(docs)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
     return exact_dedup.drop_exact_copies(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return near_join.drop_near_copies(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the packed sequences."""
+    pieces = packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
 STAGES = [
     ("quality_rules", quality_stage),
     ("exact_dedup", exact_stage),
+    ("near_join", near_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
+# Near duplicates by sampled paths, the word-level rules and the token ids
+# have no SQL form; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
