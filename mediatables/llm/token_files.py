@@ -37,6 +37,7 @@ BLOCK_IDS = 1 << 18
 ROUNDS = 3
 PAIRS_PER_ROUND = 4096
 MIN_COUNT = 8
+SLOTS = 1 << 17
 END_ID = 0
 
 BLOCKS = T.StructType([
@@ -46,6 +47,10 @@ BLOCKS = T.StructType([
 ])
 
 
+def _slot(keys: np.ndarray) -> np.ndarray:
+    return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS.bit_length() + 1)
+
+
 def replace_pairs(symbols: np.ndarray, ends: np.ndarray, first_new: int,
                   most: int = PAIRS_PER_ROUND, min_count: int = MIN_COUNT):
     """One round: the rules made, the shorter sequence and its document ends.
@@ -66,12 +71,16 @@ def replace_pairs(symbols: np.ndarray, ends: np.ndarray, first_new: int,
     if not len(frequent):
         return none, symbols, ends
     by_count = frequent[np.argsort(-counts[frequent], kind="stable")][:most]
+    # Ranks by a direct-mapped table; of pairs that fall into one slot the most
+    # frequent has it, and the others wait for the next round.
     picked = ordered[heads[by_count]]
-    order = np.argsort(picked)
-    place = np.searchsorted(picked[order], keys)
-    place[place == len(picked)] = 0
-    rank = order[place]
+    table = np.zeros(SLOTS, np.int32)
+    table[_slot(picked)[::-1]] = np.arange(len(picked), dtype=np.int32)[::-1]
+    picked = picked[table[_slot(picked)] == np.arange(len(picked))]
     never = len(picked)
+    table[:] = 0
+    table[_slot(picked)] = np.arange(never, dtype=np.int32)
+    rank = table[_slot(keys)]
     rank[(picked[rank] != keys) | ~inside] = never
     before = np.concatenate(([never], rank[:-1]))
     after = np.concatenate((rank[1:], [never]))
