@@ -307,7 +307,8 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
     if time_col in df.columns:
         upto = df.agg(F.max(time_col).cast("string")).first()[0]
         index.indexed_upto = upto
-    data = df.withColumn("centroid_id", assign_udf(centers)(F.col(column)))
+    # Rows without a vector are never search results and would share one task.
+    data = df.where(F.col(column).isNotNull()).withColumn("centroid_id", assign_udf(centers)(F.col(column)))
     if index_type == "IVF_PQ":
         books = train_pq(df, column, dim, num_sub_vectors, num_partitions * sample_rate, seed, n_rows=n)
         index.num_sub_vectors = num_sub_vectors
@@ -318,7 +319,8 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
         data = data.withColumn("sq_codes", sq_codes(F.col(column), index.sq_lo, index.sq_hi))
     writers = writers_per_centroid(est_rows, len(centers), dim, files_per_partition)
     per_centroid = F.array(*[F.lit(w) for w in writers])
-    salt = F.pmod(F.xxhash64(F.col(column)), F.element_at(per_centroid, F.col("centroid_id") + 1))
+    # Salted by the whole row: equal vectors of different rows spread too.
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.element_at(per_centroid, F.col("centroid_id") + 1))
     (data.withColumn("_salt", salt)
          .repartition(max(1, sum(writers)), "centroid_id", "_salt")
          .drop("_salt")
@@ -417,10 +419,23 @@ def ivf_search(spark: SparkSession, index: IvfIndex | str, q: Sequence[float], k
         index = load_index(spark, index)
     if len(q) != index.dim:
         raise ValueError(f"query has {len(q)} dimensions, index has {index.dim}")
-    ids = probe_ids(index, q, nprobes)
-    data = spark.read.parquet(index.data_path).where(F.col("centroid_id").isin(ids))
-    data = knn_ops._where(data.where(F.col(index.column).isNotNull()), where)
+    stored = spark.read.parquet(index.data_path)
     col = F.col(index.column)
+    order = probe_ids(index, q, len(index.centroids))
+    probes = max(1, nprobes)
+    while True:
+        data = stored.where(F.col("centroid_id").isin(order[:probes]))
+        data = knn_ops._where(data.where(col.isNotNull()), where)
+        if distance_range is not None:  # before any cut to the nearest
+            low, high = distance_range
+            data = (knn_ops.with_distance(data, index.column, list(q), "l2", "_range", "expr")
+                    .where((F.col("_range") >= F.lit(float(low))) & (F.col("_range") < F.lit(float(high))))
+                    .drop("_range"))
+        # A filter may leave too few rows in the nearest partitions.
+        filtered = where is not None or distance_range is not None
+        if not filtered or probes >= len(order) or data.limit(k).count() >= k:
+            break
+        probes = min(len(order), 4 * probes)
     if index.index_type == "IVF_FLAT":
         cand = data
     else:

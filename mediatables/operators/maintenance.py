@@ -185,7 +185,11 @@ def _rewrite_partition(spark: SparkSession, table: str, value: str, keep: Column
     fs, root, jvm = _fs(spark, table)
     part_dir = f"{table.rstrip('/')}/{PARTITION_COL}={value}"
     staging = f"{table.rstrip('/')}/_rewrite-{uuid.uuid4().hex[:12]}"
-    rows = spark.read.option("basePath", table).parquet(part_dir)
+    # One file's schema may lack columns that a later append brought.
+    from ..sources.sinks import table_schema
+    reader = spark.read.option("basePath", table)
+    declared = table_schema(spark, table)
+    rows = (reader.schema(declared) if declared is not None else reader.option("mergeSchema", "true")).parquet(part_dir)
     if keep is not None:
         rows = rows.where(keep)
     if files:
@@ -193,9 +197,14 @@ def _rewrite_partition(spark: SparkSession, table: str, value: str, keep: Column
     rows.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(staging)
     new_dir = jvm.org.apache.hadoop.fs.Path(f"{staging}/{PARTITION_COL}={value}")
     old_dir = jvm.org.apache.hadoop.fs.Path(part_dir)
-    fs.delete(old_dir, True)
-    if fs.exists(new_dir):
-        fs.rename(new_dir, old_dir)
+    # The old rows move aside and go last, so a copy exists at every step.
+    aside = jvm.org.apache.hadoop.fs.Path(f"{staging}/_old")
+    if not fs.rename(old_dir, aside):
+        raise OSError(f"cannot move {part_dir} aside; the table is unchanged")
+    if fs.exists(new_dir) and not fs.rename(new_dir, old_dir):
+        if not fs.rename(aside, old_dir):
+            raise OSError(f"cannot restore {part_dir}; its rows are in {staging}/_old")
+        raise OSError(f"cannot replace {part_dir}; the table is unchanged")
     fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
 
 

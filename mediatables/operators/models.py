@@ -13,10 +13,12 @@ a lazy plan or a retried task would call the model again.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +26,14 @@ from pyspark.sql import types as T
 _MODEL_CACHE: dict[Any, Any] = {}
 
 
-def cached_model(factory: Callable[[], Any]) -> Any:
+def model_key(factory: Callable[[], Any]) -> Any:
+    """A key that stays the same however often the factory is unpickled."""
+    return getattr(factory, "cache_key", None) or hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
+
+
+def cached_model(factory: Callable[[], Any], key: Any = None) -> Any:
     """The worker-local instance built by ``factory`` (built on first use)."""
-    key = getattr(factory, "cache_key", None) or factory
+    key = key or model_key(factory)
     model = _MODEL_CACHE.get(key)
     if model is None:
         model = factory()
@@ -41,9 +48,11 @@ def batch_udf(factory: Callable[[], Any], return_type: T.DataType,
     The UDF is marked non-deterministic by default so a filter on its output
     cannot make Catalyst evaluate it twice.
     """
+    key = model_key(factory)  # on the driver, once
+
     @F.pandas_udf(return_type)
     def _run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        model = cached_model(factory)
+        model = cached_model(factory, key)
         fn = getattr(model, method)
         for batch in batches:
             cols = batch if isinstance(batch, tuple) else (batch,)

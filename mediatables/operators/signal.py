@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import l2_normalize
@@ -51,68 +51,32 @@ def mix_to_mono(samples: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     return samples.groupBy(*keys, *order_cols).agg(F.avg(value).alias(value))
 
 
-def choose_method(base: DataFrame, key: str) -> str:
-    """``ranged`` when the largest key holds more rows than an average task
-    would (one partial-aggregated pass over the key column), else ``window``."""
-    p = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stats = (base.groupBy(key).count()
-             .agg(F.max("count").alias("top"), F.sum("count").alias("total")).first())
-    if stats is None or not stats["total"]:
-        return "window"
-    return "ranged" if stats["top"] * p > stats["total"] else "window"
-
-
 def bucket_stats(samples: DataFrame, key: str, order_cols: Sequence[str],
-                 value: str = "value", buckets: int = 64, method: str = "auto") -> DataFrame:
+                 value: str = "value", buckets: int = 64) -> DataFrame:
     """A6 + A7 + A9 per key: ``(key, rms array[B], zcr array[B])``.
 
-    ``method="window"``: positions, count, peak and previous sample come from
-    one window sorted by ``order_cols`` (unique per key) - one shuffle on
-    ``key``, fastest when keys are many and similar in size.
-    ``method="auto"`` picks between them from the key sizes (:func:`choose_method`).
-    ``method="ranged"``: skew-safe - positions from
-    :func:`operators.positions.dense_positions`, the previous sample from a
-    join on ``(key, i - 1)``, peak and sizes from partial aggregations; no
-    task ever holds a whole key.
+    Positions come from :func:`operators.positions.dense_positions`, the
+    previous sample from a join on ``(key, i - 1)``, peak and sizes from
+    partial aggregations; no task ever holds a whole key.
     Everything after the per-bucket aggregation works on ``keys x B`` rows.
     """
     x = F.col(value).cast("double")
     base = samples.where(F.col(value).isNotNull()).select(
         F.col(key), *[F.col(c) for c in order_cols], x.alias("x"))
-    if method == "auto":
-        method = choose_method(base, key)
-    if method == "window":
-        w = Window.partitionBy(key).orderBy(*order_cols)
-        whole = Window.partitionBy(key)
-        s = (base.withColumn("i", F.row_number().over(w) - 1)
-             .withColumn("n", F.count(F.lit(1)).over(whole))
-             .withColumn("peak", F.max(F.abs("x")).over(whole))
-             .withColumn("prev_sign", F.lag(signbit(F.col("x"))).over(w)))
-        b = bucket_of(F.col("i"), F.col("n"), buckets)
-        prev_b = bucket_of(F.col("i") - 1, F.col("n"), buckets)
-        norm = F.when(F.col("peak") > 0, F.col("x") / F.col("peak")).otherwise(F.col("x"))
-        flip = F.when((F.col("i") > 0) & (prev_b == b), F.abs(signbit(F.col("x")) - F.col("prev_sign")))
-        per_bucket = (s.select(F.col(key), b.alias("bucket"), norm.alias("xn"), flip.alias("flip"))
-                      .groupBy(key, "bucket")
-                      .agg(F.sqrt(F.avg(F.col("xn") * F.col("xn"))).alias("rms"),
-                           F.count(F.lit(1)).alias("size"), F.sum("flip").alias("flips")))
-    elif method == "ranged":
-        from .positions import dense_positions, with_previous
-        pos = dense_positions(base, key, order_cols)
-        pos = pos.select(key, "x", "i", bucket_of(F.col("i"), F.col("n"), buckets).alias("bucket"),
-                         signbit(F.col("x")).alias("sign"))
-        pos = with_previous(pos, key, ["bucket", "sign"])
-        flip = F.when(F.col("prev_bucket") == F.col("bucket"), F.abs(F.col("sign") - F.col("prev_sign")))
-        raw = (pos.groupBy(key, "bucket")
-               .agg(F.avg(F.col("x") * F.col("x")).alias("ex2"), F.count(F.lit(1)).alias("size"),
-                    F.sum(flip).alias("flips")))
-        peak = base.groupBy(key).agg(F.max(F.abs("x")).alias("peak"))
-        per_bucket = raw.join(peak, key).select(
-            key, "bucket", "size", "flips",
-            F.when(F.col("peak") > 0, F.sqrt(F.col("ex2")) / F.col("peak"))
-            .otherwise(F.sqrt(F.col("ex2"))).alias("rms"))
-    else:
-        raise ValueError(f"unknown method {method!r}; use window or ranged")
+    from .positions import dense_positions, with_previous
+    pos = dense_positions(base, key, order_cols)
+    pos = pos.select(key, "x", "i", bucket_of(F.col("i"), F.col("n"), buckets).alias("bucket"),
+                     signbit(F.col("x")).alias("sign"))
+    pos = with_previous(pos, key, ["bucket", "sign"])
+    flip = F.when(F.col("prev_bucket") == F.col("bucket"), F.abs(F.col("sign") - F.col("prev_sign")))
+    raw = (pos.groupBy(key, "bucket")
+           .agg(F.avg(F.col("x") * F.col("x")).alias("ex2"), F.count(F.lit(1)).alias("size"),
+                F.sum(flip).alias("flips")))
+    peak = base.groupBy(key).agg(F.max(F.abs("x")).alias("peak"))
+    per_bucket = raw.join(peak, key).select(
+        key, "bucket", "size", "flips",
+        F.when(F.col("peak") > 0, F.sqrt(F.col("ex2")) / F.col("peak"))
+        .otherwise(F.sqrt(F.col("ex2"))).alias("rms"))
     zcr = F.when(F.col("size") > 1, F.col("flips") / (F.col("size") - 1)).otherwise(F.lit(0.0))
     per_key = (per_bucket.select(key, "bucket", F.struct(F.col("rms"), zcr.alias("zcr")).alias("v"))
                .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "v"))).alias("m")))
@@ -124,9 +88,9 @@ def bucket_stats(samples: DataFrame, key: str, order_cols: Sequence[str],
 
 
 def signal_features(samples: DataFrame, key: str, order_cols: Sequence[str],
-                    value: str = "value", buckets: int = 64, method: str = "auto") -> DataFrame:
+                    value: str = "value", buckets: int = 64) -> DataFrame:
     """Long form ``(key, bucket, rms, zcr)`` with every bucket (empty -> 0)."""
-    stats = bucket_stats(samples, key, order_cols, value, buckets, method)
+    stats = bucket_stats(samples, key, order_cols, value, buckets)
     return stats.select(key, F.posexplode(F.arrays_zip("rms", "zcr")).alias("bucket", "v")).select(
         key, F.col("bucket").cast("long").alias("bucket"), F.col("v.rms").alias("rms"),
         F.col("v.zcr").alias("zcr"))

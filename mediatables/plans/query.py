@@ -44,10 +44,8 @@ def ensure_select_only(spark: SparkSession, sql: str) -> None:
     there, so statements like DROP, INSERT or CREATE ... AS SELECT fail.
     """
     text = sql.strip().rstrip(";")
-    if ";" in text:
-        raise ValueError("only a single SELECT statement is allowed")
     try:
-        spark._jsparkSession.sessionState().sqlParser().parsePlan(f"SELECT * FROM ({text}) AS _q")
+        spark._jsparkSession.sessionState().sqlParser().parsePlan(f"SELECT * FROM (\n{text}\n) AS _q")
     except Exception as exc:  # noqa: BLE001 - parser errors come back as Py4J errors
         raise ValueError(f"only SELECT queries are allowed: {exc}") from None
 
@@ -56,9 +54,18 @@ def sql_query(spark: SparkSession, sql: str, views: dict[str, DataFrame],
               top_k: int | None = 100) -> DataFrame:
     """SELECT text over named views, then ``limit(top_k)`` (None: no limit)."""
     ensure_select_only(spark, sql)
+    hidden = {name: spark.table(name) for name in views
+              if spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary}
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    out = spark.sql(sql.strip().rstrip(";"))
+    try:  # names are resolved here; the session's own views come back at once
+        out = spark.sql(sql.strip().rstrip(";"))
+    finally:
+        for name in views:
+            if name in hidden:
+                hidden[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
     return out.limit(top_k) if top_k is not None else out
 
 

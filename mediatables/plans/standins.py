@@ -249,6 +249,70 @@ def emotion_mode(spark, sf_dir):
     return emotion.dominant_tag(tags, ["user_id"], ["ts", "event_id", "tag_pos"], out_col="dominant")
 
 
+@register("emotion_mode_untagged", f"""
+WITH t AS (
+  SELECT user_id, {_event_tag_sql()} AS tag,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos
+  FROM events WHERE user_id % 5 <> 0),
+m AS (SELECT user_id, tag, count(*) AS n, min(pos) AS first_pos FROM t
+      WHERE tag NOT IN ({_NOISE_SQL}) GROUP BY user_id, tag),
+r AS (SELECT user_id, tag,
+             row_number() OVER (PARTITION BY user_id ORDER BY n DESC, first_pos) AS rn FROM m)
+SELECT u.user_id, coalesce(r.tag, 'NEUTRAL') AS dominant
+FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN r ON u.user_id = r.user_id AND r.rn = 1
+""")
+def emotion_mode_untagged(spark, sf_dir):
+    """A4 where the events of every fifth user carry no tag."""
+    ev = table(spark, sf_dir, "events")
+    tag = F.create_map(*[F.lit(x) for kv in EVENT_EMOTION.items() for x in kv])[F.col("event_type")]
+    marker = F.when(F.col("user_id") % 5 != 0, F.concat(F.lit("<|"), tag, F.lit("|>"))).otherwise(F.lit(""))
+    raw = ev.select("user_id", "ts", "event_id", F.concat(marker, "event_type").alias("raw"))
+    tags = emotion.explode_tags(raw, "raw", ["user_id", "ts", "event_id"])
+    return emotion.dominant_tag(tags, ["user_id"], ["ts", "event_id", "tag_pos"], out_col="dominant", all_keys=ev)
+
+
+@register("faces_of_all_images", f"""
+WITH f AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 1.0 - l_discount AS score, l_quantity AS area
+           FROM lineitem WHERE l_quantity > 40),
+b AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY area DESC, l_linenumber, l_partkey, l_suppkey) AS rn,
+             count(*) OVER (PARTITION BY l_orderkey) AS n FROM f)
+SELECT o_orderkey AS l_orderkey, coalesce(n, 0) AS face_count, round(coalesce(score, 0.0), {R}) AS face_score,
+       round(area, {R}) AS face_area
+FROM orders LEFT JOIN b ON o_orderkey = l_orderkey AND rn = 1
+""")
+def faces_of_all_images(spark, sf_dir):
+    """A11 with faceless images: count and score 0, no area."""
+    from ..operators.faces import largest_face
+    faces = table(spark, sf_dir, "lineitem").where("l_quantity > 40").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        (F.lit(1.0) - F.col("l_discount")).alias("score"), F.col("l_quantity").alias("area"))
+    images = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    best = largest_face(faces, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "area",
+                        ["score", "area"], images=images, no_face={"score": 0.0})
+    return best.select("l_orderkey", "face_count", F.round("score", R).alias("face_score"),
+                       F.round("area", R).alias("face_area"))
+
+
+@register("channel_mean", f"""
+SELECT l_suppkey, l_partkey, round(avg(l_discount), {R}) AS value FROM lineitem GROUP BY l_suppkey, l_partkey
+""")
+def channel_mean(spark, sf_dir):
+    """A10: the mean over the channels of each sample position."""
+    from ..operators.signal import mix_to_mono
+    li = table(spark, sf_dir, "lineitem")
+    mono = mix_to_mono(li, ["l_suppkey"], ["l_partkey"], "l_discount")
+    return mono.select("l_suppkey", "l_partkey", F.round("l_discount", R).alias("value"))
+
+
+@register("sql_literals", """
+SELECT event_type, count(*) AS n FROM events WHERE event_type <> 'a;b' GROUP BY event_type
+""")
+def sql_literals(spark, sf_dir):
+    """A semicolon in a literal and a trailing comment are plain SELECT text."""
+    return q.sql_query(spark, "SELECT event_type, count(*) AS n FROM calls WHERE event_type <> 'a;b' "
+                              "GROUP BY event_type -- all types", {"calls": table(spark, sf_dir, "events")}, top_k=None)
+
+
 @register("suffix_of_name", """
 SELECT page_id, url,
        coalesce(nullif(regexp_extract(list_filter(string_split(url, '/'), lambda x: x <> '' AND x <> '.')[-1],

@@ -17,16 +17,23 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "mediatables") -> SparkSession:
-    """Local/test session with the settings the library assumes."""
+    """A session with the settings the library assumes.
+
+    ``shuffle_partitions`` is set only if given, or to 8 in a local session;
+    on a cluster its own setting holds.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if shuffle_partitions is None and master and is_local(master):
+        shuffle_partitions = 8
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = (
         builder
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -46,11 +53,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def configure(spark: SparkSession) -> None:
     """Settings that must hold on any session the library runs in."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    try:
-        checkpoint_dir(spark)
-        ship_package(spark)
-    except Exception:  # noqa: BLE001 - sessions without a JVM context (e.g. Connect)
-        pass
+    checkpoint_dir(spark)
+    ship_package(spark)
 
 
 _SHIPPED: set[int] = set()
@@ -80,6 +84,11 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(id(sc))
 
 
+def is_local(master: str) -> bool:
+    """One process: only then is a folder of this machine seen by every task."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; created locally only when unset."""
     sc = spark.sparkContext
@@ -89,8 +98,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif is_local(sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="mediatables-ckpt-"))
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return sc.getCheckpointDir()
 
 

@@ -180,3 +180,40 @@ def test_writers_follow_centroid_sizes():
     w = ivf.writers_per_centroid(np.array([3e9, 1e6, 0.0]), 3, 512, 4)
     assert w[0] > 1000 * w[1] and w[2] == 1
     assert ivf.writers_per_centroid(None, 3, 512, 4) == [4, 4, 4]
+
+
+def test_rewrite_keeps_columns_of_later_appends(spark, tmp):
+    from mediatables.sources.readers import read_asset
+    from mediatables.sources.sinks import append_asset
+    path, day = f"{tmp}/mixed", [dt.datetime(2024, 5, 1, h) for h in (1, 2, 3)]
+    append_asset(spark.createDataFrame([("a", day[0])], "doc_id string, ingest_time timestamp"), path)
+    append_asset(spark.createDataFrame([("b", day[1], "x"), ("c", day[2], "y")],
+                                       "doc_id string, ingest_time timestamp, extra string"), path)
+    maintenance.delete_by_date(spark, path, after="2024-05-01 02:30:00")
+    rows = {r.doc_id: r.extra for r in read_asset(spark, path).collect()}
+    assert rows == {"a": None, "b": "x"}
+
+
+@pytest.mark.parametrize(("index_type", "options"), [("IVF_FLAT", {}), ("IVF_SQ", {}),
+                                                     ("IVF_PQ", {"num_sub_vectors": 4, "sample_rate": 256})])
+def test_range_and_prefilter_through_an_index(spark, tmp, index_type, options):
+    path, vecs = _table(spark, tmp, n=600)
+    built = jobs.build_indexes(spark, path, time=False, num_partitions=2, index_type=index_type,
+                               **options)["vector"]
+    df, query = spark.read.parquet(path), vecs[5].tolist()
+    every = [r.asDict() for r in knn.knn(df, "audio_embedding", query, 600).collect()]
+    low, high = every[300][knn.DIST_COL], every[304][knn.DIST_COL]
+    got = ivf.ivf_search(spark, built.path, query, 10, nprobes=1, distance_range=(low, high))
+    assert {r.doc_id for r in got.collect()} == {r["doc_id"] for r in every[300:304]}
+    where = "doc_id IN ('doc_0011', 'doc_0222', 'doc_0333', 'doc_0444')"
+    assert ivf.ivf_search(spark, built.path, query, 4, nprobes=1, where=where).count() == 4
+
+
+def test_index_leaves_out_rows_without_vectors(spark, tmp):
+    from mediatables.sources.sinks import append_asset
+    path, _ = _table(spark, tmp)
+    append_asset(spark.createDataFrame([(f"null_{k}", DATES[0], None) for k in range(50)],
+                                       "doc_id string, ingest_time timestamp, audio_embedding array<float>"), path)
+    built = jobs.build_indexes(spark, path, time=False, num_partitions=2, sample_rate=64,
+                               index_type="IVF_FLAT")["vector"]
+    assert spark.read.parquet(built.data_path).count() == 300

@@ -148,3 +148,35 @@ def test_description_join(spark, tmp):
                          sql="SELECT i.doc_id, d.description FROM images i LEFT JOIN descriptions d "
                              "ON i.doc_id = d.doc_id WHERE i.has_face = true").collect()
     assert {r.doc_id: r.description for r in sql} == {"img_a": "清晰正面人像", "img_c": "两人合影"}
+
+
+def test_sql_guard_reads_literals_and_comments(spark):
+    from mediatables.plans.query import sql_query
+    df = spark.range(3)
+    spark.range(9).createOrReplaceTempView("calls")
+    assert sql_query(spark, "SELECT count(*) AS n FROM calls WHERE 'a;b' = 'a;b' -- all", {"calls": df}).first().n == 3
+    assert spark.table("calls").count() == 9  # the session's own view is back
+    spark.catalog.dropTempView("calls")
+    for text in ("SELECT 1; DROP TABLE x", "DROP VIEW calls", "INSERT INTO x VALUES (1)"):
+        with pytest.raises(ValueError, match="SELECT"):
+            sql_query(spark, text, {"calls": df})
+
+
+def test_model_is_built_once_however_often_it_is_unpickled():
+    from pyspark import cloudpickle
+
+    from mediatables.operators import models
+    made = []
+    factory = lambda: made.append(1) or len
+    data, key = cloudpickle.dumps(lambda: str), None
+    key = models.model_key(factory)
+    before = len(models._MODEL_CACHE)
+    for _ in range(3):
+        models.cached_model(cloudpickle.loads(data), key)
+    assert len(models._MODEL_CACHE) == before + 1
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    from mediatables.session import is_local
+    assert is_local("local") and is_local("local[8]")
+    assert not is_local("local-cluster[2,1,1024]") and not is_local("spark://host:7077") and not is_local("yarn")
