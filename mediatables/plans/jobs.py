@@ -194,7 +194,7 @@ def build_image_analysis(spark: SparkSession, manifest: str | DataFrame, roots:
     are decoded, measured and embedded inside the task that read them, and
     only the small result rows (path, measures, vector) are joined to the
     manifest. A manifest of at most ``max_broadcast_keys`` rows (checked) is
-    also broadcast into the scans, so files outside it are not processed;
+    also broadcast into the scans, so files outside it are read but not measured;
     a larger one is handled by measuring every file under ``roots``.
     Existence comes from a listing that does not read contents. Embeddings
     are kept only for ``ok`` rows (the embedder itself returns NULL for
