@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .joins import checked_broadcast
 
 
 def dense_positions(df: DataFrame, key: str, order_cols: Sequence[str],
@@ -57,7 +56,7 @@ def dense_positions(df: DataFrame, key: str, order_cols: Sequence[str],
     # Small (partitions + keys rows): materialised once, so callers that use
     # the positions twice (e.g. a previous-row join) do not re-aggregate.
     per_part = per_part.checkpoint(eager=True)
-    out = tagged.join(checked_broadcast(per_part), ["_pid", key])
+    out = tagged.join(per_part, ["_pid", key])
     return out.withColumn(pos_col, F.col("_offset") + F.col("_local") - F.col("_first")) \
               .drop("_pid", "_local", "_first", "_offset")
 

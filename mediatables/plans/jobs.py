@@ -4,8 +4,8 @@ Stage boundaries are files: the analysis output is written once, which also
 stops model calls from being recomputed by later stages or task retries.
 Models are injected as picklable factories (see ``operators.models``).
 
-Content fetch: pass ``roots`` when media live under known prefixes (listed
-once and left-joined, no per-row requests) or ``fetcher`` for arbitrary URLs.
+Content fetch: each task reads the objects of its own rows. ``roots`` keeps
+the job to known prefixes, ``fetcher`` replaces the reader.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from ..functions import rules, tagging
 from ..functions.redact import redact_pii
 from ..operators import ivf, maintenance
 from ..operators.media import ImageQuality, WavInfo, WavSignalEmbedder
-from ..operators.joins import BROADCAST_MAX_ROWS
 from ..operators.models import batch_udf, call_model, guarded_embedding
 from ..operators.signal import duration_seconds
 from ..schemas import (
@@ -64,13 +63,10 @@ def this_run(table_df: DataFrame, now: str) -> DataFrame:
     return table_df.where((F.col("ingest_date") == F.to_date(t)) & (F.col("ingest_time") == t))
 
 
-def with_content(spark: SparkSession, df: DataFrame, out_col: str,
-                 roots: Sequence[str] | None = None,
+def with_content(df: DataFrame, out_col: str, roots: Sequence[str] | None = None,
                  fetcher: Callable[[str], bytes | None] | None = None) -> DataFrame:
     """Add the bytes behind ``s3_url`` (NULL when missing)."""
-    if roots:
-        return fetch.join_content(spark, df, list(roots), content_col=out_col)
-    return fetch.fetch_content(df, fetcher or fetch.read_local_file, content_col=out_col)
+    return fetch.fetch_content(df, fetcher, content_col=out_col, roots=roots)
 
 
 # ---------------------------------------------------------------------------
@@ -96,7 +92,7 @@ def build_audio_analysis(spark: SparkSession, manifest: str, asr_factory: Callab
     computed per row by Spark (A5/A4 array forms).
     """
     df = readers.read_manifest(spark, manifest)
-    df = with_content(spark, df, "audio_bytes", roots, fetcher)
+    df = with_content(df, "audio_bytes", roots, fetcher)
     df = df.where(F.col("audio_bytes").isNotNull())
     info = batch_udf(info_factory, T.StructType([T.StructField("frames", T.LongType()),
                                                  T.StructField("rate", T.LongType())]))
@@ -149,7 +145,7 @@ def ingest_audio(spark: SparkSession, analysis_path: str, table: str, now=None,
     """Fetch the audio again, drop rows without bytes, stamp, append."""
     now = run_instant(now)
     df = readers.read_analysis_output(spark, analysis_path, AUDIO_ANALYSIS_SCHEMA)
-    df = with_content(spark, df, "audio_blob", roots, fetcher)
+    df = with_content(df, "audio_blob", roots, fetcher)
     df = df.where(F.col("audio_blob").isNotNull())
     df = df.withColumn("ingest_time", ingest_time_literal(now))
     sinks.append_asset(df, table)
@@ -173,68 +169,47 @@ def decoded_images(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
                        F.col("image.nChannels").alias("_c"), F.col("image.data").alias("_data"))
 
 
-def _listing(spark: SparkSession, roots: Sequence[str], with_content: bool = False) -> DataFrame:
-    files = None
-    for root in roots:
-        part = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        part = part.select("path", *(["content"] if with_content else []))
-        files = part if files is None else files.unionByName(part)
-    return files.withColumn("_norm", fetch.normalize_path(F.col("path"))).drop("path")
-
-
 def build_image_analysis(spark: SparkSession, manifest: str | DataFrame, roots: Sequence[str],
                          embed: bool = False,
                          quality_factory: Callable[[], Any] = ImageQuality,
                          embedder_factory: Callable[[], Any] | None = None,
-                         cfg: ImageConfig = ImageConfig(),
-                         max_broadcast_keys: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                         cfg: ImageConfig = ImageConfig(), fetcher=None) -> DataFrame:
     """Lazy image analysis frame (C4 without the sink): one row per manifest row.
 
-    Pixels and bytes never cross a shuffle, whatever the manifest size: they
-    are decoded, measured and embedded inside the task that read them, and
-    only the small result rows (path, measures, vector) are joined to the
-    manifest. A manifest of at most ``max_broadcast_keys`` rows (checked) is
-    also broadcast into the scans, so files outside it are read but not measured;
-    a larger one is handled by measuring every file under ``roots``.
-    Existence comes from a listing that does not read contents. Embeddings
-    are kept only for ``ok`` rows (the embedder itself returns NULL for
-    bytes it cannot decode).
+    Bytes are fetched for the manifest's rows alone; they show whether the
+    object exists and are embedded by the task that read them. Pixels come
+    from Spark's image source over ``roots``, joined to the manifest's paths
+    before they are measured, so nothing outside the manifest is measured.
+    Embeddings are kept only for ``ok`` rows (the embedder itself returns
+    NULL for bytes it cannot decode).
     """
     m = readers.read_manifest(spark, manifest) if isinstance(manifest, str) else manifest
-    m = m.select("doc_id", "s3_url").withColumn("_norm", fetch.normalize_path(F.col("s3_url")))
-    keys = m.select("_norm").where(F.col("_norm").isNotNull()).distinct()
-    bounded = keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys
-
-    def restrict(scan: DataFrame) -> DataFrame:
-        return scan.join(F.broadcast(keys), "_norm", "left_semi") if bounded else scan
+    m = m.select("doc_id", "s3_url")
+    if embed and embedder_factory is None:
+        raise ValueError("embed=True needs an embedder_factory")
+    found = [F.when(F.col("_bytes").isNotNull(), F.lit(True)).alias("_fetched")]
+    if embed:
+        found.append(guarded_embedding(embedder_factory, F.col("_bytes"), F.lit(True), cfg.embed_dim,
+                                       method="embed_image_batch").alias("_vec"))
+    df = (with_content(m, "_bytes", roots, fetcher).select("doc_id", "s3_url", *found)
+          .withColumn("_norm", fetch.normalize_path(F.col("s3_url"))))
 
-    present = (restrict(_listing(spark, roots)).select("_norm").distinct()
-               .withColumn("_fetched", F.lit(True)))
-    pixels = restrict(decoded_images(spark, roots))
+    keys = m.select(fetch.normalize_path(F.col("s3_url")).alias("_norm")).distinct()
+    pixels = decoded_images(spark, roots).join(keys, "_norm", "left_semi")
     quality = batch_udf(quality_factory, IMAGE_QUALITY_STRUCT)
     decodable = F.col("_h") > 0
     measures = (pixels.select("_norm", quality(F.when(decodable, F.col("_h")), F.col("_w"), F.col("_c"),
                                                F.when(decodable, F.col("_data"))).alias("_q"))
                 .select("_norm", *[F.col(f"_q.{f}").alias(f) for f in IMAGE_QUALITY_STRUCT.names])
                 .dropDuplicates(["_norm"]))
-    df = m.join(present, "_norm", "left").join(measures, "_norm", "left")
+    df = df.join(measures, "_norm", "left")
     blur = F.when(F.col("_fetched"), F.col("blur_score"))
     df = df.withColumn("status", rules.image_status(F.col("_fetched"), blur))
-    df = df.select("_norm", "doc_id", "s3_url", "status",
-                   *[F.when(F.col("status") == "ok", F.col(f)).alias(f) for f in IMAGE_QUALITY_STRUCT.names])
-    df = rules.add_rule_columns(df, cfg)
-    cols = list(IMAGE_OUTPUT_COLUMNS)
+    kept = [F.when(F.col("status") == "ok", F.col(f)).alias(f) for f in IMAGE_QUALITY_STRUCT.names]
     if embed:
-        if embedder_factory is None:
-            raise ValueError("embed=True needs an embedder_factory")
-        blobs = restrict(_listing(spark, roots, with_content=True))
-        vectors = blobs.select("_norm", guarded_embedding(
-            embedder_factory, F.col("content"), F.lit(True), cfg.embed_dim,
-            method="embed_image_batch").alias("_vec")).dropDuplicates(["_norm"])
-        df = (df.join(vectors, "_norm", "left")
-              .withColumn("image_embedding", F.when(F.col("status") == "ok", F.col("_vec"))))
-        cols.append("image_embedding")
-    return df.select(*cols)
+        kept.append(F.when(F.col("status") == "ok", F.col("_vec")).alias("image_embedding"))
+    df = rules.add_rule_columns(df.select("doc_id", "s3_url", "status", *kept), cfg)
+    return df.select(*IMAGE_OUTPUT_COLUMNS, *(["image_embedding"] if embed else []))
 
 
 def analyze_images(spark: SparkSession, manifest: str, out_path: str, roots: Sequence[str],
@@ -260,7 +235,7 @@ def ingest_images(spark: SparkSession, analysis_path: str, table: str, now=None,
     df = sinks.cast_to_schema(df, with_embedding(IMAGE_ANALYSIS_SCHEMA, "image_embedding")
                               if "image_embedding" in df.columns else IMAGE_ANALYSIS_SCHEMA)
     sinks.validate_embedding_consistency(spark, table, df, "image_embedding")
-    df = with_content(spark, df, "image_blob", roots, fetcher)
+    df = with_content(df, "image_blob", roots, fetcher)
     df = df.withColumn("status", rules.downgrade_missing_blob(F.col("status"), F.col("image_blob")))
     df = df.withColumn("ingest_time", ingest_time_literal(now))
     sinks.append_asset(df, table)

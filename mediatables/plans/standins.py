@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -1055,17 +1055,45 @@ def staging_round_trip(spark, sf_dir):
         "vec_id", "label", F.col("dim").cast("long").alias("dim"), F.round(F.col("value").cast("double"), R).alias("value"))
 
 
-@register("content_join")
+@register("content_join", """
+SELECT page_id,
+       CASE WHEN page_id % 10 <> 0 THEN CAST(octet_length(encode(html)) AS BIGINT) END AS n_bytes,
+       CASE WHEN page_id % 10 <> 0 THEN sha256(html) END AS content_sha256
+FROM pages
+""")
 def content_join(spark, sf_dir):
-    """Manifest of the table files plus one missing object, joined to bytes."""
-    from ..sources.fetch import join_content
-    from ..sources.readers import list_files
-    listing = list_files(spark, sf_dir, "*.parquet", recursive=False).select(
-        tagging.file_name(F.col("path")).alias("doc_id"), F.col("path").alias("s3_url"))
-    missing = spark.createDataFrame([("missing.parquet", f"{sf_dir.rstrip('/')}/missing.parquet")],
-                                    "doc_id string, s3_url string")
-    joined = join_content(spark, listing.unionByName(missing), [sf_dir])
-    return joined.select("doc_id", "s3_url", F.length("content").alias("n_bytes"))
+    """Every page's html as an object of its own, fetched by a manifest of all
+    pages in which each tenth object, and that of a null html, is missing."""
+    from ..session import scratch_path
+    from ..sources.fetch import fetch_content
+    pages = table(spark, sf_dir, "pages")
+    folder = scratch_path(spark, "pages")
+    stored = pages.where("page_id % 10 <> 0 AND html IS NOT NULL").repartition("page_id")
+    write_objects(stored.select(page_object("page_id", folder).alias("url"),
+                                F.encode("html", "utf-8").alias("content")))
+    manifest = pages.select("page_id", page_object("page_id", folder).alias("s3_url"))
+    return fetch_content(manifest).select(
+        "page_id", F.length("content").cast("long").alias("n_bytes"), F.sha2("content", 256).alias("content_sha256"))
+
+
+def page_object(id_col: str, folder: str) -> Column:
+    return F.concat(F.lit(f"{folder}/_page-"), F.col(id_col).cast("string"), F.lit(".html"))
+
+
+def write_objects(rows: DataFrame) -> None:
+    """One object per row of (url, bytes), written by the rows' own tasks."""
+    def run(batches):
+        from ..sources.fetch import ObjectReader
+        reader = ObjectReader()
+        for batch in batches:
+            for url, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                store, path = reader.locate(url)
+                store.create_dir(path.rpartition("/")[0], recursive=True)
+                with store.open_output_stream(path, compression=None) as sink:
+                    sink.write(data)
+            yield batch.select([0])
+
+    rows.mapInArrow(run, T.StructType(rows.schema.fields[:1])).write.format("noop").mode("overwrite").save()
 
 
 @register("struct_flatten", """

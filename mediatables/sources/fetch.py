@@ -1,25 +1,28 @@
 """Fetching media content for manifest rows.
 
-Two ways, both keep one row per manifest row and give NULL for anything that
-cannot be fetched:
-
-* ``join_content``: media under known prefixes are listed once with the
-  ``binaryFile`` source and left-joined on a normalised path. Listing a
-  directory tolerates missing objects, while passing explicit paths to
-  ``binaryFile`` fails the whole read on the first missing one.
-* ``fetch_content``: arbitrary URLs are fetched inside ``mapInPandas`` with a
-  caller-supplied fetcher; any per-row error becomes NULL.
+The rows are spread over the tasks and every task reads the objects of its own
+rows, so exactly the manifest's objects are read, no folder is listed, and no
+bytes cross a shuffle before they are used. Each row stays, with NULL where
+there is nothing to read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Content held by a task before it is handed on; one object may exceed it.
+BATCH_BYTES = 32 << 20
+
+# Scheme of a URL -> scheme of the file system that reads it.
+SCHEMES = {"": "file", "file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3",
+           "hdfs": "hdfs", "viewfs": "viewfs", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
 
 def normalize_path(col: Column) -> Column:
     """Canonical form for joining: ``file:`` stripped, ``s3a``/``s3n`` -> ``s3``."""
@@ -28,57 +31,112 @@ def normalize_path(col: Column) -> Column:
     return F.regexp_replace(c, r"/{2,}", "/")
 
 
-def join_content(spark: SparkSession, manifest: DataFrame, roots: list[str],
-                 content_col: str = "content", url_col: str = "s3_url",
-                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Left join manifest rows to file bytes listed under ``roots``.
+class ObjectReader:
+    """Bytes behind a URL, or None where there is no readable object.
 
-    When the manifest has at most ``max_broadcast_rows`` rows (checked), it is
-    broadcast into the file scan: matched bytes never leave the task that read
-    them, and only paths are shuffled to find the missing objects (a
-    ``left_anti`` join whose file side prunes the content column). Larger
-    manifests fall back to a shuffled left join. Missing objects keep their
-    row with a NULL content either way.
+    An unsupported scheme raises ValueError. So does any failure of the store
+    itself raise, and the task is tried again. ``s3`` holds arguments of
+    ``pyarrow.fs.S3FileSystem``; without them the environment's are taken.
     """
-    files = None
-    for root in roots:
-        part = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-                .select(F.col("path"), F.col("content")))
-        files = part if files is None else files.unionByName(part)
-    files = files.select(normalize_path(F.col("path")).alias("_norm"),
-                         F.col("content").alias(content_col))
-    left = manifest.withColumn("_norm", normalize_path(F.col(url_col)))
-    out_cols = [*manifest.columns, content_col]
-    if left.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        matched = files.join(F.broadcast(left), "_norm", "inner")
-        missing = (left.join(files.select("_norm"), "_norm", "left_anti")
-                   .withColumn(content_col, F.lit(None).cast("binary")))
-        return matched.select(*out_cols).unionByName(missing.select(*out_cols))
-    return left.join(files, "_norm", "left").select(*out_cols)
-
-
-def fetch_content(df: DataFrame, fetcher: Callable[[str], bytes | None],
-                  url_col: str = "s3_url", content_col: str = "content") -> DataFrame:
-    """Per-row fetch in Arrow batches; failures become NULL."""
-    out_schema = T.StructType([*df.schema.fields, T.StructField(content_col, T.BinaryType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            values = []
-            for url in pdf[url_col]:
-                try:
-                    values.append(fetcher(url) if url is not None else None)
-                except Exception:  # noqa: BLE001 - any failure means "no bytes"
-                    values.append(None)
-            pdf = pdf.copy()
-            pdf[content_col] = values
-            yield pdf
-
-    return df.mapInPandas(run, out_schema)
-
-
-def read_local_file(url: str) -> bytes | None:
-    """Default fetcher for ``file:`` and plain local paths."""
-    path = url[len("file:"):] if url.startswith("file:") else url
-    with open(path, "rb") as fp:
-        return fp.read()
+    def __init__(self, s3: dict | None = None) -> None:
+        self.s3 = dict(s3 or {})
+        self._stores: dict[tuple[str, str], fs.FileSystem] = {}
+
+    def __getstate__(self):
+        return {"s3": self.s3, "_stores": {}}
+
+    def locate(self, url: str) -> tuple[fs.FileSystem, str]:
+        head, mark, rest = url.partition("://")
+        if not mark:
+            head, rest = ("file", url[5:]) if url.startswith("file:") else ("", url)
+        scheme = SCHEMES.get(head.lower())
+        if scheme is None:
+            raise ValueError(f"cannot fetch {url!r}: unsupported scheme {head!r}")
+        if scheme == "file":
+            key, path = ("file", ""), rest
+        else:
+            host, _, below = rest.partition("/")
+            key, path = (scheme, host), rest if scheme in ("s3", "gs") else "/" + below
+        if key not in self._stores:
+            if scheme == "file":
+                store = fs.LocalFileSystem()
+            elif scheme == "s3" and self.s3:
+                store = fs.S3FileSystem(**self.s3)
+            else:
+                store, _ = fs.FileSystem.from_uri(f"{scheme}://{key[1]}/")
+            self._stores[key] = store
+        return self._stores[key], path
+
+    def __call__(self, url: str) -> bytes | None:
+        store, path = self.locate(url)
+        try:
+            with store.open_input_stream(path, compression=None) as source:
+                return source.read()
+        except (FileNotFoundError, PermissionError):
+            return None
+        except OSError:
+            if store.get_file_info(path).type == fs.FileType.File:
+                raise
+            return None
+
+
+def s3_options(df: DataFrame) -> dict:
+    """The session's ``fs.s3a`` settings as arguments of the S3 reader."""
+    conf = df.sparkSession.conf
+    names = {"endpoint": "endpoint_override", "access.key": "access_key", "secret.key": "secret_key",
+             "endpoint.region": "region"}
+    out = {arg: conf.get(f"spark.hadoop.fs.s3a.{name}", None) for name, arg in names.items()}
+    out = {arg: value for arg, value in out.items() if value}
+    if out and conf.get("spark.hadoop.fs.s3a.connection.ssl.enabled", "true").lower() == "false":
+        out["scheme"] = "http"
+    return out
+
+
+def fetch_content(df: DataFrame, fetcher: Callable[[str], bytes | None] | None = None,
+                  url_col: str = "s3_url", content_col: str = "content",
+                  roots: Sequence[str] | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """``df`` with the bytes behind ``url_col``.
+
+    A null URL, a missing object and, if ``roots`` are given, a URL outside
+    all of them give NULL. A caller's ``fetcher`` replaces the reader; any
+    error of its own means NULL.
+    """
+    out_schema = T.StructType([*df.schema.fields, T.StructField(content_col, T.BinaryType())])
+    allowed = F.lit(True)
+    if roots:
+        below = [normalize_path(F.lit(r.rstrip("/") + "/")) for r in roots]
+        path = normalize_path(F.col(f"`{url_col}`"))
+        allowed = F.lit(False)
+        for root in below:
+            allowed = allowed | path.startswith(root)
+    reader = fetcher or ObjectReader(s3_options(df))
+    lenient = fetcher is not None
+
+    def read(url: str | None) -> bytes | None:
+        if url is None:
+            return None
+        try:
+            return reader(url)
+        except Exception:
+            if lenient:
+                return None
+            raise
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1]))
+            urls = batch.column(batch.num_columns - 1).to_pylist()
+            start, held, size = 0, [], 0
+            for at, url in enumerate(urls):
+                held.append(read(url))
+                size += len(held[-1] or b"")
+                if size >= batch_bytes or at + 1 == len(urls):
+                    part = rows.slice(start, len(held))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(held, pa.binary())],
+                                                     names=out_schema.names)
+                    start, held, size = at + 1, [], 0
+
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = F.when(allowed, F.col(f"`{url_col}`")).alias("__url")
+    return df.repartition(tasks).select("*", wanted).mapInArrow(run, out_schema)

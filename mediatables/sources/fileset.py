@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..schemas import AUDIO_SUFFIXES, IMAGE_SUFFIXES
 from ..functions.tagging import file_name
-from ..operators.joins import checked_broadcast
 
 # ---------------------------------------------------------------------------
 # Virtual path layout of the file catalog.
@@ -77,7 +76,7 @@ def resolve_fileset_uri(df: DataFrame, registry: DataFrame, path_col: str = "pat
         F.regexp_replace(F.regexp_replace(F.col("location"), r"^s3a://", "s3://"), r"/+$", "")
         .alias("_loc"))
     joined = parsed.join(
-        checked_broadcast(reg),
+        reg,
         (F.col("_vp.catalog") == F.col("_cat")) & (F.col("_vp.schema") == F.col("_sch"))
         & (F.col("_vp.fileset") == F.col("_fs")),
         "left")

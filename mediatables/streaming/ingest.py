@@ -6,7 +6,8 @@ directory are picked up by a file stream, and every micro-batch goes through
 the batch operators inside ``foreachBatch`` before being appended to the asset
 table. The stream's checkpoint (under the session's checkpoint folder unless
 given) records which manifest files were processed, so a restarted query
-neither skips nor repeats them.
+skips none. A batch that failed after its append is run again and appends its
+rows once more; the table then holds them under two ingest times.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ def analyze_image_batch(spark: SparkSession, manifest: DataFrame, roots: Sequenc
                         cfg: ImageConfig = ImageConfig()) -> DataFrame:
     """Analysis of one manifest batch (the batch job's plan) plus the blob."""
     rows = build_image_analysis(spark, manifest, roots, quality_factory=quality_factory, cfg=cfg)
-    return fetch.join_content(spark, rows, list(roots), content_col="image_blob")
+    return fetch.fetch_content(rows, content_col="image_blob", roots=roots)
 
 
 def start_image_ingest(spark: SparkSession, manifest_dir: str, table: str, roots: Sequence[str],

@@ -1,4 +1,5 @@
 import os
+import tempfile
 
 import pytest
 
@@ -130,7 +131,7 @@ def test_per_row_fetch_and_desc_formats(spark, tmp):
         fp.write(b"abc")
     m = spark.createDataFrame([("a", good), ("b", os.path.join(tmp, "gone.bin")), ("c", None)],
                               "doc_id string, s3_url string")
-    got = {r.doc_id: r.content for r in fetch.fetch_content(m, fetch.read_local_file).collect()}
+    got = {r.doc_id: r.content for r in fetch.fetch_content(m).collect()}
     assert got == {"a": bytearray(b"abc"), "b": None, "c": None}
     js = os.path.join(tmp, "desc.jsonl")
     write_jsonl(js, [{"doc_id": "a", "description": "x", "extra": 1}])
@@ -139,3 +140,42 @@ def test_per_row_fetch_and_desc_formats(spark, tmp):
         fp.write('doc_id,description\na,"multi\nline"\n')
     assert [tuple(r) for r in readers.read_desc_table(spark, js).collect()] == [("a", "x")]
     assert [tuple(r) for r in readers.read_desc_table(spark, csv).collect()] == [("a", "multi\nline")]
+
+
+def test_fetch_reads_the_objects_of_the_manifest_alone(spark, tmp):
+    from mediatables.sources import fetch
+    data = {"a.bin": b"abc", "_under.bin": b"hidden", ".dot": b"x", "empty.bin": b""}
+    for name, content in (data | {"unlisted.bin": b"never read"}).items():
+        with open(os.path.join(tmp, name), "wb") as fp:
+            fp.write(content)
+    other = tempfile.mkdtemp()
+    with open(os.path.join(other, "outside.bin"), "wb") as fp:
+        fp.write(b"other")
+    urls = [f"file://{tmp}/a.bin", f"file:{tmp}/_under.bin", f"{tmp}/.dot", f"{tmp}/empty.bin",
+            f"{tmp}/gone.bin", f"{other}/outside.bin", tmp, None, f"{tmp}/empty.bin"]
+    m = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "k int, s3_url string")
+    want = [b"abc", b"hidden", b"x", b"", None, b"other", None, None, b""]
+    for size in (1, 1 << 20):
+        df = fetch.fetch_content(m, batch_bytes=size)
+        got = {r.k: None if r.content is None else bytes(r.content) for r in df.collect()}
+        assert got == dict(enumerate(want))
+    assert "FileScan" not in df._jdf.queryExecution().toString()
+    inside = {r.k: r.content for r in fetch.fetch_content(m, roots=[f"{tmp}/"]).collect()}
+    assert inside[5] is None and inside[1] == bytearray(b"hidden")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(url):
+        content = fetch.ObjectReader()(url)
+        read.add(len(content or b""))
+        return content
+
+    fetch.fetch_content(m, counted).collect()
+    assert read.value == sum(map(len, filter(None, want)))
+    assert fetch.fetch_content(m.limit(0)).collect() == []
+
+
+def test_fetch_of_an_unsupported_scheme_fails(spark):
+    from mediatables.sources import fetch
+    m = spark.createDataFrame([("a", "ftp://host/x")], "doc_id string, s3_url string")
+    with pytest.raises(Exception, match="unsupported scheme"):
+        fetch.fetch_content(m).collect()

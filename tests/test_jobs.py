@@ -249,21 +249,28 @@ def test_audio_segments_mode(spark, tmp):
     assert r.transcript == "你好，号码[PHONE_REDACTED]" and r.acoustic_emotion == "ANGRY"
 
 
-def test_image_analysis_without_broadcast_matches(spark, tmp):
+def test_image_analysis_keeps_pixels_in_their_scan_task(spark, tmp):
     media = _media(tmp)
     manifest = os.path.join(tmp, "m.jsonl")
     names = ["face_sharp.png", "no_face.png", "corrupt.png", "missing.png"]
     write_jsonl(manifest, [{"doc_id": n, "s3_url": f"{media}/{n}"} for n in names])
-    a = {r.doc_id: tuple(r) for r in jobs.build_image_analysis(
-        spark, manifest, [media], quality_factory=quality_with_marker, embed=True,
-        embedder_factory=FakeImageEmbedder).collect()}
     b_df = jobs.build_image_analysis(spark, manifest, [media], quality_factory=quality_with_marker, embed=True,
-                                     embedder_factory=FakeImageEmbedder, max_broadcast_keys=0)
+                                     embedder_factory=FakeImageEmbedder)
     b = {r.doc_id: tuple(r) for r in b_df.collect()}
-    assert a == b and len(a) == 4
+    assert len(b) == 4
     assert b["corrupt.png"][-1] is None and b["missing.png"][-1] is None and b["no_face.png"][-1] is not None
     plan = b_df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     lines = plan.splitlines()
     scan = next(i for i, l in enumerate(lines) if "FileScan image" in l)
     udf = max(i for i in range(scan) if "ArrowEvalPython" in lines[i])
     assert not any("Exchange" in l for l in lines[udf:scan])     # still no pixel shuffle
+
+
+def test_an_existing_empty_image_is_undecodable_not_missing(spark, tmp):
+    media = _media(tmp)
+    open(os.path.join(media, "empty.png"), "wb").close()
+    manifest = os.path.join(tmp, "m.jsonl")
+    write_jsonl(manifest, [{"doc_id": n, "s3_url": f"{media}/{n}"} for n in ["empty.png", "no_face.png", "gone.png"]])
+    rows = jobs.build_image_analysis(spark, manifest, [media], quality_factory=quality_with_marker).collect()
+    assert {r.doc_id: r.status for r in rows} == {
+        "empty.png": "decode_failed", "no_face.png": "ok", "gone.png": "download_failed"}

@@ -49,10 +49,11 @@ def test_entry_smoke(spark):
     assert df.columns == ["vec_id", "label", "dist", "quality", "toxic"]
 
 
-def test_content_join_keeps_missing_row(spark):
-    rows = {r.doc_id: r.n_bytes for r in QUERIES["content_join"](spark, SF01).collect()}
-    assert rows["missing.parquet"] is None
-    assert rows["nation.parquet"] > 0
+def test_content_join_keeps_missing_rows(spark):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF01}/pages.parquet").collect()}
+    rows = {r.page_id: r.n_bytes for r in QUERIES["content_join"](spark, SF01).collect()}
+    assert rows == {i: None if i % 10 == 0 or t is None else len(t.encode()) for i, t in pages.items()}
+    assert None in rows.values()
 
 
 def test_ivf_recall_on_embeddings(spark):
