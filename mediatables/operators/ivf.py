@@ -40,9 +40,6 @@ from . import knn as knn_ops
 INDEX_TYPES = ("IVF_FLAT", "IVF_PQ", "IVF_SQ")
 PQ_CODEBOOK_SIZE = 256
 SQ_LEVELS = 256
-# Centroids and codebooks travel inside task closures and plan literals; this
-# caps their size (floats) so an index parameter typo cannot blow up a plan.
-MAX_MODEL_FLOATS = 16_000_000
 
 
 @dataclass
@@ -78,40 +75,37 @@ def _stack(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors[mask]]), mask
 
 
-EXACT_LOOP_MAX_CENTERS = 64
 ROW_CHUNK = 2048
+# Products give distances up to rounding; centers this close to the best, in
+# parts of the squared lengths, are told apart by the plain sum.
+ROUNDING = 1e-9
 
 
 def nearest_rows(mat: np.ndarray, centers: np.ndarray) -> np.ndarray:
     """Index of the nearest center per row (squared L2; first on ties).
 
-    Up to ``EXACT_LOOP_MAX_CENTERS`` centers the distances are summed
-    directly (bit-stable, used by small indexes and tests); beyond that one
-    BLAS product per row chunk, ``|x|^2 - 2 x.c + |c|^2``, keeps assignment
-    of large codebooks linear in the batch with bounded memory.
+    One matrix product per chunk of rows, ``|c|^2 - 2 x.c``, names the
+    nearest; where several centers agree up to rounding, their summed
+    distances decide.
     """
-    if len(centers) > EXACT_LOOP_MAX_CENTERS:
-        c2 = (centers * centers).sum(axis=1)
-        out = np.empty(len(mat), dtype=np.int64)
-        for lo in range(0, len(mat), ROW_CHUNK):
-            block = mat[lo:lo + ROW_CHUNK]
-            d = c2[None, :] - 2.0 * (block @ centers.T)
-            out[lo:lo + ROW_CHUNK] = d.argmin(axis=1)
-        return out
-    best = np.full(len(mat), np.inf)
-    arg = np.zeros(len(mat), dtype=np.int64)
-    for j, c in enumerate(centers):
-        d = ((mat - c) ** 2).sum(axis=1)
-        better = d < best
-        best[better] = d[better]
-        arg[better] = j
-    return arg
+    c2 = (centers * centers).sum(axis=1)
+    out = np.empty(len(mat), dtype=np.int64)
+    for lo in range(0, len(mat), ROW_CHUNK):
+        block = mat[lo:lo + ROW_CHUNK]
+        d = c2[None, :] - 2.0 * (block @ centers.T)
+        slack = ROUNDING * ((block * block).sum(axis=1) + c2.max())
+        close = d <= (d.min(axis=1) + slack)[:, None]
+        found = close.argmax(axis=1)
+        for row in np.flatnonzero(close.sum(axis=1) > 1):
+            at = np.flatnonzero(close[row])
+            found[row] = at[((block[row] - centers[at]) ** 2).sum(axis=1).argmin()]
+        out[lo:lo + ROW_CHUNK] = found
+    return out
 
 
 def assign_udf(centroids: np.ndarray):
     """pandas UDF: vector -> nearest centroid id (NULL vector -> NULL)."""
     centers = np.asarray(centroids, dtype=np.float64)
-    _check_model_size(centers.size)
 
     @F.pandas_udf(T.IntegerType())
     def _assign(vectors: pd.Series) -> pd.Series:
@@ -127,7 +121,6 @@ def assign_udf(centroids: np.ndarray):
 def pq_encode_udf(codebooks: np.ndarray):
     """pandas UDF: vector -> array<int> of per-sub-space codeword ids."""
     books = np.asarray(codebooks, dtype=np.float64)
-    _check_model_size(books.size)
     m, _, sub = books.shape
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -144,12 +137,6 @@ def pq_encode_udf(codebooks: np.ndarray):
     return _encode
 
 
-def _check_model_size(n_floats: int) -> None:
-    if n_floats > MAX_MODEL_FLOATS:
-        raise ValueError(f"index model of {n_floats} floats exceeds {MAX_MODEL_FLOATS}; "
-                         "use fewer partitions / sub-vectors")
-
-
 # ---------------------------------------------------------------------------
 # Training
 # ---------------------------------------------------------------------------

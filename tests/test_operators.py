@@ -147,3 +147,14 @@ def test_ordered_concat_timestamp_order(spark):
     rows = [(1, dt.datetime(2024, 1, 1, 0, 0, i), f"s{i}") for i in (3, 1, 2)]
     df = spark.createDataFrame(rows, "k int, t timestamp, text string")
     assert emotion.ordered_concat(df, ["k"], "t", "text").first().text == "s1s2s3"
+
+
+@pytest.mark.parametrize("n_centers", [1, 10, 64, 65, 256])
+def test_nearest_center_matches_summed_distances(n_centers):
+    from mediatables.operators.ivf import nearest_rows
+    rng = np.random.default_rng(n_centers)
+    centers = rng.integers(-2, 3, (n_centers, 3)) / 10 + 100
+    rows = np.concatenate([rng.integers(-4, 5, (3000, 3)) / 20 + 100, centers])
+    direct = ((rows[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
+    assert (nearest_rows(rows, centers) == direct.argmin(axis=1)).all()
+    assert len(nearest_rows(rows[:0], centers)) == 0
