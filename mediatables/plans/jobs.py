@@ -234,7 +234,7 @@ def ingest_images(spark: SparkSession, analysis_path: str, table: str, now=None,
     df = readers.read_analysis_output(spark, analysis_path, schema)
     df = sinks.cast_to_schema(df, with_embedding(IMAGE_ANALYSIS_SCHEMA, "image_embedding")
                               if "image_embedding" in df.columns else IMAGE_ANALYSIS_SCHEMA)
-    sinks.validate_embedding_consistency(spark, table, df, "image_embedding")
+    sinks.check_vector_columns(spark, table, df)
     df = with_content(df, "image_blob", roots, fetcher)
     df = df.withColumn("status", rules.downgrade_missing_blob(F.col("status"), F.col("image_blob")))
     df = df.withColumn("ingest_time", ingest_time_literal(now))

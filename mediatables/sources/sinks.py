@@ -77,21 +77,22 @@ def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def validate_embedding_consistency(spark: SparkSession, table: str, incoming: DataFrame,
-                                   column: str) -> None:
-    """An append must agree with the table about the embedding column."""
+def vector_columns(schema: T.StructType) -> set[str]:
+    """Columns that hold vectors."""
+    return {f.name for f in schema.fields if isinstance(f.dataType, T.ArrayType)
+            and isinstance(f.dataType.elementType, (T.FloatType, T.DoubleType))}
+
+
+def check_vector_columns(spark: SparkSession, table: str, batch: DataFrame) -> None:
+    """A batch for an existing table has the table's vector columns, no
+    more and no fewer; all that differ are named."""
     if table_write_mode(spark, table) != "append":
         return
-    declared = table_schema(spark, table)
-    table_has = column in (declared.names if declared is not None else spark.read.parquet(table).columns)
-    batch_has = column in incoming.columns
-    if table_has == batch_has:
-        return
-    existing = "with" if table_has else "without"
-    incoming_kind = "with" if batch_has else "without"
-    raise ValueError(
-        f"Cannot append analysis {incoming_kind} {column} to an existing table {existing} {column}. "
-        "Use a separate table, or keep all batches consistent about embeddings.")
+    stored = vector_columns(table_schema(spark, table) or spark.read.parquet(table).schema)
+    given = vector_columns(batch.schema)
+    if stored != given:
+        raise ValueError(f"{table}: vector columns differ; only in the table: {sorted(stored - given)}, "
+                         f"only in the batch: {sorted(given - stored)}")
 
 
 def append_asset(df: DataFrame, table: str) -> None:
