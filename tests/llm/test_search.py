@@ -112,6 +112,23 @@ def test_passages(spark):
     assert substring_dedup.repeated_passages(frame(spark, [])).count() == 0
 
 
+def test_passages_of_long_copies_that_drift(spark):
+    texts = []
+    for seed in range(11, 15):  # whichever document of a pair is cut from the other
+        words = prose(seed, 9000).split()
+        texts += [words, [w for k, x in enumerate(words) for w in ([x, "x%d" % k] if k % 60 == 30 else [x])]]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    seen = [set() for _ in texts]
+    for r in substring_dedup.repeated_passages(docs).collect():
+        seen[r.doc_id] |= set(range(r.start_word, r.end_word))
+    assert all(len(s) >= len(t) - 10 for s, t in zip(seen, texts))
+
+
+def test_stretches_keep_the_least_and_the_largest_shift():
+    links = [(f, 60 * k, 60 * k + 120, k) for k in range(100) for f in range(2)]
+    assert substring_dedup.stretches(links, 2, 46) == [(0, 6060, 0, 99)]
+
+
 def test_verify_splits_and_trims():
     rnd = np.random.default_rng(1)
     one, two = rnd.integers(0, 2**60, 60).astype(np.uint64), rnd.integers(0, 2**60, 60).astype(np.uint64)
