@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 from fractions import Fraction
-from itertools import combinations
+from itertools import combinations, permutations
 
 import numpy as np
 import pytest
@@ -129,6 +129,30 @@ def test_stretches_keep_the_least_and_the_largest_shift():
     assert substring_dedup.stretches(links, 2, 46) == [(0, 6060, 0, 99)]
 
 
+def test_passages_of_lines_that_are_frequent_elsewhere(spark):
+    lines = [prose(900 + k, 15) for k in range(4)]
+    orders = list(permutations(lines))[::3]
+    rows = [(2 * k + side, " ".join([prose(100 + 2 * k + side, 80), *order, prose(200 + 2 * k + side, 80)]))
+            for k, order in enumerate(orders) for side in range(2)]
+    rows += [(100 + k, " ".join([prose(1000 + k, 60 + k % 7), lines[k % 4], prose(2000 + k, 60)])) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for options in ({}, {"cell": 16}):
+        found = substring_dedup.repeated_passages(docs, **options).collect()
+        pairs = {(r.doc_id, r.other_doc_id) for r in found if r.start_word <= 80 and r.end_word >= 140}
+        assert {(2 * k, 2 * k + 1) for k in range(len(orders))} <= pairs
+
+
+def test_windows_alike_are_collapsed_and_nothing_else():
+    rnd = np.random.default_rng(2)
+    one, other = rnd.integers(0, 2**60, (2, 60)).astype(np.uint64)
+    docs = {1: one, 2: one, 3: np.concatenate([one, other]), 4: one}
+    windows = np.concatenate([substring_dedup.windows_of(s, d, 46, 5) for d, s in docs.items()])
+    links, left = substring_dedup.collapse(windows)
+    assert {(1, 2), (1, 4)} <= set(zip(links["a"].tolist(), links["b"].tolist()))
+    assert not {2, 4} & set(left["doc"].tolist()) and {1, 3} == set(left["doc"].tolist())
+    assert len({(w["key"], w["digest"]) for w in windows}) == len({(w["key"], w["digest"]) for w in left})
+
+
 def test_verify_splits_and_trims():
     rnd = np.random.default_rng(1)
     one, two = rnd.integers(0, 2**60, 60).astype(np.uint64), rnd.integers(0, 2**60, 60).astype(np.uint64)
