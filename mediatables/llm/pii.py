@@ -42,6 +42,7 @@ _HINTS = {
     "card": r"[0-9](?:[\x20-]?[0-9]){13}",
     "phone": r"\+[0-9]",
 }
+_PREFIX = r"""^((?:[A-Za-z_]++[=:])?+["'(\[<]*+)"""
 _TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 _SPAN = "array<struct<start:int,rank:int,end:int,value:string>>"
 
@@ -111,13 +112,22 @@ def _contexts(text: Column, start: Column, prefix: Column) -> Column:
             ).otherwise(F.array().cast("array<string>"))
 
 
+def _seed_contexts(text: Column, start: Column) -> Column:
+    """Left contexts of a seed, from before the token it stands in and with
+    the prefix that a candidate's token is cut by. A token that begins more
+    than the context's width before its seed is taken from that width on."""
+    near = F.substring(text, F.greatest(start - CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT)))
+    head = F.regexp_extract(near, r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]*+)$", 1)
+    return _contexts(text, start - F.length(head), F.lower(F.regexp_extract(head, _PREFIX, 1)))
+
+
 def _candidates(text: Column, base: Column) -> Column:
     """Tokens with a digit or an at sign that no base span touches, cut to
     their value: without a leading key or quote and trailing punctuation."""
     tokens = _found(text, _TOKEN, -1)
 
     def cut(s: Column) -> Column:
-        prefix = F.regexp_extract(s["value"], r"""^((?:[A-Za-z_]++[=:])?+["'(\[<]*+)""", 1)
+        prefix = F.regexp_extract(s["value"], _PREFIX, 1)
         rest = F.regexp_replace(F.substring(s["value"], F.length(prefix) + 1, F.length(s["value"])),
                                 r"""[.,;:!?"')\]>]++$""", "")
         begin = s["start"] + F.length(prefix)
@@ -139,7 +149,7 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
     based = based.withColumn("base", F.sort_array(F.concat(*[F.col(k) for k in KINDS])))
     seeds = F.transform("base", lambda s: F.struct(
         s["rank"].alias("rank"), s["value"].alias("value"),
-        _contexts(F.col("t"), s["start"], F.lit("")).alias("contexts")))
+        _seed_contexts(F.col("t"), s["start"]).alias("contexts")))
     return written(based.select(
         "row", "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
         F.transform("base", lambda s: F.struct(s["start"], s["rank"], s["end"])).alias("base"),

@@ -207,6 +207,17 @@ def test_contexts_find_unseen_identifiers(spark):
     assert pii.find_pii(frame(spark)).count() == len(corpus())
 
 
+@pytest.mark.parametrize("left,right", [("email=", ""), ("email:", ""), ('"', '"'), ("(", ")"), ("[", "]"), ("<", ">"),
+                                        ('email="', '"')])
+def test_contexts_with_a_prefix_find_unseen_identifiers(spark, left, right):
+    rows = [(k, f"{prose(k, 5)} write to {left}user{k}@mail.example{right} {prose(k, 3)}") for k in range(8)]
+    rows += [(50, f"please write to {left}x123456{right} today"), (51, f"about {left}x654321{right} things")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_pii(docs).collect()}
+    begin = len(f"please write to {left}")
+    assert got[50] == f"email:{begin}:{begin + 7}" and got[51] == ""
+
+
 GLOBS = ["**casino**", "*.net/**", "a?c/*", "net/**", "**/x", "**", "*", "abc", "*b*c**d", "?" * 70 + "/**z"]
 
 
