@@ -4,7 +4,7 @@ Four kinds are found by fixed patterns. They are the seeds: the words to the
 left of a seed become lexical patterns of its kind, and each identifier-like
 token that no seed covers is a candidate under the patterns of its own left
 context. Patterns and instances form a bipartite graph over the corpus. In
-each round a pattern's confidence for a kind is the share of its distinct
+each round, until one adds nothing, a pattern's confidence for a kind is the share of its distinct
 instances known as that kind, and the instances of a pattern that is
 confident enough, on enough distinct seeds, become known themselves. The
 spans of candidates so found are added to the base spans.
@@ -15,13 +15,14 @@ once per pattern, however often it is copied.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of, written
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 2
 MIN_CONFIDENCE = 0.8
 MIN_SUPPORT = 5
 CONTEXT = 60
@@ -157,9 +158,10 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
         _candidates(F.col("t"), F.col("base")).alias("candidates")), "pii-scan")
 
 
-def induce(scanned: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
+def induce(scanned: DataFrame, rounds: int | None = None, min_confidence: float = MIN_CONFIDENCE,
            min_support: int = MIN_SUPPORT) -> DataFrame:
-    """Confident patterns: (pattern, rank of their kind)."""
+    """Confident patterns: (pattern, rank of their kind), after the round
+    that changes no known value, or after so many rounds."""
     seeds = (scanned.where("size(seeds) > 0").select(F.explode("seeds").alias("s"))
              .select(F.explode("s.contexts").alias("pattern"), "s.value", "s.rank"))
     found = (scanned.where("size(candidates) > 0").select(F.explode("candidates").alias("c"))
@@ -167,8 +169,8 @@ def induce(scanned: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN
     # One row per pattern and value; a value seeded anywhere is known by its kind.
     edges = written(seeds.union(found).groupBy("pattern", "value").agg(F.max("rank").alias("rank")), "pii-edges")
     known = edges.where("rank IS NOT NULL").groupBy("value").agg(F.min("rank").alias("kind"))
-    confident = None
-    for _ in range(rounds):
+    confident, before = None, None
+    for _ in count() if rounds is None else range(rounds):
         scored = edges.join(known, "value", "left")
         totals = scored.groupBy("pattern").agg(
             F.count(F.lit(1)).alias("n"), *[F.sum((F.col("kind") == k).cast("int")).alias(f"k{k}")
@@ -182,6 +184,11 @@ def induce(scanned: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN
         reached = (edges.where("rank IS NULL").join(confident.withColumnRenamed("rank", "kind"), "pattern")
                    .groupBy("value").agg(F.min("kind").alias("kind")))
         known = written(known.union(reached).groupBy("value").agg(F.min("kind").alias("kind")), "pii-known")
+        # Values only join, and a kind only falls, so equal sums mean no change.
+        after = tuple(known.agg(F.count(F.lit(1)), F.sum("kind")).first())
+        if after == before:
+            break
+        before = after
     return confident
 
 
@@ -191,7 +198,7 @@ def _joined(spans: Column) -> Column:
         ":", F.element_at(names, s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_pii(docs: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
+def find_pii(docs: DataFrame, rounds: int | None = None, min_confidence: float = MIN_CONFIDENCE,
              min_support: int = MIN_SUPPORT, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per document: base counts, all spans and their number.
 

@@ -218,6 +218,17 @@ def test_contexts_with_a_prefix_find_unseen_identifiers(spark, left, right):
     assert got[50] == f"email:{begin}:{begin + 7}" and got[51] == ""
 
 
+def test_contexts_are_followed_until_nothing_is_added(spark):
+    texts = [f"{prose(k, 3)} alpha user{k}@mail.example" for k in range(25)]
+    texts += [f"{prose(100 + k, 3)} alpha v10000{k}" for k in range(5)]
+    texts += [f"{prose(200 + 10 * k + j, 3)} beta{'abcde'[k]} v10000{j}" for k in range(5) for j in range(5)]
+    texts += [f"{prose(300 + k, 3)} beta{'abcde'[k]} w10000{k}" for k in range(5)]
+    texts += [f"{prose(400 + k, 3)} gamma w10000{k}" for k in range(5)] + ["and then gamma x100001"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_added for r in pii.find_pii(docs).collect()}
+    assert got[len(texts) - 1] == 1 and all(got[k] == 1 for k in range(25, len(texts)))
+
+
 GLOBS = ["**casino**", "*.net/**", "a?c/*", "net/**", "**/x", "**", "*", "abc", "*b*c**d", "?" * 70 + "/**z"]
 
 
