@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, session_conf
 
 # Rows and bytes in one Arrow batch; keeps a Python worker's memory flat
 # whatever the length of the texts.
@@ -25,6 +25,11 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def batch_conf(spark: SparkSession):
+    """The same settings while the block runs."""
+    return session_conf(spark, BATCH_CONF)
+
+
 def text_of(column: str = "text"):
     """The text column as a string, null read as empty."""
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import exact_dedup, mixing, near_join, packing, pii, quality, substring_dedup, token_files, toxicity, url_filter
+from . import exact_dedup, mixing, near_join, packing, pii, quality, spelling, substring_dedup, token_files, toxicity, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -178,3 +178,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
