@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import exact_dedup, mixing, near_join, packing, pii, quality, spelling, substring_dedup, token_files, toxicity, url_filter
+from . import alignment, exact_dedup, mixing, near_join, packing, pii, quality, spelling, substring_dedup, token_files, toxicity, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -183,3 +184,9 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"),
+                           public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))

@@ -21,7 +21,7 @@ _DISPUTED = frozenset("\x85᠎​﻿")
 _LETTERS_AND_MARK = re.compile(r"[.,;:!?]")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letters by which byte-level vocabularies spell the 256 bytes:
     printable Latin-1 as itself, the others from code point 256 on."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -29,6 +29,11 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+def uncut(word: str) -> bool:
+    """Whether the pre-tokenizer may join a word to the space before it."""
+    return not word or word[0].isspace() or word[0] in _DISPUTED
+
+
 class Encoder:
     """Ids of texts under one byte-level vocabulary.
 
@@ -45,7 +50,7 @@ class Encoder:
         self.size = self._tokenizer.get_vocab_size()
         self._code = "H" if self.size <= 1 << 16 else "I"
         self.dtype = np.dtype(self._code)
-        self._letters = _byte_letters()
+        self._letters = byte_letters()
         self._known = _Words()
 
     def _pack(self, ids: list[int]) -> bytes:
@@ -60,7 +65,7 @@ class Encoder:
         """Ids of each word with a space before it; None: not cut here."""
         rest = []
         for w in words:
-            if not w or w[0].isspace() or w[0] in _DISPUTED:
+            if uncut(w):
                 into[w] = None
             elif w.isalpha():
                 into[w] = self._one(" " + w)
