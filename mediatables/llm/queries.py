@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import alignment, exact_dedup, mixing, near_join, packing, pii, quality, spelling, substring_dedup, token_files, toxicity, url_filter
+from . import alignment, exact_dedup, mixing, near_join, packing, pii, quality, spelling, substring_dedup, token_files, toxicity, url_filter, wrappers
 
 TOKENIZER = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -190,3 +190,26 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(_table(spark, sf_dir, "documents"),
                            public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+
+
+@_register
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_text(_table(spark, sf_dir, "pages"))
+
+
+# For pages whose content is one plain article element.
+ORACLES["op11_html_text"] = """
+WITH a AS (
+  SELECT page_id, url, string_split_regex(
+    regexp_replace(replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1), '<br>', ' '),
+                   '</?b>', '', 'g'), '<[^>]*>') AS blocks
+  FROM pages),
+t AS (
+  SELECT page_id, url, list_filter(list_transform(blocks, lambda b: trim(regexp_replace(
+    regexp_replace(replace(replace(replace(b, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'),
+    '\s+', ' ', 'g'))), lambda b: b <> '') AS blocks
+  FROM a)
+SELECT page_id, url, coalesce(array_to_string(blocks, chr(10)), '') AS text,
+       length(coalesce(array_to_string(blocks, chr(10)), ''))::BIGINT AS n_chars
+FROM t
+"""
