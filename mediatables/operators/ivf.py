@@ -6,20 +6,19 @@ Build:
   2. assign every row to its nearest centroid in an Arrow-batched pandas UDF
      (one numpy pass per batch, centroids shipped with the function - their
      size is ``num_partitions x dim``, fixed by the index parameters);
-  3. write the rows partitioned by ``centroid_id``, hash-spread over a number
-     of writers proportional to each centroid's estimated size (from the
-     training sample), so no task writes a whole large cluster.
+  3. write slim rows - key, row identity, vector, codes and the distance to the
+     centroid - partitioned by ``centroid_id``, hash-spread over a number of
+     writers proportional to each centroid's estimated size (from the training
+     sample), so no task writes a whole large cluster. No other column of the
+     table is copied: hits are joined back (``vector_search``).
   IVF_PQ adds per-sub-space codebooks (MLlib KMeans per sub-space on the same
   sample) and a ``pq_codes`` column; IVF_SQ adds per-dimension min/max (a
-  distributed aggregate) and 8-bit ``sq_codes``.
-
-Search:
-  the ``nprobes`` nearest centroids are chosen on the driver (k x dim numbers),
-  the data read is restricted with ``centroid_id IN (...)`` - a partition
-  filter, so other clusters are never listed or read - and the survivors are
-  ranked. PQ / SQ rank by the quantised distance first, keep
-  ``k * refine_factor`` candidates, then re-rank by the exact distance.
-  Probing every partition is exactly brute force.
+  distributed aggregate) and 8-bit ``sq_codes``. Both store how far a row's
+  code is from its vector, which bounds the true distance.
+  4. rows and radius (the largest distance to the centroid) of each partition,
+     and the files of the table that the index covers, go into the model.
+
+``vector_search`` holds the searches.
 """
 
 from __future__ import annotations
@@ -40,6 +39,10 @@ from . import knn as knn_ops
 INDEX_TYPES = ("IVF_FLAT", "IVF_PQ", "IVF_SQ")
 PQ_CODEBOOK_SIZE = 256
 SQ_LEVELS = 256
+FILE_COL, ROW_COL = "_file", "_row"
+# Distance of a row to its centroid, and of its code to its vector.
+SPREAD_COL, ERROR_COL = "_spread", "_code_error"
+DEFAULT_KEYS = ("doc_id", "vec_id")
 
 
 @dataclass
@@ -55,14 +58,31 @@ class IvfIndex:
     codebooks: list = field(default_factory=list)       # PQ: m x c x (dim/m)
     sq_lo: list = field(default_factory=list)
     sq_hi: list = field(default_factory=list)
-    # Newest ingest_time covered by the index; rows stamped later are searched
-    # by brute force and merged (see ``ivf_search(unindexed=...)``).
-    indexed_upto: str | None = None
+    # Columns that name a row; with ``has_files`` rows are also known by the
+    # file of the table that holds them and their place in it.
+    key: list = field(default_factory=list)
+    has_files: bool = False
+    # Per partition: rows, and the largest distance of a row to the centroid.
+    sizes: list = field(default_factory=list)
+    radii: list = field(default_factory=list)
 
     @property
     def data_path(self) -> str:
         return f"{self.path}/data"
 
+    @property
+    def files_path(self) -> str:
+        return f"{self.path}/files"
+
+    @property
+    def identity(self) -> list[str]:
+        """Columns that tell index rows apart."""
+        return [FILE_COL, ROW_COL] if self.has_files else list(self.key)
+
+    @property
+    def codes_col(self) -> str | None:
+        return {"IVF_PQ": "pq_codes", "IVF_SQ": "sq_codes"}.get(self.index_type)
+
 
 # ---------------------------------------------------------------------------
 # numpy kernels used inside pandas UDFs
@@ -118,6 +138,46 @@ def assign_udf(centroids: np.ndarray):
     return _assign
 
 
+def place_udf(centroids: np.ndarray):
+    """pandas UDF: vector -> struct(nearest centroid id, distance to it)."""
+    centers = np.asarray(centroids, dtype=np.float64)
+
+    @F.pandas_udf("centroid_id int, spread double")
+    def _place(vectors: pd.Series) -> pd.DataFrame:
+        mat, mask = _stack(vectors)
+        out = pd.DataFrame({"centroid_id": pd.array([None] * len(vectors), "Int32"),
+                            "spread": np.full(len(vectors), np.nan)})
+        if mask.any():
+            ids = nearest_rows(mat, centers)
+            out.loc[mask, "centroid_id"] = ids.astype("int32")
+            out.loc[mask, "spread"] = np.sqrt(((mat - centers[ids]) ** 2).sum(axis=1))
+        return out
+
+    return _place
+
+
+def decode_codes(index: IvfIndex, codes: np.ndarray) -> np.ndarray:
+    """Vectors that the rows of a code matrix stand for."""
+    if index.index_type == "IVF_PQ":
+        books = np.asarray(index.codebooks, dtype=np.float64)
+        return np.concatenate([books[j][codes[:, j]] for j in range(len(books))], axis=1)
+    lo, hi = np.asarray(index.sq_lo), np.asarray(index.sq_hi)
+    return lo + (codes + 0.5) * (hi - lo) / SQ_LEVELS
+
+
+def code_error_udf(index: IvfIndex):
+    """pandas UDF: (vector, codes) -> distance between them."""
+    @F.pandas_udf(T.DoubleType())
+    def _error(vectors: pd.Series, codes: pd.Series) -> pd.Series:
+        if not len(vectors):
+            return pd.Series([], dtype="float64")
+        mat, _ = _stack(vectors)
+        decoded = decode_codes(index, np.stack(codes.to_list()).astype(np.int64))
+        return pd.Series(np.sqrt(((mat - decoded) ** 2).sum(axis=1)))
+
+    return _error
+
+
 def pq_encode_udf(codebooks: np.ndarray):
     """pandas UDF: vector -> array<int> of per-sub-space codeword ids."""
     books = np.asarray(codebooks, dtype=np.float64)
@@ -260,8 +320,13 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
                 index_type: str = "IVF_PQ", num_partitions: int = 16, num_sub_vectors: int = 16,
                 sample_rate: int = 256, metric: str = "l2", seed: int = 7,
                 files_per_partition: int = 4, centroids: np.ndarray | None = None,
-                time_col: str = "ingest_time") -> IvfIndex:
-    """V6-V8: build and write an index; replaces any index at ``path``."""
+                key: Sequence[str] | str | None = None) -> IvfIndex:
+    """V6-V8: build and write an index; replaces any index at ``path``.
+
+    ``key`` names the columns by which hits are known (default: ``doc_id`` or
+    ``vec_id``). Where ``df`` reads files, rows are also known by file and
+    place, so keys may repeat and later files are told apart (V9).
+    """
     if column not in df.columns:
         raise ValueError(f"{column} column not found; compute embeddings first.")
     index_type = index_type.upper()
@@ -283,6 +348,12 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
         raise ValueError(f"IVF_PQ needs at least num_partitions * {PQ_CODEBOOK_SIZE} = "
                          f"{num_partitions * PQ_CODEBOOK_SIZE} rows, got {n}; use fewer partitions "
                          "(e.g. num_partitions=1) or IVF_FLAT")
+    key = [key] if isinstance(key, str) else list(key or [c for c in DEFAULT_KEYS if c in df.columns][:1])
+    if not key:
+        raise ValueError("name the key columns of the table")
+    located = with_row_identity(df)
+    has_files = located is not None
+    slim = df.select(*key, column) if located is None else located.select(*key, FILE_COL, ROW_COL, column)
     est_rows = None
     if centroids is None:
         centers, est_rows = train_centroids(df, column, num_partitions, sample_rate, seed, n_rows=n,
@@ -291,11 +362,11 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
         centers = np.asarray(centroids, dtype=np.float64)
     index = IvfIndex(path=path, column=column, index_type=index_type, dim=dim,
                      num_partitions=len(centers), metric=metric, centroids=centers.tolist())
-    if time_col in df.columns:
-        upto = df.agg(F.max(time_col).cast("string")).first()[0]
-        index.indexed_upto = upto
+    index.key, index.has_files = key, has_files
     # Rows without a vector are never search results and would share one task.
-    data = df.where(F.col(column).isNotNull()).withColumn("centroid_id", assign_udf(centers)(F.col(column)))
+    data = (slim.where(F.col(column).isNotNull()).withColumn("_place", place_udf(centers)(F.col(column)))
+            .withColumn("centroid_id", F.col("_place.centroid_id"))
+            .withColumn(SPREAD_COL, F.col("_place.spread")).drop("_place"))
     if index_type == "IVF_PQ":
         books = train_pq(df, column, dim, num_sub_vectors, num_partitions * sample_rate, seed, n_rows=n)
         index.num_sub_vectors = num_sub_vectors
@@ -304,18 +375,41 @@ def build_index(spark: SparkSession, df: DataFrame, column: str, path: str,
     elif index_type == "IVF_SQ":
         index.sq_lo, index.sq_hi = _sq_bounds(df, column)
         data = data.withColumn("sq_codes", sq_codes(F.col(column), index.sq_lo, index.sq_hi))
+    if index.codes_col:
+        data = data.withColumn(ERROR_COL, code_error_udf(index)(F.col(column), F.col(index.codes_col)))
     writers = writers_per_centroid(est_rows, len(centers), dim, files_per_partition)
     per_centroid = F.array(*[F.lit(w) for w in writers])
-    # Salted by the whole row: equal vectors of different rows spread too.
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.element_at(per_centroid, F.col("centroid_id") + 1))
+    # Salted by identity: equal vectors of different rows spread too. Rows of a
+    # file are sorted by distance to the centroid, so that bounds on it skip
+    # row groups.
+    salt = F.pmod(F.xxhash64(*index.identity), F.element_at(per_centroid, F.col("centroid_id") + 1))
     (data.withColumn("_salt", salt)
          .repartition(max(1, sum(writers)), "centroid_id", "_salt")
-         .drop("_salt")
+         .drop("_salt").sortWithinPartitions("centroid_id", SPREAD_COL)
          .write.mode("overwrite").partitionBy("centroid_id").parquet(index.data_path))
+    stats = {r["centroid_id"]: r for r in spark.read.parquet(index.data_path).groupBy("centroid_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max(SPREAD_COL).alias("r")).collect()}
+    index.sizes = [int(stats[c]["n"]) if c in stats else 0 for c in range(len(centers))]
+    index.radii = [float(stats[c]["r"]) if c in stats else 0.0 for c in range(len(centers))]
+    if has_files:
+        # Also files whose rows all lack a vector: they hold nothing to search.
+        located.select(FILE_COL).distinct().write.mode("overwrite").parquet(index.files_path)
     _write_model(spark, index)
     return index
 
 
+def with_row_identity(df: DataFrame) -> DataFrame | None:
+    """``df`` with the file and the place in it of each row; None where it
+    does not read files."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return df.select("*", F.col("_metadata.file_path").alias(FILE_COL),
+                         F.col("_metadata.row_index").alias(ROW_COL))
+    except AnalysisException:
+        return None
+
+
 _MODEL_FIELDS = ("centroids", "codebooks", "sq_lo", "sq_hi")
 
 
@@ -393,50 +487,8 @@ def pq_distance(codes: Column, lut: np.ndarray) -> Column:
         F.lit(0.0), lambda a, x: a + x)
 
 
-def ivf_search(spark: SparkSession, index: IvfIndex | str, q: Sequence[float], k: int = 10,
-               nprobes: int = 1, where: str | Column | None = None,
-               distance_range: tuple[float, float] | None = None, refine_factor: int = 10,
-               tie_breakers: Sequence[str] = (), unindexed: DataFrame | None = None) -> DataFrame:
-    """Approximate top-k through the index (exact when every partition is probed).
+def ivf_search(*args, **kwargs) -> DataFrame:
+    """See ``vector_search.ivf_search``."""
+    from .vector_search import ivf_search as search
 
-    ``unindexed`` holds rows appended after the build; they are searched by
-    brute force and merged, so fresh rows are never missed (V9).
-    """
-    if isinstance(index, str):
-        index = load_index(spark, index)
-    if len(q) != index.dim:
-        raise ValueError(f"query has {len(q)} dimensions, index has {index.dim}")
-    stored = spark.read.parquet(index.data_path)
-    col = F.col(index.column)
-    order = probe_ids(index, q, len(index.centroids))
-    probes = max(1, nprobes)
-    while True:
-        data = stored.where(F.col("centroid_id").isin(order[:probes]))
-        data = knn_ops._where(data.where(col.isNotNull()), where)
-        if distance_range is not None:  # before any cut to the nearest
-            low, high = distance_range
-            data = (knn_ops.with_distance(data, index.column, list(q), "l2", "_range", "expr")
-                    .where((F.col("_range") >= F.lit(float(low))) & (F.col("_range") < F.lit(float(high))))
-                    .drop("_range"))
-        # A filter may leave too few rows in the nearest partitions.
-        filtered = where is not None or distance_range is not None
-        if not filtered or probes >= len(order) or data.limit(k).count() >= k:
-            break
-        probes = min(len(order), 4 * probes)
-    if index.index_type == "IVF_FLAT":
-        cand = data
-    else:
-        approx = (pq_distance(F.col("pq_codes"), pq_lut(index, q)) if index.index_type == "IVF_PQ"
-                  else squared_l2(sq_decode(F.col("sq_codes"), index.sq_lo, index.sq_hi), list(q)))
-        cand = (data.withColumn("_approx", approx)
-                .orderBy("_approx", *tie_breakers).limit(k * max(1, refine_factor))
-                .drop("_approx"))
-    drop = [c for c in ("pq_codes", "sq_codes") if c in cand.columns]
-    cand = cand.drop(*drop)
-    if unindexed is not None:
-        extra = knn_ops._where(unindexed.where(col.isNotNull()), where)
-        cand = cand.drop("centroid_id").unionByName(extra.select(*[c for c in cand.columns if c != "centroid_id"]))
-    elif "centroid_id" in cand.columns:
-        cand = cand.drop("centroid_id")
-    return knn_ops.knn(cand, index.column, list(q), k, distance_range=distance_range,
-                       tie_breakers=tie_breakers)
+    return search(*args, **kwargs)

@@ -106,26 +106,22 @@ def vector_query(table: DataFrame, column: str, q: Sequence[float], top_k: int =
     """V1-V3 + P3 + J1: nearest rows, shown with the default columns.
 
     With an IVF index at ``index_path`` the search probes ``nprobes``
-    partitions (all of them when the index has fewer) and re-ranks exactly;
-    rows ingested after the index was built are searched by brute force and
-    merged. Without one it is an exact scan. The description join runs on the
-    <= top_k result, which is then re-sorted by distance.
+    partitions (all of them when the index has fewer) and re-ranks exactly; a
+    prefilter or a range makes it complete. Files that the index does not list
+    are searched by brute force, whatever the times of their rows. Without an
+    index it is an exact scan. The description join runs on the <= top_k
+    result, which is then re-sorted by distance.
     """
     cols = default_columns(table, defaults)
     tie = [key] if key in table.columns else []
     spark = table.sparkSession
     if index_path and metric == "l2" and ivf.index_exists(spark, index_path):
-        index = ivf.load_index(spark, index_path)
-        tail = None
-        if index.indexed_upto is not None and "ingest_time" in table.columns:
-            tail = table.where(F.col("ingest_time") > F.lit(index.indexed_upto).cast("timestamp"))
-        top = ivf.ivf_search(spark, index, q, top_k, nprobes=min(nprobes, index.num_partitions),
-                             where=where, distance_range=distance_range,
-                             refine_factor=refine_factor, tie_breakers=tie, unindexed=tail)
+        top = ivf.ivf_search(spark, index_path, q, top_k, nprobes=nprobes, where=where,
+                             distance_range=distance_range, refine_factor=refine_factor,
+                             tie_breakers=tie, table=table)
     else:
         top = knn_ops.knn(table, column, q, top_k, where=where, distance_range=distance_range,
                           metric=metric, tie_breakers=tie)
-    cols = [c for c in cols if c in top.columns]   # an older index may predate a column
     top = top.select(*cols, knn_ops.DIST_COL)
     out_cols = list(cols)
     if desc is not None:
