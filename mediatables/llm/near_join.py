@@ -14,6 +14,12 @@ link counts are exact sums over buckets, and no pair is ever emitted: a cell
 gives each of its classes the number of its partners and one partner to
 join components by.
 
+Before sets are fetched and compared, every bucket is read with short sketches
+(one byte for the least hash in each of 64 bins): a class stays in it only if
+some other class there has half of its bytes in common. A pair at the threshold
+has that but for a chance of about 1e-8 in each bucket; sets too small to fill
+most bins always stay.
+
 Tokens are 32-bit hashes of shingles, so two unrelated sets of n shingles
 share about n * n / 2**32 of them by chance. Texts without words have no
 links.
@@ -32,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import session_conf
 from .common import small_batches, text_list, text_of, written
 from .shingles import Shingler, mix
 
@@ -41,9 +48,13 @@ RECALL = 0.999
 BRANCH = 4
 MAX_DEPTH = 3
 SMALL = 16
+BINS = 64
 CELL = 1024
 COLUMNS = 4096
 _TOKEN = np.dtype("<u4")
+# Runtime filters for scans of any size; Spark's own bound on a filter stays.
+BLOOM_CONF = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+              "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
 
 
 def runs_for(recall: float, branch: int = BRANCH, depth: int = MAX_DEPTH) -> int:
@@ -74,9 +85,35 @@ def token_set(shingler: Shingler, text: str) -> tuple[bytes, np.ndarray]:
     return xxhash.xxh3_128_digest(full.tobytes()), np.unique((full >> np.uint64(32)).astype(_TOKEN))
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Per bin of the scrambled tokens the low byte of the least, and 0 for an
+    empty bin."""
+    drawn = np.sort(mix(tokens.astype(np.uint64)))
+    bins, first = np.unique((drawn >> np.uint64(58)).astype(np.int64), return_index=True)
+    out = np.zeros(BINS, np.uint8)
+    out[bins] = (drawn[first] & np.uint64(255)) % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
+
+
+def alike(sketches: np.ndarray) -> np.ndarray:
+    """Rows that may be near another row. Two are, unless they agree in fewer
+    than half of the bins that either fills, and those are 32 or more."""
+    filled = (sketches > 0).astype(np.float32)
+    n = filled.sum(axis=1)
+    either = n[:, None] + n[None, :] - filled @ filled.T
+    same = np.zeros((len(sketches),) * 2, np.int16)
+    for k in range(BINS):
+        column = sketches[:, k]
+        same += (column[:, None] == column[None, :]) & (column > 0)
+    near = (2 * same >= either) | (either < BINS // 2)
+    np.fill_diagonal(near, False)
+    return near.any(axis=1)
+
+
 SIGNED = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("rid", T.BinaryType()),
+    T.StructField("doc_id", T.LongType()), T.StructField("key", T.LongType()), T.StructField("rid", T.BinaryType()),
     T.StructField("size", T.IntegerType()), T.StructField("paths", T.ArrayType(T.LongType())),
+    T.StructField("sketch", T.BinaryType()),
 ])
 
 
@@ -86,11 +123,12 @@ def _sign(width: int, threshold: float, runs: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for batch in batches:
-            found = [token_set(shingler, t) for t in text_list(batch.column(1))]
+            found = [token_set(shingler, t) for t in text_list(batch.column(2))]
             paths = [np.concatenate(chosen(t, roots, threshold, 1.0)).view(np.int64) for _, t in found]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([r for r, _ in found], pa.binary()),
+                batch.column(0), batch.column(1), pa.array([r for r, _ in found], pa.binary()),
                 pa.array([len(t) for _, t in found], pa.int32()), pa.array(paths, pa.list_(pa.int64())),
+                pa.array([sketch(t) for _, t in found], pa.binary()),
             ], names=SIGNED.names)
 
     return run
@@ -103,17 +141,22 @@ SETS = T.StructType([
 
 
 def _load(width: int):
-    """Token sets of the classes' representatives; another text under the
-    same id is passed over."""
+    """Token sets of the classes' representatives, from rows in which those of
+    a class are neighbours; equal rows give one set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
+        before = None
         for batch in batches:
             kept = []
             for text, rid, weight in zip(text_list(batch.column(0)), *(batch.column(k).to_pylist() for k in (1, 2))):
+                if rid == before:
+                    continue
                 own, tokens = token_set(shingler, text)
+                # Another row may share the 64 bits of the key.
                 if own == rid:
                     kept.append((rid, weight, tokens.tobytes()))
+                    before = rid
             columns = zip(*kept) if kept else ([], [], [])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.binary()))], names=SETS.names)
@@ -263,6 +306,35 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
+KEPT = T.StructType([T.StructField("path", T.LongType()), T.StructField("rid", T.BinaryType())])
+
+
+def _prefilter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes that may have a partner in their bucket, from rows sorted by it."""
+    now, rids, sketches = None, [], []
+
+    def solved() -> Iterator[pa.RecordBatch]:
+        if len(rids) > 1:
+            stay = alike(np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, BINS))
+            kept = [rid for rid, s in zip(rids, stay) if s]
+            if kept:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([now] * len(kept), pa.int64()), pa.array(kept, pa.binary())], names=KEPT.names)
+
+    for batch in batches:
+        for path, rid, held in zip(*(batch.column(c).to_pylist() for c in ("path", "rid", "sketch"))):
+            if path != now:
+                yield from solved()
+                now, rids, sketches = path, [], []
+            rids.append(rid)
+            sketches.append(held)
+    yield from solved()
+
+
+def _row_key(id_col: str, text_col: str):
+    return F.xxhash64(F.col(f"`{id_col}`"), text_of(text_col))
+
+
 def near_classes(docs: DataFrame, threshold: Fraction = THRESHOLD, width: int = WIDTH, recall: float = RECALL,
                  small: int = SMALL, cell: int = CELL, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per document: its class (the least id among the documents it
@@ -273,22 +345,39 @@ def near_classes(docs: DataFrame, threshold: Fraction = THRESHOLD, width: int =
     Repeated rows are documents of their own, linked to each other. Extra
     columns are ignored; an empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
-    narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"),
+                         _row_key(id_col, text_col).alias("key"))
+    found = _classes(narrow, threshold, width, recall, small, cell)
+    return found.select("doc_id", F.col("first.doc_id").alias("class_id"), "n_links")
+
+
+def _classes(narrow: DataFrame, threshold: Fraction = THRESHOLD, width: int = WIDTH, recall: float = RECALL,
+             small: int = SMALL, cell: int = CELL) -> DataFrame:
+    """(doc_id, key, first, n_links) of rows (doc_id, text, key): ``first`` is
+    the row of the class with the least id, and among those of the least key."""
+    small_batches(narrow.sparkSession)
     limit = float(threshold)
-    signed = written(narrow.mapInArrow(_sign(width, limit, runs_for(recall)), SIGNED), "near-signed")
+    signed = written(narrow.select("doc_id", "key", "text")
+                     .mapInArrow(_sign(width, limit, runs_for(recall)), SIGNED), "near-signed")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     classes = signed.where("size > 0").groupBy("rid").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.any_value("paths").alias("paths"))
+        F.min(first).alias("first"), F.count(F.lit(1)).alias("weight"), F.any_value("paths").alias("paths"),
+        F.any_value("sketch").alias("sketch"))
     classes = written(classes, "near-classes")
 
     # Buckets of two classes or more, in the first level of every run.
     members = classes.select("rid", F.explode("paths").alias("path")).distinct()
     sizes = members.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = written(members.join(sizes, "path"), "near-buckets")
-    wanted = members.select("rid").distinct().join(classes.select("rid", "rep", "weight"), "rid")
-    sets = (narrow.join(wanted, narrow["doc_id"].eqNullSafe(wanted["rep"])).select("text", "rid", "weight")
-            .mapInArrow(_load(width), SETS).dropDuplicates(["rid"]))
-    sets = written(sets, "near-sets")
+    wanted = (members.select("rid").distinct().join(
+        classes.select("rid", F.col("first.key").alias("key"), "weight").where("weight > 0"), "rid"))
+    wanted = written(wanted, "near-wanted")
+    # Where the wanted keys are few enough, Spark sends a filter of them to the
+    # scan of the texts; their number decides, not ours.
+    with session_conf(narrow.sparkSession, BLOOM_CONF):
+        sets = (narrow.join(wanted.where("weight > 0"), "key").select("text", "rid", "weight")
+                .mapInArrow(_load(width), SETS))
+        sets = written(sets, "near-sets")
 
     final = members.where(F.col("n") <= small).select("rid", "path", "n")
     large = members.where(F.col("n") > small).select("rid", "path", "n")
@@ -307,7 +396,12 @@ def near_classes(docs: DataFrame, threshold: Fraction = THRESHOLD, width: int =
         below = written(below.join(kept, ["parent", "path"]).select("rid", "path", "n").distinct(), "near-buckets")
         final = final.union(below.where(F.col("n") <= small))
         large = below.where(F.col("n") > small)
-    final = final.union(large)
+    final = written(final.union(large), "near-final")
+    inside = F.col("n") <= cell
+    likely = (final.where(inside).join(classes.select("rid", "sketch"), "rid").select("path", "rid", "sketch")
+              .repartition("path").sortWithinPartitions("path").mapInArrow(_prefilter, KEPT).distinct()
+              .withColumn("n", F.lit(2).cast("long")))
+    final = likely.union(final.where(~inside).select("path", "rid", "n")).select("rid", "path", "n")
 
     side = F.ceil(F.col("n") / cell).cast("int")
     block = F.pmod(F.xxhash64("rid"), F.col("side")).cast("int")
@@ -325,21 +419,27 @@ def near_classes(docs: DataFrame, threshold: Fraction = THRESHOLD, width: int =
 
     degrees = links.groupBy("rid").agg(F.sum("links").alias("links"))
     roots = components(links.select(F.col("rid").alias("u"), F.col("other").alias("v")))
-    rooted = classes.select("rid", "rep", "weight").join(
+    rooted = classes.select("rid", "first", "weight").join(
         roots.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    named = rooted.groupBy("root").agg(F.min("rep").alias("class_id"))
+    named = rooted.groupBy("root").agg(F.min("first").alias("least"))
     info = (rooted.join(named, "root").join(degrees, "rid", "left")
-            .select("rid", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")))
-    found = signed.where("size > 0").select("doc_id", "rid").join(info, "rid").select("doc_id", "class_id", "n_links")
-    return found.union(signed.where("size = 0").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+            .select("rid", F.col("least").alias("first"),
+                    (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")))
+    found = signed.where("size > 0").select("doc_id", "key", "rid").join(info, "rid")
+    return found.select("doc_id", "key", "first", "n_links").union(signed.where("size = 0").select(
+        "doc_id", "key", first.alias("first"), F.lit(0).cast("long").alias("n_links")))
 
 
 def drop_near_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` with the least-id document of each class; all columns kept.
 
-    Rows without an id stay, and rows with the same id stay or go together.
+    Rows are known by id and text together, so ids may repeat or be null, and
+    of any type (ids that are no numbers count as null when the least is
+    chosen); rows equal in both stay or go together.
     """
-    found = near_classes(docs, text_col=text_col, id_col=id_col, **options)
-    gone = found.where("doc_id != class_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    narrow = docs.select(F.expr(f"try_cast(`{id_col}` AS bigint)").alias("doc_id"), text_of(text_col).alias("text"),
+                         _row_key(id_col, text_col).alias("key"))
+    gone = _classes(narrow, **options).where(F.col("key") != F.col("first.key")).select("key").distinct()
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       _row_key(id_col, text_col).alias("key"))
+    return held.join(gone, "key", "left_anti").select("row.*")

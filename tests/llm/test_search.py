@@ -299,3 +299,47 @@ def test_chain_without_labels_and_odd_rows(spark):
     got = toxicity.score(docs, chain, ["junk", "toxic"]).collect()
     assert len(got) == len(corpus()) and not any(r.toxic for r in got)
     assert toxicity.score(frame(spark, []), chain, ["junk", "toxic"]).count() == 0
+
+
+def test_unrelated_rows_of_one_id_stay(spark):
+    a, b = prose(1, 60), prose(2, 60)
+    docs = frame(spark, [(1, a, "en", None, "k", "r", 0, 0), (5, a + " zz", "en", None, "k", "r", 0, 0),
+                         (5, b, "en", None, "k", "r", 0, 0)])
+    assert {r.text for r in near_join.drop_near_copies(docs).collect()} == {a, b}
+
+
+def test_near_copies_without_ids(spark):
+    a, b = prose(3, 60), prose(4, 60)
+    rows = [(None, a + f" w{k}", "en", None, "k", "r", 0, 0) for k in range(5)]
+    rows += [(None, b, "en", None, "k", "r", 0, 0), (9, a, "en", None, "k", "r", 0, 0)]
+    kept = near_join.drop_near_copies(frame(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted([(None, b), (9, a)], key=repr)
+
+
+def test_many_rows_without_ids_take_linear_time(spark):
+    rows = [(None, prose(k, 40), "en", None, "k", "r", 0, 0) for k in range(3000)]
+    got = near_join.near_classes(frame(spark, rows))
+    assert got.where("n_links = 0").count() == 3000
+
+
+def test_ids_of_any_type_and_clashing_columns(spark):
+    a = prose(3, 60)
+    docs = spark.createDataFrame(
+        [("x", a, 1, 2, 3, 4, 5), ("y", a + " w", 1, 2, 3, 4, 5), ("z", prose(4, 60), 1, 2, 3, 4, 5)],
+        "doc_id string, text string, key int, first int, rid int, row int, path int")
+    kept = near_join.drop_near_copies(docs)
+    assert kept.columns == docs.columns and kept.count() == 2
+
+
+def test_sketches_keep_near_pairs():
+    rnd = np.random.default_rng(8)
+    for trial in range(300):
+        n = int(rnd.integers(1, 800))
+        shared = rnd.integers(0, 2 ** 32, n, dtype=np.uint64).astype(np.uint32)
+        own = [rnd.integers(0, 2 ** 32, n // 9, dtype=np.uint64).astype(np.uint32) for _ in range(2)]
+        held = [near_join.sketch(np.unique(np.concatenate([shared, x]))) for x in own]  # Jaccard 0.8 or more
+        far = near_join.sketch(rnd.integers(0, 2 ** 32, 600, dtype=np.uint64).astype(np.uint32))
+        stay = near_join.alike(np.frombuffer(b"".join([*held, far]), np.uint8).reshape(-1, near_join.BINS))
+        assert stay[0] and stay[1]
+        if n > 400:
+            assert not stay[2]
