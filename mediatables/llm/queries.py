@@ -207,7 +207,7 @@ WITH a AS (
 t AS (
   SELECT page_id, url, list_filter(list_transform(blocks, lambda b: trim(regexp_replace(
     regexp_replace(replace(replace(replace(b, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'),
-    '\s+', ' ', 'g'))), lambda b: b <> '') AS blocks
+    '\\s+', ' ', 'g'))), lambda b: b <> '') AS blocks
   FROM a)
 SELECT page_id, url, coalesce(array_to_string(blocks, chr(10)), '') AS text,
        length(coalesce(array_to_string(blocks, chr(10)), ''))::BIGINT AS n_chars
