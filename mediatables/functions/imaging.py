@@ -1,9 +1,9 @@
 """Image geometry and pixel measures.
 
 Geometry (resize dimensions, face-area ratio, box clamping) is plain column
-arithmetic. Pixel work on real images runs in numpy inside Arrow-batched
-pandas UDFs over rows decoded by Spark's ``image`` source; the helpers below
-are the per-image kernels those UDFs call.
+arithmetic, and decides which face and which part of an image are measured.
+Pixels are touched only by the numpy kernels below, which run inside
+Arrow-batched pandas UDFs over rows decoded by Spark's ``image`` source.
 """
 
 from __future__ import annotations
@@ -41,13 +41,15 @@ def face_area_ratio(x1: Column, y1: Column, x2: Column, y2: Column,
 
 def clamp_box(x1: Column, y1: Column, x2: Column, y2: Column,
               img_w: Column, img_h: Column) -> Column:
-    """F16: truncate to int, clamp to the image; empty box -> NULL struct."""
+    """F16: truncate to int, clamp to the image; empty or NULL box -> NULL struct."""
     cx1 = F.greatest(F.lit(0), x1.cast("long"))
     cy1 = F.greatest(F.lit(0), y1.cast("long"))
     cx2 = F.least(img_w.cast("long"), x2.cast("long"))
     cy2 = F.least(img_h.cast("long"), y2.cast("long"))
     box = F.struct(cx1.alias("x1"), cy1.alias("y1"), cx2.alias("x2"), cy2.alias("y2"))
-    return F.when((cx2 > cx1) & (cy2 > cy1), box)
+    # greatest and least pass over NULLs.
+    known = (x1 + y1 + x2 + y2).isNotNull()
+    return F.when(known & (cx2 > cx1) & (cy2 > cy1), box)
 
 
 def grid_laplacian_variance(v: Column, rows: int, cols: int) -> Column:
@@ -69,68 +71,69 @@ def grid_laplacian_variance(v: Column, rows: int, cols: int) -> Column:
         return (at(refl(r - 1, rows), c) + at(refl(r + 1, rows), c)
                 + at(r, refl(c - 1, cols)) + at(r, refl(c + 1, cols)) - 4 * at(r, c))
 
-    laps = F.transform(F.sequence(F.lit(0), F.lit(rows * cols - 1)), lap)
-    # One pass over the Laplacian values: count-free sums of x and x^2 (the
-    # mean must not sit inside the lambda, or it is recomputed per element).
-    n = float(rows * cols)
-    acc = F.aggregate(laps, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q")),
-                      lambda a, x: F.struct((a["s"] + x).alias("s"), (a["q"] + x * x).alias("q")))
-    return F.greatest(F.lit(0.0), acc["q"] / n - (acc["s"] / n) * (acc["s"] / n))
+    return population_variance(F.transform(F.sequence(F.lit(0), F.lit(rows * cols - 1)), lap))
+
+
+def population_variance(values: Column) -> Column:
+    """Variance of an array by running moments (count, mean, M2), which lose
+    nothing where the mean is far from 0. NULL for an empty array."""
+    def step(m, x):
+        n = m["n"] + 1
+        delta = x - m["mean"]
+        mean = m["mean"] + delta / n
+        return F.struct(n.alias("n"), mean.alias("mean"), (m["m2"] + delta * (x - mean)).alias("m2"))
+
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    return F.aggregate(values, start, step, lambda m: F.when(m["n"] > 0, m["m2"] / m["n"]))
 
 
 # ---------------------------------------------------------------------------
 # numpy kernels (run inside pandas UDFs, one image at a time)
 # ---------------------------------------------------------------------------
 
-def to_gray(img: np.ndarray) -> np.ndarray:
-    """BGR (or single channel) uint8 -> float gray with BT.601 weights."""
-    if img.ndim == 2:
-        return img.astype(np.float64)
-    b, g, r = img[..., 0], img[..., 1], img[..., 2]
-    return np.rint(0.114 * b + 0.587 * g + 0.299 * r)
+def pixels(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
+    """Rows x columns x channels of an image row (BGR, row-major); an alpha
+    channel is left out."""
+    flat = np.frombuffer(data, dtype=np.uint8)
+    return flat.reshape(height, width, channels)[:, :, :3]
+
+
+def gray(image: np.ndarray) -> np.ndarray:
+    """Gray levels: BT.601 weights, rounded; one channel as it is."""
+    if image.shape[2] == 1:
+        return image[:, :, 0].astype(np.float64)
+    return np.rint(image @ np.array([0.114, 0.587, 0.299]))
 
 
-def laplacian_variance(gray: np.ndarray) -> float:
+def laplacian_variance(levels: np.ndarray) -> float:
     """Population variance of the 4-neighbour Laplacian, mirrored borders."""
-    a = np.pad(gray.astype(np.float64), 1, mode="reflect") if min(gray.shape) > 1 else \
-        np.pad(gray.astype(np.float64), 1, mode="edge")
-    lap = a[:-2, 1:-1] + a[2:, 1:-1] + a[1:-1, :-2] + a[1:-1, 2:] - 4.0 * a[1:-1, 1:-1]
-    return float(lap.var())
-
-
-def crop_box(img: np.ndarray, bbox) -> np.ndarray | None:
-    """Clamp ``(x1, y1, x2, y2)`` to the image and crop; None if empty."""
-    h, w = img.shape[:2]
-    x1, y1 = max(0, int(bbox[0])), max(0, int(bbox[1]))
-    x2, y2 = min(w, int(bbox[2])), min(h, int(bbox[3]))
-    if x2 <= x1 or y2 <= y1:
-        return None
-    return img[y1:y2, x1:x2]
-
-
-def resize_long_edge(img: np.ndarray, long_edge: int = 1024) -> tuple[np.ndarray, float]:
-    """Shrink so the long edge equals ``long_edge`` (area averaging)."""
-    h, w = img.shape[:2]
-    edge = max(h, w)
-    if edge <= long_edge:
-        return img, 1.0
-    scale = long_edge / edge
-    nh, nw = max(1, round(h * scale)), max(1, round(w * scale))
-    rows = np.linspace(0, h, nh + 1).astype(int)
-    cols = np.linspace(0, w, nw + 1).astype(int)
-    src = img.astype(np.float64)
-    row_sums = np.add.reduceat(src, rows[:-1], axis=0)
-    block = np.add.reduceat(row_sums, cols[:-1], axis=1)
-    counts = np.outer(np.diff(rows), np.diff(cols))
-    if block.ndim == 3:
-        counts = counts[..., None]
-    out = np.rint(block / counts).astype(img.dtype)
-    return out, scale
-
-
-def image_struct_to_array(height: int, width: int, n_channels: int, data: bytes) -> np.ndarray:
-    """Spark ``image`` source row (BGR, row-major) -> HxWxC uint8 array."""
-    arr = np.frombuffer(data, dtype=np.uint8)
-    if n_channels == 1:
-        return arr.reshape(height, width)
-    return arr.reshape(height, width, n_channels)[..., :3]
+    out = -4.0 * levels
+    for axis in (0, 1):
+        n = levels.shape[axis]
+        at = np.arange(n)
+        before, after = np.abs(at - 1), n - 1 - np.abs(n - 2 - at)
+        if n == 1:
+            before = after = at
+        out += levels.take(before, axis) + levels.take(after, axis)
+    return float(out.var())
+
+
+def _mean_bands(values: np.ndarray, n: int) -> np.ndarray:
+    """Means over ``n`` equal bands of the first axis; a value that a border
+    cuts counts in each band by its share."""
+    size = len(values)
+    total = np.concatenate([np.zeros_like(values[:1]), np.cumsum(values, axis=0)])
+    cut = np.arange(n + 1) * size / n
+    whole = np.minimum(cut.astype(np.int64), size - 1)
+    share = (cut - whole).reshape(-1, *[1] * (values.ndim - 1))
+    upto = total[whole] + share * values[whole]
+    return np.diff(upto, axis=0) * n / size
+
+
+def shrink(image: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Area-weighted shrink to the given size."""
+    if image.shape[:2] == (height, width):
+        return image
+    rows = _mean_bands(image.astype(np.float64), height)
+    both = _mean_bands(rows.swapaxes(0, 1), width).swapaxes(0, 1)
+    return np.rint(both).astype(image.dtype)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,3 +39,11 @@ def largest_face(faces: DataFrame, keys: Sequence[str], face_order: str | Sequen
                .withColumns(fills)
                .withColumn("face_count", F.coalesce(F.col("face_count"), F.lit(0).cast("long"))))
     return out
+
+
+def largest_in_array(faces: Column) -> Column:
+    """The face of largest box area in one image's array of faces, the first
+    of equals; NULL where there is none."""
+    ranked = F.transform(faces, lambda face, i: F.struct(
+        (-(face["x2"] - face["x1"]) * (face["y2"] - face["y1"])).alias("neg_area"), i.alias("i"), face.alias("face")))
+    return F.array_min(ranked)["face"]

@@ -1,25 +1,25 @@
-"""Asset-table maintenance: zone maps, date-bounded delete, compaction.
+"""Asset-table maintenance: zone maps, date-bounded delete.
 
 Asset tables are Hive-style Parquet directories partitioned by ``ingest_date``.
 
 * Zone maps (T1): physically, every file of an ingest run carries one
   ``ingest_time`` and files are grouped by date, so partition pruning plus
   Parquet min/max statistics skip whole files for time-range filters.
-  ``zone_map`` also materialises the statistics as a side table, and
-  ``scan_time_range`` uses it to semi-join away zones before filtering.
+  ``scan_time_range`` states the bounds that make Spark do so; ``zone_map``
+  also gives the statistics as a side table.
 * Delete (T2): ``ingest_time < before AND ingest_time > after`` (strict, ANDed:
   rows inside the window go). NULL times are never deleted. Partitions whose
   whole day is covered are dropped without reading them; at most the two
   boundary days are rewritten. A rewrite writes the kept rows to a staging
   directory first (``_``-prefixed, invisible to readers) and only then swaps
   it in, so the data being read is never overwritten in place.
-* Cleanup (T3) removes staging leftovers; compaction (T4) rewrites a
-  partition into fewer files through the same staged swap.
+* Cleanup (T3) removes staging leftovers of interrupted deletes.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -43,24 +43,9 @@ def zone_map(df: DataFrame, time_col: str = TIME_COL, zone: Column | None = None
         F.count(F.lit(1)).alias("rows"))
 
 
-def prune_zones(zones: DataFrame, lo, hi) -> DataFrame:
-    """Zones whose [min, max] overlaps [lo, hi] (bounds may be None)."""
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (F.col("max_time") >= F.lit(lo).cast("timestamp"))
-    if hi is not None:
-        cond = cond & (F.col("min_time") <= F.lit(hi).cast("timestamp"))
-    return zones.where(cond)
-
-
-def scan_time_range(df: DataFrame, lo, hi, time_col: str = TIME_COL,
-                    zones: DataFrame | None = None, zone: Column | None = None) -> DataFrame:
-    """Rows with lo <= time <= hi, skipping zones the zone map rules out."""
-    if zones is not None:
-        keep = prune_zones(zones, lo, hi).select("zone")
-        z = F.input_file_name() if zone is None else zone
-        df = df.withColumn("_zone", z).join(keep.withColumnRenamed("zone", "_zone"), "_zone",
-                                            "left_semi").drop("_zone")
+def scan_time_range(df: DataFrame, lo, hi, time_col: str = TIME_COL) -> DataFrame:
+    """Rows with lo <= time <= hi; the partition column and the files'
+    statistics say what is not read."""
     return df.where(time_window(lo, hi, time_col, PARTITION_COL if PARTITION_COL in df.columns else None))
 
 
@@ -179,8 +164,7 @@ def list_partitions(spark: SparkSession, table: str) -> dict[str, str]:
     return out
 
 
-def _rewrite_partition(spark: SparkSession, table: str, value: str, keep: Column | None,
-                       files: int | None = None) -> None:
+def _rewrite_partition(spark: SparkSession, table: str, value: str, keep: Column) -> None:
     """Staged rewrite of one partition: write kept rows aside, then swap."""
     fs, root, jvm = _fs(spark, table)
     part_dir = f"{table.rstrip('/')}/{PARTITION_COL}={value}"
@@ -190,11 +174,7 @@ def _rewrite_partition(spark: SparkSession, table: str, value: str, keep: Column
     reader = spark.read.option("basePath", table)
     declared = table_schema(spark, table)
     rows = (reader.schema(declared) if declared is not None else reader.option("mergeSchema", "true")).parquet(part_dir)
-    if keep is not None:
-        rows = rows.where(keep)
-    if files:
-        rows = rows.repartition(files).sortWithinPartitions(TIME_COL)
-    rows.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(staging)
+    rows.where(keep).write.mode("overwrite").partitionBy(PARTITION_COL).parquet(staging)
     new_dir = jvm.org.apache.hadoop.fs.Path(f"{staging}/{PARTITION_COL}={value}")
     old_dir = jvm.org.apache.hadoop.fs.Path(part_dir)
     # The old rows move aside and go last, so a copy exists at every step.
@@ -227,14 +207,13 @@ def delete_by_date(spark: SparkSession, table: str, before=None, after=None) ->
             report.rewritten.append(value)
         else:
             report.kept.append(value)
-    cleanup(spark, table)
     return report
 
 
-def cleanup(spark: SparkSession, table: str) -> list[str]:
+def cleanup(spark: SparkSession, table: str, older_than_s: int = 24 * 3600) -> list[str]:
     """Remove staging directories left by interrupted rewrites.
 
-    A staging directory whose partition was not swapped in yet (the original
+    Younger ones may belong to a running delete and stay. A staging directory whose partition was not swapped in yet (the original
     is gone) is moved into place first, so an interrupted delete never loses
     the kept rows.
     """
@@ -246,6 +225,8 @@ def cleanup(spark: SparkSession, table: str) -> list[str]:
         name = status.getPath().getName()
         if not (status.isDirectory() and name.startswith("_rewrite-")):
             continue
+        if status.getModificationTime() / 1000 > time.time() - older_than_s:
+            continue
         for part in fs.listStatus(status.getPath()):
             pname = part.getPath().getName()
             if part.isDirectory() and pname.startswith(f"{PARTITION_COL}="):
@@ -262,27 +243,3 @@ def drop_indexes(spark: SparkSession, table: str) -> bool:
     fs, _, jvm = _fs(spark, table)
     path = jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/_index")
     return bool(fs.exists(path) and fs.delete(path, True))
-
-
-def partition_bytes(spark: SparkSession, path: str) -> int:
-    """On-disk size of a directory (file-system metadata only)."""
-    fs, p, _ = _fs(spark, path)
-    return int(fs.getContentSummary(p).getLength())
-
-
-def compact(spark: SparkSession, table: str, partitions: list[str] | None = None,
-            files_per_partition: int | None = None,
-            target_file_bytes: int = 256 << 20) -> list[str]:
-    """T4: rewrite partitions into fewer, time-sorted files.
-
-    By default each partition gets ``ceil(bytes / target_file_bytes)`` files,
-    so a large day is still rewritten by many tasks.
-    """
-    done = []
-    for value, path in sorted(list_partitions(spark, table).items()):
-        if partitions is not None and value not in partitions:
-            continue
-        files = files_per_partition or max(1, -(-partition_bytes(spark, path) // target_file_bytes))
-        _rewrite_partition(spark, table, value, None, files=files)
-        done.append(value)
-    return done

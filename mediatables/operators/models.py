@@ -17,6 +17,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -66,7 +67,8 @@ def guarded_embedding(factory: Callable[[], Any], content: Column, ok: Column,
     """embed ``content`` only where ``ok`` holds; NULL elsewhere.
 
     The guard is evaluated in the JVM and passed into the UDF, which skips
-    the model call for unguarded rows.
+    the model call for unguarded rows. A model returns a matrix of one row per
+    input, or a list in which None means that there is no vector.
     """
     rtype = T.ArrayType(T.FloatType())
 
@@ -75,15 +77,21 @@ def guarded_embedding(factory: Callable[[], Any], content: Column, ok: Column,
         model = cached_model(factory)
         fn = getattr(model, method)
         for data, flag in batches:
-            mask = flag.fillna(False).astype(bool) & data.notna()
-            out = pd.Series([None] * len(data), dtype=object)
+            mask = (flag.fillna(False).astype(bool) & data.notna()).to_numpy()
+            out = np.empty(len(data), dtype=object)
             if mask.any():
                 vecs = fn(data[mask])
-                for pos, vec in zip(mask[mask].index, vecs):
-                    if vec is not None and len(vec) != dim:
-                        raise ValueError(f"embedding dimension mismatch: expected {dim}, got {len(vec)}")
-                    out[pos] = vec
-            yield out
+                if not isinstance(vecs, np.ndarray):  # a list may hold None
+                    vecs = pd.Series(vecs, dtype=object)
+                    sizes = vecs.dropna().map(len)
+                    wrong = sizes[sizes != dim]
+                    wrong = None if wrong.empty else int(wrong.iloc[0])
+                else:
+                    wrong = None if vecs.shape[1] == dim else vecs.shape[1]
+                if wrong is not None:
+                    raise ValueError(f"embedding dimension mismatch: expected {dim}, got {wrong}")
+                out[mask] = pd.Series(list(vecs), dtype=object).to_numpy()
+            yield pd.Series(out, dtype=object)
 
     return F.when(ok & content.isNotNull(), _embed.asNondeterministic()(content, ok))
 

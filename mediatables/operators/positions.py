@@ -1,69 +1,149 @@
-"""Skew-safe dense positions within a key.
-
-``row_number() OVER (PARTITION BY key ORDER BY ...)`` sends every row of a
-key to one task: a key holding a third of the rows becomes a third of the
-job on one core. ``dense_positions`` computes the same 0-based rank without
-that funnel:
-
-1. range-partition on ``(key, order...)`` and sort inside partitions - the
-   range bounds split a hot key across many partitions;
-2. tag rows with their partition id and in-partition index
-   (``monotonically_increasing_id``), and checkpoint the result to the shared
-   checkpoint folder, so later steps see exactly the same partitioning even
-   after an executor loss or an AQE re-plan;
-3. aggregate ``(partition, key) -> count, first index`` (at most
-   partitions + keys rows), turn it into per-key offsets with a window over
-   that small table, and join it back on ``(partition, key)`` - a join key
-   that is itself spread, so no task receives a whole hot key.
-
-The previous row of each position is then a join on ``(key, i - 1)``, which
-is also spread by ``i``.
+"""Skew-safe scans over the rows of a key in order.
+
+``row_number`` or ``lag`` over ``PARTITION BY key ORDER BY ...`` sends every
+row of a key to one task: a key holding a third of the rows becomes a third of
+the job on one core. A *segmented scan* does without that funnel, and with one
+exchange of the rows:
+
+1. rows are range-partitioned on ``(key, order...)`` and sorted inside the
+   partitions; the range bounds split a hot key across many partitions;
+2. every key but the first and the last of a partition is whole there, so it is
+   finished in the same task;
+3. the first and the last key may go on in a neighbour. Their values are written
+   as chunks, and one small row per chunk - its count and last value - gives, by
+   a window over at most two keys a partition, where each chunk begins in its
+   key, how many values the key has, and the value before the chunk. Chunks meet
+   these small rows in a join, for which Spark need not move the chunks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from ..session import scratch_path
+
+CHUNK = 1 << 16
+
+# A finisher gets the values of a key (or a part of it), the place of the first
+# one in the key, the number of the key's values and the value before the first
+# (None: there is none), and returns equally long columns.
+Finisher = Callable[[np.ndarray, int, int, float | None], dict[str, np.ndarray]]
+
+
+def _runs(keys: pa.Array) -> list[tuple[int, int]]:
+    """Stretches of equal keys."""
+    codes = pc.dictionary_encode(keys, null_encoding="encode").indices.to_numpy()
+    starts = np.flatnonzero(np.diff(codes, prepend=-1)).tolist()
+    return list(zip(starts, [*starts[1:], len(codes)]))
+
+
+def _scan_kernel(finish: Finisher, key_type: pa.DataType, out: list[tuple[str, pa.DataType]]):
+    schema = pa.schema([("key", key_type), *out, ("pid", pa.int64()), ("start", pa.int64()), ("count", pa.int64()),
+                        ("before", pa.float64()), ("last", pa.float64()), ("values", pa.list_(pa.float64()))])
+
+    def rows(n: int, columns: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(n, f.type) if columns.get(f.name) is None else
+             columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], f.type)
+             for f in schema], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid = TaskContext.get().partitionId()
+        key, held, first = None, [], True
+        start, before = 0, None  # of the chunk that is open
+
+        def chunk() -> Iterator[pa.RecordBatch]:
+            nonlocal start, before, held
+            values = np.concatenate(held or [np.empty(0)])
+            for lo in range(0, len(values), CHUNK):
+                part = values[lo:lo + CHUNK]
+                yield rows(1, {"key": pa.array([key.as_py()], key_type), "pid": [pid], "start": [start],
+                               "count": [len(part)], "before": [before], "last": [float(part[-1])],
+                               "values": pa.array([part], pa.list_(pa.float64()))})
+                start, before = start + len(part), float(part[-1])
+            held = []
+
+        def finished() -> pa.RecordBatch:
+            values = np.concatenate(held)
+            columns = finish(values, 0, len(values), None)
+            n = len(next(iter(columns.values())))
+            return rows(n, columns | {"key": pa.array([key.as_py()] * n, key_type)})
+
+        for batch in batches:
+            keys, values = batch.column("key"), batch.column("x").to_numpy()
+            for lo, hi in _runs(keys):
+                if key is None or not keys[lo].equals(key):
+                    if key is not None:
+                        if first:
+                            yield from chunk()
+                        else:
+                            yield finished()
+                        first = False
+                    key, held, start, before = keys[lo], [], 0, None
+                held.append(values[lo:hi])
+                if first and sum(map(len, held)) >= CHUNK:
+                    yield from chunk()
+        if held:
+            yield from chunk()
+    return run
+
+
+def _chunk_kernel(finish: Finisher, key_type: pa.DataType, out: list[tuple[str, pa.DataType]]):
+    schema = pa.schema([("key", key_type), *out])
 
-from ..session import checkpoint_dir
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = {c: batch.column(c) for c in ("at", "n", "before", "values")}
+            for i in range(batch.num_rows):
+                values = held["values"][i].values.to_numpy()
+                columns = finish(values, held["at"][i].as_py(), held["n"][i].as_py(), held["before"][i].as_py())
+                n = len(next(iter(columns.values())))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([batch.column("key")[i].as_py()] * n, key_type),
+                     *(pa.array(columns[name], t) for name, t in out)], schema=schema)
+    return run
 
 
-def dense_positions(df: DataFrame, key: str, order_cols: Sequence[str],
-                    partitions: int | None = None, pos_col: str = "i",
-                    count_col: str = "n") -> DataFrame:
-    """``df`` plus 0-based rank ``pos_col`` and key size ``count_col``.
+def segmented_scan(df: DataFrame, key: str, order_cols: Sequence[str], value: str, finish: Finisher,
+                   out: dict[str, str], partitions: int | None = None) -> DataFrame:
+    """``key`` and the columns ``out`` that ``finish`` returns for the values of
+    each key in order; for a key over several partitions or chunks, once each.
 
-    ``order_cols`` must make rows unique within a key.
+    ``order_cols`` must make rows unique within a key; values must not be null.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(p, F.col(key), *[F.col(c) for c in order_cols])
-              .sortWithinPartitions(key, *order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    tagged = ranged.drop("_mid").checkpoint(eager=True)
-    per_part = (tagged.groupBy("_pid", key)
-                .agg(F.count(F.lit(1)).alias("_c"), F.min("_local").alias("_first")))
-    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per_part = per_part.select(
-        "_pid", key, "_first",
-        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_c").over(Window.partitionBy(key)).alias(count_col))
-    # Small (partitions + keys rows): materialised once, so callers that use
-    # the positions twice (e.g. a previous-row join) do not re-aggregate.
-    per_part = per_part.checkpoint(eager=True)
-    out = tagged.join(per_part, ["_pid", key])
-    return out.withColumn(pos_col, F.col("_offset") + F.col("_local") - F.col("_first")) \
-              .drop("_pid", "_local", "_first", "_offset")
-
-
-def with_previous(df: DataFrame, key: str, cols: Sequence[str], pos_col: str = "i",
-                  prefix: str = "prev_") -> DataFrame:
-    """Attach the columns of the row at ``pos_col - 1`` of the same key."""
-    prev = df.select(F.col(key), (F.col(pos_col) + 1).alias(pos_col),
-                     *[F.col(c).alias(prefix + c) for c in cols])
-    return df.join(prev, [key, pos_col], "left")
+    shape = spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in out.items())).schema
+    arrow = [(f.name, to_arrow_type(f.dataType)) for f in shape]
+    kind = df.schema[key].dataType
+    key_type = to_arrow_type(kind)
+    ranged = (df.select(F.col(key).alias("key"), *order_cols, F.col(value).cast("double").alias("x"))
+              .repartitionByRange(p, "key", *order_cols).sortWithinPartitions("key", *order_cols)
+              .select("key", "x"))
+    columns = f"key {kind.simpleString()}, " + ", ".join(f"`{c}` {t}" for c, t in out.items())
+    path = scratch_path(spark, "segments")
+    (ranged.mapInArrow(_scan_kernel(finish, key_type, arrow),
+                       columns + ", pid long, start long, count long, before double, last double, values array<double>")
+     .write.parquet(path))
+    held = spark.read.parquet(path)
+    done = held.where("pid IS NULL").select("key", *out)
+    chunks = held.where("pid IS NOT NULL")
+    order = Window.partitionBy("key").orderBy("pid", "start")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    places = chunks.select(
+        "key", "pid", "start", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("at"),
+        F.sum("count").over(Window.partitionBy("key")).alias("n"), F.lag("last").over(order).alias("before"))
+    # One row per chunk, of at least CHUNK values or one of two a partition.
+    met = (chunks.select("key", "pid", "start", "values").alias("c")
+           .join(places.alias("p"), F.col("c.pid").eqNullSafe(F.col("p.pid"))
+                 & F.col("c.start").eqNullSafe(F.col("p.start")) & F.col("c.key").eqNullSafe(F.col("p.key")))
+           .select("c.key", "at", "n", "before", "values"))
+    return done.unionByName(met.mapInArrow(_chunk_kernel(finish, key_type, arrow), columns))

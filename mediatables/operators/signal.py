@@ -19,10 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import l2_normalize
+from .positions import segmented_scan
 
 
 def duration_seconds(frames: Column, rate: Column) -> Column:
@@ -51,39 +53,58 @@ def mix_to_mono(samples: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     return samples.groupBy(*keys, *order_cols).agg(F.avg(value).alias(value))
 
 
+def bucket_moments(buckets: int):
+    """Per bucket of a stretch of samples: size, sum of squares, sign changes
+    and peak; sums of these over stretches are those of the whole signal."""
+    def finish(x: np.ndarray, at: int, n: int, before: float | None) -> dict[str, np.ndarray]:
+        q, r = divmod(n, buckets)
+        i = np.arange(at, at + len(x))
+        big = r * (q + 1)
+        bucket = np.where(i < big, i // (q + 1), r + (i - big) // max(q, 1))
+        sign = np.signbit(x).astype(np.int64)
+        change = np.abs(np.diff(sign, prepend=sign[:1]))
+        change[1:][bucket[1:] != bucket[:-1]] = 0
+        # The first sample changes against the one before it in its bucket.
+        first_of = at == 0 or _bucket(at - 1, q, r, buckets) != bucket[0]
+        change[0] = 0 if first_of or before is None else abs(int(sign[0]) - int(np.signbit(before)))
+        names, where = np.unique(bucket, return_inverse=True)
+        return {"bucket": names, "size": np.bincount(where), "squares": np.bincount(where, weights=x * x),
+                "flips": np.bincount(where, weights=change).astype(np.int64),
+                "peak": np.full(len(names), np.abs(x).max())}
+
+    return finish
+
+
+def _bucket(i: int, q: int, r: int, buckets: int) -> int:
+    big = r * (q + 1)
+    return i // (q + 1) if i < big else r + (i - big) // max(q, 1)
+
+
 def bucket_stats(samples: DataFrame, key: str, order_cols: Sequence[str],
                  value: str = "value", buckets: int = 64) -> DataFrame:
     """A6 + A7 + A9 per key: ``(key, rms array[B], zcr array[B])``.
 
-    Positions come from :func:`operators.positions.dense_positions`, the
-    previous sample from a join on ``(key, i - 1)``, peak and sizes from
-    partial aggregations; no task ever holds a whole key.
-    Everything after the per-bucket aggregation works on ``keys x B`` rows.
+    A segmented scan (``operators.positions``) reads the samples in order with
+    one exchange; no task ever holds a hot key. What it returns are ``keys x B``
+    partial sums, and a few more for keys that span partitions.
     """
-    x = F.col(value).cast("double")
-    base = samples.where(F.col(value).isNotNull()).select(
-        F.col(key), *[F.col(c) for c in order_cols], x.alias("x"))
-    from .positions import dense_positions, with_previous
-    pos = dense_positions(base, key, order_cols)
-    pos = pos.select(key, "x", "i", bucket_of(F.col("i"), F.col("n"), buckets).alias("bucket"),
-                     signbit(F.col("x")).alias("sign"))
-    pos = with_previous(pos, key, ["bucket", "sign"])
-    flip = F.when(F.col("prev_bucket") == F.col("bucket"), F.abs(F.col("sign") - F.col("prev_sign")))
-    raw = (pos.groupBy(key, "bucket")
-           .agg(F.avg(F.col("x") * F.col("x")).alias("ex2"), F.count(F.lit(1)).alias("size"),
-                F.sum(flip).alias("flips")))
-    peak = base.groupBy(key).agg(F.max(F.abs("x")).alias("peak"))
-    per_bucket = raw.join(peak, key).select(
-        key, "bucket", "size", "flips",
-        F.when(F.col("peak") > 0, F.sqrt(F.col("ex2")) / F.col("peak"))
-        .otherwise(F.sqrt(F.col("ex2"))).alias("rms"))
+    base = samples.where(F.col(value).isNotNull())
+    parts = segmented_scan(base, key, order_cols, value, bucket_moments(buckets),
+                           {"bucket": "long", "size": "long", "squares": "double", "flips": "long", "peak": "double"})
+    per_bucket = parts.groupBy("key", "bucket").agg(
+        F.sum("size").alias("size"), F.sum("squares").alias("squares"), F.sum("flips").alias("flips"),
+        F.max("peak").alias("peak"))
     zcr = F.when(F.col("size") > 1, F.col("flips") / (F.col("size") - 1)).otherwise(F.lit(0.0))
-    per_key = (per_bucket.select(key, "bucket", F.struct(F.col("rms"), zcr.alias("zcr")).alias("v"))
-               .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "v"))).alias("m")))
+    # A bucket row carries the peak of its stretch; the signal's is the largest.
+    per_key = (per_bucket.groupBy("key").agg(
+        F.max("peak").alias("peak"),
+        F.map_from_entries(F.collect_list(F.struct(
+            "bucket", F.struct(F.sqrt(F.col("squares") / F.col("size")).alias("rms"), zcr.alias("zcr"))))).alias("m")))
     slots = F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))
+    scale = F.when(F.col("peak") > 0, F.col("peak")).otherwise(F.lit(1.0))
     return per_key.select(
-        key,
-        F.transform(slots, lambda i: F.coalesce(F.col("m")[i]["rms"], F.lit(0.0))).alias("rms"),
+        F.col("key").alias(key),
+        F.transform(slots, lambda i: F.coalesce(F.col("m")[i]["rms"] / scale, F.lit(0.0))).alias("rms"),
         F.transform(slots, lambda i: F.coalesce(F.col("m")[i]["zcr"], F.lit(0.0))).alias("zcr"))
 
 

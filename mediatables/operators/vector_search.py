@@ -352,7 +352,7 @@ def search_many(spark: SparkSession, index: IvfIndex | str, queries: DataFrame,
                  .withColumn("distance", squared_l2(F.col("_vector"), F.col("_query")))
                  .drop("_vector", "_query"))
         found = _ranked(found, k, index.key)
-    return found.select("query_id", *index.key, "distance", "rank", "centroid_id")
+    return found.select("query_id", *index.key, "distance", F.col("rank").cast("long").alias("rank"), "centroid_id")
 
 
 def recall(found: DataFrame, truth: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ..functions import rules, tagging
 from ..functions.redact import redact_pii
 from ..operators import ivf, maintenance
-from ..operators.media import ImageQuality, WavInfo, WavSignalEmbedder
+from ..operators.media import ImageQuality, WavInfo, WavSignalEmbedder, image_measures
 from ..operators.models import batch_udf, call_model, guarded_embedding
 from ..operators.signal import duration_seconds
 from ..schemas import (
@@ -36,7 +36,7 @@ from ..schemas import (
     IndexConfig,
     with_embedding,
 )
-from ..session import MEDIA_BATCH_CONF, session_conf
+from ..session import MEDIA_BATCH_CONF, scratch_path, session_conf
 from ..sources import fetch, fileset, readers, sinks
 
 
@@ -157,14 +157,10 @@ def ingest_audio(spark: SparkSession, analysis_path: str, table: str, now=None,
 # Images (C4, C5)
 # ---------------------------------------------------------------------------
 
-def decoded_images(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
-    """Spark's ``image`` source over ``roots`` (BGR; undecodable -> height -1)."""
-    imgs = None
-    for root in roots:
-        part = (spark.read.format("image").option("dropInvalid", False)
-                .option("recursiveFileLookup", True).load(root))
-        imgs = part if imgs is None else imgs.unionByName(part)
-    return imgs.select(fetch.normalize_path(F.col("image.origin")).alias("_norm"),
+def decoded_images(spark: SparkSession, folder: str) -> DataFrame:
+    """Spark's ``image`` source over a folder (BGR; undecodable -> height -1)."""
+    imgs = spark.read.format("image").option("dropInvalid", False).load(folder)
+    return imgs.select(F.element_at(F.split("image.origin", "/"), -1).alias("_object"),
                        F.col("image.height").alias("_h"), F.col("image.width").alias("_w"),
                        F.col("image.nChannels").alias("_c"), F.col("image.data").alias("_data"))
 
@@ -176,33 +172,30 @@ def build_image_analysis(spark: SparkSession, manifest: str | DataFrame, roots:
                          cfg: ImageConfig = ImageConfig(), fetcher=None) -> DataFrame:
     """Lazy image analysis frame (C4 without the sink): one row per manifest row.
 
-    Bytes are fetched for the manifest's rows alone; they show whether the
-    object exists and are embedded by the task that read them. Pixels come
-    from Spark's image source over ``roots``, joined to the manifest's paths
-    before they are measured, so nothing outside the manifest is measured.
-    Embeddings are kept only for ``ok`` rows (the embedder itself returns
-    NULL for bytes it cannot decode).
+    Each object of the manifest is read once, whatever else its folder holds.
+    Its bytes are embedded by the task that read them and laid into the shared
+    scratch folder under the hash of its URL, from where Spark's image source
+    decodes them; names that the source skips at their own place, such as
+    ``_a.png``, make no difference. Embeddings are kept only for ``ok`` rows
+    (the embedder itself returns NULL for bytes it cannot decode).
     """
     m = readers.read_manifest(spark, manifest) if isinstance(manifest, str) else manifest
     m = m.select("doc_id", "s3_url")
     if embed and embedder_factory is None:
         raise ValueError("embed=True needs an embedder_factory")
-    found = [F.when(F.col("_bytes").isNotNull(), F.lit(True)).alias("_fetched")]
+    found = [F.when(F.col("_bytes").isNotNull(), F.lit(True)).alias("_fetched"), "_object"]
     if embed:
         found.append(guarded_embedding(embedder_factory, F.col("_bytes"), F.lit(True), cfg.embed_dim,
                                        method="embed_image_batch").alias("_vec"))
-    df = (with_content(m, "_bytes", roots, fetcher).select("doc_id", "s3_url", *found)
-          .withColumn("_norm", fetch.normalize_path(F.col("s3_url"))))
-
-    keys = m.select(fetch.normalize_path(F.col("s3_url")).alias("_norm")).distinct()
-    pixels = decoded_images(spark, roots).join(keys, "_norm", "left_semi")
-    quality = batch_udf(quality_factory, IMAGE_QUALITY_STRUCT)
-    decodable = F.col("_h") > 0
-    measures = (pixels.select("_norm", quality(F.when(decodable, F.col("_h")), F.col("_w"), F.col("_c"),
-                                               F.when(decodable, F.col("_data"))).alias("_q"))
-                .select("_norm", *[F.col(f"_q.{f}").alias(f) for f in IMAGE_QUALITY_STRUCT.names])
-                .dropDuplicates(["_norm"]))
-    df = df.join(measures, "_norm", "left")
+    folder, table = scratch_path(spark, "objects"), scratch_path(spark, "fetched")
+    named = (m.select("s3_url").where(F.col("s3_url").isNotNull()).distinct()
+             .withColumn("_object", F.concat(F.lit("o-"), F.sha2(F.col("s3_url").cast("binary"), 256))))
+    with session_conf(spark, MEDIA_BATCH_CONF):
+        laid = fetch.lay_objects(with_content(named, "_bytes", roots, fetcher), "_object", "_bytes", folder)
+        laid.select("s3_url", *found).write.parquet(table)
+    objects = spark.read.parquet(table)
+    measures = image_measures(decoded_images(spark, folder), quality_factory, ["_object"])
+    df = m.join(objects.join(measures, "_object", "left"), "s3_url", "left")
     blur = F.when(F.col("_fetched"), F.col("blur_score"))
     df = df.withColumn("status", rules.image_status(F.col("_fetched"), blur))
     kept = [F.when(F.col("status") == "ok", F.col(f)).alias(f) for f in IMAGE_QUALITY_STRUCT.names]
@@ -281,11 +274,10 @@ def manage(spark: SparkSession, table: str, before=None, after=None) -> maintena
     """Delete by date (strict bounds, ANDed) and clean up.
 
     Indexes built before the delete would still list removed rows, so they
-    are dropped; vector queries fall back to exact search until C7 rebuilds.
+    are dropped first; vector queries fall back to exact search until C7 rebuilds.
     """
-    report = maintenance.delete_by_date(spark, table, before, after)
     maintenance.drop_indexes(spark, table)
-    return report
+    return maintenance.delete_by_date(spark, table, before, after)
 
 
 def init_manifest(spark: SparkSession, directory: str, out_path: str, media: str = "image") -> int:

@@ -561,22 +561,6 @@ _UNNEST_EMB = ("SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, "
                "generate_subscripts(embedding, 1) AS i FROM embeddings WHERE embedding IS NOT NULL")
 
 
-def _label_means(emb: DataFrame):
-    """Per-label mean vectors (label-count x dim numbers reach the driver)."""
-    rows = (emb.where(F.col("embedding").isNotNull())
-            .select("label", F.posexplode("embedding").alias("d", "x"))
-            .groupBy("label", "d").agg(F.avg("x").alias("m"))
-            .orderBy("label", "d").collect())
-    labels: list[int] = []
-    mat: list[list[float]] = []
-    for r in rows:
-        if not labels or labels[-1] != r["label"]:
-            labels.append(r["label"])
-            mat.append([])
-        mat[-1].append(float(r["m"]))
-    return labels, mat
-
-
 @register("ivf_assign", f"""
 WITH u AS ({_UNNEST_EMB}),
 c AS (SELECT label AS cid, i, avg(x) AS m FROM u GROUP BY label, i),
@@ -585,52 +569,165 @@ r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cid) AS rn
 SELECT vec_id, cid AS centroid_id, round(dist, {R}) AS dist FROM r WHERE rn = 1
 """)
 def ivf_assign(spark, sf_dir):
+    """Nearest of the label means: the few means, as one row, meet every vector."""
     from ..functions.vectors import squared_l2
-    from ..operators.ivf import assign_udf
     emb = table(spark, sf_dir, "embeddings").where(F.col("embedding").isNotNull())
-    labels, mat = _label_means(emb)
-    ids = F.array(*[F.lit(int(x)) for x in labels])
-    centers = F.array(*[F.array(*[F.lit(v) for v in row]) for row in mat])
-    j = assign_udf(mat)(F.col("embedding"))
-    out = emb.select("vec_id", "embedding", (j + 1).alias("_j"))
-    return out.select("vec_id", F.element_at(ids, F.col("_j")).alias("centroid_id"),
-                      F.round(squared_l2(F.col("embedding"), F.element_at(centers, F.col("_j"))), R).alias("dist"))
-
-
-def _index(spark, sf_dir, name, **kw):
+    means = (emb.select("label", F.posexplode("embedding").alias("d", "x"))
+             .groupBy("label", "d").agg(F.avg("x").alias("m"))
+             .groupBy("label").agg(F.array_sort(F.collect_list(F.struct("d", "m"))).alias("s"))
+             .select(F.col("label").alias("centroid_id"), F.transform("s", lambda e: e["m"]).alias("mean")))
+    far = means.agg(F.array_sort(F.collect_list(F.struct("centroid_id", "mean"))).alias("means"))
+    nearest = F.array_min(F.transform("means", lambda c: F.struct(
+        squared_l2(F.col("embedding"), c["mean"]).alias("dist"), c["centroid_id"].alias("centroid_id"))))
+    met = emb.withColumn("one", F.lit(1)).join(far.withColumn("one", F.lit(1)), "one")
+    return met.select("vec_id", nearest.alias("n")).select(
+        "vec_id", F.col("n.centroid_id").alias("centroid_id"), F.round("n.dist", R).alias("dist"))
+
+
+# Parameters of the registered indexes.
+INDEXES = {
+    "IVF_FLAT": {"num_partitions": 8, "sample_rate": 256},
+    "IVF_SQ": {"num_partitions": 4, "sample_rate": 256},
+    "IVF_PQ": {"num_partitions": 1, "num_sub_vectors": 8, "sample_rate": 256},
+}
+REFINE = 10
+EVERY = 50
+
+
+def _index(spark, sf_dir, index_type, **options):
     from ..operators.ivf import build_index
     from ..session import scratch_path
     emb = table(spark, sf_dir, "embeddings")
-    return build_index(spark, emb, "embedding", scratch_path(spark, name), **kw)
+    return build_index(spark, emb, "embedding", scratch_path(spark, index_type.lower()), index_type=index_type,
+                       **(INDEXES[index_type] | options))
+
+
+def _asked(spark, sf_dir) -> DataFrame:
+    """Every row whose id is divisible by 50, as a query."""
+    return table(spark, sf_dir, "embeddings").where((F.col("vec_id") % EVERY == 0) & F.col("embedding").isNotNull()) \
+        .select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+def _search_asked(spark, sf_dir, index_type) -> DataFrame:
+    """Top 10 of every query through an index; the number of partitions that
+    it probes is tuned on a sample of the queries."""
+    from ..operators.vector_search import search_many, tune_probes
+    index, asked = _index(spark, sf_dir, index_type), _asked(spark, sf_dir)
+    probes = tune_probes(spark, index, asked, 10, target=0.97)
+    return search_many(spark, index, asked, 10, nprobes=probes, refine_factor=REFINE)
 
 
-@register("ivf_search_all_probes", _knn_sql())
+_KNN_JOIN_SQL = f"""
+WITH q AS (SELECT vec_id AS query_id, embedding AS q FROM embeddings
+           WHERE vec_id % {EVERY} = 0 AND embedding IS NOT NULL),
+d AS (SELECT query_id, vec_id, list_sum(list_transform(list_zip(embedding, q),
+             lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) ** 2)) AS dist
+      FROM embeddings, q WHERE embedding IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dist, vec_id) AS rank FROM d)
+SELECT query_id, vec_id, round(dist, {R}) AS dist, rank FROM r WHERE rank <= 10
+"""
+
+
+@register("ivf_search_all_probes", _KNN_JOIN_SQL)
 def ivf_search_all_probes(spark, sf_dir):
-    from ..operators.ivf import ivf_search
-    idx = _index(spark, sf_dir, "ivf-flat", index_type="IVF_FLAT", num_partitions=4, sample_rate=64)
-    return _knn_out(ivf_search(spark, idx, QVEC, 10, nprobes=idx.num_partitions, tie_breakers=["vec_id"]))
+    """Every partition probed: the exact neighbours of all queries."""
+    from ..operators.vector_search import search_many
+    index = _index(spark, sf_dir, "IVF_FLAT")
+    found = search_many(spark, index, _asked(spark, sf_dir), 10, nprobes=index.num_partitions)
+    return found.select("query_id", "vec_id", rnd("distance", "dist"), "rank")
+
+
+def _found(df: DataFrame) -> DataFrame:
+    return df.select("query_id", "vec_id", rnd("distance", "dist"), "rank")
 
 
 @register("ivf_search")
 def ivf_search_q(spark, sf_dir):
-    from ..operators.ivf import ivf_search
-    idx = _index(spark, sf_dir, "ivf-flat", index_type="IVF_FLAT", num_partitions=8, sample_rate=64)
-    return _knn_out(ivf_search(spark, idx, QVEC, 10, nprobes=3, tie_breakers=["vec_id"]))
+    return _found(_search_asked(spark, sf_dir, "IVF_FLAT"))
 
 
 @register("pq_search")
 def pq_search(spark, sf_dir):
-    from ..operators.ivf import ivf_search
-    idx = _index(spark, sf_dir, "ivf-pq", index_type="IVF_PQ", num_partitions=1, num_sub_vectors=8,
-                 sample_rate=256)
-    return _knn_out(ivf_search(spark, idx, QVEC, 10, nprobes=1, refine_factor=5, tie_breakers=["vec_id"]))
+    return _found(_search_asked(spark, sf_dir, "IVF_PQ"))
 
 
 @register("sq_search")
 def sq_search(spark, sf_dir):
-    from ..operators.ivf import ivf_search
-    idx = _index(spark, sf_dir, "ivf-sq", index_type="IVF_SQ", num_partitions=4, sample_rate=64)
-    return _knn_out(ivf_search(spark, idx, QVEC, 10, nprobes=2, refine_factor=5, tie_breakers=["vec_id"]))
+    return _found(_search_asked(spark, sf_dir, "IVF_SQ"))
+
+
+@register("index_recall", f"""
+WITH q AS (SELECT count(*) AS n_queries FROM embeddings WHERE vec_id % {EVERY} = 0 AND embedding IS NOT NULL),
+v AS (SELECT least(10, count(*)) AS k FROM embeddings WHERE embedding IS NOT NULL)
+SELECT t.index_type, q.n_queries, q.n_queries * v.k AS n_true, true AS recall_ok
+FROM q, v, (VALUES ('IVF_FLAT'), ('IVF_PQ'), ('IVF_SQ')) t(index_type)
+""")
+def index_recall(spark, sf_dir):
+    """Recall of the registered searches against all rows, 0.9 or more."""
+    from ..operators.vector_search import recall, search_many
+    exact = search_many(spark, _index(spark, sf_dir, "IVF_FLAT"), _asked(spark, sf_dir), 10,
+                        nprobes=INDEXES["IVF_FLAT"]["num_partitions"])
+    parts = None
+    for index_type in INDEXES:
+        counts = recall(_search_asked(spark, sf_dir, index_type), exact, ["vec_id"]).agg(
+            F.count(F.lit(1)).alias("n_queries"), F.sum("n_true").alias("n_true"),
+            (F.sum("n_found") >= 0.9 * F.sum("n_true")).alias("recall_ok"))
+        one = counts.select(F.lit(index_type).alias("index_type"), "n_queries", "n_true", "recall_ok")
+        parts = one if parts is None else parts.unionByName(one)
+    return parts
+
+
+_RANGE = (1.0, 1.5)
+
+
+def _bounded(spark, sf_dir, index_type, **options) -> DataFrame:
+    from ..operators.vector_search import ivf_search
+    index = _index(spark, sf_dir, index_type)
+    found = ivf_search(spark, index, QVEC, 10, nprobes=1, tie_breakers=["vec_id"],
+                       table=table(spark, sf_dir, "embeddings"), **options)
+    return _knn_out(found)
+
+
+@register("index_range", _knn_sql(lo_hi=_RANGE))
+def index_range(spark, sf_dir):
+    """A distance range through IVF: only partitions that reach into it."""
+    return _bounded(spark, sf_dir, "IVF_FLAT", distance_range=_RANGE)
+
+
+@register("index_range_sq", _knn_sql(lo_hi=_RANGE))
+def index_range_sq(spark, sf_dir):
+    return _bounded(spark, sf_dir, "IVF_SQ", distance_range=_RANGE)
+
+
+@register("index_prefilter", _knn_sql("label IN (1, 3, 5)"))
+def index_prefilter(spark, sf_dir):
+    """A prefilter on a column that the index does not hold."""
+    return _bounded(spark, sf_dir, "IVF_FLAT", where="label IN (1, 3, 5)")
+
+
+@register("index_prefilter_sq", _knn_sql("label IN (1, 3, 5)"))
+def index_prefilter_sq(spark, sf_dir):
+    return _bounded(spark, sf_dir, "IVF_SQ", where="label IN (1, 3, 5)")
+
+
+@register("index_fresh_rows", _knn_sql())
+def index_fresh_rows(spark, sf_dir):
+    """V9: a table indexed when it held two thirds of its rows; the others come
+    later with earlier times, and a search through the index finds them."""
+    from ..operators.ivf import build_index
+    from ..operators.vector_search import ivf_search
+    from ..session import scratch_path
+    from ..sources.readers import read_asset
+    from ..sources.sinks import append_asset
+    emb = table(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "fresh-rows")
+    first = F.col("vec_id") % 3 > 0
+    append_asset(emb.where(first).withColumn("ingest_time", F.lit("2024-06-01").cast("timestamp")), path)
+    index = build_index(spark, read_asset(spark, path), "embedding", f"{path}/_index/embedding",
+                        index_type="IVF_FLAT", **INDEXES["IVF_FLAT"])
+    append_asset(emb.where(~first).withColumn("ingest_time", F.lit("2023-01-01").cast("timestamp")), path)
+    found = ivf_search(spark, index, QVEC, 10, tie_breakers=["vec_id"], table=read_asset(spark, path), complete=True)
+    return _knn_out(found)
 
 
 @register("sq_codes", """
@@ -860,10 +957,9 @@ def zonemap_q(spark, sf_dir):
 SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '{PRUNE_LO}' AND ts <= TIMESTAMP '{PRUNE_HI}'
 """)
 def zonemap_prune(spark, sf_dir):
-    from ..operators.maintenance import scan_time_range, zone_map
-    ev = table(spark, sf_dir, "events")
-    zones = zone_map(ev, "ts", _zone())
-    return scan_time_range(ev, PRUNE_LO, PRUNE_HI, "ts", zones, _zone()).select("event_id", "ts")
+    """A time range; files' statistics say which row groups are not read."""
+    from ..operators.maintenance import scan_time_range
+    return scan_time_range(table(spark, sf_dir, "events"), PRUNE_LO, PRUNE_HI, "ts").select("event_id", "ts")
 
 
 def _delete_sql(before=None, after=None) -> str:
@@ -970,16 +1066,37 @@ def resolve_uri(spark, sf_dir):
     return resolve_fileset_uri(virt, registry, "path", "location").select("page_id", "path", "location")
 
 
-@register("file_listing")
+def _stored_pages(spark, sf_dir, suffix: str) -> str:
+    """Each page's html as an object; the folder of them."""
+    from ..session import scratch_path
+    folder = scratch_path(spark, "objects")
+    pages = table(spark, sf_dir, "pages").where("length(html) > 0")
+    url = F.concat(F.lit(f"{folder}/page-"), F.col("page_id").cast("string"), F.lit(suffix))
+    write_objects(pages.repartition("page_id").select(url.alias("url"), F.encode("html", "utf-8").alias("content")))
+    return folder
+
+
+@register("file_listing", """
+SELECT 'page-' || page_id || '.html' AS name, CAST(octet_length(encode(html)) AS BIGINT) AS length
+FROM pages WHERE length(html) > 0
+""")
 def file_listing(spark, sf_dir):
+    """S7 over the pages as objects: names and sizes, no contents."""
+    from ..functions.tagging import file_name
     from ..sources.readers import list_files
-    return list_files(spark, sf_dir, "*.parquet")
+    listing = list_files(spark, _stored_pages(spark, sf_dir, ".html"), "page-*.html")
+    return listing.select(file_name(F.col("path")).alias("name"), "length")
 
 
-@register("build_manifest")
+@register("build_manifest", """
+SELECT 'page-' || page_id || '.JPG' AS doc_id, true AS is_location FROM pages WHERE length(html) > 0
+""")
 def build_manifest_q(spark, sf_dir):
+    """S15 over the pages as objects."""
     from ..sources.fileset import build_manifest
-    return build_manifest(spark, sf_dir, media="table", suffixes=["parquet"])
+    folder = _stored_pages(spark, sf_dir, ".JPG")
+    manifest = build_manifest(spark, folder, media="image")
+    return manifest.select("doc_id", F.col("s3_url").endswith(F.concat(F.lit("/"), F.col("doc_id"))).alias("is_location"))
 
 
 @register("glob_scan", "SELECT * FROM nation")
@@ -988,18 +1105,134 @@ def glob_scan(spark, sf_dir):
     return read_parquet_glob(spark, f"{sf_dir.rstrip('/')}/natio*.parquet")
 
 
-@register("csv_manifest", "SELECT CAST(page_id AS VARCHAR) AS doc_id, url AS s3_url FROM pages")
-def csv_manifest(spark, sf_dir):
-    """pages as a CSV manifest with an extra column, read back via S1."""
+_MANIFEST_SQL = "SELECT CAST(page_id AS VARCHAR) AS doc_id, url AS s3_url FROM pages"
+
+
+def _manifest(spark, sf_dir, kind: str) -> DataFrame:
+    """Pages written as a manifest with another column, read back via S1."""
     from ..session import scratch_path
     from ..sources.readers import read_manifest
-    path = scratch_path(spark, "manifest") + ".csv"
-    (table(spark, sf_dir, "pages")
-     .select(F.col("page_id").cast("string").alias("doc_id"), F.col("url").alias("s3_url"), "html")
-     .write.option("header", True).option("escape", '"').csv(path))
+    path = f"{scratch_path(spark, 'manifest')}.{kind}"
+    rows = table(spark, sf_dir, "pages").select(
+        F.length("html").alias("n_chars"), F.col("page_id").cast("string").alias("doc_id"), F.col("url").alias("s3_url"))
+    if kind == "csv":
+        rows.write.option("header", True).option("escape", '"').csv(path)
+    elif kind == "jsonl":
+        rows.write.json(path)
+    else:
+        rows.write.parquet(path)
     return read_manifest(spark, path)
 
 
+@register("csv_manifest", _MANIFEST_SQL)
+def csv_manifest(spark, sf_dir):
+    return _manifest(spark, sf_dir, "csv")
+
+
+@register("jsonl_manifest", _MANIFEST_SQL)
+def jsonl_manifest(spark, sf_dir):
+    return _manifest(spark, sf_dir, "jsonl")
+
+
+@register("parquet_manifest", _MANIFEST_SQL)
+def parquet_manifest(spark, sf_dir):
+    return _manifest(spark, sf_dir, "parquet")
+
+
+@register("csv_glob", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def csv_glob(spark, sf_dir):
+    """Orders as CSV files with a declared schema."""
+    from ..session import scratch_path
+    from ..sources.readers import read_csv_glob
+    path = scratch_path(spark, "orders-csv")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    return read_csv_glob(spark, f"{path}/*.csv", rows.schema)
+
+
+@register("desc_reader_join", """
+SELECT l.doc_id, l.quality, d.lang AS description
+FROM labels l LEFT JOIN (SELECT doc_id, lang FROM documents WHERE source = 'src0') d ON l.doc_id = d.doc_id
+""")
+def desc_reader_join(spark, sf_dir):
+    """S3: a description table kept as JSON lines, joined to the labels."""
+    from ..session import scratch_path
+    from ..sources.readers import read_desc_table
+    path = scratch_path(spark, "descriptions") + ".jsonl"
+    (table(spark, sf_dir, "documents").where("source = 'src0'")
+     .select("doc_id", F.col("lang").alias("description")).write.json(path))
+    desc = read_desc_table(spark, path).withColumn("doc_id", F.col("doc_id").cast("long"))
+    out, cols = q.join_descriptions(table(spark, sf_dir, "labels"), desc, ["doc_id", "quality"])
+    return out.select(*cols)
+
+
+@register("write_modes", """
+SELECT 1 AS step, 'create' AS mode, count(*) AS rows FROM events
+UNION ALL SELECT 2, 'append', 2 * count(*) FROM events
+""")
+def write_modes(spark, sf_dir):
+    """The mode before each of two appends, and the rows after it."""
+    from ..session import scratch_path
+    from ..sources.readers import read_asset
+    from ..sources.sinks import append_asset, table_write_mode
+    path, out = scratch_path(spark, "modes"), None
+    events = table(spark, sf_dir, "events").withColumnRenamed("ts", "ingest_time")
+    for step in (1, 2):
+        mode = table_write_mode(spark, path)
+        append_asset(events, path)
+        # Read now, as the next append adds files.
+        rows = read_asset(spark, path).count()
+        one = spark.range(1).select(F.lit(step).alias("step"), F.lit(mode).alias("mode"), F.lit(rows).cast("long").alias("rows"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("vector_column_check", """
+SELECT label, count(*) AS rows FROM embeddings GROUP BY label
+""")
+def vector_column_check(spark, sf_dir):
+    """Of three batches the ones without the table's vector column, or
+    with another, are refused, and the table keeps the first."""
+    from ..session import scratch_path
+    from ..sources.readers import read_asset
+    from ..sources.sinks import append_asset, check_vector_columns
+    path = scratch_path(spark, "vectors")
+    emb = table(spark, sf_dir, "embeddings").withColumn("ingest_time", F.lit("2024-01-01").cast("timestamp"))
+    for batch in (emb, emb.drop("embedding"), emb.withColumn("second", F.col("embedding"))):
+        try:
+            check_vector_columns(spark, path, batch)
+        except ValueError:
+            continue
+        append_asset(batch, path)
+    return read_asset(spark, path).groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("output_mode", """
+SELECT doc_id, CASE WHEN lang = 'en' THEN source <> 'src0' ELSE source <> 'src1' END AS accepted
+FROM documents
+""")
+def output_mode(spark, sf_dir):
+    """P15 for an output planned per document: src0 goes to JSON lines, src1 to
+    a Parquet table, others elsewhere; English documents carry vectors."""
+    from ..sources.sinks import output_mode_ok
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat(F.lit("out/"), "doc_id", F.when(F.col("source") == "src0", ".jsonl")
+                    .when(F.col("source") == "src1", ".parquet/").otherwise(".table"))
+    return docs.select("doc_id", output_mode_ok(path, F.col("lang") == "en").alias("accepted"))
+
+
+@register("variance_large_mean", """
+WITH u AS (SELECT vec_id, unnest(embedding)::DOUBLE + 1000000.0 AS x FROM embeddings WHERE embedding IS NOT NULL)
+SELECT vec_id, round(var_pop(x), 4) AS variance FROM u GROUP BY vec_id
+""")
+def variance_large_mean(spark, sf_dir):
+    """A8's variance on values with a mean of a million."""
+    from ..functions.imaging import population_variance
+    emb = table(spark, sf_dir, "embeddings").where("embedding IS NOT NULL")
+    shifted = F.transform("embedding", lambda x: x.cast("double") + 1e6)
+    return emb.select("vec_id", F.round(population_variance(shifted), 4).alias("variance"))
+
+
 DESCRIPTIONS = [(1, "清晰正面人像"), (5, "两人合影"), (10**9, "不存在的图")]
 
 
@@ -1138,14 +1371,13 @@ def blob_audit(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 class TextStats:
-    """U1/U3/U4 stub: per-row lengths of (text, lang) as a struct."""
+    """Lengths of whole (text, lang) columns as a struct."""
 
     def __call__(self, text, lang):
         import pandas as pd
-        chars = text.map(lambda t: None if t is None else len(t))
-        lines = text.map(lambda t: None if t is None else t.count("\n") + 1)
-        lang_len = lang.map(lambda t: None if t is None else len(t))
-        return pd.DataFrame({"chars": chars, "lines": lines, "lang_len": lang_len})
+        return pd.DataFrame({"chars": text.str.len().astype("Int64"),
+                             "lines": (text.str.count("\n") + 1).astype("Int64"),
+                             "lang_len": lang.str.len().astype("Int64")})
 
 
 @register("udf_batch", """
@@ -1165,21 +1397,29 @@ def udf_batch(spark, sf_dir):
 STUB_CHARS = ["a", "e", "i", "o", "u", " ", "\n"]
 
 
-class StubEmbedder:
-    """Deterministic text 'embedding': length and a few character counts, L2-normalised."""
+class CharProfile:
+    """Length and a few character counts of texts, as unit vectors."""
 
     dim = 1 + len(STUB_CHARS)
 
+    def embed_batch(self, texts):
+        import re
+
+        import numpy as np
+        counts = [texts.str.len(), *(texts.str.count(re.escape(c)) for c in STUB_CHARS)]
+        raw = np.stack([c.to_numpy(dtype=np.float64) for c in counts], axis=1)
+        norm = np.sqrt((raw * raw).sum(axis=1, keepdims=True))
+        out = pd_series(raw / np.where(norm > 0, norm, 1.0))
+        return out.where(texts.str.len().to_numpy() > 0, None)
+
     def embed_text(self, text):
-        import math
-        if text is None or text == "":
-            return None
-        raw = [float(len(text))] + [float(text.count(c)) for c in STUB_CHARS]
-        norm = math.sqrt(sum(x * x for x in raw))
-        return [x / norm for x in raw] if norm > 0 else raw
+        import pandas as pd
+        return self.embed_batch(pd.Series([text], dtype=object)).iloc[0] if text else None
 
-    def embed_batch(self, texts):
-        return [self.embed_text(t) for t in texts]
+
+def pd_series(rows):
+    import pandas as pd
+    return pd.Series(list(rows), dtype=object)
 
 
 def _stub_sql(text: str) -> str:
@@ -1199,7 +1439,7 @@ e AS (SELECT doc_id, raw, sqrt(list_sum(list_transform(raw, lambda x: x * x))) A
 def _guarded(spark, sf_dir) -> DataFrame:
     from ..operators.models import guarded_embedding
     img = image_standin(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep_content=True)
-    emb = guarded_embedding(StubEmbedder, F.col("content"), F.col("status") == "ok", StubEmbedder.dim)
+    emb = guarded_embedding(CharProfile, F.col("content"), F.col("status") == "ok", CharProfile.dim)
     return img.select("doc_id", emb.alias("embedding"))
 
 
@@ -1215,7 +1455,7 @@ def embed_guarded(spark, sf_dir):
 
 
 QUERY_TEXT = "the quick brown fox jumps over the lazy dog\nagain and again"
-_QTEXT_VEC = StubEmbedder().embed_text(QUERY_TEXT)
+_QTEXT_VEC = [float(x) for x in CharProfile().embed_text(QUERY_TEXT)]
 _QTEXT_SQL = "([" + ", ".join(repr(x) for x in _QTEXT_VEC) + "]::DOUBLE[])"
 
 
@@ -1227,29 +1467,22 @@ SELECT doc_id, round(dist, {R}) AS dist FROM d ORDER BY dist, doc_id LIMIT 10
 def text_query_stub(spark, sf_dir):
     from ..operators.knn import DIST_COL, knn_by_embedder
     g = _guarded(spark, sf_dir)
-    top = knn_by_embedder(g, "embedding", StubEmbedder().embed_text, QUERY_TEXT, 10, tie_breakers=["doc_id"])
+    top = knn_by_embedder(g, "embedding", CharProfile().embed_text, QUERY_TEXT, 10, tie_breakers=["doc_id"])
     return top.select("doc_id", F.round(F.col(DIST_COL), R).alias("dist"))
 
 
-class StubChatClient:
-    """U5 stub: a JSON answer derived from the prompt length; some malformed."""
-
-    def complete(self, prompt: str) -> str:
-        import json
-
-        from ..schemas import PRIMARY_REASONS, TEXT_EMOTIONS
-        n = len(prompt)
-        if n % 5 == 0:
-            return '{"downgrade_related": tru'
-        return json.dumps({
-            "downgrade_related": n % 2 == 0,
-            "primary_reason": PRIMARY_REASONS[n % 7],
-            "summary": f"len {n}",
-            "confidence": (n % 100) / 100,
-            "text_emotion": TEXT_EMOTIONS[n % 6],
-            "bad_tone": n % 3 == 0,
-            "emotion_score": (n % 10) / 10,
-        })
+def _answers(prompt: Column) -> Column:
+    """A JSON answer per prompt, told by its length; some are malformed."""
+    from ..schemas import PRIMARY_REASONS, TEXT_EMOTIONS
+    n = F.length(prompt)
+    reasons = F.array(*[F.lit(x) for x in PRIMARY_REASONS])
+    emotions = F.array(*[F.lit(x) for x in TEXT_EMOTIONS])
+    answer = F.to_json(F.struct(
+        (n % 2 == 0).alias("downgrade_related"), F.element_at(reasons, n % 7 + 1).alias("primary_reason"),
+        F.concat(F.lit("len "), n.cast("string")).alias("summary"), (n % 100 / 100).alias("confidence"),
+        F.element_at(emotions, n % 6 + 1).alias("text_emotion"), (n % 3 == 0).alias("bad_tone"),
+        (n % 10 / 10).alias("emotion_score")))
+    return F.when(n % 5 == 0, F.lit('{"downgrade_related": tru')).otherwise(answer)
 
 
 def _llm_sql() -> str:
@@ -1273,10 +1506,145 @@ FROM p
 
 @register("llm_tag_stub", _llm_sql())
 def llm_tag_stub(spark, sf_dir):
-    from ..operators.models import call_model
+    """U5's way from prompts to typed fields; the answers are made by Spark."""
     conv = table(spark, sf_dir, "conversations")
     prompts = conv.select("conv_id", "turn", tagging.build_prompt(F.col("text"), _role_emotion()).alias("prompt"))
-    answered = call_model(prompts, "prompt", StubChatClient)
+    answered = prompts.withColumn("analysis_json", _answers(F.col("prompt")))
     parsed = answered.select("conv_id", "turn", tagging.parse_analysis_json(F.col("analysis_json")).alias("a"))
     out = parsed.select("conv_id", "turn", *tagging.analysis_fields_with_defaults(F.col("a")))
     return out.withColumns({c: F.round(c, R) for c in ("confidence", "emotion_score")})
+
+
+# ---------------------------------------------------------------------------
+# Whole jobs: analyze, ingest, query (C1-C6) on media made from the tables.
+# Embeddings stand in for 8 x 8 images, as BMP files; a tenth of the objects
+# are missing and a tenth are no images.
+# ---------------------------------------------------------------------------
+
+def _gray_levels(v: Column) -> Column:
+    """64 gray levels of a vector."""
+    return F.transform(v, lambda x: F.greatest(F.lit(0), F.least(F.lit(255), F.floor(
+        (x.cast("double") + 1.0) * 127.5))).cast("int"))
+
+
+def _int_hex(n: int) -> str:
+    return n.to_bytes(4, "little").hex()
+
+
+# Header of an 8 x 8 bitmap of 24 bits, rows from the bottom (fixed values).
+BMP_HEADER = ("424d" + _int_hex(54 + 192) + _int_hex(0) + _int_hex(54) + _int_hex(40) + _int_hex(8) + _int_hex(8)
+              + "01001800" + _int_hex(0) + _int_hex(192) + _int_hex(0) * 4)
+
+
+def _bitmap(levels: Column) -> Column:
+    rows = F.flatten(F.transform(F.sequence(F.lit(7), F.lit(0), F.lit(-1)), lambda r: F.slice(levels, r * 8 + 1, 8)))
+    pixel = F.transform(rows, lambda g: F.repeat(F.lpad(F.hex(g), 2, "0"), 3))
+    return F.unhex(F.concat(F.lit(BMP_HEADER), F.array_join(pixel, "")))
+
+
+_IMAGES_SQL = f"""
+WITH u AS (SELECT vec_id, [greatest(0, least(255, floor((x::DOUBLE + 1.0) * 127.5))) for x in embedding]::DOUBLE[] AS v
+           FROM embeddings WHERE embedding IS NOT NULL),
+p AS (SELECT vec_id, v, unnest(range(64)) AS p FROM u),
+l AS (SELECT vec_id, v, p // 8 AS r, p % 8 AS c FROM p),
+lap AS (SELECT vec_id,
+          v[{_refl('r - 1', 8)} * 8 + c + 1] + v[{_refl('r + 1', 8)} * 8 + c + 1]
+          + v[r * 8 + {_refl('c - 1', 8)} + 1] + v[r * 8 + {_refl('c + 1', 8)} + 1] - 4 * v[r * 8 + c + 1] AS lp
+        FROM l),
+b AS (SELECT vec_id, var_pop(lp) AS blur FROM lap GROUP BY vec_id),
+t AS (
+  SELECT CAST(e.vec_id AS VARCHAR) AS doc_id,
+         CASE WHEN e.vec_id % 10 = 0 THEN 'download_failed' WHEN e.vec_id % 10 = 1 OR blur IS NULL THEN 'decode_failed'
+              ELSE 'ok' END AS status, blur
+  FROM embeddings e LEFT JOIN b ON e.vec_id = b.vec_id)
+"""
+
+
+def _image_table(spark, sf_dir) -> str:
+    """Objects, manifest, analysis and asset table; its path."""
+    from ..session import scratch_path
+    from . import jobs
+    emb = table(spark, sf_dir, "embeddings")
+    folder, base = scratch_path(spark, "images"), scratch_path(spark, "image-jobs")
+    url = F.concat(F.lit(f"{folder}/_img-"), F.col("vec_id").cast("string"), F.lit(".bmp"))
+    junk = (F.col("vec_id") % 10 == 1) | F.col("embedding").isNull()
+    write_objects(emb.where("vec_id % 10 <> 0").repartition("vec_id").select(
+        url.alias("url"), F.when(junk, F.encode(F.lit("no image"), "utf-8"))
+        .otherwise(_bitmap(_gray_levels(F.col("embedding")))).alias("content")))
+    (emb.select(F.col("vec_id").cast("string").alias("doc_id"), url.alias("s3_url"))
+     .write.parquet(f"{base}/manifest.parquet"))
+    jobs.analyze_images(spark, f"{base}/manifest.parquet", f"{base}/analysis.jsonl", roots=[folder])
+    jobs.ingest_images(spark, f"{base}/analysis.jsonl", f"{base}/table", now="2024-06-01T00:00:00", roots=[folder])
+    return f"{base}/table"
+
+
+@register("image_jobs", _IMAGES_SQL + f"""
+SELECT doc_id, status, CASE WHEN status = 'ok' THEN CAST(8 AS BIGINT) END AS width,
+       CASE WHEN status = 'ok' THEN round(blur, {R}) END AS blur_score,
+       CASE WHEN status = 'ok' THEN blur < 100.0 END AS is_blurry,
+       CASE WHEN status = 'ok' THEN false END AS has_face
+FROM t
+""")
+def image_jobs(spark, sf_dir):
+    """Every image analyzed and ingested, failures with their status."""
+    from ..sources.readers import read_asset
+    rows = read_asset(spark, _image_table(spark, sf_dir))
+    return rows.select("doc_id", "status", "width", rnd("blur_score"), "is_blurry", "has_face")
+
+
+@register("image_query", _IMAGES_SQL + f"""
+SELECT t.doc_id, round(blur, {R}) AS blur_score, d.lang AS description
+FROM t LEFT JOIN (SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang FROM documents) d ON t.doc_id = d.doc_id
+WHERE status = 'ok' AND blur >= 100.0
+""")
+def image_query(spark, sf_dir):
+    """A filter over the ingested table, with descriptions kept as JSON lines."""
+    from ..session import scratch_path
+    from .query import query_images
+    path = scratch_path(spark, "descriptions") + ".jsonl"
+    (table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"),
+                                              F.col("lang").alias("description")).write.json(path))
+    found = query_images(spark, _image_table(spark, sf_dir), where="status = 'ok' AND NOT is_blurry",
+                         top_k=None, desc_table=path)
+    return found.select("doc_id", rnd("blur_score"), "description")
+
+
+class SizeAsr:
+    """A speech model's place: the transcript tells the size of the bytes."""
+
+    def __call__(self, blobs, suffixes):
+        import pandas as pd
+        return pd.DataFrame({"transcript": blobs.str.len().astype(str) + " bytes of " + suffixes.fillna("none"),
+                             "acoustic_emotion": "HAPPY"})
+
+
+@register("audio_jobs", f"""
+WITH s AS (SELECT vec_id, embedding FROM embeddings WHERE embedding IS NOT NULL AND vec_id % 10 <> 0)
+SELECT CAST(vec_id AS VARCHAR) || '.wav' AS doc_id, round(64 / 16000.0, {R}) AS duration_s,
+       '172 bytes of .wav' AS transcript, '其他' AS primary_reason, '未知' AS text_emotion, false AS bad_tone
+FROM s WHERE vec_id % 3 <> 1
+""")
+def audio_jobs(spark, sf_dir):
+    """Vectors as recordings of 64 samples; missing ones are left
+    out, and a query leaves out a third of the ids."""
+    from ..session import scratch_path
+    from . import jobs
+    from .query import query_audio
+    emb = table(spark, sf_dir, "embeddings").where("embedding IS NOT NULL")
+    folder, base = scratch_path(spark, "recordings"), scratch_path(spark, "audio-jobs")
+    url = F.concat(F.lit(f"{folder}/"), F.col("vec_id").cast("string"), F.lit(".wav"))
+    # Header of 64 samples of 16 bits, one channel, 16,000 a second (fixed values).
+    header = ("52494646" + _int_hex(36 + 128) + "57415645666d7420" + _int_hex(16) + "01000100" + _int_hex(16000)
+              + _int_hex(32000) + "02001000" + "64617461" + _int_hex(128))
+    sample = F.transform("embedding", lambda x: F.lpad(F.hex(F.floor((x.cast("double") + 1.0) * 16383).cast("int")), 4, "0"))
+    swapped = F.transform(sample, lambda h: F.concat(F.substring(h, 3, 2), F.substring(h, 1, 2)))
+    write_objects(emb.where("vec_id % 10 <> 0").repartition("vec_id").select(
+        url.alias("url"), F.unhex(F.concat(F.lit(header), F.array_join(swapped, ""))).alias("content")))
+    (emb.select(F.concat(F.col("vec_id").cast("string"), F.lit(".wav")).alias("doc_id"), url.alias("s3_url"))
+     .write.option("header", True).csv(f"{base}/manifest.csv"))
+    jobs.analyze_audio(spark, f"{base}/manifest.csv", f"{base}/calls.jsonl", asr_factory=SizeAsr, roots=[folder])
+    jobs.ingest_audio(spark, f"{base}/calls.jsonl", f"{base}/table", now="2024-06-01T00:00:00", roots=[folder])
+    found = query_audio(spark, f"{base}/table", top_k=None, sql="""
+        SELECT doc_id, duration_s, transcript, primary_reason, text_emotion, bad_tone
+        FROM calls WHERE cast(split(doc_id, '[.]')[0] AS long) % 3 <> 1""")
+    return found.select("doc_id", rnd("duration_s"), "transcript", "primary_reason", "text_emotion", "bad_tone")

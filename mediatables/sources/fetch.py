@@ -8,6 +8,7 @@ there is nothing to read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -140,3 +141,28 @@ def fetch_content(df: DataFrame, fetcher: Callable[[str], bytes | None] | None =
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = F.when(allowed, F.col(f"`{url_col}`")).alias("__url")
     return df.repartition(tasks).select("*", wanted).mapInArrow(run, out_schema)
+
+
+def lay_objects(df: DataFrame, name_col: str, content_col: str, folder: str) -> DataFrame:
+    """``df`` unchanged, each row's bytes written to ``folder/<name>`` on the
+    way; rows without bytes write nothing. A repeated task writes the same file
+    again, under a name of its own first."""
+    jvm = df.sparkSession.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).mkdirs(place)
+    options = s3_options(df)
+    root = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = ObjectReader(options)
+        for batch in batches:
+            for name, data in zip(batch.column(name_col).to_pylist(), batch.column(content_col)):
+                if data.is_valid:
+                    store, path = reader.locate(f"{root}/{name}")
+                    draft = f"{path.rpartition('/')[0]}/.{name}-{uuid.uuid4().hex}"
+                    with store.open_output_stream(draft) as out:
+                        out.write(data.as_buffer())
+                    store.move(draft, path)
+            yield batch
+
+    return df.mapInArrow(run, df.schema)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import MANIFEST_SCHEMA
@@ -42,11 +43,38 @@ def read_manifest(spark: SparkSession, uri: str) -> DataFrame:
     if low.endswith(_JSON_SUFFIXES):
         return spark.read.json(uri, schema=MANIFEST_SCHEMA).select(*MANIFEST_SCHEMA.names)
     if low.endswith(".csv"):
-        df = spark.read.csv(uri, header=True, multiLine=True, escape='"')
-        return df.select(*[df[c].cast("string").alias(c) for c in MANIFEST_SCHEMA.names])
+        return read_csv(spark, uri).select(*MANIFEST_SCHEMA.names)
     raise ValueError(f"Unsupported manifest format: {uri}. Use parquet/jsonl/csv.")
 
 
+CORRUPT_COL = "_corrupt"
+
+
+def read_csv(spark: SparkSession, pattern: str, schema: T.StructType | None = None,
+             multi_line: bool = False, strict: bool = True) -> DataFrame:
+    """CSV files with a header, as splits of any size.
+
+    Without ``schema`` every column is a string; names come from the header and
+    no data are read for it. A row of too few or too many fields, or with a
+    value that is not of its declared type, fails the job with its text; with
+    ``strict=False`` it stays, its text in ``_corrupt``. Files whose quoted
+    values hold line breaks need ``multi_line``, which reads each in one task.
+    """
+    if schema is None:
+        names = spark.read.csv(pattern, header=True, escape='"', multiLine=multi_line).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT_COL, T.StringType())])
+    df = (spark.read.schema(kept).option("header", True).option("enforceSchema", False).option("escape", '"')
+          .option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT_COL)
+          # Else fields that nobody asks for are not counted.
+          .option("columnPruning", False).csv(pattern))
+    if not strict:
+        return df
+    bad = F.raise_error(F.concat(F.lit(f"{pattern}: not a row of its header: "), F.col(CORRUPT_COL)))
+    return df.select(*[F.when(F.col(CORRUPT_COL).isNotNull(), bad.cast(f.dataType)).otherwise(F.col(f"`{f.name}`"))
+                       .alias(f.name) for f in schema.fields])
+
+
 def _is_parquet_table(path: str) -> bool:
     """A local directory holding Parquet part files (or a _SUCCESS marker)."""
     if "://" in path and not path.startswith("file:"):
@@ -88,18 +116,19 @@ def _read_json(spark: SparkSession, path: str, schema: T.StructType | None) -> D
     return reader.json(path)
 
 
+DESC_SCHEMA = T.StructType([T.StructField("doc_id", T.StringType()), T.StructField("description", T.StringType())])
+
+
 def read_desc_table(spark: SparkSession, uri: str) -> DataFrame:
-    """S3: any table with (doc_id, description)."""
+    """S3: any table with (doc_id, description). JSON and CSV hold both as
+    strings; a Parquet table keeps its types."""
     low = _suffix_of(uri)
-    if low.endswith(".parquet"):
-        df = spark.read.parquet(uri)
-    elif low.endswith(_JSON_SUFFIXES + (".json",)):
-        df = spark.read.json(uri)
-    elif low.endswith(".csv"):
-        df = spark.read.csv(uri, header=True, multiLine=True, escape='"')
-    else:
-        df = spark.read.parquet(uri)
-    return df.select("doc_id", "description")
+    if low.endswith(_JSON_SUFFIXES + (".json",)):
+        return spark.read.schema(DESC_SCHEMA).json(uri)
+    if low.endswith(".csv"):
+        # Descriptions may hold line breaks.
+        return read_csv(spark, uri, multi_line=True).select(*DESC_SCHEMA.names)
+    return spark.read.parquet(uri).select(*DESC_SCHEMA.names)
 
 
 def read_parquet_glob(spark: SparkSession, pattern: str) -> DataFrame:
@@ -109,10 +138,7 @@ def read_parquet_glob(spark: SparkSession, pattern: str) -> DataFrame:
 
 def read_csv_glob(spark: SparkSession, pattern: str, schema: T.StructType | None = None) -> DataFrame:
     """Every CSV file (with header) matching a glob."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(pattern)
+    return read_csv(spark, pattern, schema)
 
 
 def list_files(spark: SparkSession, root: str, pattern: str | None = None,

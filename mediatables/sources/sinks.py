@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,13 @@ def validate_output_mode(out_path: str, embed: bool) -> None:
         raise ValueError(f"a .parquet output requires embed=True (use a .jsonl path): {out_path}")
 
 
+def output_mode_ok(out_path: Column, embed: Column) -> Column:
+    """P15 for a table of planned outputs: whether a path takes the rows."""
+    low = F.lower(F.regexp_replace(out_path, "/+$", ""))
+    is_json = low.rlike(r"\.(jsonl|ndjson|json)$")
+    return ~((embed & is_json) | (~embed & low.endswith(".parquet")))
+
+
 def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Give every declared column its canonical type.
 

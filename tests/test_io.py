@@ -179,3 +179,38 @@ def test_fetch_of_an_unsupported_scheme_fails(spark):
     m = spark.createDataFrame([("a", "ftp://host/x")], "doc_id string, s3_url string")
     with pytest.raises(Exception, match="unsupported scheme"):
         fetch.fetch_content(m).collect()
+
+
+def test_csv_of_several_splits(spark, tmp):
+    from mediatables.session import session_conf
+    path = f"{tmp}/many.csv"
+    with open(path, "w") as fp:
+        fp.write("extra,s3_url,doc_id\n" + "".join(f'"a ""q"", {k}",s3://b/{k},d{k}\n' for k in range(5000)))
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "20000"}):
+        df = readers.read_manifest(spark, path)
+        assert df.rdd.getNumPartitions() > 4
+        assert {tuple(r) for r in df.collect()} == {(f"d{k}", f"s3://b/{k}") for k in range(5000)}
+
+
+def test_csv_rows_that_do_not_fit(spark, tmp):
+    from pyspark.sql import types as T
+    path = f"{tmp}/bad.csv"
+    with open(path, "w") as fp:
+        fp.write("doc_id,s3_url\na,b\nc\nd,e,f\n")
+    with pytest.raises(Exception, match="not a row of its header"):
+        readers.read_manifest(spark, path).collect()
+    loose = readers.read_csv(spark, path, strict=False)
+    assert {r.doc_id: r[readers.CORRUPT_COL] for r in loose.collect()} == {"a": None, "c": "c", "d": "d,e,f"}
+    typed = T.StructType([T.StructField("doc_id", T.IntegerType()), T.StructField("s3_url", T.StringType())])
+    with pytest.raises(Exception, match="not a row of its header"):
+        readers.read_csv_glob(spark, path, typed).collect()
+
+
+def test_description_tables_have_declared_types(spark, tmp):
+    for suffix, text in {"jsonl": '{"doc_id": 7, "description": "x"}\n{"doc_id": "a"}\n',
+                         "csv": 'description,doc_id\n"x, y",7\n'}.items():
+        path = f"{tmp}/desc.{suffix}"
+        with open(path, "w") as fp:
+            fp.write(text)
+        df = readers.read_desc_table(spark, path)
+        assert df.dtypes == [("doc_id", "string"), ("description", "string")] and df.first().doc_id == "7"

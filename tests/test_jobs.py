@@ -274,3 +274,42 @@ def test_an_existing_empty_image_is_undecodable_not_missing(spark, tmp):
     rows = jobs.build_image_analysis(spark, manifest, [media], quality_factory=quality_with_marker).collect()
     assert {r.doc_id: r.status for r in rows} == {
         "empty.png": "decode_failed", "no_face.png": "ok", "gone.png": "download_failed"}
+
+
+def test_only_the_manifest_is_read_and_decoded(spark, tmp):
+    """Objects that the folder holds besides are never read; names that the
+    image source skips and empty files have their own status."""
+    media = _media(tmp)
+    for name in ("_hidden.png", ".dot.png"):
+        with open(os.path.join(media, name), "wb") as fp:
+            fp.write(png_bytes(checkerboard(16, 4)))
+    open(os.path.join(media, "empty.png"), "w").close()
+    names = ["_hidden.png", ".dot.png", "empty.png", "no_face.png", "no_face.png", "corrupt.png", "absent.png"]
+    rows = [(f"{k}", f"{media}/{n}") for k, n in enumerate(names)] + [("null", None)]
+    seen = os.path.join(tmp, "seen")
+    os.makedirs(seen)
+
+    def reader(url):
+        import uuid
+        with open(url, "rb") as source, open(os.path.join(seen, f"{os.path.basename(url)}-{uuid.uuid4().hex}"), "w"):
+            return source.read()
+    df = jobs.build_image_analysis(spark, spark.createDataFrame(rows, "doc_id string, s3_url string"), [media],
+                                   fetcher=reader)
+    got = {r.doc_id: (r.status, r.width) for r in df.collect()}
+    assert got == {"0": ("ok", 16), "1": ("ok", 16), "2": ("decode_failed", None), "3": ("ok", 32), "4": ("ok", 32),
+                   "5": ("decode_failed", None), "6": ("download_failed", None), "null": ("download_failed", None)}
+    assert sorted(f.rsplit("-", 1)[0] for f in os.listdir(seen)) == sorted(
+        ["_hidden.png", ".dot.png", "empty.png", "no_face.png", "corrupt.png"])
+
+
+def test_shrunk_images_are_measured(spark, tmp):
+    media = os.path.join(tmp, "m")
+    os.makedirs(media)
+    big = np.kron(checkerboard(64, 8), np.ones((20, 20, 1), np.uint8))
+    with open(os.path.join(media, "big.png"), "wb") as fp:
+        fp.write(png_bytes(big))
+    row = jobs.build_image_analysis(spark, spark.createDataFrame([("b", f"{media}/big.png")], "doc_id string, s3_url string"),
+                                    [media]).first()
+    from mediatables.functions import imaging
+    want = imaging.laplacian_variance(imaging.gray(imaging.shrink(big, 1024, 1024)))
+    assert (row.width, row.height) == (1280, 1280) and row.blur_score == pytest.approx(want)

@@ -1,3 +1,5 @@
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -47,21 +49,51 @@ def test_grid_laplacian_matches_numpy(spark):
 
 
 def test_sharp_beats_blurred():
-    sharp = imaging.to_gray(checkerboard())
-    blurred = imaging.to_gray(box_blur(checkerboard()))
+    sharp = imaging.gray(checkerboard())
+    blurred = imaging.gray(box_blur(checkerboard()))
     assert imaging.laplacian_variance(sharp) > imaging.laplacian_variance(blurred)
 
 
-def test_resize_and_crop_kernels():
-    big = np.zeros((500, 2000, 3), np.uint8)
-    out, scale = imaging.resize_long_edge(big, 1000)
-    assert out.shape[:2] == (250, 1000) and scale == 0.5
-    small = np.zeros((100, 200, 3), np.uint8)
-    assert imaging.resize_long_edge(small, 1000)[0].shape[:2] == (100, 200)
-    img = np.zeros((100, 100, 3), np.uint8)
-    assert imaging.crop_box(img, (-10, -10, 50, 200)).shape[:2] == (100, 50)
-    assert imaging.crop_box(img, (50, 50, 50, 60)) is None
-    assert imaging.crop_box(img, (200, 200, 300, 300)) is None
+def _area_means(values, n):
+    """Means over n equal bands, in exact fractions."""
+    size, out = len(values), []
+    for k in range(n):
+        low, high = Fraction(k * size, n), Fraction((k + 1) * size, n)
+        cover = [max(Fraction(0), min(high, i + 1) - max(low, i)) for i in range(size)]
+        out.append(sum(c * v for c, v in zip(cover, values)) / (high - low))
+    return out
+
+
+@pytest.mark.parametrize(("shape", "to"), [((7, 5), (3, 2)), ((11, 4), (4, 4)), ((6, 9), (6, 4)), ((5, 5), (1, 1))])
+def test_shrink_weighs_pixels_by_their_cover(shape, to):
+    image = np.random.default_rng(2).integers(0, 256, (*shape, 3)).astype(np.uint8)
+    got = imaging.shrink(image, *to)
+    for channel in range(3):
+        rows = [_area_means([Fraction(int(x)) for x in col], to[0]) for col in image[:, :, channel].T]
+        want = [_area_means(list(row), to[1]) for row in zip(*rows)]
+        assert np.abs(got[:, :, channel] - np.array([[float(x) for x in r] for r in want])).max() <= 0.5 + 1e-9
+
+
+def test_sizes_and_boxes_are_column_expressions(spark):
+    df = spark.createDataFrame([(500, 2000), (100, 200)], "h int, w int")
+    high, wide, scale = imaging.resized_dims(F.col("h"), F.col("w"), 1000)
+    assert [tuple(r) for r in df.select(high, wide, scale).collect()] == [(250, 1000, 0.5), (100, 200, 1.0)]
+    boxes = [(-10.0, -10.0, 50.0, 200.0), (50.0, 50.0, 50.0, 60.0), (200.0, 200.0, 300.0, 300.0)]
+    df = spark.createDataFrame(boxes, "x1 double, y1 double, x2 double, y2 double")
+    box = imaging.clamp_box(*(F.col(c) for c in ("x1", "y1", "x2", "y2")), F.lit(100), F.lit(100))
+    got = [r.b and (r.b.x2 - r.b.x1, r.b.y2 - r.b.y1) for r in df.select(box.alias("b")).collect()]
+    assert got == [(50, 100), None, None]
+    faces_of = spark.createDataFrame([([(0.0, 0.0, 2.0, 2.0, 0.1), (1.0, 1.0, 3.0, 3.0, 0.2), (0.0, 0.0, 1.0, 1.0, 0.9)],),
+                                      ([],), (None,)], "f array<struct<x1:double,y1:double,x2:double,y2:double,score:double>>")
+    assert [r[0] for r in faces_of.select(faces.largest_in_array(F.col("f"))["score"]).collect()] == [0.1, None, None]
+
+
+def test_variance_far_from_zero(spark):
+    values = np.random.default_rng(1).standard_normal(500)
+    df = spark.createDataFrame([((values + 1e6).tolist(),), ([],)], "v array<double>")
+    got = [r[0] for r in df.select(imaging.population_variance(F.col("v"))).collect()]
+    assert got[0] == pytest.approx(values.var(), rel=1e-9) and got[1] is None
+
 
 
 def test_resize_and_clamp_expressions(spark):
@@ -91,28 +123,31 @@ def _bucket_features(values, buckets):
     return rms, zcr
 
 
-def test_ranged_positions_match_window_on_skewed_keys(spark):
-    from mediatables.operators.positions import dense_positions
+@pytest.mark.parametrize(("partitions", "chunk"), [("1", 1 << 16), ("8", 1 << 16), ("8", 50)])
+def test_segmented_scan_matches_numpy_on_skewed_keys(spark, monkeypatch, partitions, chunk):
+    from mediatables.operators import positions
     from mediatables.operators.signal import bucket_stats
+    from mediatables.session import session_conf
+    monkeypatch.setattr(positions, "CHUNK", chunk)
     rng = np.random.default_rng(11)
     rows = [(0, i, float(v)) for i, v in enumerate(rng.standard_normal(3000))]            # hot key
     rows += [(k, i, float(rng.standard_normal())) for k in range(1, 40) for i in range(k * 3)]
+    rows += [(40, 0, -0.0), (40, 1, 0.0), (41, 0, 0.0), (None, 0, 2.0), (None, 1, -1.0), (42, 0, None)]
     df = spark.createDataFrame(rows, "k int, t int, v double")
-    pos = dense_positions(df, "k", ["t"], partitions=8)
-    assert pos.where("i != t").count() == 0
-    assert {r.k: r.n for r in pos.select("k", "n").distinct().collect()}[0] == 3000
-    a = {k: _bucket_features([v for kk, _, v in rows if kk == k], 64) for k in {r[0] for r in rows}}
-    ranged = bucket_stats(df, "k", ["t"], "v", 64)
-    b = {r.k: (r.rms, r.zcr) for r in ranged.collect()}
-    plan = ranged._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    # Windows run only over the small (partition, key) count table, never over samples.
-    assert all("sum(_c" in line for line in windows)
+    a = {k: _bucket_features([v for kk, _, v in rows if kk == k], 64) for k in {r[0] for r in rows} - {42}}
+    with session_conf(spark, {"spark.sql.shuffle.partitions": partitions}):
+        stats = bucket_stats(df.repartition(3), "k", ["t"], "v", 64)
+        b = {r.k: (r.rms, r.zcr) for r in stats.collect()}
     assert a.keys() == b.keys()
     for k in a:
         assert np.allclose(a[k][0], b[k][0], atol=1e-12) and np.allclose(a[k][1], b[k][1], atol=1e-12), k
 
 
+def test_segmented_scan_of_no_rows(spark):
+    from mediatables.operators.signal import bucket_stats
+    assert bucket_stats(spark.createDataFrame([], "k int, t int, v double"), "k", ["t"], "v").collect() == []
+
+
 def test_mix_to_mono_then_features(spark):
     from mediatables.operators.signal import bucket_stats, mix_to_mono
     rows = [("r", i, ch, float(v)) for i in range(100) for ch, v in ((0, np.sin(i)), (1, np.cos(i)))]

@@ -56,14 +56,9 @@ def test_content_join_keeps_missing_rows(spark):
     assert None in rows.values()
 
 
-def test_ivf_recall_on_embeddings(spark):
-    from mediatables.operators.ivf import build_index, ivf_search
-    from mediatables.operators.knn import knn
-    from mediatables.plans.standins import QVEC
-    from mediatables.session import scratch_path
-    emb = spark.read.parquet(f"{SF01}/embeddings.parquet")
-    exact = {r.vec_id for r in knn(emb, "embedding", QVEC, 10, tie_breakers=["vec_id"]).collect()}
-    idx = build_index(spark, emb, "embedding", scratch_path(spark, "recall"), index_type="IVF_FLAT",
-                      num_partitions=8, sample_rate=64)
-    got = {r.vec_id for r in ivf_search(spark, idx, QVEC, 10, nprobes=4, tie_breakers=["vec_id"]).collect()}
-    assert len(got & exact) / 10 >= 0.6
+@pytest.mark.parametrize("name", ["ivf_search", "pq_search", "sq_search"])
+def test_recall_of_registered_searches(spark, name):
+    truth = QUERIES["ivf_search_all_probes"](spark, SF01).select("query_id", "vec_id").collect()
+    found = {tuple(r) for r in QUERIES[name](spark, SF01).select("query_id", "vec_id").collect()}
+    assert len({r.query_id for r in truth}) > 5
+    assert sum(tuple(r) in found for r in truth) >= 0.9 * len(truth)
