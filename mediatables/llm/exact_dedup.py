@@ -270,8 +270,18 @@ def exact_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
 
 def drop_exact_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                       table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns kept."""
-    partials = local_groups(docs, text_col, id_col)
-    flat = partials.select("row.*", "max_id", "pid", F.size("members").cast("long").alias("n"), "h")
-    text_at = docs.columns.index(text_col)
-    return _solve(flat, docs.schema, True, text_at, table_bytes)
+    """``docs`` with one row of each group of equal texts, all columns kept.
+
+    Ids may be of any type; the largest that is a whole number stays, and of
+    rows without such an id any one. Columns may have any names.
+    """
+    # The text stands beside the other columns, as it is what tables hold.
+    others = [c for c in docs.columns if c != text_col]
+    framed = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest"),
+                         F.expr(f"try_cast(`{id_col}` AS bigint)").alias("doc_id"),
+                         F.col(f"`{text_col}`").alias("text"))
+    partials = local_groups(framed)
+    flat = partials.select("row.rest", "row.text", "max_id", "pid", F.size("members").cast("long").alias("n"), "h")
+    out = T.StructType([framed.schema["rest"], framed.schema["text"]])
+    kept = _solve(flat, out, True, 1, table_bytes)
+    return kept.select(*[F.col("text").alias(c) if c == text_col else F.col(f"rest.`{c}`") for c in docs.columns])

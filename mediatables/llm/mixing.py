@@ -93,7 +93,11 @@ def share(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
 def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """Budgets of leaves (domain, lang, source, tokens, n_docs), top down."""
     d = "decimal(38,0)"
-    capped = leaves.withColumn("cap", (F.col("tokens") * mix.max_epochs).cast(d))
+    # A leaf below a node of weight 0 can take nothing, so no node counts on it.
+    weighted = F.lit(True)
+    for key, weights in zip(LEAF, (mix.domain_weights, mix.lang_weights, mix.source_weights)):
+        weighted = weighted & (_weight(F.col(key), weights) > 0)
+    capped = leaves.withColumn("cap", F.when(weighted, F.col("tokens") * mix.max_epochs).otherwise(0).cast(d))
 
     def level(keys: list[str], weights: dict[str, int], parents: DataFrame | None) -> DataFrame:
         sums = capped.groupBy(*keys).agg(F.sum("cap").cast(d).alias("cap"), F.sum("tokens").cast(d).alias("tokens"))
@@ -144,7 +148,8 @@ def plan(stats: DataFrame, mix: Mix) -> DataFrame:
     edge = (sums.withColumn("upto", F.sum("n").over(run)).where("upto > rest")
             .groupBy(*LEAF).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("e"))
             .select(*LEAF, "e.bucket", "e.before"))
-    inside = keyed.join(edge, [*LEAF, "bucket"])
+    # Documents of one key, such as all without an id, are one row here.
+    inside = keyed.join(edge, [*LEAF, "bucket"]).groupBy(*LEAF, "before", "rest", "h").agg(F.sum("tokens").alias("tokens"))
     rows = Window.partitionBy(*LEAF).orderBy("h").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     cut = (inside.withColumn("upto", F.col("before") + F.sum("tokens").over(rows)).where("upto <= rest")
            .groupBy(*LEAF).agg(F.max("h").alias("cut")))

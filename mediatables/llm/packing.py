@@ -29,6 +29,7 @@ SEQUENCE = 1024
 END_ID = 0
 GROUP_DOCS = 8192
 SEED = 20
+SPREAD = 1024
 
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
@@ -186,6 +187,8 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE, end_id: int
     """
     small_batches(docs.sparkSession)
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    dealt = (narrow.repartition(F.xxhash64("doc_id", F.xxhash64("text"), F.lit(seed)))
-             .sortWithinPartitions("doc_id", F.xxhash64("text")))
+    # Rows equal in id and text are dealt out by their place in the input.
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))
+    dealt = (narrow.withColumn("deal", F.xxhash64("doc_id", F.xxhash64("text"), F.lit(seed), spread))
+             .repartition("deal").sortWithinPartitions("doc_id", F.xxhash64("text")).select("doc_id", "text"))
     return dealt.mapInArrow(_pack(tokenizer_path, size, end_id, group_docs), SCHEMA)

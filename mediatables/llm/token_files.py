@@ -218,8 +218,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     """
     small_batches(docs.sparkSession)
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    tie = F.xxhash64("text")
-    ordered = narrow.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
+    # Rows equal in id and text are told apart by their place in the input, so
+    # that many of them fill several ranges.
+    tie = ["doc_id", F.xxhash64("text"), "place"]
+    ordered = (narrow.withColumn("place", F.monotonically_increasing_id())
+               .repartitionByRange(*tie).sortWithinPartitions(*tie).drop("place"))
     ordered.mapInArrow(_encode(tokenizer_path, end_id, block_ids), BLOCKS).write.parquet(path)
 
 

@@ -9,16 +9,15 @@ with any other space goes to the tokenizer whole.
 from __future__ import annotations
 
 import os
-import re
 from array import array
-from itertools import chain
+from itertools import accumulate, chain
+from string import punctuation
 
 import numpy as np
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
 # Characters on which two definitions of white space may differ.
 _DISPUTED = frozenset("\x85᠎​﻿")
-_LETTERS_AND_MARK = re.compile(r"[.,;:!?]")
 
 
 def byte_letters() -> dict[int, str]:
@@ -34,10 +33,26 @@ def uncut(word: str) -> bool:
     return not word or word[0].isspace() or word[0] in _DISPUTED
 
 
+class Words(dict):
+    """Numbers of words in order of first sight; ``new`` holds those that were
+    not known."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class Encoder:
-    """Ids of texts under one byte-level vocabulary.
+    """Ids of texts under one byte-level vocabulary, as the library gives them:
+    the string of a special token is that token.
 
-    The strings of special tokens are read as plain text.
+    Words are numbered, and their ids lie one after the other in one array, so
+    a batch's ids are gathered at once.
     """
 
     def __init__(self, path: str) -> None:
@@ -45,68 +60,107 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         self._model = self._tokenizer.model
         self.size = self._tokenizer.get_vocab_size()
         self._code = "H" if self.size <= 1 << 16 else "I"
         self.dtype = np.dtype(self._code)
         self._letters = byte_letters()
-        self._known = _Words()
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return array(self._code, ids).tobytes()
-
-    def _one(self, piece: str) -> bytes:
-        """Ids of a piece that the pre-tokenizer leaves whole."""
-        spelled = piece.encode().decode("latin-1").translate(self._letters)
-        return self._pack([t.id for t in self._model.tokenize(spelled)])
+        self._forget()
+
+    def _forget(self) -> None:
+        self._words = Words()
+        self._held = array(self._code)
+        self._ends = array("q")
+        self._uncut = array("b")
+        self._marks: dict[str, list[int]] = {}
+
+    def _letters_ids(self, word: str) -> list[int]:
+        """Ids of a space and letters, which the pre-tokenizer leaves whole."""
+        spelled = (" " + word).encode().decode("latin-1").translate(self._letters)
+        return [t.id for t in self._model.tokenize(spelled)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of each word with a space before it. The pre-tokenizer cuts
+        between letters and the marks after them."""
+        marks, found, rest = self._marks, [], []
+        stems: dict[str, list[int]] = {}
+        known, ends = self._words, self._ends
+
+        def letters_ids(word: str) -> list[int]:
+            ids = stems.get(word)
+            if ids is None:
+                number = known.get(word, len(ends))
+                if number < len(ends):
+                    ids = list(self._held[ends[number - 1] if number else 0:ends[number]])
+                else:
+                    ids = self._letters_ids(word)
+                stems[word] = ids
+            return ids
 
-    def _learn(self, words: list[str], into: dict[str, bytes | None]) -> None:
-        """Ids of each word with a space before it; None: not cut here."""
-        rest = []
         for w in words:
-            if uncut(w):
-                into[w] = None
-            elif w.isalpha():
-                into[w] = self._one(" " + w)
-            elif w[:-1].isalpha() and _LETTERS_AND_MARK.match(w[-1]):
-                stem = self._known.get(w[:-1]) or self._one(" " + w[:-1])
-                into[w] = stem + self._one(w[-1])
+            if w.isalpha():
+                found.append(letters_ids(w))
+                continue
+            stem = w.rstrip(punctuation)
+            if stem.isalpha():
+                mark = w[len(stem):]
+                if mark not in marks:
+                    marks[mark] = self._tokenizer.encode(mark, add_special_tokens=False).ids
+                found.append(letters_ids(stem) + marks[mark])
             else:
-                rest.append(w)
-        for w, got in zip(rest, self._tokenizer.encode_batch_fast(
-                [" " + w for w in rest], add_special_tokens=False)):
-            into[w] = self._pack(got.ids)
+                found.append(None)
+                if not uncut(w):
+                    rest.append(w)
+        other = iter(self._tokenizer.encode_batch_fast([" " + w for w in rest], add_special_tokens=False))
+        for k, w in enumerate(words):
+            if found[k] is None:
+                self._uncut.append(uncut(w))
+                found[k] = () if self._uncut[-1] else next(other).ids
+            else:
+                self._uncut.append(False)
+        self._held.extend(chain.from_iterable(found))
+        last = self._ends[-1] if self._ends else 0
+        self._ends.extend(accumulate(map(len, found), initial=last))
+        del self._ends[-len(found) - 1]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids per text; an empty text has none."""
-        known = self._known
+        if len(self._words) > CACHE_WORDS:
+            self._forget()
         cut = [t.split(" ") for t in texts]
-        new = set(chain.from_iterable(cut)).difference(known)
-        extra = known if len(known) < CACHE_WORDS else {}
-        known.extra = extra
-        self._learn(list(new), extra)
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut)) - 1
         heads = self._tokenizer.encode_batch_fast([w[0] for w in cut], add_special_tokens=False)
-        out, get = [], known.__getitem__
-        for text, words, head in zip(texts, cut, heads):
-            parts = list(map(get, words[1:]))
-            if None in parts:
-                ids = self._pack(self._tokenizer.encode(text, add_special_tokens=False).ids)
-            else:
-                ids = self._pack(head.ids) + b"".join(parts)
-            out.append(np.frombuffer(ids, self.dtype))
+        numbers = np.fromiter(
+            map(self._words.__getitem__, chain.from_iterable(w[1:] for w in cut)), np.int64, int(sizes.sum()))
+        if self._words.new:
+            self._learn(self._words.new)
+            self._words.new = []
+        # Heads and words in one sequence of pieces, and the ids of each.
+        ends = np.frombuffer(self._ends, np.int64) if self._ends else np.zeros(1, np.int64)
+        starts = np.concatenate([[0], ends[:-1]])
+        at_head = np.cumsum(sizes + 1) - sizes - 1
+        is_word = np.ones(int(sizes.sum()) + len(cut), bool)
+        is_word[at_head] = False
+        first, count = np.zeros(len(is_word), np.int64), np.zeros(len(is_word), np.int64)
+        first[is_word], count[is_word] = starts[numbers], (ends - starts)[numbers]
+        head_ids = [h.ids for h in heads]
+        head_sizes = np.fromiter(map(len, head_ids), np.int64, len(cut))
+        own = np.fromiter(chain.from_iterable(head_ids), self.dtype, int(head_sizes.sum()))
+        pool = np.concatenate([np.frombuffer(self._held, self.dtype), own])
+        first[at_head] = len(self._held) + np.cumsum(head_sizes) - head_sizes
+        count[at_head] = head_sizes
+        upto = np.cumsum(count)
+        flat = pool[np.repeat(first - (upto - count), count) + np.arange(int(upto[-1]) if len(upto) else 0)]
+        out = np.split(flat, upto[at_head[1:] - 1]) if len(cut) else []
+        bad = np.frombuffer(self._uncut, np.int8)
+        if bad.any():
+            owner = np.repeat(np.arange(len(cut)), sizes)
+            for k in np.unique(owner[bad[numbers] != 0]).tolist():
+                ids = self._tokenizer.encode(texts[k], add_special_tokens=False).ids
+                out[k] = np.array(ids, self.dtype)
         return out
 
 
-class _Words(dict):
-    """Known words; once full, those of one batch are looked up beside it."""
-
-    extra: dict[str, bytes | None] = {}
-
-    def __missing__(self, word: str):
-        return self.extra[word]
-
-
 _ENCODERS: dict[str, Encoder] = {}
 
 

@@ -193,7 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], max_labelle
     """Fit the chain on labelled documents.
 
     Rows without an id or with a null label are passed over; of several
-    labels for one id the largest count. Without labelled documents every
+    labels for one id the largest count, of several texts the least. Without labelled documents every
     probability is low and nothing is toxic.
     """
     small_batches(docs.sparkSession)
@@ -205,7 +205,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], max_labelle
                .select("doc_id", F.array(*ys).alias("y")))
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     # At most max_labelled rows of an id and a few labels: a bounded broadcast.
-    rows = texts.join(F.broadcast(bounded), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "y", "text")
+    rows = (texts.join(F.broadcast(bounded), "doc_id").groupBy("doc_id")
+            .agg(F.max("y").alias("y"), F.min("text").alias("text")))
     schema = T.StructType([T.StructField("doc_id", T.LongType()),
                            T.StructField("y", T.ArrayType(T.IntegerType())), T.StructField("words", T.BinaryType())])
     model = rows.mapInArrow(_features, schema).repartition(1).mapInArrow(_fit(len(categories)), "model binary").first()

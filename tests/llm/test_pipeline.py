@@ -41,6 +41,6 @@ def test_stages_against_brute_force(spark):
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from mediatables.llm import exact_dedup, mixing, packing, quality, token_files, tokens
-from mediatables.session import scratch_path
+from mediatables.session import scratch_path, session_conf
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -22,7 +22,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def tokenizer():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return t
 
 
@@ -89,6 +88,17 @@ def test_exact_groups(spark):
     assert exact_dedup.drop_exact_copies(frame(spark, [])).count() == 0
 
 
+def test_drop_exact_copies_with_any_names_and_ids(spark):
+    rows = [("a", "T", 1, 2, 3, 4, 5, 6, 7), ("b", "t", 1, 2, 3, 4, 5, 6, 7), (None, None, 1, 2, 3, 4, 5, 6, 7),
+            ("9", "", 1, 2, 3, 4, 5, 6, 7), ("10", "other", 1, 2, 3, 4, 5, 6, 7)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, h int, n int, pid int, max_id int, row int, "
+                                       "rest int, `a.b` int")
+    kept = exact_dedup.drop_exact_copies(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id, r.text) for r in kept.collect())
+    assert got[0] == ("10", "other") and got[1] == ("9", "") and len(got) == 3
+
+
 def test_exact_dedup_spills_until_buckets_fit(spark):
     rows = [(i, prose(i % 300, 30), "en", "s", "", "", 0, 0) for i in range(900)]
     small = exact_dedup.exact_groups(frame(spark, rows), table_bytes=4000)
@@ -105,11 +115,25 @@ def test_content_table_compares_contents():
 SPACES = st.text(alphabet=" \n\t\x1c\x85  　​ab1é,.!'ʰ", max_size=30)
 
 
+def test_special_tokens_as_the_library_reads_them(tokenizer):
+    text = "a <|endoftext|> b<|endoftext|>c  <|endoftext|>"
+    want = tokenizer.encode(text, add_special_tokens=False).ids
+    assert 50256 in want and [x.tolist() for x in tokens.encoder(PATH).encode([text])] == [want]
+
+
+def test_encoder_forgets_and_keeps_no_state_between_texts(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    own = tokens.Encoder(PATH)
+    for k in range(6):
+        texts = [prose(k + j, 40) + " word### word. Word... don't x" for j in range(3)] + ["", " lead", "new" * k]
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in own.encode(texts)] == want
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(SPACES, max_size=20))
 def test_encoder_equals_tokenizer(texts):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     want = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
     assert [ids.tolist() for ids in tokens.encoder(PATH).encode(texts)] == want
 
@@ -141,6 +165,31 @@ def test_packing(spark, tokenizer):
     assert packing.pack(frame(spark, []), PATH).count() == 0
 
 
+def test_equal_rows_are_spread(spark, tokenizer):
+    """Rows equal in id and text, with null and repeated ids: each packs whole,
+    and neither groups nor ranges get them all."""
+    rows = [(None, None, "en", "s", "", "", 0, 0)] * 300 + [(10, prose(1, 30), "en", "s", "", "", 0, 0)] * 300
+    docs = frame(spark, rows).repartition(4)
+    apart = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with session_conf(spark, apart):
+        got = packing.pack(docs, PATH, size=64).collect()
+    n = len(ids_of(tokenizer, prose(1, 30)))
+    for doc_id, total in ((None, 1), (10, n)):
+        own = [r for r in got if r.doc_id == doc_id]
+        assert {r.doc_tokens for r in own} == {total} and sum(r.length for r in own) == 300 * total
+    assert len({r.sequence_id >> 32 for r in got if r.doc_id is None}) > 1
+    path = scratch_path(spark, "test-equal")
+    with session_conf(spark, apart):
+        token_files.write_tokens(docs, path, PATH)
+    blocks = spark.read.schema(token_files.BLOCKS).parquet(path)
+    found = token_files.read_documents(blocks).orderBy("start", "n_tokens").collect()
+    assert len(found) == 600 and blocks.select("shard").distinct().count() > 1
+    at = 0
+    for r in found:
+        assert r.start == at and r.n_tokens == (1 if r.doc_id is None else n)
+        at += r.n_tokens
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 63), max_size=60))
 def test_first_fit_decreasing(lengths):
@@ -210,6 +259,26 @@ def test_mixing(spark):
     assert mixing.mix_counts(frame(spark, []), mix).count() == mixing.mixed(frame(spark, []), mix).count() == 0
 
 
+def test_weight_zero_takes_nothing_and_loses_nothing(spark):
+    leaves = [("web", "en", "src0", 100), ("web", "es", "src0", 1000), ("forum", "en", "x", 1000)]
+    mix = mixing.Mix(domain_weights={"web": 1, "forum": 1}, lang_weights={"en": 1, "es": 0}, budget_percent=50,
+                     max_epochs=1)
+    df = spark.createDataFrame([(*x, 1) for x in leaves], "domain string, lang string, source string, tokens long, n_docs long")
+    got = {(r.domain, r.lang): r.budget for r in mixing.leaf_budgets(df, mix).collect()}
+    assert got == {("web", "en"): 100, ("web", "es"): 0, ("forum", "en"): 950}
+
+
+def test_rows_without_ids_share_one_place_in_the_order(spark):
+    rows = [(None, prose(k, 10), "en", "src0", "", "", 0, 0) for k in range(200)]
+    rows += [(k, prose(k, 10), "en", "src0", "", "", 0, 0) for k in range(200)]
+    got = mixing.mix_counts(frame(spark, rows), mixing.Mix(budget_percent=60, max_epochs=1)).collect()
+    none = {r.copies for r in got if r.doc_id is None}
+    assert len(none) == 1 and sum(r.tokens * r.copies for r in got) <= got[0].leaf_budget
+    order = sorted({(hashlib.md5(f"7:0:{'(none)' if r.doc_id is None else r.doc_id}".encode()).hexdigest(), r.copies)
+                    for r in got})
+    assert [c for _, c in order] == sorted((c for _, c in order), reverse=True)
+
+
 def test_shortages_go_to_siblings_first(spark):
     leaves = [("web", "en", "src0", 10), ("web", "de", "src0", 1000), ("forum", "en", "x", 1000)]
     mix = mixing.Mix(domain_weights={"web": 1, "forum": 1}, lang_weights={}, budget_percent=50, max_epochs=1)
