@@ -136,21 +136,68 @@ def test_passages_of_lines_that_are_frequent_elsewhere(spark):
             for k, order in enumerate(orders) for side in range(2)]
     rows += [(100 + k, " ".join([prose(1000 + k, 60 + k % 7), lines[k % 4], prose(2000 + k, 60)])) for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for options in ({}, {"cell": 16}):
+    for options in ({},):
         found = substring_dedup.repeated_passages(docs, **options).collect()
         pairs = {(r.doc_id, r.other_doc_id) for r in found if r.start_word <= 80 and r.end_word >= 140}
         assert {(2 * k, 2 * k + 1) for k in range(len(orders))} <= pairs
 
 
-def test_windows_alike_are_collapsed_and_nothing_else():
+def test_windows_meet_in_groups_of_a_minimum_and_a_band():
     rnd = np.random.default_rng(2)
-    one, other = rnd.integers(0, 2**60, (2, 60)).astype(np.uint64)
-    docs = {1: one, 2: one, 3: np.concatenate([one, other]), 4: one}
+    one, other = rnd.integers(0, 2**60, (2, 90)).astype(np.uint64)
+    docs = {1: one, 2: one, 3: np.concatenate([one, other]), 4: one, 5: other}
     windows = np.concatenate([substring_dedup.windows_of(s, d, 46, 5) for d, s in docs.items()])
-    links, left = substring_dedup.collapse(windows)
-    assert {(1, 2), (1, 4)} <= set(zip(links["a"].tolist(), links["b"].tolist()))
-    assert not {2, 4} & set(left["doc"].tolist()) and {1, 3} == set(left["doc"].tolist())
-    assert len({(w["key"], w["digest"]) for w in windows}) == len({(w["key"], w["digest"]) for w in left})
+    links, left = substring_dedup.meet_windows(windows)
+    pairs = set(zip(links["a"].tolist(), links["b"].tolist()))
+    assert {(1, 2), (1, 4)} <= pairs and (3, 5) in pairs and not {(1, 5), (2, 5), (4, 5)} & pairs
+    # Linear: at most two links per window and group.
+    assert len(links) <= 2 * 2 * substring_dedup.SECONDS * len(windows)
+    groups = {(w["key"], k, w["sigs"][k]) for w in windows for k in range(4) if w["sigs"][k]}
+    assert groups == {(w["key"], k, w["sigs"][k]) for w in left for k in range(4) if w["sigs"][k]}
+
+
+def test_every_window_reaches_over_a_band():
+    windows = substring_dedup.windows_of(np.random.default_rng(3).integers(0, 2**60, 3000).astype(np.uint64), 1, 46, 5)
+    assert (windows["sigs"] > 0).any(axis=1).all()
+
+
+def edited(rnd, words, edits):
+    words = list(words)
+    for _ in range(edits):
+        words[rnd.randrange(len(words))] = f"w{rnd.randrange(10**6)}"
+    return words
+
+
+def shingle_set(words):
+    return {tuple(words[k:k + 5]) for k in range(len(words) - 4)}
+
+
+def test_recall_of_near_passages(spark):
+    """Passages with a similarity of 0.8 to 0.99, each shared by two documents,
+    and many variants of one; brute force says which are near."""
+    rnd = random.Random(6)
+    texts, truth = [], []
+    for k in range(150):
+        base = prose(5000 + k, rnd.randint(60, 200)).split()
+        copy = edited(rnd, base, rnd.randint(1, 4))
+        a, b = shingle_set(base), shingle_set(copy)
+        for side, words in enumerate((base, copy)):
+            texts.append(" ".join([prose(7000 + 2 * k + side, 60), *words, prose(8000 + 2 * k + side, 60)]))
+        if 0.8 <= len(a & b) / len(a | b) < 1:
+            truth.append((2 * k, 2 * k + 1))
+    base = prose(4999, 120).split()
+    variants = []
+    for k in range(120):
+        variants.append(len(texts))
+        texts.append(" ".join([prose(9000 + k, 40 + k % 9), *edited(rnd, base, 2), prose(9500 + k, 50)]))
+    texts += [prose(6000 + k, 200) for k in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = substring_dedup.repeated_passages(docs.repartition(5)).collect()
+    pairs = {(r.doc_id, r.other_doc_id) for r in found}
+    assert len(truth) > 60 and sum(p in pairs for p in truth) >= 0.9 * len(truth)
+    covered = {r.doc_id for r in found if r.end_word - r.start_word >= 60}
+    assert sum(v in covered for v in variants) >= 0.97 * len(variants)
+    assert not {r.doc_id for r in found} & set(range(len(texts) - 50, len(texts)))
 
 
 def test_verify_splits_and_trims():
