@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,13 +42,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import batch_conf, text_list, text_of, written
-from .tokens import byte_letters, uncut
+from .tokens import Words, byte_letters, uncut
 
 BLOCK_DOCS = 4096
 BLOCK_BYTES = 64 << 20
 # From this many members a bitmap is held as plain bits, which its length tells.
 DENSE = BLOCK_DOCS // 16
 KNOWN_WORDS = 400_000
+# Words that are encoded as one text.
+JOINED = 2000
 
 
 class Side:
@@ -107,6 +110,32 @@ def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return flat, sizes
 
 
+def _encoded(texts: list[str], a: Side, b: Side) -> tuple[list, list, np.ndarray]:
+    """Ids of each text under both sides, none where its bytes do not come
+    back, and whether they do."""
+    ids_a, ids_b = a.ids(texts), b.ids(texts)
+    ok = np.ones(len(texts), bool)
+    for k, text in enumerate(texts):
+        want = (" " + text).encode()
+        if any(b"".join(map(side.spellings.__getitem__, ids[k])) != want for side, ids in ((a, ids_a), (b, ids_b))):
+            ok[k], ids_a[k], ids_b[k] = False, [], []
+    return ids_a, ids_b, ok
+
+
+def _together(words: list[str], side: Side) -> tuple[np.ndarray, np.ndarray] | None:
+    """Ids of words as one text, and how many each has; None where the text
+    does not come back or a token goes over the end of a word."""
+    wanted = [(" " + w).encode() for w in words]
+    ids = side.ids([" ".join(words[k:k + JOINED]) for k in range(0, len(words), JOINED)])
+    flat, _ = _flat(ids)
+    if b"".join(map(side.spellings.__getitem__, flat.tolist())) != b"".join(wanted):
+        return None
+    ends = np.cumsum(side.lengths[flat])
+    upto = np.cumsum(np.fromiter(map(len, wanted), np.int64, len(words)))
+    at = np.searchsorted(ends, upto)
+    return (flat, np.diff(at + 1, prepend=0)) if (ends[at] == upto).all() else None
+
+
 class Units:
     """Aligned texts (words, or whole texts) by number.
 
@@ -116,27 +145,26 @@ class Units:
     """
 
     def __init__(self) -> None:
-        self.numbers: dict[str, int] = {}
+        self.numbers = Words()  # of the units that are words
         self.groups: list[str] = []
         self.counts = np.empty((0, 5), np.int64)  # n_a, n_b, n_groups, n_links, ok
         self.first = np.empty(0, np.int64)
         self.pairs = np.empty(0, np.int64)
 
-    def add(self, texts: list[str], a: Side, b: Side) -> None:
+    def add(self, texts: list[str], a: Side, b: Side, words: bool = False) -> None:
         """Align new texts, all in one pass over their joined bytes."""
-        ids_a, ids_b = a.ids(texts), b.ids(texts)
-        ok = np.fromiter((b"".join(map(a.spellings.__getitem__, x)) == want
-                          and b"".join(map(b.spellings.__getitem__, y)) == want
-                          for x, y, want in zip(ids_a, ids_b, ((" " + t).encode() for t in texts))),
-                         bool, len(texts))
-        for k in np.flatnonzero(~ok):
-            ids_a[k] = ids_b[k] = []
-        flat_a, size_a = _flat(ids_a)
-        flat_b, size_b = _flat(ids_b)
+        both = [_together(texts, side) for side in (a, b)] if words else [None]
+        if None in both:
+            ids_a, ids_b, ok = _encoded(texts, a, b)
+            both = [_flat(ids_a), _flat(ids_b)]
+        else:
+            ok = np.ones(len(texts), bool)
+        (flat_a, size_a), (flat_b, size_b) = both
         end_a, end_b = np.cumsum(a.lengths[flat_a]), np.cumsum(b.lengths[flat_b])
         # Between two neighbouring ends, of either side, one token of A and
         # one of B overlap; and each overlap is one such stretch.
-        ends = np.union1d(end_a, end_b)
+        ends = np.sort(np.concatenate([end_a, end_b]))
+        ends = ends[np.flatnonzero(np.diff(ends, append=-1))]
         at_a, at_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
         pairs = flat_a[at_a] << 16 | flat_b[at_b] if len(ends) else np.empty(0, np.int64)
         owner = np.repeat(np.arange(len(texts)), size_a)
@@ -144,25 +172,36 @@ class Units:
         cuts = np.intersect1d(end_a, end_b, assume_unique=True)
         upto_a, upto_b = np.searchsorted(end_a, cuts) + 1, np.searchsorted(end_b, cuts) + 1
         n_groups = np.bincount(owner[upto_a - 1], minlength=len(texts)) if len(cuts) else np.zeros(len(texts), np.int64)
-        names_a = [a.names[i] for i in flat_a.tolist()]
-        names_b = [b.names[i] for i in flat_b.tolist()]
+        names_a = list(map(a.names.__getitem__, flat_a.tolist()))
+        names_b = list(map(b.names.__getitem__, flat_b.tolist()))
         spelled, x, y = [], 0, 0
         for to_x, to_y in zip(upto_a.tolist(), upto_b.tolist()):
-            spelled.append(f"{','.join(names_a[x:to_x])}|{','.join(names_b[y:to_y])}")
+            left = names_a[x] if to_x == x + 1 else ",".join(names_a[x:to_x])
+            right = names_b[y] if to_y == y + 1 else ",".join(names_b[y:to_y])
+            spelled.append(f"{left}|{right}")
             x, y = to_x, to_y
         g = 0
-        for text, n in zip(texts, n_groups.tolist()):
-            self.numbers[text] = len(self.groups)
-            self.groups.append(";".join(spelled[g:g + n]))
+        for n in n_groups.tolist():
+            self.groups.append(spelled[g] if n == 1 else ";".join(spelled[g:g + n]))
             g += n
         self.first = np.concatenate([self.first, len(self.pairs) + np.cumsum(n_links) - n_links])
         self.counts = np.concatenate([self.counts, np.stack([size_a, size_b, n_groups, n_links, ok], 1)])
         self.pairs = np.concatenate([self.pairs, pairs])
 
+    def learn(self, a: Side, b: Side) -> None:
+        """Units of the words that were numbered since; one that the
+        vocabularies may join to the space before it is not ok."""
+        words = self.numbers.new
+        joined = [k for k, w in enumerate(words) if uncut(w)]
+        self.add([w if not uncut(w) else "a" for w in words] if joined else words, a, b, words=True)
+        first = len(self.groups) - len(words)
+        for k in joined:
+            self.counts[first + k, 4] = 0
+        self.numbers.new = []
+
     def cut(self, n: int) -> None:
         """Forget the units after the first n."""
         if n < len(self.groups):
-            self.numbers = {t: u for t, u in self.numbers.items() if u < n}
             self.pairs = self.pairs[:self.first[n]]
             self.groups, self.counts, self.first = self.groups[:n], self.counts[:n], self.first[:n]
 
@@ -191,15 +230,15 @@ class Aligner:
         if len(self.known.groups) > KNOWN_WORDS:
             self.known = Units()
         known = self.known
-        split: list[list[str] | None] = [t.split(" ") if t else [] for t in texts]
-        split = [None if any(map(uncut, words)) else words for words in split]
-        new = {w for words in split if words for w in words}.difference(known.numbers)
-        if new:
-            known.add(list(new), self.a, self.b)
-        found = [np.fromiter(map(known.numbers.__getitem__, words), np.int64, len(words))
-                 if words is not None else None for words in split]
+        split = [t.split(" ") if t else [] for t in texts]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        numbers = np.fromiter(map(known.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if known.numbers.new:
+            known.learn(self.a, self.b)
+        found = np.split(numbers, np.cumsum(sizes)[:-1])
         words_only = len(known.groups)
-        whole = [k for k, u in enumerate(found) if u is None or not known.counts[u, 4].all()]
+        bad = np.repeat(np.arange(len(split)), sizes)[known.counts[numbers, 4] == 0]
+        whole = np.unique(bad).tolist()
         if whole:
             known.add([texts[k] for k in whole], self.a, self.b)
             for u, k in enumerate(whole, words_only):

@@ -14,11 +14,12 @@ link counts are exact sums over buckets, and no pair is ever emitted: a cell
 gives each of its classes the number of its partners and one partner to
 join components by.
 
-Before sets are fetched and compared, every bucket is read with short sketches
-(one byte for the least hash in each of 64 bins): a class stays in it only if
-some other class there has half of its bytes in common. A pair at the threshold
-has that but for a chance of about 1e-8 in each bucket; sets too small to fill
-most bins always stay.
+Before sets are fetched, and again before they are compared, every bucket of up
+to ``CELL`` classes is read with short sketches (one byte for the least hash in
+each of 64 bins): a class stays in it only if some other class there has half
+of its bytes in common, and before comparing only if the two have not met in an
+earlier bucket. A pair at the threshold has that but for a chance of about
+1e-8; sets too small to fill most bins always stay.
 
 Tokens are 32-bit hashes of shingles, so two unrelated sets of n shingles
 share about n * n / 2**32 of them by chance. Texts without words have no
@@ -96,7 +97,7 @@ def sketch(tokens: np.ndarray) -> bytes:
 
 
 def alike(sketches: np.ndarray) -> np.ndarray:
-    """Rows that may be near another row. Two are, unless they agree in fewer
+    """Pairs of rows that may be near. They are, unless they agree in fewer
     than half of the bins that either fills, and those are 32 or more."""
     filled = (sketches > 0).astype(np.float32)
     n = filled.sum(axis=1)
@@ -105,9 +106,9 @@ def alike(sketches: np.ndarray) -> np.ndarray:
     for k in range(BINS):
         column = sketches[:, k]
         same += (column[:, None] == column[None, :]) & (column > 0)
-    near = (2 * same >= either) | (either < BINS // 2)
+    near = (2 * same >= either) | (either < 32)
     np.fill_diagonal(near, False)
-    return near.any(axis=1)
+    return near
 
 
 SIGNED = T.StructType([
@@ -309,26 +310,51 @@ def components(edges: DataFrame) -> DataFrame:
 KEPT = T.StructType([T.StructField("path", T.LongType()), T.StructField("rid", T.BinaryType())])
 
 
-def _prefilter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Classes that may have a partner in their bucket, from rows sorted by it."""
-    now, rids, sketches = None, [], []
+def _prefilter(first_only: bool):
+    """Classes that may have a partner in their bucket, from rows sorted by it;
+    with ``first_only`` one that they meet there first, by their paths."""
 
-    def solved() -> Iterator[pa.RecordBatch]:
-        if len(rids) > 1:
-            stay = alike(np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, BINS))
-            kept = [rid for rid, s in zip(rids, stay) if s]
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows = None, []
+
+        def solved() -> Iterator[pa.RecordBatch]:
+            if len(rows) < 2:
+                return
+            near = alike(np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(-1, BINS))
+            if first_only and near.any():
+                earlier = [np.array([p for p in r[2] if p < now], np.int64) for r in rows]
+                if any(map(len, earlier)):
+                    near &= shared_counts(earlier) == 0
+            kept = [r[0] for r, stays in zip(rows, near.any(axis=1)) if stays]
             if kept:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([now] * len(kept), pa.int64()), pa.array(kept, pa.binary())], names=KEPT.names)
 
-    for batch in batches:
-        for path, rid, held in zip(*(batch.column(c).to_pylist() for c in ("path", "rid", "sketch"))):
-            if path != now:
-                yield from solved()
-                now, rids, sketches = path, [], []
-            rids.append(rid)
-            sketches.append(held)
-    yield from solved()
+        for batch in batches:
+            for path, *row in zip(*(batch.column(c).to_pylist() for c in ("path", "rid", "sketch", "paths"))):
+                if path != now:
+                    yield from solved()
+                    now, rows = path, []
+                rows.append(row)
+        yield from solved()
+
+    return run
+
+
+def _likely(buckets: DataFrame, classes: DataFrame, cell: int, first_only: bool) -> DataFrame:
+    """(rid, path, n) of buckets: those of up to ``cell`` classes without the
+    classes that have no likely partner there."""
+    inside = F.col("n") <= cell
+    if first_only:
+        paths = buckets.groupBy("rid").agg(F.collect_list("path").alias("paths"))
+    else:
+        paths = buckets.select("rid").distinct().withColumn("paths", F.lit(None).cast("array<long>"))
+    info = classes.select("rid", "sketch").join(paths, "rid")
+    kept = (buckets.where(inside).select("rid", "path").join(info, "rid").repartition("path")
+            .sortWithinPartitions("path").mapInArrow(_prefilter(first_only), KEPT).distinct())
+    counts = kept.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    return kept.join(counts, "path").select("rid", "path", "n").union(
+        buckets.where(~inside).select("rid", "path", "n"))
 
 
 def _row_key(id_col: str, text_col: str):
@@ -368,7 +394,8 @@ def _classes(narrow: DataFrame, threshold: Fraction = THRESHOLD, width: int = WI
     # Buckets of two classes or more, in the first level of every run.
     members = classes.select("rid", F.explode("paths").alias("path")).distinct()
     sizes = members.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(members.join(sizes, "path"), "near-buckets")
+    members = written(members.join(sizes, "path").select("rid", "path", "n"), "near-buckets")
+    members = written(_likely(members, classes, cell, False), "near-likely")
     wanted = (members.select("rid").distinct().join(
         classes.select("rid", F.col("first.key").alias("key"), "weight").where("weight > 0"), "rid"))
     wanted = written(wanted, "near-wanted")
@@ -397,11 +424,7 @@ def _classes(narrow: DataFrame, threshold: Fraction = THRESHOLD, width: int = WI
         final = final.union(below.where(F.col("n") <= small))
         large = below.where(F.col("n") > small)
     final = written(final.union(large), "near-final")
-    inside = F.col("n") <= cell
-    likely = (final.where(inside).join(classes.select("rid", "sketch"), "rid").select("path", "rid", "sketch")
-              .repartition("path").sortWithinPartitions("path").mapInArrow(_prefilter, KEPT).distinct()
-              .withColumn("n", F.lit(2).cast("long")))
-    final = likely.union(final.where(~inside).select("path", "rid", "n")).select("rid", "path", "n")
+    final = written(_likely(final, classes, cell, True), "near-cells")
 
     side = F.ceil(F.col("n") / cell).cast("int")
     block = F.pmod(F.xxhash64("rid"), F.col("side")).cast("int")

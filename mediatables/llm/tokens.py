@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import os
 from array import array
-from itertools import accumulate, chain
-from string import punctuation
+from itertools import chain
 
 import numpy as np
 
 CACHE_WORDS = 1_000_000
+# Words that are encoded as one text.
+JOINED = 2000
 # Characters on which two definitions of white space may differ.
 _DISPUTED = frozenset("\x85᠎​﻿")
 
@@ -60,11 +61,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._model = self._tokenizer.model
         self.size = self._tokenizer.get_vocab_size()
         self._code = "H" if self.size <= 1 << 16 else "I"
         self.dtype = np.dtype(self._code)
-        self._letters = byte_letters()
+        # Bytes of each id; a special token's string is its own.
+        special = {k for k, t in self._tokenizer.get_added_tokens_decoder().items()}
+        names = [self._tokenizer.id_to_token(k) or "" for k in range(self.size)]
+        self._lengths = np.array([len(t.encode()) if k in special else len(t) for k, t in enumerate(names)], np.int64)
         self._forget()
 
     def _forget(self) -> None:
@@ -72,56 +75,36 @@ class Encoder:
         self._held = array(self._code)
         self._ends = array("q")
         self._uncut = array("b")
-        self._marks: dict[str, list[int]] = {}
 
-    def _letters_ids(self, word: str) -> list[int]:
-        """Ids of a space and letters, which the pre-tokenizer leaves whole."""
-        spelled = (" " + word).encode().decode("latin-1").translate(self._letters)
-        return [t.id for t in self._model.tokenize(spelled)]
+    def _sizes(self, words: list[str], ids: np.ndarray) -> np.ndarray | None:
+        """How many of the ids of a text, words joined by spaces, belong to each
+        word; None where one goes over the end of a word."""
+        ends = np.cumsum(self._lengths[ids])
+        upto = np.cumsum([len(w.encode()) + 1 for w in words])
+        at = np.searchsorted(ends, upto)
+        if not len(ends) or ends[-1] != upto[-1] or not (ends[at] == upto).all():
+            return None
+        return np.diff(at + 1, prepend=0)
 
     def _learn(self, words: list[str]) -> None:
-        """Ids of each word with a space before it. The pre-tokenizer cuts
-        between letters and the marks after them."""
-        marks, found, rest = self._marks, [], []
-        stems: dict[str, list[int]] = {}
-        known, ends = self._words, self._ends
-
-        def letters_ids(word: str) -> list[int]:
-            ids = stems.get(word)
-            if ids is None:
-                number = known.get(word, len(ends))
-                if number < len(ends):
-                    ids = list(self._held[ends[number - 1] if number else 0:ends[number]])
-                else:
-                    ids = self._letters_ids(word)
-                stems[word] = ids
-            return ids
-
-        for w in words:
-            if w.isalpha():
-                found.append(letters_ids(w))
-                continue
-            stem = w.rstrip(punctuation)
-            if stem.isalpha():
-                mark = w[len(stem):]
-                if mark not in marks:
-                    marks[mark] = self._tokenizer.encode(mark, add_special_tokens=False).ids
-                found.append(letters_ids(stem) + marks[mark])
-            else:
-                found.append(None)
-                if not uncut(w):
-                    rest.append(w)
-        other = iter(self._tokenizer.encode_batch_fast([" " + w for w in rest], add_special_tokens=False))
-        for k, w in enumerate(words):
-            if found[k] is None:
-                self._uncut.append(uncut(w))
-                found[k] = () if self._uncut[-1] else next(other).ids
-            else:
-                self._uncut.append(False)
-        self._held.extend(chain.from_iterable(found))
-        last = self._ends[-1] if self._ends else 0
-        self._ends.extend(accumulate(map(len, found), initial=last))
-        del self._ends[-len(found) - 1]
+        """Ids of each word with a space before it, many words as one text."""
+        bad = list(map(uncut, words))
+        cut = [w for w, b in zip(words, bad) if not b]
+        sizes: list[int] = []
+        for k in range(0, len(cut), JOINED):
+            part = cut[k:k + JOINED]
+            ids = self._tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids
+            own = self._sizes(part, np.array(ids, np.int64))
+            if own is None:
+                each = [e.ids for e in self._tokenizer.encode_batch_fast([" " + w for w in part], add_special_tokens=False)]
+                ids, own = list(chain.from_iterable(each)), np.fromiter(map(len, each), np.int64)
+            self._held.extend(ids)
+            sizes.extend(own.tolist())
+        last, known = self._ends[-1] if self._ends else 0, iter(sizes)
+        for b in bad:
+            last += 0 if b else next(known)
+            self._ends.append(last)
+        self._uncut.extend(bad)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids per text; an empty text has none."""

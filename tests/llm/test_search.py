@@ -168,7 +168,7 @@ def edited(rnd, words, edits):
     return words
 
 
-def shingle_set(words):
+def runs_of_five(words):
     return {tuple(words[k:k + 5]) for k in range(len(words) - 4)}
 
 
@@ -180,7 +180,7 @@ def test_recall_of_near_passages(spark):
     for k in range(150):
         base = prose(5000 + k, rnd.randint(60, 200)).split()
         copy = edited(rnd, base, rnd.randint(1, 4))
-        a, b = shingle_set(base), shingle_set(copy)
+        a, b = runs_of_five(base), runs_of_five(copy)
         for side, words in enumerate((base, copy)):
             texts.append(" ".join([prose(7000 + 2 * k + side, 60), *words, prose(8000 + 2 * k + side, 60)]))
         if 0.8 <= len(a & b) / len(a | b) < 1:
@@ -194,6 +194,7 @@ def test_recall_of_near_passages(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = substring_dedup.repeated_passages(docs.repartition(5)).collect()
     pairs = {(r.doc_id, r.other_doc_id) for r in found}
+    print("near passages found", sum(p in pairs for p in truth), "of", len(truth))
     assert len(truth) > 60 and sum(p in pairs for p in truth) >= 0.9 * len(truth)
     covered = {r.doc_id for r in found if r.end_word - r.start_word >= 60}
     assert sum(v in covered for v in variants) >= 0.97 * len(variants)
@@ -387,6 +388,6 @@ def test_sketches_keep_near_pairs():
         held = [near_join.sketch(np.unique(np.concatenate([shared, x]))) for x in own]  # Jaccard 0.8 or more
         far = near_join.sketch(rnd.integers(0, 2 ** 32, 600, dtype=np.uint64).astype(np.uint32))
         stay = near_join.alike(np.frombuffer(b"".join([*held, far]), np.uint8).reshape(-1, near_join.BINS))
-        assert stay[0] and stay[1]
+        assert stay[0, 1] and stay[1, 0] and not stay.diagonal().any()
         if n > 400:
-            assert not stay[2]
+            assert not stay[2].any()
