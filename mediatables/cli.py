@@ -14,6 +14,8 @@ import json
 import sys
 from collections.abc import Sequence
 
+from .schemas import AudioConfig, ImageConfig
+
 
 def _factory(spec: str | None):
     if not spec:
@@ -35,6 +37,20 @@ def _print(df, top_k: int) -> None:
         print(json.dumps(row.asDict(recursive=True), ensure_ascii=False, default=str))
 
 
+# Options that set thresholds of the job configurations.
+AUDIO_THRESHOLDS = ("min_duration_s", "max_duration_s")
+IMAGE_THRESHOLDS = ("face_score_min", "min_face_ratio", "blur_threshold", "face_blur_threshold")
+
+
+def _add_thresholds(parser: argparse.ArgumentParser, config, names: Sequence[str]) -> None:
+    for name in names:
+        parser.add_argument(f"--{name.replace('_', '-')}", type=float, default=getattr(config, name))
+
+
+def _config(args, kind, names: Sequence[str]):
+    return kind(**{name: getattr(args, name) for name in names})
+
+
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="mediatables")
     p.add_argument("--master", default=None, help="Spark master (default: from the environment)")
@@ -52,6 +68,7 @@ def build_parser() -> argparse.ArgumentParser:
     aa.add_argument("--root", action="append", default=[], help="media prefix (repeatable)")
     aa.add_argument("--asr-factory", required=True)
     aa.add_argument("--llm-factory")
+    _add_thresholds(aa, AudioConfig(), AUDIO_THRESHOLDS)
 
     ia = sub.add_parser("ingest-audio", help="C2: analysis + audio bytes -> append to the asset table")
     ia.add_argument("--analysis", required=True)
@@ -74,6 +91,7 @@ def build_parser() -> argparse.ArgumentParser:
     ai.add_argument("--embed", action="store_true")
     ai.add_argument("--quality-factory")
     ai.add_argument("--embedder-factory")
+    _add_thresholds(ai, ImageConfig(), IMAGE_THRESHOLDS)
 
     ii = sub.add_parser("ingest-images", help="C5: analysis + image bytes -> append to the asset table")
     ii.add_argument("--analysis", required=True)
@@ -125,7 +143,8 @@ def main(argv: Sequence[str] | None = None, spark=None) -> int:
         print(f"[ok] {jobs.init_manifest(spark, args.dir, args.out, args.media)} files -> {args.out}")
     elif cmd == "analyze-audio":
         jobs.analyze_audio(spark, args.manifest, args.out, embed=args.embed, roots=roots,
-                           asr_factory=_factory(args.asr_factory), llm_factory=_factory(args.llm_factory))
+                           asr_factory=_factory(args.asr_factory), llm_factory=_factory(args.llm_factory),
+                           cfg=_config(args, AudioConfig, AUDIO_THRESHOLDS))
         print(f"[ok] wrote {args.out}")
     elif cmd == "ingest-audio":
         print(f"[ok] total rows: {jobs.ingest_audio(spark, args.analysis, args.table, roots=roots)}")
@@ -133,7 +152,7 @@ def main(argv: Sequence[str] | None = None, spark=None) -> int:
         _print(query.query_audio(spark, args.table, args.where, args.sql, args.top_k,
                                  args.query_doc_id, _range(args)), args.top_k)
     elif cmd == "analyze-images":
-        kwargs = {}
+        kwargs = {"cfg": _config(args, ImageConfig, IMAGE_THRESHOLDS)}
         if args.quality_factory:
             kwargs["quality_factory"] = _factory(args.quality_factory)
         if args.embedder_factory:

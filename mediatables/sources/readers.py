@@ -7,8 +7,6 @@ the caller needs so Parquet scans prune everything else.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,15 +73,16 @@ def read_csv(spark: SparkSession, pattern: str, schema: T.StructType | None = No
                        .alias(f.name) for f in schema.fields])
 
 
-def _is_parquet_table(path: str) -> bool:
-    """A local directory holding Parquet part files (or a _SUCCESS marker)."""
-    if "://" in path and not path.startswith("file:"):
-        return False
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if not os.path.isdir(local):
+def _is_parquet_table(spark: SparkSession, path: str) -> bool:
+    """Whether a directory holds Parquet part files, in partitions or not."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(place) or not fs.getFileStatus(place).isDirectory():
         return False
-    for _root, _dirs, files in os.walk(local):
-        if any(f.endswith(".parquet") for f in files):
+    files = fs.listFiles(place, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
             return True
     return False
 
@@ -92,9 +91,8 @@ def read_analysis_output(spark: SparkSession, path: str,
                          schema: T.StructType | None = None) -> DataFrame:
     """JSON(-lines) output or a Parquet staging table.
 
-    JSON suffixes are unambiguous; ``.parquet`` is a table; a local directory
-    is a table when it holds Parquet files and JSON otherwise; remote paths
-    without a suffix are tables. JSON is read with the declared schema so an
+    JSON suffixes are unambiguous; ``.parquet`` is a table; any other directory
+    is a table when it holds Parquet files and JSON otherwise. JSON is read with the declared schema so an
     all-null column keeps its type (absent fields come back as typed nulls).
     """
     low = _suffix_of(path)
@@ -102,11 +100,7 @@ def read_analysis_output(spark: SparkSession, path: str,
         return _read_json(spark, path, schema)
     if low.endswith(".parquet"):
         return spark.read.parquet(path)
-    if "://" not in path or path.startswith("file:"):
-        if _is_parquet_table(path):
-            return spark.read.parquet(path)
-        return _read_json(spark, path, schema)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path) if _is_parquet_table(spark, path) else _read_json(spark, path, schema)
 
 
 def _read_json(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:

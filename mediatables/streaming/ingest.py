@@ -6,8 +6,9 @@ directory are picked up by a file stream, and every micro-batch goes through
 the batch operators inside ``foreachBatch`` before being appended to the asset
 table. The stream's checkpoint (under the session's checkpoint folder unless
 given) records which manifest files were processed, so a restarted query
-skips none. A batch that failed after its append is run again and appends its
-rows once more; the table then holds them under two ingest times.
+skips none. A batch's ingest time is written beside the checkpoint before the
+batch is appended, so a batch that is run again has the same time, and is left
+out if the table has rows of it.
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..operators.media import ImageQuality
-from ..plans.jobs import build_image_analysis, ingest_time_literal
+from ..plans.jobs import build_image_analysis, ingest_time_literal, run_instant, this_run
 from ..schemas import MANIFEST_SCHEMA, ImageConfig
 from ..session import scratch_path
-from ..sources import fetch, sinks
+from ..sources import fetch, readers, sinks
 
 
 def analyze_image_batch(spark: SparkSession, manifest: DataFrame, roots: Sequence[str],
@@ -34,6 +35,14 @@ def analyze_image_batch(spark: SparkSession, manifest: DataFrame, roots: Sequenc
     return fetch.fetch_content(rows, content_col="image_blob", roots=roots)
 
 
+def batch_instant(spark: SparkSession, folder: str, epoch_id: int) -> str:
+    """The ingest time of a micro-batch, the same however often it runs."""
+    path = f"{folder.rstrip('/')}/{epoch_id}"
+    if not sinks.path_exists(spark, f"{path}/_SUCCESS"):
+        spark.createDataFrame([(run_instant(),)], "t string").coalesce(1).write.mode("overwrite").text(path)
+    return spark.read.text(path).first()[0]
+
+
 def start_image_ingest(spark: SparkSession, manifest_dir: str, table: str, roots: Sequence[str],
                        checkpoint: str | None = None, fmt: str = "json",
                        quality_factory: Callable[[], Any] = ImageQuality,
@@ -47,9 +56,12 @@ def start_image_ingest(spark: SparkSession, manifest_dir: str, table: str, roots
     stream = spark.readStream.schema(MANIFEST_SCHEMA).format(fmt).load(manifest_dir)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        now = batch_instant(spark, f"{checkpoint}-instants", epoch_id)
+        if sinks.path_exists(spark, table) and not this_run(readers.read_asset(spark, table), now).isEmpty():
+            return
         rows = analyze_image_batch(spark, batch, roots, quality_factory)
         rows = rows.withColumn("status", rules.downgrade_missing_blob(F.col("status"), F.col("image_blob")))
-        rows = rows.withColumn("ingest_time", ingest_time_literal())
+        rows = rows.withColumn("ingest_time", ingest_time_literal(now))
         sinks.append_asset(rows, table)
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)

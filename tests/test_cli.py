@@ -23,6 +23,11 @@ def test_cli_image_flow(spark, tmp, capsys):
     assert sorted(r["doc_id"] for r in rows) == ["a.png", "b.png"]
     cli.main(["query-images", "--table", table, "--sql", "SELECT count(*) AS n FROM images"], spark)
     assert json.loads(capsys.readouterr().out.strip())["n"] == 2
+    strict = os.path.join(tmp, "strict.jsonl")
+    cli.main(["analyze-images", "--manifest", manifest, "--out", strict, "--root", media, "--blur-threshold", "-1"], spark)
+    assert {r.is_blurry for r in spark.read.json(strict).collect()} == {False}
+    assert {r.is_blurry for r in spark.read.json(out).collect()} == {True}
+    capsys.readouterr()
     cli.main(["manage", "--table", table, "--after", "2000-01-01"], spark)
     from mediatables.sources.readers import read_asset
     emptied = read_asset(spark, table)            # declared schema: still readable

@@ -25,3 +25,18 @@ def test_stream_ingest_picks_up_new_manifests(spark, tmp):
     q.awaitTermination(120)
     rows = {r.doc_id: r.status for r in spark.read.parquet(table).collect()}
     assert rows == {"a.png": "ok", "b.png": "ok", "c.png": "download_failed"}
+
+
+def test_a_batch_that_runs_again_appends_nothing(spark, tmp):
+    """The checkpoint loses its last commit, as if the query died after the append."""
+    import shutil
+    media, inbox, table, ckpt = (os.path.join(tmp, x) for x in ("media", "inbox", "images", "ckpt"))
+    os.makedirs(media)
+    os.makedirs(inbox)
+    with open(os.path.join(media, "a.png"), "wb") as fp:
+        fp.write(png_bytes(np.full((16, 16, 3), 200, np.uint8)))
+    write_jsonl(os.path.join(inbox, "m.json"), [{"doc_id": "a.png", "s3_url": f"{media}/a.png"}])
+    for _ in range(2):
+        start_image_ingest(spark, inbox, table, [media], checkpoint=ckpt).awaitTermination(120)
+        shutil.rmtree(os.path.join(ckpt, "commits"))
+    assert spark.read.parquet(table).count() == 1
