@@ -350,7 +350,9 @@ def _likely(buckets: DataFrame, classes: DataFrame, cell: int, first_only: bool)
     else:
         paths = buckets.select("rid").distinct().withColumn("paths", F.lit(None).cast("array<long>"))
     info = classes.select("rid", "sketch").join(paths, "rid")
-    kept = (buckets.where(inside).select("rid", "path").join(info, "rid").repartition("path")
+    # Few bytes, much work: not to be merged into few tasks.
+    tasks = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = (buckets.where(inside).select("rid", "path").join(info, "rid").repartition(tasks, "path")
             .sortWithinPartitions("path").mapInArrow(_prefilter(first_only), KEPT).distinct())
     counts = kept.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
     return kept.join(counts, "path").select("rid", "path", "n").union(
