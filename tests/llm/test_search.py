@@ -146,7 +146,9 @@ def test_windows_meet_in_groups_of_a_minimum_and_a_band():
     rnd = np.random.default_rng(2)
     one, other = rnd.integers(0, 2**60, (2, 90)).astype(np.uint64)
     docs = {1: one, 2: one, 3: np.concatenate([one, other]), 4: one, 5: other}
-    windows = np.concatenate([substring_dedup.windows_of(s, d, 46, 5) for d, s in docs.items()])
+    windows = substring_dedup.windows_of(list(docs.values()), list(docs), 46, 5)
+    alone = np.concatenate([substring_dedup.windows_of([s], [d], 46, 5) for d, s in docs.items()])
+    assert sorted(x.tobytes() for x in windows) == sorted(x.tobytes() for x in alone)
     links, left = substring_dedup.meet_windows(windows)
     pairs = set(zip(links["a"].tolist(), links["b"].tolist()))
     assert {(1, 2), (1, 4)} <= pairs and (3, 5) in pairs and not {(1, 5), (2, 5), (4, 5)} & pairs
@@ -157,7 +159,7 @@ def test_windows_meet_in_groups_of_a_minimum_and_a_band():
 
 
 def test_every_window_reaches_over_a_band():
-    windows = substring_dedup.windows_of(np.random.default_rng(3).integers(0, 2**60, 3000).astype(np.uint64), 1, 46, 5)
+    windows = substring_dedup.windows_of([np.random.default_rng(3).integers(0, 2**60, 3000).astype(np.uint64)], [1], 46, 5)
     assert (windows["sigs"] > 0).any(axis=1).all()
 
 
