@@ -18,20 +18,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Hashes(dict):
+    """Hashes of words, made when they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word)
+        return found
+
+
 class Shingler:
     """Hashes of each run of ``width`` words; words are split at white space
     and lower-cased. A text of fewer words, but one at least, is one shingle."""
 
     def __init__(self, width: int) -> None:
         self.width = width
-        self._known: dict[str, int] = {}
+        self._known = _Hashes()
 
     def words(self, words: list[str]) -> np.ndarray:
         known = self._known
         if len(known) > KNOWN_WORDS:
             known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w)
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
     def sequence(self, text: str) -> np.ndarray:
