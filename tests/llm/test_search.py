@@ -158,6 +158,48 @@ def test_windows_meet_in_groups_of_a_minimum_and_a_band():
     assert groups == {(w["key"], k, w["sigs"][k]) for w in left for k in range(4) if w["sigs"][k]}
 
 
+def test_no_two_unlike_windows_of_a_group_are_left_out():
+    rnd = np.random.default_rng(5)
+    base = rnd.integers(0, 2**60, 140).astype(np.uint64)
+    docs = {}
+    for d in range(700):  # more than a cell holds
+        docs[d] = base.copy() if d % 7 else base[:100].copy()
+        if d % 5:
+            at = rnd.integers(0, len(docs[d]), 6)
+            docs[d][at] = rnd.integers(0, 2**60, 6)
+    windows = substring_dedup.windows_of(list(docs.values()), list(docs), 46, 2)
+    links, _ = substring_dedup.meet_windows(windows)
+    pairs = set(zip(links["a"].tolist(), links["b"].tolist()))
+    groups, first = {}, {}
+    for w in sorted(windows, key=lambda w: (w["doc"], w["c"])):
+        l, c, r = int(w["l"]), int(w["c"]), int(w["r"])
+        l, r, d = max(l, c - substring_dedup.BAND), min(r, c + substring_dedup.BAND), int(w["doc"])
+        head = first.setdefault((int(w["key"]), c - l, docs[d][l:r + 1].tobytes()), d)
+        if head != d:  # copies
+            assert (head, d) in pairs
+            continue
+        for k in range(2 * substring_dedup.SECONDS):
+            if w["sigs"][k]:
+                groups.setdefault((int(w["key"]), k, int(w["sigs"][k])), set()).add(d)
+    assert max(map(len, groups.values())) > 2
+    for members in groups.values():
+        members = sorted(members)
+        assert all((a, b) in pairs for k, b in enumerate(members) for a in members[:k])
+
+
+def test_wide_groups_are_compared_in_cells():
+    rnd = np.random.default_rng(6)
+    windows = np.zeros(1500, substring_dedup.WINDOW)
+    windows["doc"], windows["c"], windows["r"], windows["key"] = np.arange(1500), 30, 60, 9
+    windows["same"], windows["sigs"] = np.arange(1500), rnd.integers(0, 2, (1500, 4))
+    found = [substring_dedup.compare(*c) for c in substring_dedup.cells(windows)]
+    assert max(map(len, found)) <= substring_dedup.CELL ** 2
+    links = np.concatenate(found)
+    alike = sum(((windows["sigs"][:k] > 0) & (windows["sigs"][:k] == w["sigs"])).any(axis=1).sum()
+                for k, w in enumerate(windows))
+    assert len(links) == len(np.unique(links)) == alike
+
+
 def test_every_window_reaches_over_a_band():
     windows = substring_dedup.windows_of([np.random.default_rng(3).integers(0, 2**60, 3000).astype(np.uint64)], [1], 46, 5)
     assert (windows["sigs"] > 0).any(axis=1).all()
