@@ -13,8 +13,9 @@ a lazy plan or a retried task would call the model again.
 
 from __future__ import annotations
 
+import gc
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import numpy as np
@@ -42,6 +43,21 @@ def cached_model(factory: Callable[[], Any], key: Any = None) -> Any:
     return model
 
 
+def swept(batches: Iterable[Any]) -> Iterator[Any]:
+    """The batches, each freed soon after the next one is asked for.
+
+    pandas objects often hold themselves (a Series is held by its own ``str``),
+    and few other objects are made, so the collector would come round only
+    after much of a task's input. What is there before is left out of its way.
+    """
+    gc.collect()
+    gc.freeze()
+    for batch in batches:
+        yield batch
+        del batch
+        gc.collect()
+
+
 def batch_udf(factory: Callable[[], Any], return_type: T.DataType,
               method: str = "__call__", deterministic: bool = False):
     """Iterator pandas UDF calling ``model.<method>(*series)`` per batch.
@@ -55,7 +71,7 @@ def batch_udf(factory: Callable[[], Any], return_type: T.DataType,
     def _run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         model = cached_model(factory, key)
         fn = getattr(model, method)
-        for batch in batches:
+        for batch in swept(batches):
             cols = batch if isinstance(batch, tuple) else (batch,)
             yield fn(*cols)
 
@@ -76,7 +92,7 @@ def guarded_embedding(factory: Callable[[], Any], content: Column, ok: Column,
     def _embed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         model = cached_model(factory)
         fn = getattr(model, method)
-        for data, flag in batches:
+        for data, flag in swept(batches):
             mask = (flag.fillna(False).astype(bool) & data.notna()).to_numpy()
             out = np.empty(len(data), dtype=object)
             if mask.any():
@@ -111,7 +127,7 @@ def call_model(df: DataFrame, prompt_col: str, client_factory: Callable[[], Any]
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = cached_model(client_factory)
         fn = getattr(client, method)
-        for pdf in batches:
+        for pdf in swept(batches):
             answers = []
             for prompt in pdf[prompt_col]:
                 try:
