@@ -134,39 +134,35 @@ class ImageQuality:
 FACE = "x1 double, y1 double, x2 double, y2 double, score double"
 
 
-def shrink_udf():
-    """(height, width, channels, data, new height, new width) -> pixels of the
-    shrunk image; NULL stays NULL."""
-    @F.pandas_udf("binary")
-    def _shrink(h: pd.Series, w: pd.Series, c: pd.Series, data: pd.Series,
-                to_h: pd.Series, to_w: pd.Series) -> pd.Series:
-        return pd.Series([None if d is None else shrink(pixels(int(a), int(b), int(n), d), int(y), int(x)).tobytes()
-                          for a, b, n, d, y, x in zip(h, w, c, data, to_h, to_w)], dtype=object)
-
-    return _shrink
-
-
-def faces_udf(quality_factory):
-    """(height, width, channels, pixels) -> faces in the detector's order."""
-    @F.pandas_udf(f"array<struct<{FACE.replace(' double', ': double')}>>")
-    def _faces(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def image_udf(quality_factory):
+    """(height, width, channels, data, new height, new width) -> faces of the
+    shrunk image in the detector's order, its Laplacian variance, and its
+    pixels if it has faces; NULL stays NULL. All of it in one worker, so a task
+    holds one and pixels cross to it once."""
+    @F.pandas_udf(f"faces array<struct<{FACE.replace(' double', ': double')}>>, blur double, small binary")
+    def _image(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         detector = quality_factory().detector
 
-        def boxes(h, w, c, data):
+        def measures(h, w, c, data, to_h, to_w):
             if data is None:
-                return None
-            return [{**dict(zip(("x1", "y1", "x2", "y2"), map(float, face["bbox"]))), "score": float(face["score"])}
-                    for face in detector.detect(pixels(int(h), int(w), int(c), data))]
+                return None, None, None
+            image = shrink(pixels(int(h), int(w), int(c), data), int(to_h), int(to_w))
+            faces = [{**dict(zip(("x1", "y1", "x2", "y2"), map(float, face["bbox"]))), "score": float(face["score"])}
+                     for face in detector.detect(image)]
+            return faces, laplacian_variance(gray(image)), image.tobytes() if faces else None
 
         for columns in batches:
-            yield pd.Series([boxes(*row) for row in zip(*columns)], dtype=object)
+            rows = [measures(*row) for row in zip(*columns)]
+            faces, blur, small = zip(*rows) if rows else ((), (), ())
+            yield pd.DataFrame({"faces": pd.Series(faces, dtype=object), "blur": pd.Series(blur, dtype="Float64"),
+                                "small": pd.Series(small, dtype=object)})
 
-    return _faces.asNondeterministic()
+    return _image.asNondeterministic()
 
 
 def blur_udf():
-    """(height, width, channels, pixels, box) -> Laplacian variance in the box,
-    of the whole image for boxes that span it; NULL for an empty box."""
+    """(height, width, channels, pixels, box) -> Laplacian variance in the box;
+    NULL for an empty box."""
     @F.pandas_udf("double")
     def _blur(h: pd.Series, w: pd.Series, c: pd.Series, data: pd.Series, box: pd.DataFrame) -> pd.Series:
         out = []
@@ -194,18 +190,18 @@ def image_measures(images: DataFrame, quality_factory, keep: Sequence[str]) -> D
     small = images.select(
         *keep, F.when(there, F.col("_w").cast("long")).alias("width"), F.when(there, F.col("_h").cast("long")).alias("height"),
         new_h.alias("_sh"), new_w.alias("_sw"), F.least(F.col("_c"), F.lit(3)).alias("_sc"),
-        shrink_udf()("_h", "_w", "_c", F.when(there, F.col("_data")), new_h, new_w).alias("_small"))
-    found = small.withColumn("_faces", faces_udf(quality_factory)(*at, "_small"))
+        image_udf(quality_factory)("_h", "_w", "_c", F.when(there, F.col("_data")), new_h, new_w).alias("_image"))
+    found = small.select("*", F.col("_image.faces").alias("_faces"), F.col("_image.blur").alias("_blur"),
+                         F.col("_image.small").alias("_small"))
     face = largest_in_array(F.col("_faces"))
     box = clamp_box(face["x1"], face["y1"], face["x2"], face["y2"], F.col("_sw"), F.col("_sh"))
     empty = F.struct(*[F.lit(0).cast("long").alias(c) for c in ("x1", "y1", "x2", "y2")])
-    whole = clamp_box(F.lit(0), F.lit(0), F.col("_sw"), F.col("_sh"), F.col("_sw"), F.col("_sh"))
     none = F.size("_faces") == 0
     ratio = face_area_ratio(face["x1"], face["y1"], face["x2"], face["y2"], F.col("_sw"), F.col("_sh"))
-    blur = blur_udf()
     return found.select(
-        *keep, "width", "height", F.when(F.col("_small").isNotNull(), F.size("_faces").cast("long")).alias("face_count"),
+        *keep, "width", "height", F.when(F.col("_faces").isNotNull(), F.size("_faces").cast("long")).alias("face_count"),
         F.when(none, F.lit(0.0)).otherwise(face["score"]).alias("face_score"),
         F.when(none, F.lit(0.0)).otherwise(ratio).alias("face_area_ratio"),
-        blur(*at, "_small", F.coalesce(whole, empty)).alias("blur_score"), blur(*at, "_small", F.coalesce(box, empty)).alias("face_blur_score"))
+        F.col("_blur").alias("blur_score"),
+        blur_udf()(*at, "_small", F.coalesce(box, empty)).alias("face_blur_score"))
 

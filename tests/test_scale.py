@@ -40,3 +40,32 @@ def test_batches_that_hold_themselves_are_freed():
 
 def test_every_session_bounds_arrow_batches(spark):
     assert all(spark.conf.get(k) == v for k, v in BATCH_CONF.items())
+
+
+class OneFace:
+    def detect(self, image):
+        return [{"bbox": (0, 0, 4, 3), "score": 0.5}] if image[0, 0, 0] > 100 else []
+
+
+def quality():
+    return ImageQuality(OneFace(), long_edge=8)
+
+
+def test_images_are_measured_by_few_workers(spark):
+    rnd = np.random.default_rng(4)
+    rows = [(k, 6, 5, 3, bytearray([200 * (k % 2)]) + bytearray(rnd.integers(0, 256, 89, np.uint8).tobytes())) for k in range(6)]
+    rows += [(6, -1, -1, -1, bytearray()), (7, 16, 16, 4, bytearray(bytes(range(256)) * 4))]
+    images = spark.createDataFrame(rows, "_object long, _h int, _w int, _c int, _data binary")
+    measured = image_measures(images, quality, ["_object"])
+    plan = measured._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") <= 2
+    got = {r._object: r for r in measured.collect()}
+    assert [got[k].face_count for k in range(8)] == [0, 1, 0, 1, 0, 1, None, 0]
+    for k, _, _, _, data in rows[:6]:
+        levels = np.rint(np.frombuffer(bytes(data), np.uint8).reshape(6, 5, 3) @ np.array([0.114, 0.587, 0.299]))
+        from mediatables.functions.imaging import laplacian_variance
+        assert math.isclose(got[k].blur_score, laplacian_variance(levels))
+        assert (got[k].face_blur_score is None) == (k % 2 == 0)
+        if k % 2:
+            assert math.isclose(got[k].face_blur_score, laplacian_variance(levels[:3, :4]))
+    assert got[6].blur_score is None and got[7].blur_score is not None and got[7].width == 16
