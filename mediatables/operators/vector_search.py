@@ -39,6 +39,8 @@ from . import knn as knn_ops
 from .ivf import ERROR_COL, FILE_COL, ROUNDING, ROW_COL, SPREAD_COL, IvfIndex
 
 CELL_ROWS = 50_000
+# Distances that a task holds at once.
+PRODUCT_CELLS = 1 << 20
 # Sums in another order differ in their last digits; bounds are this much wider.
 SLACK = 1e-6
 
@@ -298,8 +300,9 @@ def _cell_kernel(index: IvfIndex, k: int, fields: list[tuple[str, pa.DataType]])
                     else:
                         mat = _matrix(held.column("v").combine_chunks(), index.dim).astype(np.float64)
                 queries = _matrix(part.column("v"), index.dim).astype(np.float64)
-                for at in range(0, len(queries), 256):
-                    q, r, d = best_rows(mat, queries[at:at + 256], k)
+                step = max(1, PRODUCT_CELLS // len(mat))
+                for at in range(0, len(queries), step):
+                    q, r, d = best_rows(mat, queries[at:at + step], k)
                     columns = {"query_id": part.column("query_id").take(pa.array(q + at)), "distance": pa.array(d)}
                     for name in carried:
                         columns[name] = held.column(name).combine_chunks().take(pa.array(r))

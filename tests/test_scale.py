@@ -69,3 +69,45 @@ def test_images_are_measured_by_few_workers(spark):
         if k % 2:
             assert math.isclose(got[k].face_blur_score, laplacian_variance(levels[:3, :4]))
     assert got[6].blur_score is None and got[7].blur_score is not None and got[7].width == 16
+
+
+def test_codes_and_their_error_come_from_one_worker(spark):
+    rnd = np.random.default_rng(8)
+    books = rnd.normal(size=(2, 256, 4))
+    index = ivf.IvfIndex("", "v", "IVF_PQ", 8, 1, codebooks=books.tolist())
+    df = spark.createDataFrame([(k, rnd.normal(size=8).tolist() if k else None) for k in range(40)], "k long, v array<double>")
+    both = df.select("k", "v", ivf.pq_code_udf(index)("v").alias("s")).where("v IS NOT NULL") \
+        .select("k", "s.*", ivf.pq_encode_udf(books)("v").alias("c")).withColumn("n", F.size("codes")).collect()
+    apart = {r.k: r.e for r in df.where("v IS NOT NULL").withColumn("c", ivf.pq_encode_udf(books)("v"))
+             .select("k", ivf.code_error_udf(index)("v", "c").alias("e")).collect()}
+    assert len(both) == 39
+    for r in both:
+        assert list(r.codes) == list(r.c) and math.isclose(r.error, apart[r.k])
+
+
+def test_a_cell_holds_a_bounded_number_of_distances(monkeypatch, spark, tmp):
+    sizes = []
+    plain = vector_search.best_rows
+
+    def counted(mat, queries, k):
+        sizes.append(len(mat) * len(queries))
+        return plain(mat, queries, k)
+
+    monkeypatch.setattr(vector_search, "best_rows", counted)
+    import pyarrow as pa
+    index = ivf.IvfIndex("", "v", "IVF_FLAT", 2, 1)
+    kernel = vector_search._cell_kernel(index, 3, [("query_id", pa.int64()), ("vec_id", pa.int64()), ("centroid_id", pa.int32()),
+                                                   ("distance", pa.float64())])
+    n, m = 20_000, 200
+    rnd = np.random.default_rng(9)
+    v = pa.array(rnd.normal(size=(n + m, 2)).tolist(), pa.list_(pa.float64()))
+    ids = np.arange(n + m)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(n + m, np.int32)), pa.array(np.zeros(n + m, np.int32)), pa.array((ids >= n).astype(np.int32)),
+         pa.array(ids), pa.array(ids), v], names=["centroid_id", "cell", "kind", "vec_id", "query_id", "v"])
+    found = pa.Table.from_batches(list(kernel([batch]))).to_pylist()
+    assert len(found) == 3 * m and max(sizes) <= vector_search.PRODUCT_CELLS
+    points = np.array(v.to_pylist())
+    for f in found[:30]:
+        d = ((points[:n] - points[f["query_id"]]) ** 2).sum(axis=1)
+        assert f["vec_id"] in np.argsort(d)[:3]
