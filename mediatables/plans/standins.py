@@ -1315,11 +1315,14 @@ def write_objects(rows: DataFrame) -> None:
     """One object per row of (url, bytes), written by the rows' own tasks."""
     def run(batches):
         from ..sources.fetch import ObjectReader
-        reader = ObjectReader()
+        reader, made = ObjectReader(), set()
         for batch in batches:
             for url, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 store, path = reader.locate(url)
-                store.create_dir(path.rpartition("/")[0], recursive=True)
+                folder = path.rpartition("/")[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
                 with store.open_output_stream(path, compression=None) as sink:
                     sink.write(data)
             yield batch.select([0])

@@ -9,6 +9,7 @@ there is nothing to read.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 
 # Content held by a task before it is handed on; one object may exceed it.
 BATCH_BYTES = 32 << 20
+FOLDERS = 64
 
 # Scheme of a URL -> scheme of the file system that reads it.
 SCHEMES = {"": "file", "file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3",
@@ -144,9 +146,10 @@ def fetch_content(df: DataFrame, fetcher: Callable[[str], bytes | None] | None =
 
 
 def lay_objects(df: DataFrame, name_col: str, content_col: str, folder: str) -> DataFrame:
-    """``df`` unchanged, each row's bytes written to ``folder/<name>`` on the
-    way; rows without bytes write nothing. A repeated task writes the same file
-    again, under a name of its own first."""
+    """``df`` unchanged, each row's bytes written to ``folder/<part>/<name>`` on
+    the way, in ``FOLDERS`` parts, which Spark lists side by side; rows without
+    bytes write nothing. A repeated task writes the same file again, under a
+    name of its own first."""
     jvm = df.sparkSession.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(folder)
     place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).mkdirs(place)
@@ -154,12 +157,16 @@ def lay_objects(df: DataFrame, name_col: str, content_col: str, folder: str) ->
     root = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = ObjectReader(options)
+        reader, made = ObjectReader(options), set()
         for batch in batches:
             for name, data in zip(batch.column(name_col).to_pylist(), batch.column(content_col)):
                 if data.is_valid:
-                    store, path = reader.locate(f"{root}/{name}")
-                    draft = f"{path.rpartition('/')[0]}/.{name}-{uuid.uuid4().hex}"
+                    store, path = reader.locate(f"{root}/{zlib.crc32(name.encode()) % FOLDERS:02d}/{name}")
+                    below = path.rpartition("/")[0]
+                    if below not in made:
+                        store.create_dir(below, recursive=True)
+                        made.add(below)
+                    draft = f"{below}/.{name}-{uuid.uuid4().hex}"
                     with store.open_output_stream(draft) as out:
                         out.write(data.as_buffer())
                     store.move(draft, path)

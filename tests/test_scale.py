@@ -71,6 +71,19 @@ def test_images_are_measured_by_few_workers(spark):
     assert got[6].blur_score is None and got[7].blur_score is not None and got[7].width == 16
 
 
+def test_small_objects_share_tasks_and_folders(spark, tmp):
+    header = bytes.fromhex(standins.BMP_HEADER)
+    df = spark.range(300).select(F.concat(F.lit("o-"), F.col("id").cast("string")).alias("name"),
+                                 F.lit(bytearray(header + bytes(192))).alias("content"))
+    assert fetch.lay_objects(df, "name", "content", f"{tmp}/laid").count() == 300
+    with session_conf(spark, MEDIA_BATCH_CONF):
+        images = jobs.decoded_images(spark, f"{tmp}/laid")
+        assert images.rdd.getNumPartitions() <= 5
+        found = images.collect()
+    assert {r._object for r in found} == {f"o-{k}" for k in range(300)} and all(r._h == 8 for r in found)
+    assert 32 < len(list((__import__("pathlib").Path(tmp) / "laid").iterdir())) <= fetch.FOLDERS
+
+
 def test_codes_and_their_error_come_from_one_worker(spark):
     rnd = np.random.default_rng(8)
     books = rnd.normal(size=(2, 256, 4))
