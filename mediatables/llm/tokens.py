@@ -14,7 +14,9 @@ from itertools import chain
 
 import numpy as np
 
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
+# Characters of texts that are cut up at once.
+CUT_CHARS = 500_000
 # Words that are encoded as one text.
 JOINED = 2000
 # Characters on which two definitions of white space may differ.
@@ -108,6 +110,16 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids per text; an empty text has none."""
+        out: list[np.ndarray] = []
+        first = chars = 0
+        for k, text in enumerate(texts):
+            if chars and chars + len(text) > CUT_CHARS:
+                out += self._encode(texts[first:k])
+                first, chars = k, 0
+            chars += len(text)
+        return out + self._encode(texts[first:])
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self._words) > CACHE_WORDS:
             self._forget()
         cut = [t.split(" ") for t in texts]

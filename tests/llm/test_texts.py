@@ -130,6 +130,17 @@ def test_encoder_forgets_and_keeps_no_state_between_texts(tokenizer, monkeypatch
         assert [x.tolist() for x in own.encode(texts)] == want
 
 
+def test_encoder_cuts_few_texts_at_once(monkeypatch):
+    texts = [prose(300 + k, 40) for k in range(30)] + ["", "one", " two  words"] + [prose(400, 900)]
+    whole = [x.tolist() for x in tokens.Encoder(PATH).encode(texts)]
+    own, seen, plain = tokens.Encoder(PATH), [], tokens.Encoder._encode
+    monkeypatch.setattr(tokens, "CUT_CHARS", 1000)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 100)
+    monkeypatch.setattr(tokens.Encoder, "_encode", lambda self, t: seen.append(t) or plain(self, t))
+    assert [x.tolist() for x in own.encode(texts)] == whole and own.encode([]) == []
+    assert all(len(t) < 2 or sum(map(len, t)) <= 1000 for t in seen) and sum(seen, []) == texts
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(SPACES, max_size=20))
 def test_encoder_equals_tokenizer(texts):
