@@ -149,6 +149,45 @@ def test_encoder_equals_tokenizer(texts):
     assert [ids.tolist() for ids in tokens.encoder(PATH).encode(texts)] == want
 
 
+MIXED = st.text(alphabet=" \n\n  ab'st1.,-|<>~éßŁж中…\x0b\xa0", max_size=40)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(MIXED, max_size=20))
+def test_pieces_equal_tokenizer(texts):
+    t = Tokenizer.from_file(PATH)
+    texts.append("don't  'tis it's\n\nend.\n x\n <|endoftext|> y<|endoftext|>\n\n")
+    want = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in tokens.encoder(PATH).encode(texts)] == want
+
+
+def test_letters_of_plain_words(tokenizer):
+    """All are letters to the library as well."""
+    letters = [chr(c) for c in range(0x530) if re.fullmatch(f"[{tokens.LETTERS}]", chr(c))]
+    pieces = tokenizer.pre_tokenizer.pre_tokenize_str(" " + "".join(letters))
+    assert len(letters) > 700 and len(pieces) == 1
+    texts = [f"x a{c}b 1{c}2 .{c}. {c}" for c in letters]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in tokens.Encoder(PATH).encode(texts)] == want
+
+
+def test_tokenizer_is_asked_for_new_pieces_only(tokenizer, monkeypatch):
+    """Words that differ in punctuation and line ends share their pieces, and
+    pieces met again outlast the others."""
+    texts = ["x " + " ".join(f"{w}{end}{v}" for w in ("the", "house", "tree") for v in ("The", "House", "Tree"))
+             for end in (".\n", ", ", "-", ";\n", "... ", ")\n")]
+    own = tokens.Encoder(PATH)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in own.encode(texts)] == want
+    assert len(own._pieces) < 20
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 60)
+    own.encode(["x " + " ".join(f"once{k}a" for k in range(70))] + texts)
+    learned = []
+    plain = tokens.Encoder._learn
+    monkeypatch.setattr(tokens.Encoder, "_learn", lambda self, p: learned.extend(p) or plain(self, p))
+    assert [ids.tolist() for ids in own.encode(texts)] == want and not learned and len(own._pieces) < 60
+
+
 def ids_of(tokenizer, text):
     return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
 
