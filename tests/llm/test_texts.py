@@ -155,7 +155,7 @@ MIXED = st.text(alphabet=" \n\n  ab'st1.,-|<>~éßŁж中…\x0b\xa0", max_size=
 @settings(max_examples=300, deadline=None)
 @given(st.lists(MIXED, max_size=20))
 def test_pieces_equal_tokenizer(texts):
-    t = Tokenizer.from_file(PATH)
+    t = tokens.encoder(PATH)._tokenizer
     texts.append("don't  'tis it's\n\nend.\n x\n <|endoftext|> y<|endoftext|>\n\n")
     want = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
     assert [ids.tolist() for ids in tokens.encoder(PATH).encode(texts)] == want
@@ -271,6 +271,25 @@ def test_repair_shortens_repetition():
     assert len(block.symbols) <= 500 and len(block.rules) and int(block.expansion.max()) >= 4
 
 
+def test_pairs_of_two_byte_symbols_are_narrow_keys(monkeypatch):
+    """Symbols of two bytes are compared as pairs of four bytes, with the same
+    rules and the same ids as wide ones at and beyond that bound."""
+    rng = np.random.default_rng(5)
+    docs = [rng.integers(0, 40, 3000).astype(np.uint16) for _ in range(4)]
+    docs.append(np.tile(np.array([40, 41, 42, 43], np.uint16), 500))
+    seen, plain = set(), token_files._slot
+    monkeypatch.setattr(token_files, "_slot", lambda keys: seen.add(keys.dtype.itemsize) or plain(keys))
+    blocks = {}
+    for vocabulary, widths in ((50, {4}), ((1 << 16) - 1, {4, 8}), (1 << 17, {8})):
+        seen.clear()
+        blocks[vocabulary] = token_files.Block(token_files.compress(docs, vocabulary))
+        assert seen == widths
+        assert [d.tolist() for d in blocks[vocabulary].documents()] == [d.tolist() for d in docs]
+        assert blocks[vocabulary].slice(4, 3, 1999).tolist() == docs[4][3:1999].tolist()
+        sizes = [len(blocks[vocabulary]._expand(np.array([vocabulary + k], np.uint32))) for k in range(len(blocks[vocabulary].rules))]
+        assert sizes and sizes == blocks[vocabulary].expansion.tolist()
+
+
 def test_token_files(spark, tokenizer):
     path = scratch_path(spark, "test-tokens")
     token_files.write_tokens(frame(spark), path, PATH, block_ids=500)
