@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 
 CACHE_WORDS = 300_000
 # Characters of texts that are cut up at once.
-CUT_CHARS = 4_000_000
+CUT_CHARS = 1_000_000
 # Words that are encoded as one text.
 JOINED = 2000
 # Characters on which two definitions of white space may differ.
