@@ -61,11 +61,13 @@ def replace_pairs(symbols: np.ndarray, ends: np.ndarray, first_new: int,
     none = np.empty((0, 2), np.uint32)
     if len(symbols) < 2:
         return none, symbols, ends
-    inside = ~ends[:-1]
     # Symbols of two bytes make narrow keys, which are sorted in half the time.
-    kind, half = (np.uint32, 16) if first_new <= 1 << 16 else (np.uint64, 32)
+    kind, half = (np.uint32, 16) if first_new < 1 << 16 else (np.uint64, 32)
     keys = symbols[:-1].astype(kind) << kind(half) | symbols[1:]
-    ordered = np.sort(keys[inside])
+    # Across the end of a document stands a key that no pair has.
+    across = np.flatnonzero(ends[:-1])
+    keys[across] = np.iinfo(kind).max
+    ordered = np.sort(keys)[:len(keys) - len(across)]
     if not len(ordered):
         return none, symbols, ends
     heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
@@ -84,10 +86,10 @@ def replace_pairs(symbols: np.ndarray, ends: np.ndarray, first_new: int,
     table[:] = 0
     table[_slot(picked)] = np.arange(never, dtype=np.int32)
     rank = table[_slot(keys)]
-    rank[(picked[rank] != keys) | ~inside] = never
-    before = np.concatenate(([never], rank[:-1]))
-    after = np.concatenate((rank[1:], [never]))
-    chosen = (rank < never) & (rank < before) & (rank <= after)
+    rank[picked[rank] != keys] = never
+    chosen = rank < never
+    chosen[1:] &= rank[1:] < rank[:-1]
+    chosen[:-1] &= rank[:-1] <= rank[1:]
     at = np.flatnonzero(chosen)
     out = symbols.copy()
     out[at] = first_new + rank[at]
