@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import small_batches, text_list, text_of
-from .tokens import encoder
+from .tokens import encoder, gather
 
 MAGIC = b"RPB1"
 BLOCK_IDS = 1 << 18
@@ -160,7 +160,11 @@ class Block:
 
     def documents(self) -> list[np.ndarray]:
         """The ids of every document."""
-        ids = self._expand(self.symbols)
+        # Each rule is spelled out once, and every symbol's ids are gathered.
+        kinds = np.arange(self.vocabulary + len(self.rules), dtype=np.uint32)
+        pool = np.concatenate([kinds[:self.vocabulary], self._expand(kinds[self.vocabulary:])])
+        sizes = np.concatenate([np.ones(self.vocabulary, np.int64), self.expansion])
+        ids, _ = gather(pool, (np.cumsum(sizes) - sizes)[self.symbols], sizes[self.symbols])
         return np.split(ids, np.cumsum(self.lengths, dtype=np.int64)[:-1]) if len(self.lengths) else []
 
     def slice(self, doc: int, start: int, stop: int) -> np.ndarray:

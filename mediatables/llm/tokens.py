@@ -20,9 +20,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 # Characters of texts that are cut up at once.
-CUT_CHARS = 1_000_000
+CUT_CHARS = 2_000_000
 # Words that are encoded as one text.
 JOINED = 2000
 # Characters on which two definitions of white space may differ.
@@ -105,7 +105,7 @@ class Encoder:
         keep = np.flatnonzero(np.frombuffer(self._again, np.int8))
         keep = keep[:0] if len(keep) > CACHE_WORDS // 2 else keep
         ends = np.frombuffer(self._ends, np.int64)
-        flat, upto = _gather(np.frombuffer(self._held, self.dtype), ends[keep], ends[keep + 1] - ends[keep])
+        flat, upto = gather(np.frombuffer(self._held, self.dtype), ends[keep], ends[keep + 1] - ends[keep])
         names = list(self._pieces)
         self._pieces = Words()
         self._pieces.update((names[k], n) for n, k in enumerate(keep.tolist()))
@@ -171,8 +171,8 @@ class Encoder:
         alone = self._numbers([w for w, j in zip(others, joined) if not j], self._learn_odd)
         # Pieces of plain words, then the odd ones that stand alone.
         numbers = np.concatenate([pieces, alone])
-        flat, upto = _gather(np.frombuffer(self._held, self.dtype), np.frombuffer(self._ends, np.int64)[numbers],
-                             np.diff(np.frombuffer(self._ends, np.int64))[numbers])
+        flat, upto = gather(np.frombuffer(self._held, self.dtype), np.frombuffer(self._ends, np.int64)[numbers],
+                            np.diff(np.frombuffer(self._ends, np.int64))[numbers])
         at = np.flatnonzero(np.frombuffer(self._leads, np.int8)[numbers])
         first = np.concatenate([[0], upto])[at]
         bad = np.zeros(len(words), bool)
@@ -215,7 +215,7 @@ class Encoder:
         own = np.fromiter(chain.from_iterable(heads), self.dtype, int(head_sizes.sum()))
         starts = np.concatenate([starts, (len(words) + np.cumsum(head_sizes) - head_sizes).astype(np.int32)])
         counts = np.concatenate([counts, head_sizes])
-        flat, upto = _gather(np.concatenate([words, own]), starts[numbers], counts[numbers])
+        flat, upto = gather(np.concatenate([words, own]), starts[numbers], counts[numbers])
         out = np.split(flat, upto[at_head[1:] - 1])
         if bad.any():
             owner = np.repeat(np.arange(len(texts)), sizes)
@@ -225,7 +225,7 @@ class Encoder:
         return out
 
 
-def _gather(pool: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gather(pool: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``count`` values of the pool from each place ``first`` on, one after the
     other, and where each lot ends."""
     upto = np.cumsum(count)

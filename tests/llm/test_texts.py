@@ -188,6 +188,16 @@ def test_tokenizer_is_asked_for_new_pieces_only(tokenizer, monkeypatch):
     assert [ids.tolist() for ids in own.encode(texts)] == want and not learned and len(own._pieces) < 60
 
 
+def test_pieces_of_half_a_million_words_are_learned_once(monkeypatch):
+    texts = ["x " + " ".join(f"{chr(97 + a)}{chr(97 + b)}{chr(97 + c)}{chr(97 + d)}" for c in range(26) for d in range(26))
+             for a in range(25) for b in range(26)]
+    own, learned, plain = tokens.Encoder(PATH), [], tokens.Encoder._learn
+    monkeypatch.setattr(tokens.Encoder, "_learn", lambda self, p: learned.extend(p) or plain(self, p))
+    first, again = own.encode(texts), own.encode(texts)
+    assert len(learned) == len(set(learned)) == 25 * 26 ** 3
+    assert all((x == y).all() for x, y in zip(first, again, strict=True))
+
+
 def ids_of(tokenizer, text):
     return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
 
@@ -290,6 +300,16 @@ def test_pairs_of_two_byte_symbols_are_narrow_keys(monkeypatch):
         assert sizes and sizes == blocks[vocabulary].expansion.tolist()
 
 
+def test_blocks_are_read_by_spelling_each_rule_once(monkeypatch):
+    docs = [np.array([1, 2, 3, 4, 5] * 400 + [k], np.uint16) for k in range(20)]
+    block = token_files.Block(token_files.compress(docs, 50))
+    spelled, plain = [], token_files.Block._expand
+    monkeypatch.setattr(token_files.Block, "_expand", lambda self, s: spelled.extend(s.tolist()) or plain(self, s))
+    assert [d.tolist() for d in block.documents()] == [d.tolist() for d in docs]
+    assert len(block.rules) and spelled == [50 + k for k in range(len(block.rules))]
+    assert token_files.Block(token_files.compress([], 50)).documents() == []
+
+
 def test_token_files(spark, tokenizer):
     path = scratch_path(spark, "test-tokens")
     token_files.write_tokens(frame(spark), path, PATH, block_ids=500)
