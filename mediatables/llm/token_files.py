@@ -39,6 +39,8 @@ PAIRS_PER_ROUND = 4096
 MIN_COUNT = 8
 SLOTS = 1 << 17
 END_ID = 0
+# Memory of the encoder, see there.
+ROOM = 2
 
 BLOCKS = T.StructType([
     T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()),
@@ -185,7 +187,7 @@ class Block:
 
 def _encode(path: str, end_id: int, block_ids: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(path)
+        tokens = encoder(path, ROOM)
         vocabulary = tokens.size
         shard = TaskContext.get().partitionId()
         names: list[int | None] = []

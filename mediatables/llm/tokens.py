@@ -20,9 +20,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 # Characters of texts that are cut up at once.
-CUT_CHARS = 2_000_000
+CUT_CHARS = 1_000_000
 # Words that are encoded as one text.
 JOINED = 2000
 # Characters on which two definitions of white space may differ.
@@ -77,10 +77,12 @@ class Encoder:
 
     The distinct words of many texts are cut into the pre-tokenizer's pieces.
     Pieces are numbered and the model's ids of each lie one after the other in
-    one array, so a batch's ids are gathered at once.
+    one array, so a batch's ids are gathered at once. ``room`` is how many
+    times the usual pieces are kept and the usual characters cut up at once.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, room: int = 1) -> None:
+        self._room = room
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -103,7 +105,7 @@ class Encoder:
     def _forget(self) -> None:
         """Keep the pieces that were met again, or none if these are many."""
         keep = np.flatnonzero(np.frombuffer(self._again, np.int8))
-        keep = keep[:0] if len(keep) > CACHE_WORDS // 2 else keep
+        keep = keep[:0] if len(keep) > self._room * CACHE_WORDS // 2 else keep
         ends = np.frombuffer(self._ends, np.int64)
         flat, upto = gather(np.frombuffer(self._held, self.dtype), ends[keep], ends[keep + 1] - ends[keep])
         names = list(self._pieces)
@@ -187,7 +189,7 @@ class Encoder:
         out: list[np.ndarray] = []
         first = chars = 0
         for k, text in enumerate(texts):
-            if chars and chars + len(text) > CUT_CHARS:
+            if chars and chars + len(text) > self._room * CUT_CHARS:
                 out += self._encode(texts[first:k])
                 first, chars = k, 0
             chars += len(text)
@@ -196,7 +198,7 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
             return []
-        if len(self._pieces) > CACHE_WORDS:
+        if len(self._pieces) > self._room * CACHE_WORDS:
             self._forget()
         cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         sizes = np.diff(cut.offsets.to_numpy()).astype(np.int64) - 1
@@ -236,11 +238,11 @@ def gather(pool: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.n
     return pool[at], upto
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker and vocabulary; its cache lasts over tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, room: int = 1) -> Encoder:
+    """One encoder per worker, vocabulary and room; its cache lasts over tasks."""
+    if (path, room) not in _ENCODERS:
+        _ENCODERS[path, room] = Encoder(path, room)
+    return _ENCODERS[path, room]

@@ -191,7 +191,7 @@ def test_tokenizer_is_asked_for_new_pieces_only(tokenizer, monkeypatch):
 def test_pieces_of_half_a_million_words_are_learned_once(monkeypatch):
     texts = ["x " + " ".join(f"{chr(97 + a)}{chr(97 + b)}{chr(97 + c)}{chr(97 + d)}" for c in range(26) for d in range(26))
              for a in range(25) for b in range(26)]
-    own, learned, plain = tokens.Encoder(PATH), [], tokens.Encoder._learn
+    own, learned, plain = tokens.Encoder(PATH, token_files.ROOM), [], tokens.Encoder._learn
     monkeypatch.setattr(tokens.Encoder, "_learn", lambda self, p: learned.extend(p) or plain(self, p))
     first, again = own.encode(texts), own.encode(texts)
     assert len(learned) == len(set(learned)) == 25 * 26 ** 3
