@@ -255,6 +255,23 @@ def test_verify_splits_and_trims():
     assert got == [(50, 110, 0, 60), (160, 220, 110, 170)]
 
 
+def test_verify_reads_on_where_a_copy_drifts():
+    x = np.random.default_rng(4).integers(0, 2**60, 400).astype(np.uint64)
+    y = np.concatenate([x[:175], x[:1] + np.uint64(1), x[175:]])
+    assert substring_dedup.verify(x, y, 46, Fraction(4, 5), 0) == [(0, 400, 0, 401)]
+
+
+def test_a_common_passage_gives_rows_in_proportion(spark):
+    """Many documents share one passage, or a line, in unlike surroundings."""
+    base, line = prose(4998, 60), prose(4997, 17)
+    texts = [" ".join([prose(11000 + k, 55 + k % 9), line if k % 2 else base, prose(12000 + k, 70)]) for k in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = substring_dedup.repeated_passages(docs).collect()
+    covered = {r.doc_id for r in found if r.start_word <= 55 + r.doc_id % 9 and r.end_word >= 115 + r.doc_id % 9}
+    assert covered == set(range(0, 300, 2)) == {r.doc_id for r in found}
+    assert len(found) <= 10 * len(covered)
+
+
 PII_TEXTS = ["a@b.c.d x", "x@y.z_q@r.s a@b.c@d.e", "call +1 (743) 555-3824 now", "1.2.3.4 300.1.1.1 1.2.3.4.5.6.7.8",
              "4111 1111 1111 1111 and 4111-1111-1111-1112", "é\U0001F600 me@x.org +4912345678901",
              "1 " * 5000, "+1" + "(" * 3000, "a@b" + ".c" * 3000, "0000000000000001.2.3.4", "", None]
