@@ -272,6 +272,70 @@ def test_a_common_passage_gives_rows_in_proportion(spark):
     assert len(found) <= 10 * len(covered)
 
 
+def pair_levels(x, y, t):
+    """Plainly: the level of each place of window x for window y, and their best."""
+    places, tokens, high = x
+    weights = [1 / tokens.count(k) for k in tokens]
+    out = [0] * len(tokens)
+    for p in places:
+        start = min(p, high - t + 1)
+        inside = [k for k, q in enumerate(places) if start <= q < start + t]
+        held = sum(weights[k] for k in inside if tokens[k] in y[1])
+        level = sum(held + 1e-6 >= at * sum(weights[k] for k in inside) for at in substring_dedup.LEVELS)
+        for k in inside:
+            if tokens[k] in y[1]:
+                out[k] = max(out[k], level)
+    return out, max(out)
+
+
+def test_every_token_is_linked_at_the_best_level_any_window_has_for_it():
+    rnd, t = random.Random(8), 10
+    for trial in range(30):
+        windows, outlines = [], []
+        for key in range(3):
+            base = [rnd.randrange(40 if trial % 2 else 10**6) for _ in range(2 * t - 1)]
+            for k in range(rnd.choice([1, 2, 3, 12, 25])):
+                low, high = -rnd.randrange(t), rnd.randrange(t)
+                low, high = (low, high) if high - low >= t - 1 else (1 - t, t - 1)
+                tokens = [rnd.choice([b, b, b, b, b + 10**7, rnd.randrange(10**8)]) if rnd.random() < 0.4 else b for b in base]
+                places = [q for q in range(low, high + 1) if q % 3 == 0 or rnd.random() < 0.3]
+                outlines.append((places, [tokens[q + t - 1] for q in places], high))
+                windows.append((key, rnd.randrange(15), 100 + low, 100, 100 + high))
+        order = rnd.sample(range(len(windows)), len(windows))
+        windows, outlines = [windows[k] for k in order], [outlines[k] for k in order]
+        sent = np.zeros(len(windows), substring_dedup.SENT)
+        for name, column in zip(("key", "doc", "l", "c", "r"), zip(*windows)):
+            sent[name] = column
+        one, other = substring_dedup.linked(sent, np.array([len(p) for p, _, _ in outlines]),
+                                            np.concatenate([q for _, q, _ in outlines]).astype(np.uint32),
+                                            np.concatenate([p for p, _, _ in outlines]), t)
+        links = set(zip(one.tolist(), other.tolist()))
+        links |= {(b, a) for a, b in links}
+        for a in range(len(windows)):
+            best, found = [0] * len(outlines[a][0]), [0] * len(outlines[a][0])
+            for b in range(len(windows)):
+                if windows[a][0] == windows[b][0] and windows[a][1] != windows[b][1]:
+                    (own, top), (_, back) = pair_levels(outlines[a], outlines[b], t), pair_levels(outlines[b], outlines[a], t)
+                    own = [min(x, back) for x in own] if top else own
+                    best = list(map(max, best, own))
+                    if (a, b) in links:
+                        found = list(map(max, found, own))
+            assert found == best
+        assert all(windows[a][0] == windows[b][0] and windows[a][1] != windows[b][1] for a, b in links)
+
+
+def test_many_near_copies_give_rows_in_proportion(spark):
+    """Copies of one text with edits at places of their own, where hardly any two are alike throughout."""
+    rnd, base = random.Random(9), prose(4996, 400).split()
+    rows = []
+    for n in (100, 300):
+        docs = spark.createDataFrame([(k, " ".join(edited(rnd, base, 10))) for k in range(n)], "doc_id long, text string")
+        found = substring_dedup.repeated_passages(docs).collect()
+        assert {r.doc_id for r in found} == set(range(n))
+        rows.append(len(found))
+    assert rows[1] <= 3 * 1.3 * rows[0]
+
+
 PII_TEXTS = ["a@b.c.d x", "x@y.z_q@r.s a@b.c@d.e", "call +1 (743) 555-3824 now", "1.2.3.4 300.1.1.1 1.2.3.4.5.6.7.8",
              "4111 1111 1111 1111 and 4111-1111-1111-1112", "é\U0001F600 me@x.org +4912345678901",
              "1 " * 5000, "+1" + "(" * 3000, "a@b" + ".c" * 3000, "0000000000000001.2.3.4", "", None]
